@@ -170,8 +170,9 @@ def _grid_pairs(sites: DataFrame, poi: DataFrame, metres: float, metric: str, ma
     """
     deg = metres / EARTH_M_PER_DEG
     if metric == "haversine":
-        # longitude degrees shrink with latitude; widen the cell accordingly
-        deg = deg / max(math.cos(math.radians(max_lat)), 1e-6)
+        # a degree of latitude is 2*pi*R/360 m on the sphere, and longitude
+        # degrees shrink with latitude: widen the cell for both (with margin)
+        deg = metres / (2 * math.pi * 6371008.8 / 360.0) / max(math.cos(math.radians(max_lat)), 1e-6) * 1.001
     s = sites.select(F.col("site_id"), F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"))
     cy, cx = _cell(F.col("s_lat"), F.col("s_lon"), deg)
     s = s.withColumn("_cy", cy).withColumn("_cx", cx)
