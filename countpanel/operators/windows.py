@@ -46,13 +46,13 @@ def with_positions(df: DataFrame, keys: list[str], order: str, tiebreak: list[st
     """
     tiebreak = tiebreak or []
     b = df.withColumn("_bkt", F.floor(_epoch_days(F.col(order)) / F.lit(bucket_days)))
-    cnt = b.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
+    cnt = b.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
     wk = Window.partitionBy(*keys).orderBy("_bkt")
     off = cnt.withColumn("_off", F.coalesce(
-        F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        F.sum("_cnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     if total:
-        off = off.withColumn(total, F.sum("_n").over(Window.partitionBy(*keys)))
-    off = off.drop("_n")
+        off = off.withColumn(total, F.sum("_cnt").over(Window.partitionBy(*keys)))
+    off = off.drop("_cnt")
     out = b.join(small(off), [*keys, "_bkt"])
     w = Window.partitionBy(*keys, "_bkt").orderBy(F.col(order), *[F.col(t) for t in tiebreak])
     return out.withColumn(pos, F.col("_off") + F.row_number().over(w) - 1).drop("_bkt", "_off")
