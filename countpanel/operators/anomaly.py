@@ -12,20 +12,27 @@ from countpanel.operators import windows as W
 
 # N1 ---------------------------------------------------------------------
 def continuous_daily(df: DataFrame, key: str = "unique_id", ds: str = "ds", col: str = "y",
-                     limit: int = 3, k: int = 7, **kw) -> DataFrame:
+                     limit: int = 3, k: int = 7, keep_pos: bool = False, **kw) -> DataFrame:
     """Gap-free daily series: calendar reindex, linear interpolation of up
-    to ``limit`` days, then the value k days before / after."""
-    full = W.reindex_daily(df, key, ds, [col])
-    filled = W.interpolate(full, key, ds, col, limit=limit, **kw)
-    return W.seasonal_fill(filled, key, ds, col, k=k, **kw)
+    to ``limit`` days, then the value k days before / after.  Positions come
+    from the calendar itself (no counting pass); ``keep_pos`` keeps them
+    for further positional steps."""
+    full = W.reindex_daily(df, key, ds, [col], with_pos=True)
+    filled = W.interpolate(full, key, ds, col, limit=limit, positioned=True, **kw)
+    out = W.seasonal_fill(filled, key, ds, col, k=k, positioned=True, **kw)
+    return out if keep_pos else out.drop("_pos")
 
 
 # N2 ---------------------------------------------------------------------
 def rolling_outliers(df: DataFrame, key: str = "unique_id", ds: str = "ds", col: str = "y",
-                     factor: float = 4.0, window: int = 30, min_periods: int = 7, **kw) -> DataFrame:
+                     factor: float = 4.0, window: int = 30, min_periods: int = 7, positioned: bool = False,
+                     **kw) -> DataFrame:
     """Flag values above ``factor`` x the centred rolling median, blank them
     and refill (interpolation + seasonal fill); ``y_observed`` keeps the
-    value before cleaning."""
+    value before cleaning.  ``positioned``: the input carries ``_pos``."""
+    if not positioned:
+        df = W.with_positions(df, [key], ds)
+    kw["positioned"] = True
     d = W.rolling_median(df, [key], ds, col, window, min_periods, out="_med", **kw)
     flag = (F.col(col) > F.lit(factor) * F.col("_med")) & F.col("_med").isNotNull()
     d = (d.withColumn("rolling_outlier", F.coalesce(flag, F.lit(False)).cast("int"))
@@ -33,7 +40,7 @@ def rolling_outliers(df: DataFrame, key: str = "unique_id", ds: str = "ds", col:
          .withColumn(col, F.when(F.col("rolling_outlier") == 1, F.lit(None)).otherwise(F.col(col)))
          .drop("_med"))
     d = W.interpolate(d, key, ds, col, **kw)
-    return W.seasonal_fill(d, key, ds, col, **kw)
+    return W.seasonal_fill(d, key, ds, col, **kw).drop("_pos")
 
 
 # N3 ---------------------------------------------------------------------

@@ -230,18 +230,26 @@ def standardise_profile(df: DataFrame, key: str, col: str, out: str) -> DataFram
 
 
 # J12 --------------------------------------------------------------------
-def reindex_daily(df: DataFrame, key: str, ds: str, cols: list[str] | None = None) -> DataFrame:
+def reindex_daily(df: DataFrame, key: str, ds: str, cols: list[str] | None = None,
+                  with_pos: bool = False) -> DataFrame:
     """Complete daily calendar per key from its first to its last day,
-    left-joined to the facts (missing days become null rows)."""
+    left-joined to the facts (missing days become null rows).
+
+    With ``with_pos`` the row position ``_pos`` (days since the key's first
+    day) is added: on a complete calendar it is exact, so later positional
+    windows need no counting pass.
+    """
     span = df.groupBy(key).agg(F.min(ds).alias("_lo"), F.max(ds).alias("_hi"))
-    cal = span.select(key, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 DAY"))).alias(ds))
+    cal = span.select(key, "_lo", F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 DAY"))).alias(ds))
+    cal = cal.withColumn("_pos", F.datediff(F.col(ds), F.col("_lo")).cast("long")) if with_pos else cal
     facts = df.select(key, ds, *(cols or [c for c in df.columns if c not in (key, ds)]))
-    return cal.join(facts, [key, ds], "left")
+    return cal.drop("_lo").join(facts, [key, ds], "left")
 
 
 # W14 --------------------------------------------------------------------
 def interpolate(df: DataFrame, key: str, order: str, col: str, limit: int = 3, out: str | None = None,
-                chunk_rows: int = DEFAULT_CHUNK_ROWS, bucket_days: int = DEFAULT_BUCKET_DAYS) -> DataFrame:
+                chunk_rows: int = DEFAULT_CHUNK_ROWS, bucket_days: int = DEFAULT_BUCKET_DAYS,
+                positioned: bool = False) -> DataFrame:
     """pandas ``interpolate('linear', limit=n)`` on positions.
 
     A missing value at position p is filled when the previous known value
@@ -253,7 +261,7 @@ def interpolate(df: DataFrame, key: str, order: str, col: str, limit: int = 3, o
     summary (one row per key and chunk).
     """
     out = out or col
-    d = with_positions(df, [key], order, None, bucket_days)
+    d = df if positioned else with_positions(df, [key], order, None, bucket_days)
     p = F.col("_pos")
     d = (d.withColumn("_home", F.floor(p / F.lit(chunk_rows)))
          .withColumn("_chunk", F.explode(F.sequence(F.col("_home"),
@@ -263,12 +271,15 @@ def interpolate(df: DataFrame, key: str, order: str, col: str, limit: int = 3, o
     firsts = (d.filter(F.col("_chunk") == F.col("_home")).groupBy(key, "_home")
               .agg(F.min(known).alias("_fk")))
     nxt = firsts.select(key, F.col("_home").alias("_chunk"),
-                        F.first("_fk", ignorenulls=True).over(
-                            Window.partitionBy(key).orderBy("_home")
-                            .rowsBetween(1, Window.unboundedFollowing)).alias("_after"))
+                        F.last("_fk", ignorenulls=True).over(
+                            Window.partitionBy(key).orderBy(F.col("_home").desc())
+                            .rowsBetween(Window.unboundedPreceding, -1)).alias("_after"))
     w = Window.partitionBy(key, "_chunk").orderBy("_pos")
     prev = F.last(known, ignorenulls=True).over(w.rowsBetween(-limit, 0))
-    nextk = F.coalesce(F.first(known, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)),
+    # "first known at or after this row" as a running frame over the reversed
+    # order: linear, where an unbounded-following frame would be quadratic
+    wr = Window.partitionBy(key, "_chunk").orderBy(F.col("_pos").desc())
+    nextk = F.coalesce(F.last(known, ignorenulls=True).over(wr.rowsBetween(Window.unboundedPreceding, 0)),
                        F.col("_after"))
     d = (d.join(small(nxt), [key, "_chunk"], "left")
          .withColumns({"_prev": prev, "_next": nextk})
@@ -280,7 +291,8 @@ def interpolate(df: DataFrame, key: str, order: str, col: str, limit: int = 3, o
               .when(F.col("_prev").isNull() | (gap > limit), F.lit(None))
               .when(F.col("_next").isNull(), F.col("_prev.y"))
               .otherwise(interp))
-    return d.withColumn(out, filled).drop("_pos", "_home", "_chunk", "_prev", "_next", "_after")
+    d = d.withColumn(out, filled).drop("_home", "_chunk", "_prev", "_next", "_after")
+    return d if positioned else d.drop("_pos")
 
 
 # W15 --------------------------------------------------------------------

@@ -213,16 +213,16 @@ def w13(fx):
        "SELECT unique_id, ds, y FROM interp")
 def w14(fx):
     """Linear interpolation of at most 3 consecutive missing days."""
-    full = W.reindex_daily(_snapped(fx), "unique_id", "ds", ["y"])
-    return W.interpolate(full, "unique_id", "ds", "y", limit=3)
+    full = W.reindex_daily(_snapped(fx), "unique_id", "ds", ["y"], with_pos=True)
+    return W.interpolate(full, "unique_id", "ds", "y", limit=3, positioned=True).drop("_pos")
 
 
 @query("w15_seasonal_fill", f"WITH {REINDEX_SQL}, {seasonal_sql('full_', 'sf')} "
        "SELECT unique_id, ds, y FROM sf")
 def w15(fx):
     """Missing day <- value 7 rows before, else 7 rows after."""
-    full = W.reindex_daily(_snapped(fx), "unique_id", "ds", ["y"])
-    return W.seasonal_fill(full, "unique_id", "ds", "y", 7)
+    full = W.reindex_daily(_snapped(fx), "unique_id", "ds", ["y"], with_pos=True)
+    return W.seasonal_fill(full, "unique_id", "ds", "y", 7, positioned=True).drop("_pos")
 
 
 ISO_COLS = ["rolling_med", "deviation", "lag_7", "lag_28", "change_7", "change_28"]
@@ -240,7 +240,8 @@ FROM f
 """)
 def w16(fx):
     """Isolation features: deviation from the rolling median, 7 / 28-day change."""
-    d = W.iso_features(_n1(fx), "unique_id", "ds", "y")
+    n1_ = NA.continuous_daily(_snapped(fx), "unique_id", "ds", "y", keep_pos=True)
+    d = W.iso_features(n1_, "unique_id", "ds", "y", positioned=True)
     return d.select("unique_id", "ds", *ISO_COLS)
 
 
@@ -263,7 +264,8 @@ SELECT unique_id, ds, y, y_observed, rolling_outlier FROM fs
 """)
 def n2(fx):
     """Flag y > 4 x centred 30-day median, blank and refill, keep y_observed."""
-    d = NA.rolling_outliers(_n1(fx), "unique_id", "ds", "y", 4.0)
+    n1_ = NA.continuous_daily(_snapped(fx), "unique_id", "ds", "y", keep_pos=True)
+    d = NA.rolling_outliers(n1_, "unique_id", "ds", "y", 4.0, positioned=True)
     return d.select("unique_id", "ds", "y", "y_observed", "rolling_outlier")
 
 
