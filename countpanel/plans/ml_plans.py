@@ -1 +1,239 @@
-"""Registered queries."""
+"""Wave 6: pyspark.ml operators (rows-only checks: no SQL equivalent)."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from countpanel.functions import dates as D
+from countpanel.functions.encode import one_hot
+from countpanel.operators import aggs as A
+from countpanel.operators import anomaly as NA
+from countpanel.operators import features as FE
+from countpanel.operators import models as M
+from countpanel.operators import quality as Q
+from countpanel.operators import windows as W
+from countpanel.plans.core import holiday_table
+from countpanel.plans.registry import query
+
+HOURS = [str(h) for h in range(24)]
+SITE_FEATS = ["mean_count", "median_count", "max_count", "std_count", "weekday_mean", "weekend_mean", "rush_mean",
+              "weekend_weekday_ratio", "rush_ratio", "cv", "n_obs"]
+LOG_COLS = ["mean_count", "median_count", "max_count", "std_count", "weekday_mean", "weekend_mean", "rush_mean"]
+XS = ["hour", "day_of_week", "month", "temperature_2m", "precipitation", "wind_speed_10m", "lag_1", "rolling_24_mean"]
+
+
+def _site_profiles(fx, lo=None, hi=None):
+    c = fx.counts
+    if lo:
+        c = c.filter(F.col("start_time") >= F.lit(lo).cast("timestamp_ntz"))
+    if hi:
+        c = c.filter(F.col("start_time") < F.lit(hi).cast("timestamp_ntz"))
+    return A.profile_ratios(A.site_profile(c, "site_id", "cnt", "start_time"))
+
+
+def _panel(fx):
+    """Hourly counts per site with calendar, weather, lag and rolling features."""
+    h = fx.counts.groupBy("site_id", D.floor_hour("start_time").alias("datetime_hour")).agg(F.sum("cnt").alias("count"))
+    d = FE.panel_features(h, "site_id", "datetime_hour", "count", holiday_table(fx.spark), exact_scale=2)
+    w = fx.weather.withColumnRenamed("time", "datetime_hour")
+    return d.join(w, ["site_id", "datetime_hour"], "left").withColumn("_y", F.col("count"))
+
+
+@query("x8_one_hot")
+def x8(fx):
+    """One-hot vectors of type and direction (unknown -> all zero)."""
+    model = one_hot(fx.counts.filter(F.col("start_time") < F.lit("2024-01-16").cast("timestamp_ntz")),
+                    ["type", "direction"])
+    d = model.transform(fx.counts)
+    return d.select("event_id", vector_to_array("type_vec").alias("type_vec"),
+                    vector_to_array("direction_vec").alias("direction_vec"))
+
+
+@query("c1_profile_clusters")
+def c1(fx):
+    """k=4 clusters on row-standardised site x hour mean profiles."""
+    d = fx.counts.withColumn("hour", F.hour("start_time"))
+    prof = A.pivot_mean(d, "site_id", "hour", list(range(24)), "cnt", fill=0.0)
+    return M.profile_clusters(prof, "site_id", HOURS, k=4)
+
+
+@query("c2_site_clusters")
+def c2(fx):
+    """k=2 clusters on site features: log1p, median impute, z-score."""
+    out, _, _ = M.site_clusters(_site_profiles(fx), "site_id", SITE_FEATS, LOG_COLS, k=2)
+    return out.select("site_id", "cluster")
+
+
+@query("c3_scan_k")
+def c3(fx):
+    """Inertia and silhouette for k = 2..7."""
+    d, _ = M.site_feature_matrix(_site_profiles(fx), SITE_FEATS, LOG_COLS)
+    return M.scan_k(d, range(2, 8))
+
+
+@query("c4_order_labels")
+def c4(fx):
+    """Cluster labels re-numbered by increasing mean count."""
+    out, _, _ = M.site_clusters(_site_profiles(fx), "site_id", SITE_FEATS, LOG_COLS, k=2)
+    raw = _site_profiles(fx).select("site_id", F.col("mean_count").alias("raw_mean"))
+    return M.order_labels(out.select("site_id", "cluster").join(raw, "site_id"), "cluster", "raw_mean").select(
+        "site_id", "cluster", "label_ordered")
+
+
+@query("c5_assign_clusters")
+def c5(fx):
+    """Fit on the first half of the month, score the second half's sites
+    with the stored imputer, scaler and model."""
+    _, model, stats = M.site_clusters(_site_profiles(fx, hi="2024-01-16"), "site_id", SITE_FEATS, LOG_COLS, k=2)
+    return M.assign_clusters(_site_profiles(fx, lo="2024-01-16"), model, stats, SITE_FEATS, LOG_COLS).select(
+        "site_id", "cluster")
+
+
+@query("c8_pca_space")
+def c8(fx):
+    """PCA to 2 components fitted on one period, the other projected into it."""
+    fit, stats = M.site_feature_matrix(_site_profiles(fx, hi="2024-01-16"), SITE_FEATS, LOG_COLS)
+    other, _ = M.site_feature_matrix(_site_profiles(fx, lo="2024-01-16"), SITE_FEATS, LOG_COLS, stats)
+    proj, var = M.pca_space(fit, other, 2)
+    return proj.select("site_id", "pc1", "pc2").withColumns({"var_pc1": F.lit(var[0]), "var_pc2": F.lit(var[1])})
+
+
+@query("c9_representatives")
+def c9(fx):
+    """5 largest sites per cluster and the cluster mean profiles."""
+    out, _, _ = M.site_clusters(_site_profiles(fx), "site_id", SITE_FEATS, LOG_COLS, k=2)
+    raw = _site_profiles(fx).join(out.select("site_id", "cluster"), "site_id")
+    top = W.head_per_group(raw, ["cluster"], [F.col("mean_count").desc(), F.col("site_id")], 5)
+    means = A.group_means(raw, ["cluster"], ["mean_count", "weekend_weekday_ratio", "rush_ratio"], 3)
+    return top.select("cluster", "site_id", F.round("mean_count", 3).alias("site_mean")).join(means, "cluster")
+
+
+@query("c10_cluster_profiles")
+def c10(fx):
+    """Cluster x hour x day-type mean counts."""
+    out, _, _ = M.site_clusters(_site_profiles(fx), "site_id", SITE_FEATS, LOG_COLS, k=2)
+    d = fx.counts.join(F.broadcast(out.select("site_id", "cluster")), "site_id")
+    return A.profile_by(d, "cnt", {"cluster": F.col("cluster"), "hour": F.hour("start_time"),
+                                   "daytype": F.when(D.is_weekend("start_time"), "weekend").otherwise("weekday")})
+
+
+@query("f1_ols")
+def f1(fx):
+    """OLS of hourly counts on weather and calendar: coefficients, t, p, R^2."""
+    return M.ols(_panel(fx), "count", ["hour", "temperature_2m", "precipitation", "wind_speed_10m", "is_weekend"])
+
+
+@query("f2_ridge")
+def f2(fx):
+    """Ridge pipeline (impute, scale, one-hot), coefficients sorted."""
+    d = _panel(fx).withColumn("dow_s", F.col("day_of_week").cast("string"))
+    return M.ridge(d, "count", ["hour", "temperature_2m", "precipitation", "wind_speed_10m"], ["dow_s"], alpha=1.0)
+
+
+def _eval(pred):
+    return Q.evaluate(pred, "_y", "prediction")
+
+
+@query("f3_rf_pipeline")
+def f3(fx):
+    """Random forest, 80/20 hash split: MAE, RMSE, R^2."""
+    d = M.hash_split(_panel(fx).dropna(subset=XS), "datetime_hour")
+    _, p = M.forest(d.filter("is_train"), d.filter("NOT is_train"), "count", XS, trees=50, depth=15, min_instances=1)
+    return _eval(p)
+
+
+@query("f7_rf_log")
+def f7(fx):
+    """Forest on log1p target (expm1, clipped at 0), temporal split."""
+    d = _panel(fx).dropna(subset=XS)
+    cut = F.lit("2024-01-23").cast("timestamp_ntz")
+    _, p = M.forest(d.filter(F.col("datetime_hour") < cut), d.filter(F.col("datetime_hour") >= cut), "count", XS,
+                    log_target=True)
+    return _eval(p)
+
+
+@query("f8_gbt_log")
+def f8(fx):
+    """Boosted trees with early stopping on the last 15 % of training time."""
+    d = _panel(fx).dropna(subset=XS)
+    cut = F.lit("2024-01-23").cast("timestamp_ntz")
+    _, p = M.boosted(d.filter(F.col("datetime_hour") < cut), d.filter(F.col("datetime_hour") >= cut), "count", XS,
+                     "datetime_hour", depth=6, step=0.1)
+    return _eval(p)
+
+
+@query("f9_gbt_second")
+def f9(fx):
+    """Second boosted model (deeper, smaller steps) for the blend."""
+    d = _panel(fx).dropna(subset=XS)
+    cut = F.lit("2024-01-23").cast("timestamp_ntz")
+    _, p = M.boosted(d.filter(F.col("datetime_hour") < cut), d.filter(F.col("datetime_hour") >= cut), "count", XS,
+                     "datetime_hour", depth=8, step=0.05)
+    return _eval(p)
+
+
+@query("f11_walk_forward")
+def f11(fx):
+    """Expanding walk-forward folds, one forest per fold."""
+    d = _panel(fx).dropna(subset=XS)
+    folds = [("2024-01-15", "2024-01-15", "2024-01-20"), ("2024-01-20", "2024-01-20", "2024-01-25"),
+             ("2024-01-25", "2024-01-25", "2024-02-01")]
+    return M.walk_forward(d, "datetime_hour", folds,
+                          lambda tr, te: M.forest(tr, te, "count", XS, trees=20, depth=8)[1])
+
+
+@query("f15_importances")
+def f15(fx):
+    """Top feature importances of the forest."""
+    d = _panel(fx).dropna(subset=XS)
+    m, _ = M.forest(d, d.limit(1), "count", XS, trees=20, depth=8)
+    return M.importances(m, XS, fx.spark, k=5)
+
+
+@query("f16_compare_inputs")
+def f16(fx):
+    """Same model trained with observed vs with forecast weather (common keys)."""
+    p = _panel(fx).drop("temperature_2m", "precipitation", "wind_speed_10m")
+    obs = p.join(fx.weather.withColumnRenamed("time", "datetime_hour"), ["site_id", "datetime_hour"])
+    fc = p.join(fx.weather_fcst.withColumnRenamed("time", "datetime_hour"), ["site_id", "datetime_hour"])
+    cut = F.lit("2024-01-23").cast("timestamp_ntz")
+    out = []
+    for name, d in (("observed", obs), ("forecast", fc)):
+        d = d.dropna(subset=XS)
+        _, pr = M.forest(d.filter(F.col("datetime_hour") < cut), d.filter(F.col("datetime_hour") >= cut), "count", XS,
+                         trees=20, depth=8)
+        out.append(_eval(pr).withColumn("inputs", F.lit(name)))
+    return out[0].unionByName(out[1])
+
+
+@query("f17_score_day")
+def f17(fx):
+    """Score one day and export signed errors with report column names."""
+    d = _panel(fx).dropna(subset=XS)
+    day = F.to_date("datetime_hour") == F.lit("2024-01-29").cast("date")
+    _, p = M.forest(d.filter(~day), d.filter(day), "count", XS, trees=20, depth=8)
+    return p.select("site_id", F.col("datetime_hour").alias("time"), F.col("count").alias("actual"),
+                    F.col("prediction").alias("predicted"), (F.col("prediction") - F.col("count")).alias("signed_error"))
+
+
+@query("f19_forecast_panel")
+def f19(fx):
+    """Daily panel for a global forecaster: train-fitted z, weather fill and
+    scale, minimum history, split, 0-filled future covariates."""
+    daily = fx.daily.withColumn("y", F.round("y", 2))
+    w = A.weather_daily(fx.weather_fcst.withColumn("time", F.col("time") - F.expr("INTERVAL 8766 DAYS")),
+                        "site_id", "time", {"temperature_2m": "max", "precipitation": "sum"})
+    w = w.withColumnRenamed("site_id", "unique_id")
+    return M.forecast_panel(daily, w, "unique_id", "ds", "y", ["temperature_2m_max", "precipitation_sum"],
+                            "2000-01-01", 365)
+
+
+@query("n3_isolation_flags")
+def n3(fx):
+    """Per-series isolation forest over 7 daily features (3 % flagged)."""
+    n1 = NA.continuous_daily(fx.daily.withColumn("y", F.round("y", 2)), "unique_id", "ds", "y", keep_pos=True)
+    d = W.iso_features(n1, "unique_id", "ds", "y", positioned=True)
+    d = d.withColumns({"dow": D.weekday0("ds"), "month": F.month("ds")})
+    feats = ["deviation", "change_7", "change_28", "dow", "month", "y", "rolling_med"]
+    return NA.isolation_flags(d, "unique_id", "ds", feats, trees=100, share=0.03, min_rows=60)
