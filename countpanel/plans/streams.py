@@ -1 +1,51 @@
-"""Registered queries."""
+"""Wave 7: streaming operators run with availableNow, compared to batch SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from countpanel.plans.registry import query
+from countpanel.streaming import hourly as T
+
+EVENTS_DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+def _counts_stream(fx):
+    ev = T.read_stream(fx.spark, fx.sf_dir, "events", EVENTS_DDL)
+    return ev.select("event_id", F.col("user_id").alias("site_id"),
+                     F.when(F.col("event_id") % 2 == 0, "IN").otherwise("OUT").alias("direction"),
+                     F.col("ts").alias("start_time"), F.col("value").alias("cnt"))
+
+
+@query("t1_stream_hourly", """
+SELECT site_id, date_trunc('hour', start_time) AS window_start, ROUND(SUM(cnt), 6) AS total_count, COUNT(cnt) AS n_obs
+FROM v_counts GROUP BY 1, 2
+""")
+def t1(fx):
+    """Tumbling hourly counts with a watermark (complete mode = batch)."""
+    s = T.stream_hourly(_counts_stream(fx), "site_id", "start_time", "cnt", "2 hours")
+    out = T.run_available_now(s, "complete", "t1")
+    return out.withColumn("total_count", F.round("total_count", 6))
+
+
+@query("t2_stream_alerts", """
+WITH e AS (SELECT site_id, AVG(cnt) AS expected FROM v_counts GROUP BY 1)
+SELECT c.event_id, c.site_id, ROUND(c.cnt - e.expected, 9) AS error,
+       CASE WHEN c.cnt - e.expected > 15 THEN 'surge' ELSE 'blockage' END AS status
+FROM v_counts c JOIN e ON c.site_id = e.site_id WHERE c.cnt - e.expected > 15 OR c.cnt - e.expected < -8
+""")
+def t2(fx):
+    """Readings stream joined to a static expectation table; alerts out."""
+    expected = fx.counts.groupBy("site_id").agg(F.avg("cnt").alias("expected"))
+    s = T.stream_alerts(_counts_stream(fx), expected, "site_id", "cnt", 15.0, -8.0)
+    out = T.run_available_now(s.select("event_id", "site_id", "error", "status"), "append", "t2")
+    return out.withColumn("error", F.round("error", 9))
+
+
+@query("t3_stream_dedupe", "SELECT event_id, site_id, start_time, cnt FROM v_counts")
+def t3(fx):
+    """Every reading delivered twice; duplicates dropped within the watermark."""
+    s = _counts_stream(fx)
+    twice = s.unionByName(_counts_stream(fx))
+    d = T.stream_dedupe(twice, ["event_id"], "start_time", "1 hour")
+    return T.run_available_now(d.select("event_id", "site_id", "start_time", "cnt"), "append", "t3")
