@@ -3,6 +3,8 @@ alerting and routing, with DuckDB oracles."""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
 from countpanel.functions import dates as D
@@ -793,3 +795,71 @@ def c7(fx):
     """Adjusted Rand index and NMI between two labelings (contingency sums)."""
     d = P.poi_group(fx.sites).select(F.col("poi_group").alias("a"), F.col("district").alias("b"))
     return ML.label_agreement(d, "a", "b").select(r6("ari").alias("ari"), r6("nmi").alias("nmi"))
+
+
+# ---------------------------------------------------------------- I7, J10, J11, V13
+RATES_I7 = ["0.05", "0.10", "0.15", "0.20", "0.25", "0.30", "0.35", "0.40"]
+
+
+@query("i7_modal_shift_sensitivity", "WITH r(rate) AS (VALUES " + ", ".join(f"({x})" for x in RATES_I7) + "), "
+       "p AS (SELECT CAST(predicted AS DECIMAL(20, 9)) AS p FROM v_pred), "
+       "c AS (SELECT rate, ROUND(p * rate, 2) AS trips FROM p CROSS JOIN r), "
+       "k AS (SELECT rate, trips, ROUND(trips * 4.0, 2) AS km FROM c) "
+       "SELECT CAST(rate AS DOUBLE) AS rate, CAST(SUM(trips) AS DOUBLE) AS car_trips_replaced, "
+       "CAST(SUM(ROUND(km * 120 * 0.001, 3)) AS DOUBLE) AS co2_saved_kg FROM k GROUP BY rate")
+def i7(fx):
+    """Impact totals under 8 modal-shift rates (the cascade re-run per rate)."""
+    rates = fx.spark.createDataFrame([(x,) for x in RATES_I7], "r string").select(
+        F.col("r").cast("decimal(4,2)").alias("rate"))
+    d = fx.pred.select(F.col("predicted").cast("decimal(20,9)").alias("p")).crossJoin(F.broadcast(rates))
+    d = d.withColumn("trips", F.round(F.col("p") * F.col("rate"), 2))
+    d = d.withColumn("km", F.round(F.col("trips") * F.lit(Decimal("4.0")), 2))
+    co2 = F.round(F.col("km") * F.lit(Decimal("120")) * F.lit(Decimal("0.001")), 3)
+    return d.groupBy("rate").agg(F.sum("trips").cast("double").alias("car_trips_replaced"),
+                                 F.sum(co2).cast("double").alias("co2_saved_kg")) \
+        .withColumn("rate", F.col("rate").cast("double"))
+
+
+@query("j10_apply_encodings", """
+WITH tr AS (SELECT site_id, hour(start_time) AS hour, cnt FROM v_counts WHERE direction = 'IN'),
+e1 AS (SELECT site_id, AVG(cnt) AS enc_site FROM tr GROUP BY 1),
+e2 AS (SELECT site_id, hour, AVG(cnt) AS enc_site_hour FROM tr GROUP BY 1, 2),
+g AS (SELECT AVG(enc_site) AS gm FROM e1)
+SELECT c.event_id, ROUND(COALESCE(e1.enc_site, g.gm), 6) AS enc_site, ROUND(COALESCE(e2.enc_site_hour, g.gm), 6) AS enc_site_hour
+FROM v_counts c LEFT JOIN e1 ON c.site_id = e1.site_id LEFT JOIN e2 ON c.site_id = e2.site_id AND hour(c.start_time) = e2.hour
+CROSS JOIN g WHERE c.direction = 'OUT'
+""")
+def j10(fx):
+    """Multi-key encoding lookup (fitted on one direction) applied to the
+    other, missing keys falling back to the global value."""
+    c = fx.counts.withColumn("hour", F.hour("start_time"))
+    enc = ML.fit_encodings(c.filter("direction = 'IN'"), "cnt",
+                           {"enc_site": ["site_id"], "enc_site_hour": ["site_id", "hour"]})
+    d = ML.apply_encodings(c.filter("direction = 'OUT'"), enc)
+    return d.select("event_id", r6("enc_site").alias("enc_site"), r6("enc_site_hour").alias("enc_site_hour"))
+
+
+@query("j11_apply_baseline", """
+WITH tr AS (SELECT nation, month(datetime_hour) AS month, actual FROM v_pred WHERE datetime_hour < TIMESTAMP '1999-01-01'),
+b AS (SELECT nation, month, AVG(actual) AS baseline FROM tr GROUP BY 1, 2), g AS (SELECT AVG(actual) AS m FROM tr)
+SELECT p.o_orderkey, ROUND(COALESCE(b.baseline, g.m), 5) AS baseline FROM v_pred p
+LEFT JOIN b ON p.nation = b.nation AND month(p.datetime_hour) = b.month CROSS JOIN g
+WHERE p.datetime_hour >= TIMESTAMP '1999-01-01'
+""")
+def j11(fx):
+    """Baseline table (nation x month) joined to later rows, mean fallback."""
+    d = fx.pred.withColumn("month", F.month("datetime_hour"))
+    cut = F.lit("1999-01-01").cast("timestamp_ntz")
+    out = ML.historical_baseline(d.filter(F.col("datetime_hour") < cut), d.filter(F.col("datetime_hour") >= cut),
+                                 ["nation", "month"], "actual")
+    # the fallback mean sits on a 6-decimal tie at sf0.01: compare at 5
+    return out.select("o_orderkey", F.round("baseline", 5).alias("baseline"))
+
+
+@query("v13_mae_over_mean", """
+SELECT nation, ROUND(AVG(abs(actual - predicted)) / AVG(actual), 6) AS mae_over_mean FROM v_pred GROUP BY nation
+""")
+def v13(fx):
+    """MAE divided by the mean observed value, per nation."""
+    d = Q.evaluate(fx.pred, "actual", "predicted", ["nation"])
+    return d.select("nation", r6("mae_over_mean").alias("mae_over_mean"))

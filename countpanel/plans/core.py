@@ -563,3 +563,24 @@ def u6(fx):
     """Per-variable metric columns side by side from one aggregate."""
     p = J.pair(fx.weather, fx.weather_fcst, ["site_id", "time"])
     return U.stack_metrics(p, ["temperature_2m", "precipitation", "wind_speed_10m"], "_act", "_fc")
+
+
+# ---------------------------------------------------------------- U5 / X7
+@query("u5_long_to_wide", """
+SELECT site_id, ROUND(SUM(cnt) FILTER (WHERE direction = 'IN'), 6) AS "IN",
+       ROUND(SUM(cnt) FILTER (WHERE direction = 'OUT'), 6) AS "OUT" FROM v_counts GROUP BY site_id
+""")
+def u5(fx):
+    """Long to wide: one column per direction (explicit value list)."""
+    p = A.pivot_mean(fx.counts, "site_id", "direction", ["IN", "OUT"], "cnt", agg="sum")
+    return p.select("site_id", r6("IN").alias("IN"), r6("OUT").alias("OUT"))
+
+
+@query("x7_json_fields", """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+       CAST(json_extract_string(props, '$.k') AS INTEGER) % 10 AS k_digit FROM events
+""")
+def x7(fx):
+    """JSON column parsed with a declared schema (from_json), fields as columns."""
+    ev = fx.table("events").select("event_id", F.from_json("props", "k int").alias("j"))
+    return ev.select("event_id", F.col("j.k").alias("k"), (F.col("j.k") % 10).alias("k_digit"))

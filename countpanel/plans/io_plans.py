@@ -202,3 +202,17 @@ def s14(fx):
     S.write_csv(_raw_counts(fx), path, header=False)
     back = S.read_counts_csv(fx.spark, path, RAW_DDL, ts_format=TS_FMT)
     return S.compare_schema(fx.counts, back)
+
+
+@query("s11_write_csv", """
+SELECT o_orderkey, site_id, nation, datetime_hour, actual, ROUND(predicted, 9) AS predicted FROM v_pred
+""")
+def s11(fx):
+    """Result table written as headered CSV, read back with its schema."""
+    path = _scratch(fx, "pred_csv")
+    out = fx.pred.withColumn("predicted", F.round("predicted", 9)).withColumn(
+        "datetime_hour", F.date_format("datetime_hour", "yyyy-MM-dd HH:mm:ss"))
+    S.write_csv(out, path)
+    back = S.read_csv_typed(fx.spark, path, "o_orderkey BIGINT, site_id BIGINT, nation INT, datetime_hour STRING, "
+                                            "actual DOUBLE, predicted DOUBLE")
+    return back.withColumn("datetime_hour", F.to_timestamp_ntz("datetime_hour"))
