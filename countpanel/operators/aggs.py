@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from countpanel.functions.dates import floor_to, is_rush_hour, weekday0
-from countpanel.session import bounded, small
+from countpanel.session import BROADCAST_LIMIT_BYTES, bounded, estimated_size, small
 
 
 def _c(c) -> Column:
@@ -82,16 +82,16 @@ def site_profile(df: DataFrame, key: str, value: str, ts: str, hour: str | None
     v = F.col(value)
     wk = weekday0(ts) >= 5
     h = F.col(hour) if hour else F.hour(F.col(ts))
+    med = exact_quantiles(df, value, [0.5], [key], ["median_count"])
     return df.groupBy(key).agg(
         F.avg(v).alias("mean_count"),
-        F.percentile(v, 0.5).alias("median_count"),
         F.max(v).alias("max_count"),
         F.stddev_samp(v).alias("std_count"),
         F.avg(F.when(~wk, v)).alias("weekday_mean"),
         F.avg(F.when(wk, v)).alias("weekend_mean"),
         F.avg(F.when(is_rush_hour(h), v)).alias("rush_mean"),
         F.count(v).alias("n_obs"),
-    )
+    ).join(med, key, "left")
 
 
 def profile_ratios(df: DataFrame, eps: float = 1e-6) -> DataFrame:
@@ -164,16 +164,18 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def describe_exact(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """count, mean, sample std, min, exact quartiles, max per column, long form.
-    One aggregate pass; the wide row is unpivoted with ``inline``."""
-    stats = []
+    """count, mean, sample std, min, exact quartiles, max per column, long
+    form.  One aggregate pass for the moments plus the distributed exact
+    quantiles; the one-row results are unpivoted with ``inline``."""
+    mom = df.agg(*[e for c in cols for e in (
+        F.count(c).alias(f"{c}__count"), F.avg(c).alias(f"{c}__mean"), F.stddev_samp(c).alias(f"{c}__std"),
+        F.min(F.col(c).cast("double")).alias(f"{c}__min"), F.max(F.col(c).cast("double")).alias(f"{c}__max"))])
     for c in cols:
-        stats.append(F.struct(
-            F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("std"), F.min(F.col(c).cast("double")).alias("min"),
-            F.percentile(c, 0.25).alias("q25"), F.percentile(c, 0.5).alias("q50"),
-            F.percentile(c, 0.75).alias("q75"), F.max(F.col(c).cast("double")).alias("max")))
-    return df.agg(F.array(*stats).alias("_s")).select(F.inline("_s"))
+        mom = mom.crossJoin(exact_quantiles(df, c, [0.25, 0.5, 0.75], [], [f"{c}__q25", f"{c}__q50", f"{c}__q75"]))
+    stats = [F.struct(F.lit(c).alias("column"), *[F.col(f"{c}__{k}").alias(k) for k in
+                                                   ("count", "mean", "std", "min", "q25", "q50", "q75", "max")])
+             for c in cols]
+    return mom.select(F.inline(F.array(*stats)))
 
 
 def kpis(df: DataFrame, value: str, site: str, city: str | None, ts: str) -> DataFrame:
@@ -243,7 +245,7 @@ def pearsonr(df: DataFrame, x: str, y: str) -> DataFrame:
 
 # A27 / A28 / A29 / A30 / A31 / A32 / A33 -----------------------------------
 def quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    return df.groupBy(*by).agg(*[F.percentile(col, q).alias(f"q{int(round(q * 100))}") for q in qs])
+    return exact_quantiles(df, col, qs, by)
 
 
 def argmax(df: DataFrame, by: Sequence[str], label: str, value: str, out: str = "argmax") -> DataFrame:
@@ -271,8 +273,7 @@ def box_stats(df: DataFrame, by: Sequence[str], col: str) -> DataFrame:
     """Quartiles, 1.5-IQR whiskers (most extreme value inside the fence)
     and outlier count per group: one aggregate for the quartiles, one for
     the fenced extremes."""
-    q = df.groupBy(*by).agg(F.percentile(col, 0.25).alias("q1"), F.percentile(col, 0.5).alias("median"),
-                            F.percentile(col, 0.75).alias("q3"))
+    q = exact_quantiles(df, col, [0.25, 0.5, 0.75], by, ["q1", "median", "q3"])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     x = F.col(col)
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
@@ -300,3 +301,64 @@ def row_mean(cols: Sequence[str]) -> Column:
 
 def group_means(df: DataFrame, by: Sequence[str], cols: Sequence[str], d: int = 2) -> DataFrame:
     return df.groupBy(*by).agg(*[F.round(F.avg(c), d).alias(c) for c in cols])
+
+
+# Exact quantiles without a whole group in one task --------------------------
+def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[str] = (),
+                    names: Sequence[str] | None = None, accuracy: int = 100_000,
+                    distributed: bool | None = None) -> DataFrame:
+    """Exact linearly interpolated quantiles (the definition of Spark's
+    ``percentile`` / DuckDB's ``quantile_cont``) for groups of any size.
+
+    ``percentile`` merges every distinct value of a group in one task, which
+    fails for a group holding a large share of the data.  Here a mergeable
+    sketch (``percentile_approx``, rank error <= n / accuracy) brackets the
+    wanted ranks; rows below the bracket are only counted, and rows inside
+    it are aggregated by distinct value - at most ~6 n / accuracy values per
+    group and quantile - before the exact rank is located with a running sum.
+    Groups smaller than ``accuracy`` rows skip the bracket (their whole band
+    is at most ``accuracy`` values).
+
+    ``distributed=None`` decides by the optimizer's size estimate: an input
+    small enough to sit in one task uses the single-pass ``percentile``.
+    """
+    by = list(by)
+    names = list(names or [f"q{int(round(q * 100))}" for q in qs])
+    if distributed is None:
+        size = estimated_size(df)
+        distributed = size is None or size > BROADCAST_LIMIT_BYTES
+    if not distributed:
+        return df.groupBy(*by).agg(*[F.percentile(F.col(col).cast("double"), float(q)).alias(n)
+                                     for q, n in zip(qs, names)])
+    eps = 3.0 / accuracy
+    d = df.select(*by, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    bounds = []
+    for q in qs:
+        bounds += [max(0.0, q - eps), min(1.0, q + eps)]
+    st = d.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"),
+                            F.percentile_approx("_x", F.array(*[F.lit(b) for b in bounds]), accuracy).alias("_b"))
+    big = F.col("_n") >= accuracy
+    qa = F.array(*[F.struct(F.lit(i).alias("_qi"), F.lit(float(q)).alias("_q"),
+                            F.when(big, F.col("_b")[2 * i]).alias("_lo"),
+                            F.when(big, F.col("_b")[2 * i + 1]).alias("_hi")) for i, q in enumerate(qs)])
+    st = (st.select(*by, "_n", F.explode(qa).alias("_s")).select(*by, "_n", "_s.*")
+          .withColumn("_pos", F.col("_q") * (F.col("_n") - 1))
+          .withColumn("_f", F.floor("_pos")).withColumn("_c", F.ceil("_pos")))
+    j = d.join(small(st), by) if by else d.crossJoin(bounded(st))
+    keys = [*by, "_qi"]
+    below = j.groupBy(*keys).agg(F.count_if(F.coalesce(F.col("_x") < F.col("_lo"), F.lit(False))).alias("_below"))
+    band = (j.filter(F.coalesce(F.col("_x") >= F.col("_lo"), F.lit(True))
+                     & F.coalesce(F.col("_x") <= F.col("_hi"), F.lit(True)))
+            .groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_k")))
+    w = Window.partitionBy(*keys).orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    band = band.withColumn("_end", F.sum("_k").over(w)).withColumn("_start", F.col("_end") - F.col("_k"))
+    t = band.join(below, keys).join(st.select(*keys, "_pos", "_f", "_c"), keys)
+    tf = F.col("_f") - F.col("_below")
+    tc = F.col("_c") - F.col("_below")
+    hit = lambda r: (F.col("_start") <= r) & (r < F.col("_end"))
+    v = t.groupBy(*keys, "_pos", "_f", "_c").agg(F.min(F.when(hit(tf), F.col("_x"))).alias("_vf"),
+                                                 F.min(F.when(hit(tc), F.col("_x"))).alias("_vc"))
+    val = F.when(F.col("_f") == F.col("_c"), F.col("_vf")).otherwise(
+        (F.col("_c") - F.col("_pos")) * F.col("_vf") + (F.col("_pos") - F.col("_f")) * F.col("_vc"))
+    v = v.withColumn("_v", val)
+    return v.groupBy(*by).agg(*[F.max(F.when(F.col("_qi") == i, F.col("_v"))).alias(n) for i, n in enumerate(names)])

@@ -130,11 +130,16 @@ def coalesce_cols(df: DataFrame, out: str, *cols: str) -> DataFrame:
 def fill_group_median(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
     """Fill nulls with the group's exact median, then the global median.
 
-    Medians are computed once per group (one shuffle on ``key``) and once
-    globally (a one-row aggregate, broadcast by construction).
+    Medians come from the distributed exact quantile (no group's values are
+    gathered in one task); both stats tables are one row per group.
     """
-    grp = df.groupBy(key).agg(*[F.percentile(c, 0.5).alias(f"_gm_{c}") for c in cols])
-    glob = df.agg(*[F.percentile(c, 0.5).alias(f"_all_{c}") for c in cols])
+    from functools import reduce
+
+    from countpanel.operators.aggs import exact_quantiles
+
+    grp = reduce(lambda a, b: a.join(b, key, "full"),
+                 [exact_quantiles(df, c, [0.5], [key], [f"_gm_{c}"]) for c in cols])
+    glob = median_stats(df, cols).select(*[F.col(c).alias(f"_all_{c}") for c in cols])
     out = df.join(small(grp), key, "left").crossJoin(bounded(glob))
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"_gm_{c}"), F.col(f"_all_{c}")) for c in cols})
     return out.drop(*[f"_gm_{c}" for c in cols], *[f"_all_{c}" for c in cols])
@@ -142,7 +147,11 @@ def fill_group_median(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
 
 def median_stats(df: DataFrame, cols: list[str]) -> DataFrame:
     """One-row table of exact column medians (the fitted imputer)."""
-    return df.agg(*[F.percentile(c, 0.5).alias(c) for c in cols])
+    from functools import reduce
+
+    from countpanel.operators.aggs import exact_quantiles
+
+    return reduce(lambda a, b: a.crossJoin(b), [exact_quantiles(df, c, [0.5], [], [c]) for c in cols])
 
 
 def fill_median(df: DataFrame, cols: list[str], stats: DataFrame | None = None) -> DataFrame:

@@ -78,7 +78,9 @@ def phase_impact(df: DataFrame, value: str, rain_col: str, keys: Sequence[str],
 # R8 / R9 / R10 / R11 ------------------------------------------------------
 def quadrants(df: DataFrame, x: str, y: str, x0: float | None = None, y0: float | None = None) -> DataFrame:
     """Usage x resilience quadrant; thresholds default to the medians."""
-    t = df.agg(F.percentile(x, 0.5).alias("_x0"), F.percentile(y, 0.5).alias("_y0"))
+    from countpanel.operators.aggs import exact_quantiles
+
+    t = exact_quantiles(df, x, [0.5], [], ["_x0"]).crossJoin(exact_quantiles(df, y, [0.5], [], ["_y0"]))
     if x0 is not None:
         t = t.withColumn("_x0", F.lit(float(x0)))
     if y0 is not None:
@@ -93,7 +95,10 @@ def priority_zone(df: DataFrame, hour: str, pred: str, res: str, q_pred: float =
                   k: int = 5, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Within each hour: predicted >= P90 and resilience >= P80; score =
     half min-max(predicted) + half min-max(resilience); top k per hour."""
-    t = df.groupBy(hour).agg(F.percentile(pred, q_pred).alias("_tp"), F.percentile(res, q_res).alias("_tr"))
+    from countpanel.operators.aggs import exact_quantiles
+
+    t = exact_quantiles(df, pred, [q_pred], [hour], ["_tp"]).join(
+        exact_quantiles(df, res, [q_res], [hour], ["_tr"]), hour)
     d = df.join(small(t), hour).filter((F.col(pred) >= F.col("_tp")) & (F.col(res) >= F.col("_tr")))
     d = W.minmax(d, pred, "_np", by=[hour])
     d = W.minmax(d, res, "_nr", by=[hour])

@@ -153,9 +153,12 @@ def group_transform(df: DataFrame, keys: list[str], col: str, how: str = "mean",
                     out: str | None = None) -> DataFrame:
     """Broadcast a group statistic back to the rows (aggregate + join, so a
     hot group is combined map-side instead of sitting in one window task)."""
-    agg = {"mean": F.avg(col), "median": F.percentile(col, 0.5), "sum": F.sum(col),
-           "max": F.max(col), "min": F.min(col), "count": F.count(col)}[how]
     out = out or f"{col}_{how}"
+    if how == "median":
+        from countpanel.operators.aggs import exact_quantiles
+        stats = exact_quantiles(df, col, [0.5], keys, [out])
+        return df.join(small(stats), keys, "left")
+    agg = {"mean": F.avg(col), "sum": F.sum(col), "max": F.max(col), "min": F.min(col), "count": F.count(col)}[how]
     stats = df.groupBy(*keys).agg(agg.alias(out))
     return df.join(small(stats), keys, "left")
 
