@@ -49,3 +49,16 @@ def t3(fx):
     twice = s.unionByName(_counts_stream(fx))
     d = T.stream_dedupe(twice, ["event_id"], "start_time", "1 hour")
     return T.run_available_now(d.select("event_id", "site_id", "start_time", "cnt"), "append", "t3")
+
+
+@query("t1_stream_hourly_append", """
+SELECT site_id, date_trunc('hour', start_time) AS window_start, ROUND(SUM(cnt), 6) AS total_count, COUNT(cnt) AS n_obs
+FROM v_counts GROUP BY 1, 2
+HAVING date_trunc('hour', start_time) + INTERVAL 1 HOUR <= (SELECT MAX(start_time) FROM v_counts) - INTERVAL 2 HOUR
+""")
+def t1_append(fx):
+    """Append mode: a window is emitted once the watermark (latest event
+    time - 2 hours) passes its end; state for closed windows is dropped."""
+    s = T.stream_hourly(_counts_stream(fx), "site_id", "start_time", "cnt", "2 hours")
+    out = T.run_available_now(s, "append", "t1_append")
+    return out.withColumn("total_count", F.round("total_count", 6))
