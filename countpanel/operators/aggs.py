@@ -171,7 +171,7 @@ def describe_exact(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.count(c).alias(f"{c}__count"), F.avg(c).alias(f"{c}__mean"), F.stddev_samp(c).alias(f"{c}__std"),
         F.min(F.col(c).cast("double")).alias(f"{c}__min"), F.max(F.col(c).cast("double")).alias(f"{c}__max"))])
     for c in cols:
-        mom = mom.crossJoin(exact_quantiles(df, c, [0.25, 0.5, 0.75], [], [f"{c}__q25", f"{c}__q50", f"{c}__q75"]))
+        mom = mom.crossJoin(bounded(exact_quantiles(df, c, [0.25, 0.5, 0.75], [], [f"{c}__q25", f"{c}__q50", f"{c}__q75"])))
     stats = [F.struct(F.lit(c).alias("column"), *[F.col(f"{c}__{k}").alias(k) for k in
                                                    ("count", "mean", "std", "min", "q25", "q50", "q75", "max")])
              for c in cols]

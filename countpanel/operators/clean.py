@@ -151,7 +151,7 @@ def median_stats(df: DataFrame, cols: list[str]) -> DataFrame:
 
     from countpanel.operators.aggs import exact_quantiles
 
-    return reduce(lambda a, b: a.crossJoin(b), [exact_quantiles(df, c, [0.5], [], [c]) for c in cols])
+    return reduce(lambda a, b: a.crossJoin(bounded(b)), [exact_quantiles(df, c, [0.5], [], [c]) for c in cols])
 
 
 def fill_median(df: DataFrame, cols: list[str], stats: DataFrame | None = None) -> DataFrame:
@@ -170,7 +170,7 @@ def mode_stats(df: DataFrame, cols: list[str]) -> DataFrame:
         parts.append(cnt.agg(F.min_by(F.col(c), F.struct(-F.col("count"), F.col(c))).alias(c)))
     out = parts[0]
     for p in parts[1:]:
-        out = out.crossJoin(p)
+        out = out.crossJoin(bounded(p))
     return out
 
 

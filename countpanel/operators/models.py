@@ -120,9 +120,13 @@ def ridge(df: DataFrame, y: str, num: Sequence[str], cats: Sequence[str], alpha:
     ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in cats], outputCols=[f"{c}_oh" for c in cats],
                         handleInvalid="keep")
     va2 = VectorAssembler(inputCols=["num_sc"] + [f"{c}_oh" for c in cats], outputCol="features")
-    n = df.count()  # one scalar: the penalty is defined per sample
+    # sum-of-squares ridge (alpha * |w|^2) in Spark's parametrisation: Spark
+    # averages the loss over n and scales the penalty by the label's sample
+    # std, so regParam = alpha * sd(y) / n (two scalars from one aggregate)
+    st = df.agg(F.count(y).alias("n"), F.stddev_samp(y).alias("sd")).first()
+    n, sd = max(int(st["n"]), 1), float(st["sd"] or 1.0)
     lr = LinearRegression(featuresCol="features", labelCol=y, elasticNetParam=0.0, standardization=False,
-                          regParam=alpha / max(n, 1))
+                          regParam=alpha * sd / n)
     model = Pipeline(stages=[imp, va, sc, *idx, ohe, va2, lr]).fit(df)
     coefs = [float(c) for c in model.stages[-1].coefficients]
     names = list(num) + [f"onehot_{i}" for i in range(len(coefs) - len(num))]

@@ -35,10 +35,18 @@ def apply_encodings(df: DataFrame, enc: dict) -> DataFrame:
 
 
 # F6 / J11 ---------------------------------------------------------------
+def _mean(y: str, exact_scale: int | None):
+    """Mean; with ``exact_scale`` (fixed-point input) an exact DECIMAL sum
+    divided once, reproducible whatever the summation order."""
+    if exact_scale is None:
+        return F.avg(y)
+    return F.sum(F.col(y).cast(f"decimal(38,{exact_scale})")).cast("double") / F.count(y)
+
+
 def historical_baseline(train: DataFrame, score: DataFrame, keys: Sequence[str], y: str,
-                        out: str = "baseline") -> DataFrame:
-    table = train.groupBy(*keys).agg(F.avg(y).alias(out))
-    glob = train.agg(F.avg(y).alias("_m"))
+                        out: str = "baseline", exact_scale: int | None = None) -> DataFrame:
+    table = train.groupBy(*keys).agg(_mean(y, exact_scale).alias(out))
+    glob = train.agg(_mean(y, exact_scale).alias("_m"))
     return (score.join(small(table), list(keys), "left").crossJoin(bounded(glob))
             .withColumn(out, F.coalesce(F.col(out), F.col("_m"))).drop("_m"))
 
@@ -106,11 +114,11 @@ def label_agreement(df: DataFrame, a: str, b: str) -> DataFrame:
     sij = n.agg(F.sum(c2(F.col("n"))).alias("sij"))
     sa = ra.agg(F.sum(c2(F.col("na"))).alias("sa"), )
     sb = rb.agg(F.sum(c2(F.col("nb"))).alias("sb"))
-    j = n.join(ra, a).join(rb, b).crossJoin(tot)
+    j = n.join(small(ra), a).join(small(rb), b).crossJoin(bounded(tot))
     mi = j.agg(F.sum(F.col("n") / F.col("t") * F.log(F.col("n") * F.col("t") / (F.col("na") * F.col("nb")))).alias("mi"))
-    ha = ra.crossJoin(tot).agg((-F.sum(F.col("na") / F.col("t") * F.log(F.col("na") / F.col("t")))).alias("ha"))
-    hb = rb.crossJoin(tot).agg((-F.sum(F.col("nb") / F.col("t") * F.log(F.col("nb") / F.col("t")))).alias("hb"))
-    s = reduce(lambda x, y: x.crossJoin(y), [sij, sa, sb, tot, mi, ha, hb])
+    ha = ra.crossJoin(bounded(tot)).agg((-F.sum(F.col("na") / F.col("t") * F.log(F.col("na") / F.col("t")))).alias("ha"))
+    hb = rb.crossJoin(bounded(tot)).agg((-F.sum(F.col("nb") / F.col("t") * F.log(F.col("nb") / F.col("t")))).alias("hb"))
+    s = reduce(lambda x, y: x.crossJoin(bounded(y)), [sij, sa, sb, tot, mi, ha, hb])
     exp = F.col("sa") * F.col("sb") / (F.col("t") * (F.col("t") - 1) / 2)
     return s.select(((F.col("sij") - exp) / (0.5 * (F.col("sa") + F.col("sb")) - exp)).alias("ari"),
                     (F.col("mi") / ((F.col("ha") + F.col("hb")) / 2)).alias("nmi"))

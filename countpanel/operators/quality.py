@@ -35,12 +35,15 @@ def is_balanced(df: DataFrame, key: str) -> DataFrame:
 # Q4 / Q5 / Q6 / Q7 / Q8 / Q9 -----------------------------------------------
 def missing_hours(df: DataFrame, key: str, ts: str) -> DataFrame:
     """(key, hour) pairs absent from the global hourly range of the table.
-    The calendar is keys x hours of the observed span: it grows with the
-    time span and the number of keys, not with the number of readings."""
+
+    The one-row span is broadcast to the distinct keys and every key expands
+    its own hourly sequence (a generator, not a product of two tables); the
+    readings are then anti-joined on (key, hour).
+    """
     span = df.agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
-    hours = span.select(F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 HOUR"))).alias(ts))
     keys = df.select(key).distinct()
-    grid = keys.crossJoin(hours)
+    grid = keys.crossJoin(bounded(span)).select(
+        key, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 HOUR"))).alias(ts))
     return grid.join(df.select(key, ts), [key, ts], "left_anti")
 
 

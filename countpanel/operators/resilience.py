@@ -80,7 +80,7 @@ def quadrants(df: DataFrame, x: str, y: str, x0: float | None = None, y0: float
     """Usage x resilience quadrant; thresholds default to the medians."""
     from countpanel.operators.aggs import exact_quantiles
 
-    t = exact_quantiles(df, x, [0.5], [], ["_x0"]).crossJoin(exact_quantiles(df, y, [0.5], [], ["_y0"]))
+    t = exact_quantiles(df, x, [0.5], [], ["_x0"]).crossJoin(bounded(exact_quantiles(df, y, [0.5], [], ["_y0"])))
     if x0 is not None:
         t = t.withColumn("_x0", F.lit(float(x0)))
     if y0 is not None:
@@ -253,6 +253,11 @@ def population(census: DataFrame, key: str, value: str) -> DataFrame:
     return census.groupBy(key).agg(F.sum(value).alias("population"))
 
 
-def city_ranking(df: DataFrame, city: str, col: str, k: int = 10, scale: float = 1000.0) -> DataFrame:
+def city_ranking(df: DataFrame, city: str, col: str, k: int = 10, scale: float = 1000.0,
+                 hour: int | None = None, hour_col: str = "hour") -> DataFrame:
+    """Top-k cities by the mean of a per-capita column, optionally for one
+    hour of the day, scaled to a unit (per 1000 inhabitants)."""
+    if hour is not None:
+        df = df.filter(F.col(hour_col) == hour)
     g = df.groupBy(city).agg((F.avg(col) * F.lit(scale)).alias("per_1000"))
     return g.orderBy(F.col("per_1000").desc(), F.col(city)).limit(k)

@@ -841,8 +841,9 @@ def j10(fx):
 
 @query("j11_apply_baseline", """
 WITH tr AS (SELECT nation, month(datetime_hour) AS month, actual FROM v_pred WHERE datetime_hour < TIMESTAMP '1999-01-01'),
-b AS (SELECT nation, month, AVG(actual) AS baseline FROM tr GROUP BY 1, 2), g AS (SELECT AVG(actual) AS m FROM tr)
-SELECT p.o_orderkey, ROUND(COALESCE(b.baseline, g.m), 5) AS baseline FROM v_pred p
+b AS (SELECT nation, month, CAST(SUM(CAST(actual AS DECIMAL(38, 5))) AS DOUBLE) / COUNT(actual) AS baseline FROM tr GROUP BY 1, 2),
+g AS (SELECT CAST(SUM(CAST(actual AS DECIMAL(38, 5))) AS DOUBLE) / COUNT(actual) AS m FROM tr)
+SELECT p.o_orderkey, COALESCE(b.baseline, g.m) AS baseline FROM v_pred p
 LEFT JOIN b ON p.nation = b.nation AND month(p.datetime_hour) = b.month CROSS JOIN g
 WHERE p.datetime_hour >= TIMESTAMP '1999-01-01'
 """)
@@ -850,10 +851,10 @@ def j11(fx):
     """Baseline table (nation x month) joined to later rows, mean fallback."""
     d = fx.pred.withColumn("month", F.month("datetime_hour"))
     cut = F.lit("1999-01-01").cast("timestamp_ntz")
+    # actual has 5 exact decimals: exact sums keep the means reproducible
     out = ML.historical_baseline(d.filter(F.col("datetime_hour") < cut), d.filter(F.col("datetime_hour") >= cut),
-                                 ["nation", "month"], "actual")
-    # the fallback mean sits on a 6-decimal tie at sf0.01: compare at 5
-    return out.select("o_orderkey", F.round("baseline", 5).alias("baseline"))
+                                 ["nation", "month"], "actual", exact_scale=5)
+    return out.select("o_orderkey", "baseline")
 
 
 @query("v13_mae_over_mean", """

@@ -236,4 +236,4 @@ def n3(fx):
     d = W.iso_features(n1, "unique_id", "ds", "y", positioned=True)
     d = d.withColumns({"dow": D.weekday0("ds"), "month": F.month("ds")})
     feats = ["deviation", "change_7", "change_28", "dow", "month", "y", "rolling_med"]
-    return NA.isolation_flags(d, "unique_id", "ds", feats, trees=100, share=0.03, min_rows=60)
+    return NA.isolation_flags(d, "unique_id", "ds", feats, trees=200, share=0.03, min_rows=60)

@@ -41,3 +41,19 @@ def test_panel_features_share_one_window_sort(spark):
     chunk_windows = [ln for ln in p.split("\n") if "Window [" in ln and "_chunk" in ln]
     assert len(chunk_windows) == 1
     assert "lag_1" in chunk_windows[0]
+
+
+def test_per_key_topk_is_limited_before_shuffle(spark):
+    # row_number() <= k gets a partial WindowGroupLimit below the exchange:
+    # a hot key sends at most k rows per map task across the network
+    for name in ("p20_keep_extreme", "w10_head_per_group"):
+        p = _plan(runner(REG[name])(spark, "/root/testdata/sf0.001"))
+        lines = [ln for ln in p.split("\n") if "WindowGroupLimit" in ln or "Exchange hashpartitioning(site_id" in ln]
+        kinds = ["limit" if "WindowGroupLimit" in ln else "exchange" for ln in lines]
+        assert kinds[-1] == "limit" and "exchange" in kinds, (name, kinds)
+
+
+def test_aggregations_are_partial(spark):
+    # a hot site is pre-combined in every task before the shuffle
+    p = _plan(runner(REG["a1_rollup_hourly"])(spark, "/root/testdata/sf0.001"))
+    assert "partial_sum" in p and "partial_count" in p
