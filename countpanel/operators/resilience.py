@@ -92,17 +92,20 @@ def quadrants(df: DataFrame, x: str, y: str, x0: float | None = None, y0: float
 
 
 def priority_zone(df: DataFrame, hour: str, pred: str, res: str, q_pred: float = 0.9, q_res: float = 0.8,
-                  k: int = 5, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Within each hour: predicted >= P90 and resilience >= P80; score =
-    half min-max(predicted) + half min-max(resilience); top k per hour."""
+                  k: int = 5, tiebreak: Sequence[str] = (), eps: float = 1e-9) -> DataFrame:
+    """Per hour: score = half min-max(predicted) + half min-max(resilience)
+    over all rows of the hour (``eps`` in the denominators); ``in_zone``
+    marks rows with predicted >= P90 and resilience >= P80 of the hour; the
+    k highest scores of each hour are returned."""
     from countpanel.operators.aggs import exact_quantiles
 
     t = exact_quantiles(df, pred, [q_pred], [hour], ["_tp"]).join(
         exact_quantiles(df, res, [q_res], [hour], ["_tr"]), hour)
-    d = df.join(small(t), hour).filter((F.col(pred) >= F.col("_tp")) & (F.col(res) >= F.col("_tr")))
-    d = W.minmax(d, pred, "_np", by=[hour])
-    d = W.minmax(d, res, "_nr", by=[hour])
-    d = d.withColumn("zone_score", 0.5 * F.coalesce("_np", F.lit(0.0)) + 0.5 * F.coalesce("_nr", F.lit(0.0)))
+    d = W.minmax(df, pred, "_np", eps=eps, by=[hour])
+    d = W.minmax(d, res, "_nr", eps=eps, by=[hour])
+    d = d.join(small(t), hour)
+    d = d.withColumns({"zone_score": 0.5 * F.col("_np") + 0.5 * F.col("_nr"),
+                       "in_zone": (F.col(pred) >= F.col("_tp")) & (F.col(res) >= F.col("_tr"))})
     d = W.head_per_group(d, [hour], [F.col("zone_score").desc(), *[F.col(c) for c in tiebreak]], k)
     return d.drop("_tp", "_tr", "_np", "_nr")
 
@@ -207,19 +210,23 @@ def impact_sites(df: DataFrame, key: str = "site_id") -> DataFrame:
     return t.withColumn("rank", F.row_number().over(Window.orderBy(F.col("total_value_eur").desc(), F.col(key))))
 
 
-def impact_city(df: DataFrame, city: str, pop: DataFrame, weekend: Column, peak: Column) -> DataFrame:
-    """Municipality totals, per-capita value, weekday / weekend / peak split."""
+def impact_city(df: DataFrame, city: str, pop: DataFrame, weekend: Column, peak: Column,
+                key: str = "site_id") -> DataFrame:
+    """Municipality totals with population: per-capita value and CO2,
+    weekday / weekend / peak-hour value and the weekday / weekend ratio."""
     v = F.col("total_value_eur")
-    g = df.groupBy(city).agg(F.sum(v).alias("total_value_eur"),
+    g = df.groupBy(city).agg(F.count_distinct(key).alias("site_count"),
+                             F.sum(v).alias("total_value_eur"), F.sum("co2_saved_kg").alias("co2_saved_kg"),
                              F.sum(F.when(~weekend, v).otherwise(_d(0))).alias("weekday_value"),
                              F.sum(F.when(weekend, v).otherwise(_d(0))).alias("weekend_value"),
                              F.sum(F.when(peak, v).otherwise(_d(0))).alias("peak_value"),
                              F.sum("car_trips_replaced").alias("trips"))
     g = g.join(small(pop), city, "left")
     return g.withColumns({
-        "value_per_capita": F.try_divide(F.col("total_value_eur").cast("double"), F.col("population")),
-        "weekday_weekend_ratio": F.try_divide(F.col("weekday_value").cast("double"),
-                                              F.col("weekend_value").cast("double")),
+        "value_per_capita": F.col("total_value_eur").cast("double") / F.col("population"),
+        "co2_saved_kg_per_capita": F.col("co2_saved_kg").cast("double") / F.col("population"),
+        "weekday_weekend_ratio": F.col("weekday_value").cast("double")
+        / (F.col("weekend_value").cast("double") + F.lit(1e-9)),
     })
 
 
@@ -235,18 +242,27 @@ def impact_priority(df: DataFrame, key: str, terms: Mapping[str, float]) -> Data
 
 
 # I8 / I9 / I10 / I11 ------------------------------------------------------
-def annualise(df: DataFrame, ts: str, weekend: Column, uplift: float = 1.4) -> DataFrame:
+def annualise(df: DataFrame, ts: str, pred: str, uplift: float = 1.4) -> DataFrame:
+    """Total over the test span scaled to a year (x seasonal uplift), value
+    per predicted trip and per 1000 trips, and weekday / weekend ratio of the
+    per-weekday mean values.  The span is whole days between the first and
+    last timestamp, plus one.  A DECIMAL ``pred`` column is summed exactly."""
+    from countpanel.functions.dates import weekday0
+
     v = F.col("total_value_eur").cast("double")
-    g = df.agg(F.sum(v).alias("total"), F.count_distinct(F.to_date(F.col(ts))).alias("n_days"),
-               F.sum("car_trips_replaced").cast("double").alias("trips"),
-               F.avg(F.when(~weekend, v)).alias("weekday_mean"), F.avg(F.when(weekend, v)).alias("weekend_mean"))
-    return g.withColumns({
+    dow = df.groupBy(weekday0(ts).alias("_dow")).agg(F.avg(v).alias("_avg"))
+    ratio = dow.agg((F.avg(F.when(F.col("_dow") < 5, F.col("_avg")))
+                     / F.avg(F.when(F.col("_dow") >= 5, F.col("_avg")))).alias("weekday_weekend_ratio"))
+    secs = F.unix_timestamp(F.max(F.col(ts)).cast("timestamp")) - F.unix_timestamp(F.min(F.col(ts)).cast("timestamp"))
+    g = df.agg(F.sum(v).alias("total"), (F.floor(secs / 86400) + 1).alias("n_days"),
+               F.sum(F.col(pred)).cast("double").alias("predicted_trips"))
+    g = g.withColumns({
         "per_day": F.col("total") / F.col("n_days"),
         "per_year": F.col("total") / F.col("n_days") * 365 * F.lit(uplift),
-        "value_per_trip": F.try_divide(F.col("total"), F.col("trips")),
-        "value_per_1000_trips": F.try_divide(F.col("total"), F.col("trips")) * 1000,
-        "weekday_weekend_ratio": F.try_divide(F.col("weekday_mean"), F.col("weekend_mean")),
+        "value_per_trip": F.try_divide(F.col("total"), F.col("predicted_trips")),
+        "value_per_1000_trips": F.try_divide(F.col("total") * 1000, F.col("predicted_trips")),
     })
+    return g.crossJoin(bounded(ratio))
 
 
 def population(census: DataFrame, key: str, value: str) -> DataFrame:

@@ -433,18 +433,19 @@ ZONE_BASE = "z AS (SELECT nation, o_orderkey, predicted, 100 - abs(actual - pred
 
 @query("r9_priority_zone", f"""WITH {ZONE_BASE},
 t AS (SELECT nation, quantile_cont(predicted, 0.9) AS tp, quantile_cont(res, 0.8) AS tr FROM z GROUP BY 1),
-c AS (SELECT z.* FROM z JOIN t ON z.nation = t.nation WHERE predicted >= tp AND res >= tr),
-s AS (SELECT *, 0.5 * COALESCE((predicted - MIN(predicted) OVER w) / NULLIF(MAX(predicted) OVER w - MIN(predicted) OVER w, 0), 0)
-              + 0.5 * COALESCE((res - MIN(res) OVER w) / NULLIF(MAX(res) OVER w - MIN(res) OVER w, 0), 0) AS zone_score
-      FROM c WINDOW w AS (PARTITION BY nation)),
+s AS (SELECT z.*, 0.5 * (predicted - MIN(predicted) OVER w) / (MAX(predicted) OVER w - MIN(predicted) OVER w + 1e-9)
+              + 0.5 * (res - MIN(res) OVER w) / (MAX(res) OVER w - MIN(res) OVER w + 1e-9) AS zone_score,
+              predicted >= t.tp AND res >= t.tr AS in_zone
+      FROM z JOIN t ON z.nation = t.nation WINDOW w AS (PARTITION BY z.nation)),
 r AS (SELECT *, row_number() OVER (PARTITION BY nation ORDER BY zone_score DESC, o_orderkey) AS rn FROM s)
-SELECT nation, o_orderkey, ROUND(zone_score, 6) AS zone_score FROM r WHERE rn <= 5
+SELECT nation, o_orderkey, ROUND(zone_score, 6) AS zone_score, in_zone FROM r WHERE rn <= 5
 """)
 def r9_zone(fx):
-    """High-priority zone per group: >= P90 predicted and >= P80 resilience, top 5."""
+    """Priority score per group (half normalised prediction, half
+    resilience), top 5, flagged when inside the P90 / P80 zone."""
     z = fx.pred.withColumn("res", 100 - F.abs(F.col("actual") - F.col("predicted")) / F.col("predicted") * 100)
     d = R.priority_zone(z, "nation", "predicted", "res", k=5, tiebreak=["o_orderkey"])
-    return d.select("nation", "o_orderkey", r6("zone_score").alias("zone_score"))
+    return d.select("nation", "o_orderkey", r6("zone_score").alias("zone_score"), "in_zone")
 
 
 @query("r10_counterfactual_weather", """
@@ -529,13 +530,15 @@ def i4(fx):
 
 CITY_SQL = f"""{IMPACT_SQL},
 ic AS (SELECT n.n_name AS municipality, imp.* FROM imp JOIN nation n ON imp.nation = n.n_nationkey),
-city AS (SELECT municipality, SUM(total_value_eur) AS total_value_eur,
+city AS (SELECT municipality, COUNT(DISTINCT site_id) AS site_count, SUM(total_value_eur) AS total_value_eur,
+         SUM(co2_saved_kg) AS co2_saved_kg,
          SUM(CASE WHEN isodow(datetime_hour) < 6 THEN total_value_eur ELSE 0 END) AS weekday_value,
          SUM(CASE WHEN isodow(datetime_hour) >= 6 THEN total_value_eur ELSE 0 END) AS weekend_value,
          SUM(CASE WHEN hour(datetime_hour) IN (7, 8, 9, 16, 17, 18) THEN total_value_eur ELSE 0 END) AS peak_value,
          SUM(car_trips_replaced) AS trips FROM ic GROUP BY 1),
 cp AS (SELECT city.*, v_pop.population, CAST(total_value_eur AS DOUBLE) / population AS value_per_capita,
-       CAST(weekday_value AS DOUBLE) / NULLIF(CAST(weekend_value AS DOUBLE), 0) AS weekday_weekend_ratio
+       CAST(co2_saved_kg AS DOUBLE) / population AS co2_saved_kg_per_capita,
+       CAST(weekday_value AS DOUBLE) / (CAST(weekend_value AS DOUBLE) + 1e-9) AS weekday_weekend_ratio
        FROM city LEFT JOIN v_pop ON city.municipality = v_pop.municipality)"""
 
 
@@ -546,16 +549,18 @@ def _city(fx):
 
 
 @query("i5_impact_city", f"""WITH {CITY_SQL}
-SELECT municipality, CAST(total_value_eur AS DOUBLE) AS total_value_eur, CAST(weekday_value AS DOUBLE) AS weekday_value,
+SELECT municipality, site_count, CAST(total_value_eur AS DOUBLE) AS total_value_eur, CAST(weekday_value AS DOUBLE) AS weekday_value,
        CAST(weekend_value AS DOUBLE) AS weekend_value, CAST(peak_value AS DOUBLE) AS peak_value, population,
-       ROUND(value_per_capita, 9) AS value_per_capita, ROUND(weekday_weekend_ratio, 6) AS weekday_weekend_ratio FROM cp
+       ROUND(value_per_capita, 9) AS value_per_capita, ROUND(co2_saved_kg_per_capita, 9) AS co2_saved_kg_per_capita,
+       ROUND(weekday_weekend_ratio, 6) AS weekday_weekend_ratio FROM cp
 """)
 def i5(fx):
     """Municipality totals with population, per-capita value and day splits."""
     d = _city(fx)
-    return d.select("municipality", *[F.col(c).cast("double").alias(c) for c in
-                                      ("total_value_eur", "weekday_value", "weekend_value", "peak_value")],
+    return d.select("municipality", "site_count", *[F.col(c).cast("double").alias(c) for c in
+                                                    ("total_value_eur", "weekday_value", "weekend_value", "peak_value")],
                     "population", F.round("value_per_capita", 9).alias("value_per_capita"),
+                    F.round("co2_saved_kg_per_capita", 9).alias("co2_saved_kg_per_capita"),
                     r6("weekday_weekend_ratio").alias("weekday_weekend_ratio"))
 
 
@@ -597,18 +602,25 @@ def i8(fx):
 
 
 @query("i9_annualise", f"""WITH {IMPACT_SQL},
-a AS (SELECT SUM(CAST(total_value_eur AS DOUBLE)) AS total, COUNT(DISTINCT CAST(datetime_hour AS DATE)) AS n_days,
-             CAST(SUM(car_trips_replaced) AS DOUBLE) AS trips,
-             AVG(CASE WHEN isodow(datetime_hour) < 6 THEN CAST(total_value_eur AS DOUBLE) END) AS weekday_mean,
-             AVG(CASE WHEN isodow(datetime_hour) >= 6 THEN CAST(total_value_eur AS DOUBLE) END) AS weekend_mean FROM imp)
-SELECT ROUND(total, 4) AS total, n_days, trips, ROUND(total / n_days, 6) AS per_day, ROUND(total / n_days * 365 * 1.4, 4) AS per_year,
-       ROUND(total / trips, 6) AS value_per_trip, ROUND(weekday_mean / weekend_mean, 6) AS weekday_weekend_ratio FROM a
+dow AS (SELECT isodow(datetime_hour) - 1 AS d, AVG(CAST(total_value_eur AS DOUBLE)) AS a FROM imp GROUP BY 1),
+r AS (SELECT AVG(a) FILTER (WHERE d < 5) / AVG(a) FILTER (WHERE d >= 5) AS weekday_weekend_ratio FROM dow),
+a AS (SELECT SUM(CAST(total_value_eur AS DOUBLE)) AS total,
+             FLOOR((epoch(MAX(datetime_hour)) - epoch(MIN(datetime_hour))) / 86400) + 1 AS n_days,
+             CAST(SUM(p) AS DOUBLE) AS predicted_trips FROM imp)
+SELECT ROUND(total, 4) AS total, CAST(n_days AS BIGINT) AS n_days, ROUND(total / n_days, 6) AS per_day,
+       ROUND(total / n_days * 365 * 1.4, 4) AS per_year, ROUND(total / predicted_trips, 9) AS value_per_trip,
+       ROUND(total * 1000 / predicted_trips, 6) AS value_per_1000_trips, ROUND(weekday_weekend_ratio, 6) AS weekday_weekend_ratio
+FROM a CROSS JOIN r
 """)
 def i9(fx):
-    """Annualised value (x1.4 uplift), value per trip, weekday / weekend ratio."""
-    d = R.annualise(_impact(fx), "datetime_hour", D.is_weekend("datetime_hour"), 1.4)
-    return d.select(F.round("total", 4).alias("total"), "n_days", "trips", r6("per_day").alias("per_day"),
-                    F.round("per_year", 4).alias("per_year"), r6("value_per_trip").alias("value_per_trip"),
+    """Annualised value (x1.4 uplift), value per trip and per 1000 trips,
+    weekday / weekend ratio of per-weekday means."""
+    imp = _impact(fx).withColumn("p", F.col("predicted").cast("decimal(20,9)"))
+    d = R.annualise(imp, "datetime_hour", "p", 1.4)
+    return d.select(F.round("total", 4).alias("total"), F.col("n_days").cast("bigint").alias("n_days"),
+                    r6("per_day").alias("per_day"), F.round("per_year", 4).alias("per_year"),
+                    F.round("value_per_trip", 9).alias("value_per_trip"),
+                    r6("value_per_1000_trips").alias("value_per_1000_trips"),
                     r6("weekday_weekend_ratio").alias("weekday_weekend_ratio"))
 
 
