@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from countpanel.operators import quality as Q
 from countpanel.operators import windows as W
 from countpanel.operators.clean import fill_median, median_stats
+from countpanel.session import cut_lineage
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
@@ -57,6 +58,8 @@ def site_feature_matrix(df: DataFrame, feats: Sequence[str], log_cols: Sequence[
 def site_clusters(df: DataFrame, key: str, feats: Sequence[str], log_cols: Sequence[str], k: int = 2,
                   seed: int = 42):
     d, stats = site_feature_matrix(df, feats, log_cols)
+    # fit and transform both read the matrix: cut the aggregation lineage once
+    d = cut_lineage(d)
     model = KMeans(k=k, seed=seed, initSteps=5, featuresCol="features", predictionCol="cluster").fit(d)
     return model.transform(d), model, stats
 
@@ -64,6 +67,7 @@ def site_clusters(df: DataFrame, key: str, feats: Sequence[str], log_cols: Seque
 def scan_k(d: DataFrame, ks: Sequence[int] = range(2, 8), seed: int = 42) -> DataFrame:
     """Inertia and silhouette for several k (one distributed fit per k)."""
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
+    d = cut_lineage(d)  # read by every fit and every evaluation
     rows = []
     for k in ks:
         m = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(d)
@@ -180,6 +184,7 @@ def walk_forward(df: DataFrame, ts: str, folds: Sequence[tuple[str, str, str]],
     """Expanding-window folds: (train_until, test_from, test_until) per fold;
     ``fit(train, test) -> predictions`` is called once per fold."""
     out = []
+    df = cut_lineage(df)  # every fold filters the same panel
     for i, (tr_until, te_from, te_until) in enumerate(folds):
         t = F.col(ts)
         train = df.filter(t < F.lit(tr_until).cast("timestamp_ntz"))
