@@ -26,6 +26,9 @@ class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        # event times are naive wall-clock values: evaluate every conversion
+        # in UTC so no session zone (or DST gap) can shift them
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
