@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from countpanel.session import small
@@ -14,8 +14,11 @@ def fit_codes(df: DataFrame, key: str) -> DataFrame:
     Only the distinct key set is ranked; it is as large as the number of
     entities (sites), never as large as the fact table.
     """
+    from countpanel.operators.windows import global_row_number
+
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    return keys.select(key, (F.dense_rank().over(Window.orderBy(key)) - 1).alias(f"{key}_code"))
+    coded = global_row_number(keys, [F.col(key)], "_rn")
+    return coded.select(key, (F.col("_rn") - 1).cast("int").alias(f"{key}_code"))
 
 
 def apply_codes(df: DataFrame, codes: DataFrame, key: str) -> DataFrame:

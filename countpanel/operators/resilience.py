@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from countpanel.operators import windows as W
@@ -207,7 +207,7 @@ def impact_sites(df: DataFrame, key: str = "site_id") -> DataFrame:
     t = df.groupBy(key).agg(F.sum("total_value_eur").alias("total_value_eur"),
                             F.sum("co2_saved_kg").alias("co2_saved_kg"))
     t = t.withColumn("co2_saved_tonnes", F.col("co2_saved_kg") * _d("0.001"))
-    return t.withColumn("rank", F.row_number().over(Window.orderBy(F.col("total_value_eur").desc(), F.col(key))))
+    return W.global_row_number(t, [F.col("total_value_eur").desc(), F.col(key)], "rank")
 
 
 def impact_city(df: DataFrame, city: str, pop: DataFrame, weekend: Column, peak: Column,
@@ -238,7 +238,7 @@ def impact_priority(df: DataFrame, key: str, terms: Mapping[str, float]) -> Data
         d = W.minmax(d, t, f"_n_{t}")
         score = score + F.lit(w) * F.coalesce(F.col(f"_n_{t}"), F.lit(0.0))
     d = d.withColumn("priority", score).drop(*[f"_n_{t}" for t in terms])
-    return d.withColumn("rank", F.row_number().over(Window.orderBy(F.col("priority").desc(), F.col(key))))
+    return W.global_row_number(d, [F.col("priority").desc(), F.col(key)], "rank")
 
 
 # I8 / I9 / I10 / I11 ------------------------------------------------------

@@ -166,10 +166,11 @@ def group_transform(df: DataFrame, keys: list[str], col: str, how: str = "mean",
 # W8 ---------------------------------------------------------------------
 def add_rank(df: DataFrame, order: list[Column], out: str = "rank",
              partition: list[str] | None = None) -> DataFrame:
-    """1..n after sorting.  Without a partition this is a global ranking and
-    belongs after a top-k or on a small aggregate only."""
-    w = Window.partitionBy(*(partition or [])).orderBy(*order)
-    return df.withColumn(out, F.row_number().over(w))
+    """1..n after sorting, per partition or over the whole frame (global
+    ranks go through :func:`global_row_number`, never one task)."""
+    if not partition:
+        return global_row_number(df, order, out)
+    return df.withColumn(out, F.row_number().over(Window.partitionBy(*partition).orderBy(*order)))
 
 
 # W9 / W10 ---------------------------------------------------------------
@@ -323,3 +324,32 @@ def iso_features(df: DataFrame, key: str, order: str, col: str = "y", **kw) -> D
             "change_28": F.col(col) - F.lag(col, 28).over(w),
         }
     return framed(df, [key], order, exprs, -28, 14, **kw)
+
+
+# Global row numbers without a one-partition window ---------------------------
+def global_row_number(df: DataFrame, order: list[Column], out: str = "rank", partitions: int | None = None,
+                      distributed: bool | None = None) -> DataFrame:
+    """1..n over the whole frame in ``order`` (deterministic when ``order``
+    ends with a unique column).
+
+    Small inputs (by the optimizer's size estimate) use a plain window.
+    Larger ones are range-partitioned on the order, numbered inside each
+    range partition, and shifted by the sizes of the preceding partitions;
+    the partitioned frame is checkpointed once so both passes see the same
+    partition boundaries.
+    """
+    from countpanel.session import BROADCAST_LIMIT_BYTES, cut_lineage, estimated_size
+
+    if distributed is None:
+        size = estimated_size(df)
+        distributed = size is None or size > BROADCAST_LIMIT_BYTES
+    if not distributed:
+        return df.withColumn(out, F.row_number().over(Window.orderBy(*order)))
+    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    d = df.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id())
+    d = d.withColumn("_local", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
+    d = cut_lineage(d)
+    sizes = d.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    off = sizes.select("_p", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    return d.join(bounded(off), "_p").withColumn(out, F.col("_off") + F.col("_local")).drop("_p", "_local", "_off")
