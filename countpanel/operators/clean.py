@@ -145,13 +145,19 @@ def fill_group_median(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
     return out.drop(*[f"_gm_{c}" for c in cols], *[f"_all_{c}" for c in cols])
 
 
-def median_stats(df: DataFrame, cols: list[str]) -> DataFrame:
-    """One-row table of exact column medians (the fitted imputer)."""
+def median_stats(df: DataFrame, cols: list[str], distributed: bool | None = None) -> DataFrame:
+    """One-row table of exact column medians (the fitted imputer).
+
+    ``distributed=False`` states that the input is entity-sized (one row per
+    site): all medians are then taken in one aggregate pass."""
     from functools import reduce
 
     from countpanel.operators.aggs import exact_quantiles
 
-    return reduce(lambda a, b: a.crossJoin(bounded(b)), [exact_quantiles(df, c, [0.5], [], [c]) for c in cols])
+    if distributed is False:
+        return df.agg(*[F.percentile(F.col(c).cast("double"), 0.5).alias(c) for c in cols])
+    return reduce(lambda a, b: a.crossJoin(bounded(b)),
+                  [exact_quantiles(df, c, [0.5], [], [c], distributed=distributed) for c in cols])
 
 
 def fill_median(df: DataFrame, cols: list[str], stats: DataFrame | None = None) -> DataFrame:

@@ -47,7 +47,8 @@ def site_feature_matrix(df: DataFrame, feats: Sequence[str], log_cols: Sequence[
     """log1p on skewed columns, median imputation, population z-score.
     Returns the matrix and the fitted (median, z) stats tables for reuse."""
     d = df.withColumns({c: F.log1p(F.col(c)) for c in log_cols})
-    med = stats[0] if stats else median_stats(d, list(feats))
+    # one row per entity by construction: medians in one aggregate pass
+    med = stats[0] if stats else median_stats(d, list(feats), distributed=False)
     d = fill_median(d, list(feats), med)
     zs = stats[1] if stats else W.zscore_stats(d, list(feats))
     d = W.zscore(d, list(feats), stats=zs)

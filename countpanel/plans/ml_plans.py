@@ -10,6 +10,7 @@ from countpanel.functions.encode import one_hot
 from countpanel.operators import aggs as A
 from countpanel.operators import anomaly as NA
 from countpanel.operators import features as FE
+from countpanel.operators import joins as J
 from countpanel.operators import models as M
 from countpanel.operators import quality as Q
 from countpanel.operators import windows as W
@@ -18,18 +19,24 @@ from countpanel.plans.registry import query
 
 HOURS = [str(h) for h in range(24)]
 SITE_FEATS = ["mean_count", "median_count", "max_count", "std_count", "weekday_mean", "weekend_mean", "rush_mean",
-              "weekend_weekday_ratio", "rush_ratio", "cv", "n_obs"]
+              "weekend_weekday_ratio", "rush_ratio", "cv", "park_count", "school_count", "station_count",
+              "dist_nearest_station", "dist_nearest_school"]
 LOG_COLS = ["mean_count", "median_count", "max_count", "std_count", "weekday_mean", "weekend_mean", "rush_mean"]
 XS = ["hour", "day_of_week", "month", "temperature_2m", "precipitation", "wind_speed_10m", "lag_1", "rolling_24_mean"]
 
 
 def _site_profiles(fx, lo=None, hi=None):
+    """15 site features: count profile and ratios of the active sites, POI
+    counts, distance to the nearest station and (grid join) school."""
     c = fx.counts
     if lo:
         c = c.filter(F.col("start_time") >= F.lit(lo).cast("timestamp_ntz"))
     if hi:
         c = c.filter(F.col("start_time") < F.lit(hi).cast("timestamp_ntz"))
-    return A.profile_ratios(A.site_profile(c, "site_id", "cnt", "start_time"))
+    prof = A.active_only(A.profile_ratios(A.site_profile(c, "site_id", "cnt", "start_time")))
+    attrs = fx.sites.select("site_id", "park_count", "school_count", "station_count", "dist_nearest_station")
+    school = J.nearest(fx.sites, fx.poi, "school", 3000.0, metric="flat")
+    return prof.join(attrs, "site_id", "left").join(school, "site_id", "left")
 
 
 def _panel(fx):
