@@ -38,14 +38,22 @@ def _epoch_days(c: Column) -> Column:
 
 def with_positions(df: DataFrame, keys: list[str], order: str, tiebreak: list[str] | None = None,
                    bucket_days: int = DEFAULT_BUCKET_DAYS, pos: str = "_pos",
-                   total: str | None = None) -> DataFrame:
+                   total: str | None = None, fine_seconds: int | None = 60) -> DataFrame:
     """Add the 0-based row position within ``keys`` ordered by ``order``.
 
-    ``order`` must be a date or timestamp column (time buckets are taken
-    from it).  With ``total`` the number of rows of the key is added too.
+    ``order`` must be a date or timestamp column.  Rows are counted per
+    (key, week) - a partial aggregate - and the small per-key table of
+    weekly counts gives running offsets.  For timestamps a second level
+    counts per (key, week, minute), whose offsets inside each week come
+    from a window over at most 10080 minute counts.  The final numbering
+    then runs per (key, week, minute), so even a key holding a third of all
+    readings is numbered in bounded pieces.  With ``total`` the number of
+    rows of the key is added too.
     """
     tiebreak = tiebreak or []
-    b = df.withColumn("_bkt", F.floor(_epoch_days(F.col(order)) / F.lit(bucket_days)))
+    t = F.col(order)
+    b = df.withColumn("_bkt", F.floor(_epoch_days(t) / F.lit(bucket_days)))
+    two_level = bool(fine_seconds) and dict(df.dtypes)[order].startswith("timestamp")
     cnt = b.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
     wk = Window.partitionBy(*keys).orderBy("_bkt")
     off = cnt.withColumn("_off", F.coalesce(
@@ -53,9 +61,18 @@ def with_positions(df: DataFrame, keys: list[str], order: str, tiebreak: list[st
     if total:
         off = off.withColumn(total, F.sum("_cnt").over(Window.partitionBy(*keys)))
     off = off.drop("_cnt")
-    out = b.join(small(off), [*keys, "_bkt"])
-    w = Window.partitionBy(*keys, "_bkt").orderBy(F.col(order), *[F.col(t) for t in tiebreak])
-    return out.withColumn(pos, F.col("_off") + F.row_number().over(w) - 1).drop("_bkt", "_off")
+    parts = [*keys, "_bkt"]
+    if two_level:
+        b = b.withColumn("_fine", F.floor(F.unix_micros(t.cast("timestamp")) / F.lit(fine_seconds * 1_000_000)))
+        cnt2 = b.groupBy(*keys, "_bkt", "_fine").agg(F.count(F.lit(1)).alias("_cnt"))
+        w2 = Window.partitionBy(*keys, "_bkt").orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
+        off2 = cnt2.withColumn("_off2", F.coalesce(F.sum("_cnt").over(w2), F.lit(0))).drop("_cnt")
+        off = off2.join(small(off), [*keys, "_bkt"]).withColumn("_off", F.col("_off") + F.col("_off2")).drop("_off2")
+        parts = [*keys, "_bkt", "_fine"]
+    out = b.join(small(off), parts)
+    w = Window.partitionBy(*parts).orderBy(t, *[F.col(c) for c in tiebreak])
+    out = out.withColumn(pos, F.col("_off") + F.row_number().over(w) - 1)
+    return out.drop("_bkt", "_off", *(["_fine"] if two_level else []))
 
 
 def framed(df: DataFrame, keys: list[str], order: str, exprs, lo: int, hi: int,

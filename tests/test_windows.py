@@ -101,3 +101,21 @@ def test_global_row_number_distributed(spark, parts):
     got = W.global_row_number(d, [F.col("g").desc(), F.col("k")], "r", partitions=parts, distributed=True)
     ref = d.withColumn("r", F.row_number().over(Window.orderBy(F.col("g").desc(), F.col("k"))))
     assert sorted(got.select("k", "g", "r").collect()) == sorted(ref.select("k", "g", "r").collect())
+
+
+def test_two_level_positions_on_timestamps(spark):
+    # readings at irregular times: positions must equal a whole-key row_number
+    d = spark.range(0, 3000).select(
+        (F.col("id") % 3).alias("k"),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(
+            secs=((F.col("id") * 7919) % 2_000_000).cast("decimal(18,6)"))).alias("ts"),
+        F.col("id"))
+    got = W.with_positions(d, ["k"], "ts", ["id"], bucket_days=1, fine_seconds=60, total="n")
+    ref = d.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("ts", "id")) - 1)
+    a = {(r["id"], r["_pos"], r["n"]) for r in got.collect()}
+    b = {(r["id"], r["r"], 1000) for r in ref.collect()}
+    assert a == b
+    lagged = W.add_lags(d, ["k"], "ts", "id", [1, 5], tiebreak=["id"], chunk_rows=37, bucket_days=1)
+    refl = d.withColumns({"lag_1": F.lag("id", 1).over(Window.partitionBy("k").orderBy("ts", "id")),
+                          "lag_5": F.lag("id", 5).over(Window.partitionBy("k").orderBy("ts", "id"))})
+    assert sorted(lagged.select("id", "lag_1", "lag_5").collect()) == sorted(refl.select("id", "lag_1", "lag_5").collect())
