@@ -361,7 +361,7 @@ def global_row_number(df: DataFrame, order: list[Column], out: str = "rank", par
         size = estimated_size(df)
         distributed = size is None or size > BROADCAST_LIMIT_BYTES
     if not distributed:
-        return df.withColumn(out, F.row_number().over(Window.orderBy(*order)))
+        return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("long"))
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
     d = df.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id())
     d = d.withColumn("_local", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
@@ -369,4 +369,5 @@ def global_row_number(df: DataFrame, order: list[Column], out: str = "rank", par
     sizes = d.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     off = sizes.select("_p", F.coalesce(F.sum("_n").over(
         Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    return d.join(bounded(off), "_p").withColumn(out, F.col("_off") + F.col("_local")).drop("_p", "_local", "_off")
+    return d.join(bounded(off), "_p").withColumn(out, (F.col("_off") + F.col("_local")).cast("long")) \
+        .drop("_p", "_local", "_off")

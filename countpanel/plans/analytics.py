@@ -326,7 +326,7 @@ def a19(fx):
 @query("a20_kpis", """
 SELECT ROUND(SUM(c.cnt), 6) AS total, COUNT(DISTINCT c.site_id) AS n_sites, CAST(MIN(c.start_time) AS DATE) AS first_day,
        CAST(MAX(c.start_time) AS DATE) AS last_day,
-       datediff('day', CAST(MIN(c.start_time) AS DATE), CAST(MAX(c.start_time) AS DATE)) + 1 AS n_days,
+       CAST(datediff('day', CAST(MIN(c.start_time) AS DATE), CAST(MAX(c.start_time) AS DATE)) + 1 AS INTEGER) AS n_days,
        ROUND(100 * AVG(CAST(c.cnt IS NULL AS DOUBLE)), 6) AS pct_missing, COUNT(*) AS n_rows,
        COUNT(DISTINCT s.municipality) AS n_cities
 FROM v_counts c LEFT JOIN v_sites s ON c.site_id = s.site_id
@@ -341,7 +341,7 @@ def a20(fx):
 HOURS = list(range(24))
 
 
-@query("a21_pivot_mean", "SELECT isodow(start_time) - 1 AS dow, " + ", ".join(
+@query("a21_pivot_mean", "SELECT CAST(isodow(start_time) - 1 AS INTEGER) AS dow, " + ", ".join(
     f"ROUND(COALESCE(AVG(cnt) FILTER (WHERE hour(start_time) = {h}), 0), 6) AS \"{h}\"" for h in HOURS)
     + " FROM v_counts GROUP BY 1")
 def a21(fx):

@@ -40,7 +40,7 @@ def q1(fx):
 
 @query("q2_month_coverage", """
 SELECT site_id, CAST(date_trunc('month', time) AS DATE) AS month, COUNT(DISTINCT CAST(time AS DATE)) AS days_present,
-       MAX(day(last_day(CAST(time AS DATE)))) AS days_in_month,
+       CAST(MAX(day(last_day(CAST(time AS DATE)))) AS INTEGER) AS days_in_month,
        COUNT(DISTINCT CAST(time AS DATE)) = MAX(day(last_day(CAST(time AS DATE)))) AS complete
 FROM v_weather GROUP BY 1, 2
 """)
@@ -261,7 +261,7 @@ def v10(fx):
 
 
 @query("v11_under_prediction", """
-SELECT nation, month(datetime_hour) AS month, ROUND(AVG(actual - predicted), 6) AS mean_under, COUNT(*) AS n_under
+SELECT nation, CAST(month(datetime_hour) AS INTEGER) AS month, ROUND(AVG(actual - predicted), 6) AS mean_under, COUNT(*) AS n_under
 FROM v_pred WHERE actual - predicted > 0 GROUP BY 1, 2
 """)
 def v11(fx):
@@ -379,7 +379,7 @@ def r5(fx):
 
 @query("r6_super_resilient", f"""WITH {RES_SQL},
 top AS (SELECT site_id FROM res2 WHERE resilience > 100),
-h AS (SELECT cws.site_id, hour(start_time) AS hour,
+h AS (SELECT cws.site_id, CAST(hour(start_time) AS INTEGER) AS hour,
              AVG(CASE WHEN COALESCE(precipitation > 0, false) THEN cnt END) AS rainy_mean,
              AVG(CASE WHEN NOT COALESCE(precipitation > 0, false) THEN cnt END) AS clear_mean
       FROM cws JOIN top ON cws.site_id = top.site_id GROUP BY 1, 2),
@@ -507,7 +507,7 @@ def i2(fx):
 
 
 @query("i3_impact_by_weekday", f"""WITH {IMPACT_SQL}
-SELECT isodow(datetime_hour) - 1 AS weekday, CAST(SUM(car_trips_replaced) AS DOUBLE) AS car_trips_replaced,
+SELECT CAST(isodow(datetime_hour) - 1 AS INTEGER) AS weekday, CAST(SUM(car_trips_replaced) AS DOUBLE) AS car_trips_replaced,
        CAST(SUM(co2_saved_kg) AS DOUBLE) AS co2_saved_kg, CAST(SUM(total_value_eur) AS DOUBLE) AS total_value_eur, COUNT(*) AS n
 FROM imp GROUP BY 1
 """)
@@ -655,7 +655,7 @@ def n4(fx):
 
 
 @query("n5_hour_kpis", """
-SELECT hour(datetime_hour) AS hour, ROUND(AVG(actual - predicted), 6) AS mean_error, COUNT(*) FILTER (WHERE actual - predicted > 140) AS n_surges,
+SELECT CAST(hour(datetime_hour) AS INTEGER) AS hour, ROUND(AVG(actual - predicted), 6) AS mean_error, COUNT(*) FILTER (WHERE actual - predicted > 140) AS n_surges,
        COUNT(*) FILTER (WHERE actual - predicted < -120) AS n_blockages, ROUND(AVG(actual), 6) AS mean_actual, COUNT(*) AS n_rows
 FROM v_pred GROUP BY 1
 """)

@@ -198,8 +198,9 @@ def p12(fx):
 
 # ---------------------------------------------------------------- X1-X6
 @query("x1_date_parts", """
-SELECT event_id, year(start_time) AS year, month(start_time) AS month, day(start_time) AS day,
-       hour(start_time) AS hour, minute(start_time) AS minute, isodow(start_time) - 1 AS day_of_week,
+SELECT event_id, CAST(year(start_time) AS INTEGER) AS year, CAST(month(start_time) AS INTEGER) AS month,
+       CAST(day(start_time) AS INTEGER) AS day, CAST(hour(start_time) AS INTEGER) AS hour,
+       CAST(minute(start_time) AS INTEGER) AS minute, CAST(isodow(start_time) - 1 AS INTEGER) AS day_of_week,
        dayname(start_time) AS day_name, CAST(start_time AS DATE) AS date FROM v_counts
 """)
 def x1(fx):
@@ -216,7 +217,7 @@ SELECT event_id, make_date(year(start_time), month(start_time), day(start_time))
        CAST(date_trunc('hour', start_time) AS TIMESTAMP) AS hour_ts,
        CAST(start_time AS DATE) + INTERVAL 1 DAY AS next_day,
        start_time + INTERVAL 2 HOUR AS shifted,
-       datediff('day', DATE '2024-01-01', CAST(start_time AS DATE)) AS day_index FROM v_counts
+       CAST(datediff('day', DATE '2024-01-01', CAST(start_time AS DATE)) AS INTEGER) AS day_index FROM v_counts
 """)
 def x2(fx):
     """Build a date, floor to hour, shift by a day / hours, day span."""
@@ -354,7 +355,7 @@ def a5(fx):
 
 
 @query("a6_profile_hour", """
-SELECT hour(start_time) AS hour, ROUND(AVG(cnt), 6) AS mean_value FROM v_counts GROUP BY 1
+SELECT CAST(hour(start_time) AS INTEGER) AS hour, ROUND(AVG(cnt), 6) AS mean_value FROM v_counts GROUP BY 1
 """)
 def a6(fx):
     """Mean count by hour of day."""
@@ -362,7 +363,7 @@ def a6(fx):
 
 
 @query("a7_profile_two_parts", """
-SELECT hour(start_time) AS hour, CASE WHEN isodow(start_time) >= 6 THEN 'weekend' ELSE 'weekday' END AS daytype,
+SELECT CAST(hour(start_time) AS INTEGER) AS hour, CASE WHEN isodow(start_time) >= 6 THEN 'weekend' ELSE 'weekday' END AS daytype,
        direction, ROUND(AVG(cnt), 6) AS mean_value, COUNT(*) AS n
 FROM v_counts GROUP BY 1, 2, 3
 """)
@@ -379,7 +380,7 @@ def a7(fx):
 WITH j AS (SELECT c.*, s.municipality FROM v_counts c JOIN v_sites s ON c.site_id = s.site_id),
 n AS (SELECT municipality, site_id, COUNT(*) AS n FROM j GROUP BY 1, 2),
 pick AS (SELECT municipality, arg_min(site_id, (-n, site_id)) AS site_id FROM n GROUP BY 1)
-SELECT j.municipality, j.site_id, hour(start_time) AS hour, direction, ROUND(AVG(cnt), 6) AS mean_value
+SELECT j.municipality, j.site_id, CAST(hour(start_time) AS INTEGER) AS hour, direction, ROUND(AVG(cnt), 6) AS mean_value
 FROM j JOIN pick ON j.site_id = pick.site_id AND j.municipality = pick.municipality GROUP BY 1, 2, 3, 4
 """)
 def a8(fx):

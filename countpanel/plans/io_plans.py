@@ -164,7 +164,7 @@ def s10(fx):
 
 
 @query("s12_compact_years", """
-SELECT unique_id, ds, ROUND(y, 2) AS y, year(ds) AS year FROM v_daily WHERE year(ds) = 1997
+SELECT unique_id, ds, ROUND(y, 2) AS y, CAST(year(ds) AS INTEGER) AS year FROM v_daily WHERE year(ds) = 1997
 """)
 def s12(fx):
     """Yearly tables unioned, written partitioned by year; a year filter

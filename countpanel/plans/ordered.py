@@ -199,7 +199,7 @@ def w12(fx):
 
 
 @query("w13_standardise_profile", """
-WITH p AS (SELECT site_id, hour(start_time) AS hour, AVG(cnt) AS m FROM v_counts GROUP BY 1, 2)
+WITH p AS (SELECT site_id, CAST(hour(start_time) AS INTEGER) AS hour, AVG(cnt) AS m FROM v_counts GROUP BY 1, 2)
 SELECT site_id, hour, ROUND((m - AVG(m) OVER (PARTITION BY site_id)) / NULLIF(stddev_pop(m) OVER (PARTITION BY site_id), 0), 6)
        AS z FROM p
 """)
@@ -279,8 +279,8 @@ h0 AS (SELECT site_id, date_trunc('hour', start_time) AS datetime_hour, SUM(cnt)
 codes AS (SELECT site_id AS code_site, CAST(dense_rank() OVER (ORDER BY site_id) - 1 AS INTEGER) AS site_id_code
           FROM (SELECT DISTINCT site_id FROM h0)),
 h AS (SELECT * FROM h0 JOIN codes ON h0.site_id = codes.code_site)
-SELECT h.site_id, h.datetime_hour, ROUND(count, 6) AS count, hour(datetime_hour) AS hour,
-  isodow(datetime_hour) - 1 AS day_of_week, month(datetime_hour) AS month,
+SELECT h.site_id, h.datetime_hour, ROUND(count, 6) AS count, CAST(hour(datetime_hour) AS INTEGER) AS hour,
+  CAST(isodow(datetime_hour) - 1 AS INTEGER) AS day_of_week, CAST(month(datetime_hour) AS INTEGER) AS month,
   CAST(isodow(datetime_hour) >= 6 AS INTEGER) AS is_weekend,
   CAST(CAST(datetime_hour AS DATE) IN (SELECT holiday FROM holidays) AS INTEGER) AS is_holiday,
   CAST(CAST(datetime_hour AS DATE) + 1 IN (SELECT holiday FROM holidays WHERE isodow(holiday) <> 7) AS INTEGER) AS is_pre_holiday,

@@ -94,7 +94,18 @@ def main():
             print("   dtypes spark", dict(sdf.dtypes), "duck", dict(ddf.dtypes))
             bad += 1
         else:
-            print(f"ok   {name}: {len(sr)} rows ({ts:.1f}s)")
+            kinds = lambda df: {c: ("int" if str(t).lower().startswith(("int", "uint")) else
+                                    "float" if str(t).startswith("float") else
+                                    "time" if "datetime" in str(t) or "M8" in str(t) else str(t))
+                                for c, t in df.dtypes.items()}
+            sk, dk = kinds(sdf), kinds(ddf)
+            widths = {c: (str(sdf.dtypes[c]), str(ddf.dtypes[c])) for c in sk
+                      if sk[c] == dk.get(c) == "int" and str(sdf.dtypes[c]).lower() != str(ddf.dtypes[c]).lower()}
+            kind_diff = {c: (sk[c], dk.get(c)) for c in sk if sk[c] != dk.get(c)}
+            note = ""
+            if widths or kind_diff:
+                note = f" [dtypes: widths {widths} kinds {kind_diff}]"
+            print(f"ok   {name}: {len(sr)} rows ({ts:.1f}s){note}")
             ok += 1
     print(f"== ok {ok}, fail {bad}, rows-only {skipped}")
 
