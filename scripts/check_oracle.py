@@ -32,6 +32,8 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
+        if v == 0.0 and math.copysign(1.0, v) < 0:
+            return "-0.0"
         if v.is_integer() and abs(v) < 2**53:
             return repr(int(v))
         return repr(v)
