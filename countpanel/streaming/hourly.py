@@ -28,8 +28,13 @@ def with_event_time(df: DataFrame, ts: str, out: str = "event_time") -> DataFram
 
 # T1 ---------------------------------------------------------------------
 def stream_hourly(df: DataFrame, key: str, ts: str, value: str, delay: str = "2 hours") -> DataFrame:
-    """Tumbling hourly sum and count per key; rows later than the watermark
-    are dropped (append / update modes)."""
+    """Tumbling hourly sum and count per key with a watermark.
+
+    In append mode a window is emitted once the watermark (latest event
+    time - ``delay``) passes its end, and its state is dropped; rows for a
+    window that was already emitted are discarded as late.  Rows behind the
+    watermark whose window is still open may still count (Spark's
+    one-sided guarantee)."""
     d = with_event_time(df, ts).withWatermark("event_time", delay)
     return (d.groupBy(key, F.window("event_time", "1 hour").alias("w"))
             .agg(F.sum(value).alias("total_count"), F.count(value).alias("n_obs"))
@@ -54,14 +59,17 @@ def stream_dedupe(df: DataFrame, keys: list[str], ts: str, delay: str = "1 hour"
 
 
 # runner -----------------------------------------------------------------
-def run_available_now(df: DataFrame, mode: str = "append", name: str = "stream") -> DataFrame:
+def run_available_now(df: DataFrame, mode: str = "append", name: str = "stream",
+                      root: str | None = None) -> DataFrame:
     """Process everything available, then stop; return the sink as a table.
 
     append / update: rows go to a Parquet sink; complete: every micro-batch
     rewrites the full result (foreachBatch), the last one is the answer.
+    Passing the same ``root`` again resumes from its checkpoint (a later
+    trigger of the same query).
     """
     spark = df.sparkSession
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:12]}"
+    root = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:12]}"
     out, ckpt = f"{root}/data", f"{root}/checkpoint"
     w = df.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True).outputMode(mode)
     if mode == "complete":
