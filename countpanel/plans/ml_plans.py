@@ -244,3 +244,40 @@ def n3(fx):
     d = d.withColumns({"dow": D.weekday0("ds"), "month": F.month("ds")})
     feats = ["deviation", "change_7", "change_28", "dow", "month", "y", "rolling_med"]
     return NA.isolation_flags(d, "unique_id", "ds", feats, trees=200, share=0.03, min_rows=60)
+
+
+@query("s13_save_load_model")
+def s13_model(fx):
+    """Fitted clustering model persisted with MLWriter to the shared folder,
+    reloaded, and used to score the sites."""
+    import uuid
+
+    from pyspark.ml.clustering import KMeansModel
+
+    from countpanel.session import ensure_checkpoint_dir
+    from countpanel.sources import io as S
+
+    out, model, stats = M.site_clusters(_site_profiles(fx), "site_id", SITE_FEATS, LOG_COLS, k=2)
+    path = f"{ensure_checkpoint_dir(fx.spark).rstrip('/')}/models/kmeans-{uuid.uuid4().hex[:12]}"
+    S.save_model(model, path)
+    loaded = S.load_model(KMeansModel, path)
+    d, _ = M.site_feature_matrix(_site_profiles(fx), SITE_FEATS, LOG_COLS, stats)
+    return loaded.transform(d).select("site_id", "cluster")
+
+
+@query("n4_combine_anomaly_layers")
+def n4_layers(fx):
+    """The two anomaly layers of the daily panel - rolling-median outliers
+    (N2) and isolation-forest faults (N3) - combined: counts per layer,
+    flagged by both, by either."""
+    snapped = fx.daily.withColumn("y", F.round("y", 2))
+    n1 = NA.continuous_daily(snapped, "unique_id", "ds", "y", keep_pos=True)
+    layer1 = NA.rolling_outliers(n1, "unique_id", "ds", "y", 4.0, positioned=True)
+    feats = W.iso_features(n1, "unique_id", "ds", "y", positioned=True).withColumns(
+        {"dow": D.weekday0("ds"), "month": F.month("ds")})
+    layer2 = NA.isolation_flags(feats, "unique_id", "ds",
+                                ["deviation", "change_7", "change_28", "dow", "month", "y", "rolling_med"],
+                                trees=200, share=0.03, min_rows=60)
+    both = layer1.select("unique_id", "ds", "rolling_outlier").join(
+        layer2.select("unique_id", "ds", "sensor_fault"), ["unique_id", "ds"], "left").fillna(0, ["sensor_fault"])
+    return NA.combine_flags(both)

@@ -120,13 +120,16 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
     df.write.mode("overwrite").option("header", header).csv(path)
 
 
-def compact_years(dfs: Sequence[DataFrame], path: str, ts: str = "time") -> None:
+def compact_years(dfs: Sequence[DataFrame], path: str, ts: str = "time", max_records: int = 5_000_000) -> None:
     """Union of yearly tables written once, partitioned by year so later
-    scans prune whole years."""
+    scans prune whole years.  Every task writes its own rows of each year
+    (no shuffle onto one task per year); ``maxRecordsPerFile`` bounds the
+    file size."""
     from functools import reduce
 
     u = reduce(lambda a, b: a.unionByName(b), dfs).withColumn("year", F.year(F.col(ts)))
-    u.repartition("year").write.mode("overwrite").partitionBy("year").parquet(path)
+    (u.write.mode("overwrite").option("maxRecordsPerFile", max_records)
+     .partitionBy("year").parquet(path))
 
 
 # S13 --------------------------------------------------------------------
@@ -153,3 +156,13 @@ def compare_schema(a: DataFrame, b: DataFrame) -> DataFrame:
         rows.append((name, pa, pb, ta, tb, pa is not None and pa == pb, ta is not None and ta == tb))
     return spark.createDataFrame(rows, "column string, pos_a int, pos_b int, type_a string, type_b string, "
                                        "same_pos boolean, same_type boolean")
+
+
+def save_model(model, path: str) -> None:
+    """Persist a fitted ML model or pipeline (MLWriter, overwrite)."""
+    model.write().overwrite().save(path)
+
+
+def load_model(cls, path: str):
+    """Reload a model saved with :func:`save_model` (``cls`` is its class)."""
+    return cls.load(path)
