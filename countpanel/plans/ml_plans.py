@@ -16,6 +16,7 @@ from countpanel.operators import quality as Q
 from countpanel.operators import windows as W
 from countpanel.plans.core import holiday_table
 from countpanel.plans.registry import query
+from countpanel.session import cut_lineage
 
 HOURS = [str(h) for h in range(24)]
 SITE_FEATS = ["mean_count", "median_count", "max_count", "std_count", "weekday_mean", "weekend_mean", "rush_mean",
@@ -271,7 +272,8 @@ def n4_layers(fx):
     (N2) and isolation-forest faults (N3) - combined: counts per layer,
     flagged by both, by either."""
     snapped = fx.daily.withColumn("y", F.round("y", 2))
-    n1 = NA.continuous_daily(snapped, "unique_id", "ds", "y", keep_pos=True)
+    # both layers read the gap-filled panel: cut its lineage once
+    n1 = cut_lineage(NA.continuous_daily(snapped, "unique_id", "ds", "y", keep_pos=True))
     layer1 = NA.rolling_outliers(n1, "unique_id", "ds", "y", 4.0, positioned=True)
     feats = W.iso_features(n1, "unique_id", "ds", "y", positioned=True).withColumns(
         {"dow": D.weekday0("ds"), "month": F.month("ds")})

@@ -13,6 +13,7 @@ from countpanel.operators import features as FE
 from countpanel.operators import windows as W
 from countpanel.plans.core import HOLIDAY_SQL, holiday_table
 from countpanel.plans.registry import query
+from countpanel.session import cut_lineage
 
 r6 = N.r6
 
@@ -264,7 +265,8 @@ SELECT unique_id, ds, y, y_observed, rolling_outlier FROM fs
 """)
 def n2(fx):
     """Flag y > 4 x centred 30-day median, blank and refill, keep y_observed."""
-    n1_ = NA.continuous_daily(_snapped(fx), "unique_id", "ds", "y", keep_pos=True)
+    # the gap-filled panel feeds several windows: cut its lineage once
+    n1_ = cut_lineage(NA.continuous_daily(_snapped(fx), "unique_id", "ds", "y", keep_pos=True))
     d = NA.rolling_outliers(n1_, "unique_id", "ds", "y", 4.0, positioned=True)
     return d.select("unique_id", "ds", "y", "y_observed", "rolling_outlier")
 
