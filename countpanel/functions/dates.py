@@ -68,13 +68,25 @@ def build_timestamp(year, month, day, hour) -> Column:
     return F.make_timestamp_ntz(col(year), col(month), col(day), col(hour), F.lit(0), F.lit(0))
 
 
-def holiday_flags(df: DataFrame, ts: str, holidays: DataFrame, date_col: str = "holiday") -> DataFrame:
-    """Add ``is_holiday`` and ``is_pre_holiday`` from a holiday-date table.
+def holiday_flags(df: DataFrame, ts: str, holidays, date_col: str = "holiday") -> DataFrame:
+    """Add ``is_holiday`` and ``is_pre_holiday`` from a holiday calendar.
 
     A day is "pre-holiday" when the next day is a holiday that is not a
-    Sunday.  The holiday table holds a few dates per year, so it is
-    broadcast; its size is bounded by the number of calendar years.
+    Sunday.  ``holidays`` is either a list of ISO dates (a few per year:
+    the flags become ``isin`` expressions, no join) or a table with a
+    ``date_col`` column, which is broadcast - its size is bounded by the
+    number of calendar years.
     """
+    if not isinstance(holidays, DataFrame):
+        import datetime as _dt
+
+        days = sorted({str(x) for x in holidays})
+        not_sunday = [x for x in days if _dt.date.fromisoformat(x).weekday() != 6]
+        d = F.to_date(F.col(ts))
+        lit_dates = lambda xs: [F.lit(x).cast("date") for x in xs]
+        return df.withColumns({
+            "is_holiday": d.isin(*lit_dates(days)).cast("int"),
+            "is_pre_holiday": F.date_add(d, 1).isin(*lit_dates(not_sunday)).cast("int")})
     h = holidays.select(F.col(date_col).cast("date").alias("_hd")).distinct()
     d = F.to_date(F.col(ts))
     out = (df.withColumn("_d", d)

@@ -11,7 +11,7 @@ from countpanel.functions.encode import apply_codes, fit_codes
 from countpanel.operators import windows as W
 
 
-def panel_features(df: DataFrame, key: str, ts: str, col: str, holidays: DataFrame,
+def panel_features(df: DataFrame, key: str, ts: str, col: str, holidays,
                    codes: DataFrame | None = None, lags=(1, 24, 168),
                    rolling=((24, 3), (168, 24)), exact_scale: int | None = None, **kw) -> DataFrame:
     """Calendar parts, cyclic encodings, holiday flags, entity code, lags and

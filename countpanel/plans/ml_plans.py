@@ -14,7 +14,7 @@ from countpanel.operators import joins as J
 from countpanel.operators import models as M
 from countpanel.operators import quality as Q
 from countpanel.operators import windows as W
-from countpanel.plans.core import holiday_table
+from countpanel.plans.core import HOLIDAYS
 from countpanel.plans.registry import query
 from countpanel.session import cut_lineage
 
@@ -43,7 +43,7 @@ def _site_profiles(fx, lo=None, hi=None):
 def _panel(fx):
     """Hourly counts per site with calendar, weather, lag and rolling features."""
     h = fx.counts.groupBy("site_id", D.floor_hour("start_time").alias("datetime_hour")).agg(F.sum("cnt").alias("count"))
-    d = FE.panel_features(h, "site_id", "datetime_hour", "count", holiday_table(fx.spark), exact_scale=2)
+    d = FE.panel_features(h, "site_id", "datetime_hour", "count", HOLIDAYS, exact_scale=2)
     w = fx.weather.withColumnRenamed("time", "datetime_hour")
     return d.join(w, ["site_id", "datetime_hour"], "left").withColumn("_y", F.col("count"))
 

@@ -11,7 +11,7 @@ from countpanel.functions import numeric as N
 from countpanel.operators import anomaly as NA
 from countpanel.operators import features as FE
 from countpanel.operators import windows as W
-from countpanel.plans.core import HOLIDAY_SQL, holiday_table
+from countpanel.plans.core import HOLIDAY_SQL, HOLIDAYS
 from countpanel.plans.registry import query
 from countpanel.session import cut_lineage
 
@@ -301,7 +301,7 @@ FROM h
 def f4(fx):
     """Hourly panel features: calendar, cycles, holidays, code, lags, rolling means."""
     h = fx.counts.groupBy("site_id", D.floor_hour("start_time").alias("datetime_hour")).agg(F.sum("cnt").alias("count"))
-    d = FE.panel_features(h, "site_id", "datetime_hour", "count", holiday_table(fx.spark), exact_scale=2)
+    d = FE.panel_features(h, "site_id", "datetime_hour", "count", HOLIDAYS, exact_scale=2)
     return d.select("site_id", "datetime_hour", r6("count").alias("count"), "hour", "day_of_week", "month",
                     "is_weekend", "is_holiday", "is_pre_holiday", r6("hour_sin").alias("hour_sin"),
                     r6("dow_cos").alias("dow_cos"), "site_id_code",

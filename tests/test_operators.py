@@ -124,3 +124,16 @@ def test_read_counts_and_sites_drop_bad_rows(spark, tmp_path):
     rows = S.read_sites(spark, str(p)).orderBy("site_id").collect()
     assert [(r["site_id"], r["municipality"], r["date_from"]) for r in rows] == [
         (12, "Ghent", dt.date(2020, 1, 1)), (13, "Aalst", None)]
+
+
+def test_holiday_flags_literal_and_table_paths_agree(spark):
+    from countpanel.functions.dates import holiday_flags
+    from countpanel.plans.core import HOLIDAYS, holiday_table
+
+    days = spark.range(0, 3 * 366).select(
+        F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).cast("timestamp_ntz").alias("ts"))
+    a = holiday_flags(days, "ts", HOLIDAYS).orderBy("ts").collect()
+    b = holiday_flags(days, "ts", holiday_table(spark)).orderBy("ts").collect()
+    assert [(r["ts"], r["is_holiday"], r["is_pre_holiday"]) for r in a] == \
+        [(r["ts"], r["is_holiday"], r["is_pre_holiday"]) for r in b]
+    assert sum(r["is_holiday"] for r in a) == len(HOLIDAYS)
