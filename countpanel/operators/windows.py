@@ -36,43 +36,51 @@ def _epoch_days(c: Column) -> Column:
     return F.unix_date(c.cast("date"))
 
 
+DEFAULT_HOT_ROWS = 1_000_000
+
+
 def with_positions(df: DataFrame, keys: list[str], order: str, tiebreak: list[str] | None = None,
                    bucket_days: int = DEFAULT_BUCKET_DAYS, pos: str = "_pos",
-                   total: str | None = None, fine_seconds: int | None = 60) -> DataFrame:
+                   total: str | None = None, fine_seconds: int | None = 60,
+                   hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Add the 0-based row position within ``keys`` ordered by ``order``.
 
     ``order`` must be a date or timestamp column.  Rows are counted per
     (key, week) - a partial aggregate - and the small per-key table of
-    weekly counts gives running offsets.  For timestamps a second level
-    counts per (key, week, minute), whose offsets inside each week come
-    from a window over at most 10080 minute counts.  The final numbering
-    then runs per (key, week, minute), so even a key holding a third of all
-    readings is numbered in bounded pieces.  With ``total`` the number of
-    rows of the key is added too.
+    weekly counts gives running offsets; the rows are then numbered per
+    (key, week).  A week holding more than ``hot_rows`` rows of one key (a
+    hot key) is split further for timestamp orders: only its rows are
+    counted per minute, offsets inside the week come from a window over at
+    most 10080 minute counts, and numbering runs per (key, week, minute).
+    Normal weeks pay nothing for this; hot ones are numbered in bounded
+    pieces.  With ``total`` the number of rows of the key is added too.
     """
     tiebreak = tiebreak or []
     t = F.col(order)
     b = df.withColumn("_bkt", F.floor(_epoch_days(t) / F.lit(bucket_days)))
-    two_level = bool(fine_seconds) and dict(df.dtypes)[order].startswith("timestamp")
+    split = bool(fine_seconds) and dict(df.dtypes)[order].startswith("timestamp")
     cnt = b.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
     wk = Window.partitionBy(*keys).orderBy("_bkt")
     off = cnt.withColumn("_off", F.coalesce(
         F.sum("_cnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     if total:
         off = off.withColumn(total, F.sum("_cnt").over(Window.partitionBy(*keys)))
-    off = off.drop("_cnt")
-    parts = [*keys, "_bkt"]
-    if two_level:
-        b = b.withColumn("_fine", F.floor(F.unix_micros(t.cast("timestamp")) / F.lit(fine_seconds * 1_000_000)))
-        cnt2 = b.groupBy(*keys, "_bkt", "_fine").agg(F.count(F.lit(1)).alias("_cnt"))
+    off = off.withColumn("_hot", F.col("_cnt") > F.lit(hot_rows) if split else F.lit(False)).drop("_cnt")
+    out = b.join(small(off), [*keys, "_bkt"])
+    if split:
+        fine = F.floor(F.unix_micros(t.cast("timestamp")) / F.lit(fine_seconds * 1_000_000))
+        out = out.withColumn("_fine", F.when(F.col("_hot"), fine).otherwise(F.lit(0)))
+        cnt2 = out.filter("_hot").groupBy(*keys, "_bkt", "_fine").agg(F.count(F.lit(1)).alias("_cnt"))
         w2 = Window.partitionBy(*keys, "_bkt").orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
-        off2 = cnt2.withColumn("_off2", F.coalesce(F.sum("_cnt").over(w2), F.lit(0))).drop("_cnt")
-        off = off2.join(small(off), [*keys, "_bkt"]).withColumn("_off", F.col("_off") + F.col("_off2")).drop("_off2")
+        off2 = cnt2.select(*keys, "_bkt", "_fine", F.coalesce(F.sum("_cnt").over(w2), F.lit(0)).alias("_off2"))
+        out = (out.join(small(off2), [*keys, "_bkt", "_fine"], "left")
+               .withColumn("_off", F.col("_off") + F.coalesce(F.col("_off2"), F.lit(0))).drop("_off2"))
         parts = [*keys, "_bkt", "_fine"]
-    out = b.join(small(off), parts)
+    else:
+        parts = [*keys, "_bkt"]
     w = Window.partitionBy(*parts).orderBy(t, *[F.col(c) for c in tiebreak])
     out = out.withColumn(pos, F.col("_off") + F.row_number().over(w) - 1)
-    return out.drop("_bkt", "_off", *(["_fine"] if two_level else []))
+    return out.drop("_bkt", "_off", "_hot", *(["_fine"] if split else []))
 
 
 def framed(df: DataFrame, keys: list[str], order: str, exprs, lo: int, hi: int,

@@ -110,11 +110,11 @@ def test_two_level_positions_on_timestamps(spark):
         (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(
             secs=((F.col("id") * 7919) % 2_000_000).cast("decimal(18,6)"))).alias("ts"),
         F.col("id"))
-    got = W.with_positions(d, ["k"], "ts", ["id"], bucket_days=1, fine_seconds=60, total="n")
     ref = d.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("ts", "id")) - 1)
-    a = {(r["id"], r["_pos"], r["n"]) for r in got.collect()}
     b = {(r["id"], r["r"], 1000) for r in ref.collect()}
-    assert a == b
+    for hot in (5, 40, 10_000):  # every day hot / some hot / none hot
+        got = W.with_positions(d, ["k"], "ts", ["id"], bucket_days=1, fine_seconds=60, total="n", hot_rows=hot)
+        assert {(r["id"], r["_pos"], r["n"]) for r in got.collect()} == b
     lagged = W.add_lags(d, ["k"], "ts", "id", [1, 5], tiebreak=["id"], chunk_rows=37, bucket_days=1)
     refl = d.withColumns({"lag_1": F.lag("id", 1).over(Window.partitionBy("k").orderBy("ts", "id")),
                           "lag_5": F.lag("id", 5).over(Window.partitionBy("k").orderBy("ts", "id"))})
