@@ -155,7 +155,12 @@ def mean_by_flag(df: DataFrame, flag: Column, value: str, name: str = "flag") ->
         F.avg(value).alias("mean_value"), F.count(F.lit(1)).alias("n_rows"))
 
 
-def cardinality(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def cardinality(df: DataFrame, cols: Sequence[str], approx: bool = False, rsd: float = 0.01) -> DataFrame:
+    """Distinct counts of several columns in one pass; ``approx`` uses the
+    mergeable HyperLogLog++ sketch (relative error ``rsd``), whose state per
+    task is fixed-size however many distinct values there are."""
+    if approx:
+        return df.agg(*[F.approx_count_distinct(c, rsd).alias(f"n_{c}") for c in cols])
     return df.agg(*[F.count_distinct(c).alias(f"n_{c}") for c in cols])
 
 

@@ -137,3 +137,10 @@ def test_holiday_flags_literal_and_table_paths_agree(spark):
     assert [(r["ts"], r["is_holiday"], r["is_pre_holiday"]) for r in a] == \
         [(r["ts"], r["is_holiday"], r["is_pre_holiday"]) for r in b]
     assert sum(r["is_holiday"] for r in a) == len(HOLIDAYS)
+
+
+def test_cardinality_exact_and_approx(spark, fx):
+    exact = A.cardinality(fx.counts, ["site_id", "type"]).collect()[0]
+    approx = A.cardinality(fx.counts, ["site_id", "type"], approx=True).collect()[0]
+    assert exact["n_type"] == approx["n_type"]
+    assert abs(exact["n_site_id"] - approx["n_site_id"]) <= max(2, 0.05 * exact["n_site_id"])
