@@ -91,27 +91,27 @@ def verify(pairs: DataFrame, variables: Sequence[str], a_sfx: str = "_act", f_sf
            by: Sequence[Column] = (), mape: str = "eps") -> DataFrame:
     """MAE, RMSE, MAPE, range-normalised MAE / RMSE per variable, long form.
 
-    The range (max - min of the actual) is always global, even with ``by``
-    groups: it comes from a one-row aggregate joined back.
+    All variables are measured in one aggregate pass (a wide row per
+    group, unpivoted with ``inline``); the range (max - min of the actual)
+    is always global, even with ``by`` groups, from a one-row aggregate.
     """
-    rng = pairs.agg(*[(F.max(v + a_sfx) - F.min(v + a_sfx)).alias(f"_r_{v}") for v in variables])
-    out = []
-    for v in variables:
+    aggs = []
+    for i, v in enumerate(variables):
         a, f = F.col(v + a_sfx), F.col(v + f_sfx)
         e = a - f
-        if mape == "eps":
-            ape = F.abs(e) / F.greatest(F.abs(a), F.lit(EPS))
-        else:
-            ape = F.when(a != 0, F.abs(e) / F.abs(a))
-        g = pairs.groupBy(*by).agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-                                   (F.avg(ape) * 100).alias("mape"), F.count(F.lit(1)).alias("n"))
-        g = g.crossJoin(bounded(rng.select(F.col(f"_r_{v}").alias("_r"))))
-        out.append(g.select(*[c for c in g.columns if c not in ("mae", "rmse", "mape", "n", "_r")],
-                            F.lit(v).alias("variable"), "mae", "rmse", "mape",
-                            F.try_divide(F.col("mae") * 100, F.col("_r")).alias("nmae_pct"),
-                            F.try_divide(F.col("rmse") * 100, F.col("_r")).alias("nrmse_pct"), "n"))
-    from functools import reduce
-    return reduce(lambda x, y: x.unionByName(y), out)
+        ape = (F.abs(e) / F.greatest(F.abs(a), F.lit(EPS))) if mape == "eps" else F.when(a != 0, F.abs(e) / F.abs(a))
+        aggs += [F.avg(F.abs(e)).alias(f"_mae{i}"), F.sqrt(F.avg(e * e)).alias(f"_rmse{i}"),
+                 (F.avg(ape) * 100).alias(f"_mape{i}")]
+    g = pairs.groupBy(*by).agg(*aggs, F.count(F.lit(1)).alias("_n"))
+    keys = [c for c in g.columns if not c.startswith("_")]
+    rng = pairs.agg(*[(F.max(v + a_sfx) - F.min(v + a_sfx)).alias(f"_r{i}") for i, v in enumerate(variables)])
+    g = g.crossJoin(bounded(rng))
+    rows = [F.struct(F.lit(v).alias("variable"), F.col(f"_mae{i}").alias("mae"), F.col(f"_rmse{i}").alias("rmse"),
+                     F.col(f"_mape{i}").alias("mape"),
+                     F.try_divide(F.col(f"_mae{i}") * 100, F.col(f"_r{i}")).alias("nmae_pct"),
+                     F.try_divide(F.col(f"_rmse{i}") * 100, F.col(f"_r{i}")).alias("nrmse_pct"),
+                     F.col("_n").alias("n")) for i, v in enumerate(variables)]
+    return g.select(*keys, F.inline(F.array(*rows)))
 
 
 def rel_error_by(pairs: DataFrame, a: str, f: str, by: Sequence[str]) -> DataFrame:
