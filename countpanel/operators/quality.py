@@ -196,6 +196,16 @@ def under_prediction(df: DataFrame, y: str, p: str, by: Sequence[Column]) -> Dat
 
 
 def compare_models(df: DataFrame, y: str, preds: Sequence[str]) -> DataFrame:
-    from functools import reduce
-    rows = [evaluate(df, y, p).withColumn("model", F.lit(p)) for p in preds]
-    return reduce(lambda a, b: a.unionByName(b), rows)
+    """evaluate() for several prediction columns in one aggregate pass, one
+    row per model (unpivoted with ``inline``)."""
+    aggs = [F.count(F.lit(1)).alias("_n"), F.avg(y).alias("_my"), F.var_pop(y).alias("_vy")]
+    for i, p in enumerate(preds):
+        e = F.col(y) - F.col(p)
+        aggs += [F.avg(F.abs(e)).alias(f"_mae{i}"), F.avg(e * e).alias(f"_mse{i}"), F.var_pop(e).alias(f"_ve{i}")]
+    g = df.agg(*aggs)
+    rows = [F.struct(F.col(f"_mae{i}").alias("mae"), F.sqrt(F.col(f"_mse{i}")).alias("rmse"),
+                     (1 - F.try_divide(F.col(f"_mse{i}") * F.col("_n"), F.col("_vy") * F.col("_n"))).alias("r2"),
+                     (1 - F.try_divide(F.col(f"_ve{i}"), F.col("_vy"))).alias("explained_variance"),
+                     F.col("_n").alias("n"), F.try_divide(F.col(f"_mae{i}"), F.col("_my")).alias("mae_over_mean"),
+                     F.lit(p).alias("model")) for i, p in enumerate(preds)]
+    return g.select(F.inline(F.array(*rows)))
