@@ -3,7 +3,6 @@ panel features) with DuckDB oracles over whole partitions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from countpanel.functions import dates as D
