@@ -43,12 +43,25 @@ def main() -> None:
     parts = ["# Physical plans of the headline queries", "",
              f"Generated by `scripts/explain_plans.py` on `{os.path.basename(sf)}` (local[8], AQE on; the",
              "initial plan before runtime re-optimisation). Operator outline plus the scan pushdown details.", ""]
+    texts = {}
     for name in HEADLINE:
         df = runner(reg[name])(spark, sf)
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             df.explain(mode="formatted")
-        text = buf.getvalue()
+        texts[name] = buf.getvalue()
+    parts += ["| query | shuffle exchanges | broadcasts | sort-merge joins | broadcast joins | windows | "
+              "partial top-k limits | scans with pushed filters |", "| --- | --- | --- | --- | --- | --- | --- | --- |"]
+    for name, text in texts.items():
+        tree = text.split("\n\n")[0]
+        ex = tree.count("Exchange (") - tree.count("BroadcastExchange (")
+        pushed = len(re.findall(r"PushedFilters: \[[^\]]+\]", text))
+        parts.append(f"| {name} | {ex} | {tree.count('BroadcastExchange (')} | {tree.count('SortMergeJoin')} | "
+                     f"{tree.count('BroadcastHashJoin')} | {tree.count('Window (')} | "
+                     f"{tree.count('WindowGroupLimit (')} | {pushed} |")
+    parts.append("")
+    for name in HEADLINE:
+        text = texts[name]
         parts += [f"## {name}", "", (reg[name].doc or "").splitlines()[0] if reg[name].doc else "", "", "```"]
         parts += summary(text)
         parts += ["```", ""]
