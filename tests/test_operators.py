@@ -144,3 +144,29 @@ def test_cardinality_exact_and_approx(spark, fx):
     approx = A.cardinality(fx.counts, ["site_id", "type"], approx=True).collect()[0]
     assert exact["n_type"] == approx["n_type"]
     assert abs(exact["n_site_id"] - approx["n_site_id"]) <= max(2, 0.05 * exact["n_site_id"])
+
+
+def test_verify_mape_modes_and_global_range(spark):
+    from countpanel.operators import quality as Q
+
+    rows = [(1, 0.0, 0.5, 10.0, 12.0), (1, 2.0, 1.0, 20.0, 18.0), (2, 4.0, 4.0, 30.0, 33.0)]
+    d = spark.createDataFrame(rows, "g int, p_act double, p_fc double, t_act double, t_fc double")
+    eps = {r["variable"]: r for r in Q.verify(d, ["p", "t"], mape="eps").collect()}
+    nz = {r["variable"]: r for r in Q.verify(d, ["p", "t"], mape="nonzero").collect()}
+    assert abs(eps["p"]["mae"] - 0.5) < 1e-12 and abs(eps["t"]["rmse"] - math.sqrt((4 + 4 + 9) / 3)) < 1e-12
+    assert eps["p"]["mape"] > 1e15                                  # 0.5 / 2.2e-16 dominates
+    assert abs(nz["p"]["mape"] - 25.0) < 1e-12                      # (0.5 + 0) / 2 nonzero rows
+    assert abs(eps["t"]["nmae_pct"] - (7 / 3) * 100 / 20) < 1e-12   # range of t_act = 20
+    by = {r["g"]: r for r in Q.verify(d, ["t"], by=[F.col("g")]).collect()}
+    assert abs(by[2]["nmae_pct"] - 3 * 100 / 20) < 1e-12            # global range, not the group's
+
+
+def test_compare_models_equals_evaluate(spark, fx):
+    from countpanel.operators import quality as Q
+
+    d = fx.pred.withColumn("shrunk", F.col("predicted") * 0.9)
+    both = {r["model"]: r for r in Q.compare_models(d, "actual", ["predicted", "shrunk"]).collect()}
+    for m in ("predicted", "shrunk"):
+        e = Q.evaluate(d, "actual", m).collect()[0]
+        for c in ("mae", "rmse", "r2", "explained_variance", "mae_over_mean"):
+            assert abs(both[m][c] - e[c]) < 1e-9, (m, c)
