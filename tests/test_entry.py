@@ -17,7 +17,7 @@ def test_oracles_are_a_subset_with_registered_names():
     assert set(o) <= set(q)
     assert len(q) >= 209
     for name, sql in o.items():
-        assert re.match(r"^[a-z][0-9]+_[a-z0-9_]+$|^integration_top_cities$", name), name
+        assert re.match(r"^[a-z][0-9]+_[a-z0-9_]+$|^op[0-9]+_[a-z0-9_]+$|^pipeline$|^integration_top_cities$", name), name
         assert "v_" in sql or "FROM" in sql.upper()
 
 
