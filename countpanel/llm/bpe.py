@@ -22,6 +22,7 @@ from __future__ import annotations
 import base64
 import heapq
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,7 @@ from countpanel.llm.common import ship, str_texts
 
 #: A vocabulary is broadcast to every executor; larger files are refused.
 MAX_VOCAB_BYTES = 64 << 20
-NONE = np.int64(1) << 40  # rank of a pair that does not merge
+NONE = np.iinfo(np.int32).max  # rank of a pair that does not merge
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -55,7 +56,7 @@ class Merges:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         keys, merged = [], []
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
@@ -65,18 +66,24 @@ class Merges:
                     merged.append(rank)
         order = np.argsort(np.array(keys, dtype=np.int64))
         self.keys = np.append(np.array(keys, dtype=np.int64)[order], np.iinfo(np.int64).max)
-        self.merged = np.append(np.array(merged, dtype=np.int64)[order], NONE)
+        self.merged = np.append(np.array(merged, dtype=np.int64)[order], NONE).astype(np.int32)
 
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the token that each pair merges into, else NONE."""
-        key = left << 32 | right
+        key = left.astype(np.int64) << 32 | right
         at = np.searchsorted(self.keys, key)
         return np.where(self.keys[at] == key, self.merged[at], NONE)
 
 
+def _ascending(places: np.ndarray) -> np.ndarray:
+    """Distinct places in order."""
+    places = np.sort(places)
+    return places[np.append(True, places[1:] != places[:-1])] if len(places) else places
+
+
 def replay(pieces: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
     """Encode distinct pieces: (ids of all pieces in a row, ids per piece)."""
-    whole = np.fromiter((merges.ranks.get(p, -1) for p in pieces), np.int64, len(pieces))
+    whole = np.fromiter((merges.ranks.get(p, -1) for p in pieces), np.int32, len(pieces))
     flat = [p for p, w in zip(pieces, whole.tolist()) if w < 0]
     sizes = np.fromiter(map(len, flat), np.int64, len(flat))
     n = int(sizes.sum())
@@ -84,13 +91,13 @@ def replay(pieces: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]
     if n == 0:
         return whole, counts
     tok = merges.byte_ids[np.frombuffer(b"".join(flat), np.uint8)]
-    nxt = np.arange(1, n + 1)
-    prv = np.arange(-1, n - 1)
+    nxt = np.arange(1, n + 1, dtype=np.int32)
+    prv = np.arange(-1, n - 1, dtype=np.int32)
     ends = np.cumsum(sizes)
     nxt[ends - 1] = -1
     prv[ends - sizes] = -1
-    rank = np.full(n, NONE)
-    inner = np.flatnonzero(nxt >= 0)
+    rank = np.full(n, NONE, np.int32)
+    inner = np.flatnonzero(nxt >= 0).astype(np.int32)
     rank[inner] = merges.pair_ranks(tok[inner], tok[inner + 1])
     alive = np.ones(n, bool)
     index: dict[int, list[np.ndarray]] = {}
@@ -118,7 +125,7 @@ def replay(pieces: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]
     while heap:
         r = heapq.heappop(heap)
         lists = index.pop(r)
-        at = lists[0] if len(lists) == 1 else np.unique(np.concatenate(lists))
+        at = lists[0] if len(lists) == 1 else _ascending(np.concatenate(lists))
         at = at[rank[at] == r]  # places whose pair has changed since are stale
         if not len(at):
             continue
@@ -137,42 +144,81 @@ def replay(pieces: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]
         has = after >= 0
         prv[after[has]] = at[has]
         before = prv[at]
-        touched = np.unique(np.concatenate([at[has], before[before >= 0]]))
+        touched = _ascending(np.concatenate([at[has], before[before >= 0]]))
         rank[touched] = merges.pair_ranks(tok[touched], tok[nxt[touched]])
         post(touched)
     left = np.add.reduceat(alive, ends - sizes, dtype=np.int64)
     counts[whole < 0] = left
-    ids = np.empty(int(counts.sum()), np.int64)
+    ids = np.empty(int(counts.sum()), np.int32)
     owner = np.repeat(whole, counts)
     ids[owner >= 0] = owner[owner >= 0]
     ids[owner < 0] = tok[alive]
     return ids, counts
 
 
-class _Places(dict):
-    """Distinct piece -> its number, given on first sight."""
+class _Numbers(dict):
+    """Distinct string -> its number, given on first sight."""
 
-    def __missing__(self, piece: str) -> int:
-        self[piece] = n = len(self)
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
         return n
 
 
+#: A space before more white space or at the end is not sure to begin a piece.
+UNSURE_SPACE = re.compile(r" (?=\s|\Z)")
+
+
+def _chunks(text: str) -> list[str]:
+    """Cut before spaces that begin a piece in any case: those followed by
+    something other than white space.  Each chunk but the first stands for
+    itself after one space."""
+    parts = text.split(" ")
+    if not UNSURE_SPACE.search(text):
+        return parts
+    chunks = parts[:1]
+    for part in parts[1:]:
+        if part == "" or part[0].isspace():
+            chunks[-1] += " " + part
+        else:
+            chunks.append(part)
+    return chunks
+
+
+def _gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Indices of the ranges [start, start + size), one after the other."""
+    ends = np.cumsum(sizes)
+    if not len(ends) or not ends[-1]:
+        return np.zeros(0, np.int64)
+    return np.arange(ends[-1]) + np.repeat(starts - (ends - sizes), sizes)
+
+
 def encode_texts(column: pa.Array, merges: Merges, pattern: regex.Pattern) -> pa.Array:
-    """Ids of every text of a string column."""
-    pieces, per_text, occurrences = _Places(), np.zeros(len(column), np.int64), []
+    """Ids of every text of a string column.
+
+    Texts are cut into chunks at sure piece borders, so the pattern runs once
+    over each distinct chunk and the merges once over each distinct piece."""
+    first, later = _Numbers(), _Numbers()
+    per_text, found = np.zeros(len(column), np.int64), []
     for i, text in str_texts(column):
-        found = np.array(list(map(pieces.__getitem__, pattern.findall(text))), np.int32)
-        per_text[i] = len(found)
-        occurrences.append(found)
-    where = np.concatenate(occurrences) if occurrences else np.zeros(0, np.int32)
-    ids, counts = replay([p.encode() for p in pieces], merges)
-    first = np.cumsum(counts) - counts
-    sizes = counts[where] if len(pieces) else np.zeros(0, np.int64)
-    ends = np.cumsum(sizes)
-    total = int(ends[-1]) if len(ends) else 0
-    source = np.arange(total) + np.repeat(first[where] - (ends - sizes), sizes) if total else np.zeros(0, np.int64)
-    offsets = np.append(0, ends)[np.append(0, np.cumsum(per_text))]
-    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids[source].astype(np.int32)))
+        chunks = _chunks(text)
+        numbers = np.array([-1 - first[chunks[0]], *map(later.__getitem__, chunks[1:])], np.int32)
+        per_text[i] = len(numbers)
+        found.append(numbers)
+    where = np.concatenate(found) if found else np.zeros(0, np.int32)
+    where = np.where(where < 0, -1 - where, where + np.int32(len(first)))
+    pieces = _Numbers()
+    cut = [pattern.findall(c) for c in first] + [pattern.findall(" " + c) for c in later]
+    of_chunk = np.fromiter((pieces[p] for c in cut for p in c), np.int32)
+    n_pieces = np.fromiter(map(len, cut), np.int64, len(cut))
+    ids, n_ids = replay([p.encode() for p in pieces], merges)
+    # ids of each distinct chunk, then of each text
+    sizes = n_ids[of_chunk]
+    chunk_ids = ids[_gather((np.cumsum(n_ids) - n_ids)[of_chunk], sizes)].astype(np.int32)
+    ends = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(n_pieces))]
+    sizes = np.diff(ends)[where]
+    offsets = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(per_text))]
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)),
+                                    pa.array(chunk_ids[_gather(ends[:-1][where], sizes)]))
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text",
