@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countpanel.llm import bpe
+from countpanel.llm import bpe, simhash
 from countpanel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,13 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return deco
 
 
+@register("op6_simhash")
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document (4-word shingles, 4 bits)."""
+    found = simhash.components(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 @register("op10_bpe")
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes they decode to, as digests."""
