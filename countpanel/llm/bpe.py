@@ -1,7 +1,8 @@
 """Byte-level BPE encoding and decoding by corpus-level merge replay.
 
 The corpus is not encoded word by word.  Each task takes its block of
-documents (one Arrow batch), cuts the texts into pieces with the tokenizer's
+documents (rows of an Arrow batch up to
+``BLOCK_BYTES`` of text), cuts the texts into pieces with the tokenizer's
 pattern and keeps every distinct piece once.  All distinct pieces lie in one
 flat array of tokens, with an inverted index from merge rank (token pair) to
 the positions where that pair stands.  The merges are replayed over the whole
@@ -23,7 +24,9 @@ import base64
 import heapq
 import os
 import re
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +35,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from countpanel.llm.common import ship, str_texts
+from countpanel.llm.common import blocks, ship, str_texts
 
 #: A vocabulary is broadcast to every executor; larger files are refused.
 MAX_VOCAB_BYTES = 64 << 20
+#: Texts replayed together; bounds a task's memory (a longer text is a block alone).
+BLOCK_BYTES = 12 << 20
 NONE = np.iinfo(np.int32).max  # rank of a pair that does not merge
 
 
@@ -206,15 +211,18 @@ def encode_texts(column: pa.Array, merges: Merges, pattern: regex.Pattern) -> pa
         found.append(numbers)
     where = np.concatenate(found) if found else np.zeros(0, np.int32)
     where = np.where(where < 0, -1 - where, where + np.int32(len(first)))
-    pieces = _Numbers()
-    cut = [pattern.findall(c) for c in first] + [pattern.findall(" " + c) for c in later]
-    of_chunk = np.fromiter((pieces[p] for c in cut for p in c), np.int32)
-    n_pieces = np.fromiter(map(len, cut), np.int64, len(cut))
+    pieces, n_pieces, cut = _Numbers(), array("q"), array("i")
+    for chunk in chain(first, (" " + c for c in later)):
+        here = pattern.findall(chunk)
+        n_pieces.append(len(here))
+        cut.extend(map(pieces.__getitem__, here))
+    del first, later
+    of_chunk = np.frombuffer(cut, np.int32)
     ids, n_ids = replay([p.encode() for p in pieces], merges)
     # ids of each distinct chunk, then of each text
     sizes = n_ids[of_chunk]
     chunk_ids = ids[_gather((np.cumsum(n_ids) - n_ids)[of_chunk], sizes)].astype(np.int32)
-    ends = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(n_pieces))]
+    ends = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(np.frombuffer(n_pieces, np.int64)))]
     sizes = np.diff(ends)[where]
     offsets = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(per_text))]
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)),
@@ -230,8 +238,9 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges, compiled = Merges(shared.value), regex.compile(pattern)
         for batch in batches:
-            row = batch.column(0)
-            yield pa.RecordBatch.from_arrays([row, encode_texts(row.field(text), merges, compiled)], ["row", out])
+            for lo, size in blocks(batch.column(0).field(text), BLOCK_BYTES):
+                row = batch.column(0).slice(lo, size)
+                yield pa.RecordBatch.from_arrays([row, encode_texts(row.field(text), merges, compiled)], ["row", out])
 
     schema = T.StructType([rows.schema["row"], T.StructField(out, T.ArrayType(T.IntegerType()))])
     return rows.mapInArrow(run, schema)

@@ -6,7 +6,9 @@ import sys
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,4 +50,16 @@ def str_texts(column: pa.Array, step: int = 256) -> Iterator[tuple[int, str]]:
             yield i, s or ""
 
 
+def blocks(column: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
+    """(first row, number of rows) of runs of rows with at most ``limit``
+    bytes of text, one row at least."""
+    n = len(column)
+    ends = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)))
+    lo = 0
+    while lo < n:
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + limit, side="right")) - 1)
+        yield lo, hi - lo
+        lo = hi
+
+
 ship(__name__)
