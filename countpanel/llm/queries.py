@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countpanel.llm import bpe, simhash, substrings
+from countpanel.llm import bpe, decontaminate, simhash, substrings
 from countpanel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,14 @@ def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@register("op9_decontaminate")
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that each leaking document holds, and where."""
+    found = decontaminate.scan(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                               table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), F.explode("hits").alias("hit")).select("doc_id", "hit.*")
+
+
 @register("op10_bpe")
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes they decode to, as digests."""
