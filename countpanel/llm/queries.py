@@ -6,10 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countpanel.llm import bpe, decontaminate, simhash, substrings
+from countpanel.llm import bpe, decontaminate, simhash, substrings, toxicity
 from countpanel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,22 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return deco
 
 
+def held_out(doc_id: Column, of: int, part: int) -> Column:
+    """Whether a document belongs to the fold that is never learned from."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % of == part, F.lit(False))
+
+
+@register("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; fold 2 of 4 is not learned from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), lambda i: ~held_out(i, 4, 2))
+    found = toxicity.score(docs, model)
+    return found.select(F.col("row.doc_id").alias("doc_id"), held_out(F.col("row.doc_id"), 4, 2).alias("held_out"),
+                        "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+                        F.size("passages").alias("n_passages"))
+
+
 @register("op6_simhash")
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document (4-word shingles, 4 bits)."""
