@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countpanel.llm import bpe, decontaminate, simhash, substrings, toxicity
+from countpanel.llm import bpe, decontaminate, language, simhash, substrings, toxicity
 from countpanel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,16 @@ def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@register("op8_language")
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; fold 1 of 3 is not learned from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs, lambda i: ~held_out(i, 3, 1))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select(F.col("row.doc_id").alias("doc_id"), held_out(F.col("row.doc_id"), 3, 1).alias("held_out"),
+                        "lang_pred", "score", F.array_join("languages", ",").alias("languages"))
+
+
 @register("op9_decontaminate")
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark items that each leaking document holds, and where."""
