@@ -43,7 +43,7 @@ from countpanel.llm.common import byte_texts, ship
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16)}
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2^64
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-EMPTY = np.zeros(0, np.int64)
+NO_PLACE = (1 << 30) - 1  # position of rows that only count
 
 
 def cover_for(window: int) -> tuple[int, tuple[int, ...]]:
@@ -80,19 +80,23 @@ class Roller:
 
 
 def _settle(hashes: np.ndarray, extra: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of a block's hashes: (order that sorts them, for each in that order
-    whether it repeats in the block)."""
+    """Of a block's hashes: (whether each repeats in the block, whether it is
+    the first of a repeated hash)."""
     order = np.lexsort((extra, hashes)) if len(extra) else np.argsort(hashes, kind="stable")
-    h = hashes[order]
-    same = h[1:] == h[:-1]
+    same = hashes[order][1:] == hashes[order][:-1]
     if len(extra):
         same &= extra[order][1:] == extra[order][:-1]
-    return order, np.append(False, same) | np.append(same, False)
+    again, first = np.zeros(len(hashes), bool), np.zeros(len(hashes), bool)
+    again[order] = np.append(False, same) | np.append(same, False)
+    first[order] = np.append(True, ~same)
+    return again, again & first
 
 
 def _block_rows(hashes: list[np.ndarray], extra: list[np.ndarray], doc: list[int], positions: list[np.ndarray],
                 ids: pa.Array, text_hashes: pa.Array) -> pa.RecordBatch | None:
-    """Rows (hash, extra, doc_id, text_hash, pos, times) of one block.
+    """Rows (hash, doc_id, text_hash, tail) of one block, in document order
+    (neighbours compress well); tail packs 32 more bits of hash, the position
+    (-1 as all ones) and times.
 
     A hash that stands once: its place, times 1.  A repeated hash: one row
     without a place, times 2, for the other blocks; and its places under hashes
@@ -102,27 +106,25 @@ def _block_rows(hashes: list[np.ndarray], extra: list[np.ndarray], doc: list[int
     h = np.concatenate(hashes)
     if not len(h):
         return None
-    e = np.concatenate(extra) if extra else np.zeros(len(h), np.int64)
+    e = np.concatenate(extra) if extra else np.zeros(len(h), np.uint64)
     owner = np.repeat(np.array(doc, np.int64), [len(x) for x in hashes])
-    pos = np.concatenate(positions)
-    order, again = _settle(h, e if extra else EMPTY)
-    h, e, owner, pos = h[order], e[order], owner[order], pos[order]
-    first = again & np.append(True, (h[1:] != h[:-1]) | (e[1:] != e[:-1]))
-    own = (h ^ (owner.astype(np.uint64) << np.uint64(33)) ^ pos.astype(np.uint64)) * np.uint64(0x94D049BB133111EB)
+    pos = np.concatenate(positions).astype(np.uint64)
+    again, first = _settle(h, e if extra else e[:0])
+    own = (h ^ (owner.astype(np.uint64) << np.uint64(33)) ^ pos) * np.uint64(0x94D049BB133111EB)
     key = np.where(again, own, h)
+    tail = e << np.uint64(32) | pos << np.uint64(2) | np.where(again, np.uint64(2), np.uint64(1))
+    spread = e[first] << np.uint64(32) | np.uint64(NO_PLACE << 2 | 2)
     n = int(first.sum())
     owners = pa.array(owner)
     return pa.RecordBatch.from_arrays(
         [pa.array(np.concatenate([key, h[first]]).view(np.int64)),
-         pa.array(np.concatenate([e, e[first]])),
          pa.concat_arrays([ids.take(owners), pa.nulls(n, pa.int64())]),
          pa.concat_arrays([text_hashes.take(owners), pa.nulls(n, pa.int64())]),
-         pa.array(np.concatenate([pos, np.full(n, -1)]).astype(np.int32)),
-         pa.array(np.concatenate([np.where(again, 2, 1), np.full(n, 2)]).astype(np.int32))],
-        ["hash", "extra", "doc_id", "text_hash", "pos", "times"])
+         pa.array(np.concatenate([tail, spread]).view(np.int64))],
+        ["hash", "doc_id", "text_hash", "tail"])
 
 
-ROWS = "hash long, extra long, doc_id long, text_hash long, pos int, times int"
+ROWS = "hash long, doc_id long, text_hash long, tail long"
 
 
 def _anchors(window: int, period: int, cover: tuple[int, ...]):
@@ -172,7 +174,7 @@ def _windows(window: int, period: int):
                 prefix = roller.prefix(words)
                 hashes.append(roller.stretches(prefix, at, window))
                 half = roller.stretches(prefix, at, window // 2 + 1)
-                extra.append((half >> np.uint64(32)).astype(np.int64))
+                extra.append(half >> np.uint64(32))
                 doc.append(i)
                 positions.append(at)
             rows = _block_rows(hashes, extra, doc, positions, batch.column(0), batch.column(1))
@@ -182,10 +184,13 @@ def _windows(window: int, period: int):
     return run
 
 
-def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
+def _repeated(rows: DataFrame) -> DataFrame:
     """(doc_id, text_hash, places) of the rows whose hash occurs twice or more."""
-    times = F.sum("times").over(Window.partitionBy(*keys))
-    return (rows.withColumn("total", times).where("total >= 2 and pos >= 0")
+    extra = F.shiftrightunsigned("tail", 32)
+    place = F.shiftrightunsigned("tail", 2).bitwiseAND(F.lit(NO_PLACE)).cast("int")
+    times = F.sum(F.col("tail").bitwiseAND(F.lit(3))).over(Window.partitionBy("hash", "extra"))
+    return (rows.repartition("hash").withColumns({"extra": extra, "pos": place}).withColumn("total", times)
+            .where((F.col("total") >= 2) & (F.col("pos") != NO_PLACE))
             .groupBy("doc_id", "text_hash").agg(F.collect_list("pos").alias("places")))
 
 
@@ -224,15 +229,14 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     period, cover = cover_for(window)
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.xxhash64(F.col(f"`{text}`")).alias("text_hash"),
                        F.col(f"`{text}`").alias("text"))
-    anchors = _repeated(rows.mapInArrow(_anchors(window, period, cover), ROWS).drop("extra"), ["hash"])
+    anchors = _repeated(rows.mapInArrow(_anchors(window, period, cover), ROWS))
 
     def with_places(places: DataFrame, how: str) -> DataFrame:
         p = places.select(F.col("doc_id").alias("p_id"), F.col("text_hash").alias("p_hash"), "places")
         same = F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("text_hash") == F.col("p_hash"))
         return rows.join(p, same, how).select("doc_id", "text_hash", "text", "places")
 
-    windows = _repeated(with_places(anchors, "inner").mapInArrow(_windows(window, period), ROWS),
-                        ["hash", "extra"])
+    windows = _repeated(with_places(anchors, "inner").mapInArrow(_windows(window, period), ROWS))
     return with_places(windows, "left").mapInArrow(
         _kept(window), "doc_id long, n_words long, n_removed long, kept_text string")
 
