@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countpanel.llm import bpe, decontaminate, language, simhash, substrings, toxicity
+from countpanel.llm import bpe, decontaminate, language, oracles, pii, quality, simhash, substrings, toxicity
 from countpanel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,25 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("passages").alias("n_passages"))
 
 
+@register("op4_pii")
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, by kind and place."""
+    found = pii.spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = pii.of_kind(F.col("spans"), *pii.BASE)
+    counts = [F.size(pii.of_kind(F.col("spans"), k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    return found.select(F.col("row.doc_id").alias("doc_id"), *counts,
+                        F.sha2(pii.written(base), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
+
+
+@register("op5_quality", oracles.QUALITY)
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger of every document, judged by the base policy and by v1."""
+    book = quality.ledger(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return book.select(F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                       "n_repeat_words", (~quality.kept(F.col("mask"), "base")).alias("base_failed"),
+                       quality.kept(F.col("mask"), "v1").alias("kept"))
+
+
 @register("op6_simhash")
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document (4-word shingles, 4 bits)."""
