@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from countpanel.llm.licenses import LOWER, PHRASES, TEMPLATES, UPPER
+
 WORDS = r"'[^\x20\x09-\x0D]+'"
 
 QUALITY = rf"""
@@ -39,3 +41,35 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
     OR 100 * n_upper > 30 * n_words OR 100 * n_unique < 15 * least(n_words, 400)) AS kept
 FROM m
 """
+
+
+def _licenses() -> str:
+    """Phrases by consecutive words, templates by brute force over all lines."""
+    word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    lower = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
+    phrases = ", ".join(f"({[w for w in p.split()]!r}, '{label}')" for p, label in PHRASES.items())
+    templates = ", ".join(f"({sorted(set(t.split()))!r}, '{label}')" for t, label in TEMPLATES)
+    return f"""
+WITH w AS (SELECT doc_id, {lower} AS lower, regexp_extract_all({lower}, {word}) AS words FROM documents),
+phrases(phrase, label) AS (VALUES {phrases}),
+templates(own, label) AS (VALUES {templates}),
+starts AS (SELECT doc_id, words, unnest(range(len(words))) AS i FROM w),
+places AS (SELECT doc_id, i, label FROM starts, phrases
+           WHERE words[i + 1] = phrase[1] AND words[i + 1 : i + len(phrase)] = phrase),
+base AS (SELECT doc_id, count(*) AS n, min(i) AS first, max(i) AS last, list(DISTINCT label) AS labels
+         FROM places GROUP BY doc_id),
+blocks AS (SELECT DISTINCT doc_id, unnest(string_split(lower, chr(10))) AS block FROM w),
+held AS (SELECT doc_id, label, len(list_intersect(regexp_extract_all(block, {word}), own)) / len(own) AS containment
+         FROM blocks, templates),
+found AS (SELECT doc_id, list(DISTINCT label) AS labels, max(containment) AS best FROM held
+          WHERE containment >= 0.8 GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(base.n, 0) AS BIGINT) AS n_base,
+  CAST(first AS BIGINT) AS first_word, CAST(last AS BIGINT) AS last_word,
+  coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(base.labels, found.labels))), ','), '') AS labels,
+  CASE WHEN base.n > 0 THEN 1.0 ELSE coalesce(best, 0.0) END::DOUBLE AS score
+FROM w LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
+LICENSES = _licenses()

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countpanel.llm import bpe, decontaminate, language, oracles, pii, quality, simhash, substrings, toxicity
+from countpanel.llm import bpe, decontaminate, language, licenses, oracles, pii, quality, simhash, substrings, toxicity
 from countpanel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("passages").alias("n_passages"))
 
 
+@register("op3_licenses", oracles.LICENSES)
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @register("op4_pii")
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document, by kind and place."""
