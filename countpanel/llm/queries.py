@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from countpanel.llm import bpe, decontaminate, language, licenses, oracles, pii, quality, simhash, substrings, toxicity
 from countpanel.llm.common import table
 
@@ -108,3 +109,6 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(encoded, ranks).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe.ids_sha256(F.col("ids")).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
