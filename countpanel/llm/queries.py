@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from countpanel.llm import bpe, decontaminate, language, licenses, oracles, pii, quality, simhash, substrings, toxicity
+from countpanel.llm import bpe, decontaminate, language, licenses, oracles, pii, quality, simhash, substrings, toxicity, urls
 from countpanel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,14 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return deco
 
 
+@register("op1_urls")
+def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url, by the rules or its path template."""
+    found = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return found.select(F.col("row.page_id").alias("page_id"), "host", "path", "rule", "verdict", "template",
+                        F.round("purity", 9).alias("purity"))
+
+
 def held_out(doc_id: Column, of: int, part: int) -> Column:
     """Whether a document belongs to the fold that is never learned from."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % of == part, F.lit(False))
