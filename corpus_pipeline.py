@@ -52,9 +52,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document: their number and digest, and the digest of
     the bytes that they decode to."""
     ranks = bpe.load_ranks(VOCABULARY)
-    ids = bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(ids.select(F.col("row.doc_id").alias("doc_id"), "ids"), ranks).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe.ids_sha256(F.col("ids")).alias("ids_sha256"),
+    return bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN, decoded="decoded").select(
+        F.col("row.doc_id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), bpe.ids_sha256(F.col("ids")).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -229,20 +229,34 @@ def encode_texts(column: pa.Array, merges: Merges, pattern: regex.Pattern) -> pa
                                     pa.array(chunk_ids[_gather(ends[:-1][where], sizes)]))
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text",
-           out: str = "ids") -> DataFrame:
-    """(row: the input row as a struct, ``out``: array of ids) per input row."""
+def decode_ids(column: pa.Array, tokens: dict[int, bytes]) -> pa.Array:
+    """The bytes that every list of ids stands for."""
+    decoded: list[bytes] = []
+    for lo in range(0, len(column), 256):
+        decoded += [b"".join(map(tokens.__getitem__, x or ())) for x in column.slice(lo, 256).to_pylist()]
+    return pa.array(decoded, pa.binary())
+
+
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", out: str = "ids",
+           decoded: str | None = None) -> DataFrame:
+    """(row: the input row as a struct, ``out``: array of ids) per input row.
+    With ``decoded``, the ids are decoded again by the same task into a binary
+    column of that name."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges, compiled = Merges(shared.value), regex.compile(pattern)
+        tokens = {rank: token for token, rank in merges.ranks.items()} if decoded else {}
         for batch in batches:
             for lo, size in blocks(batch.column(0).field(text), BLOCK_BYTES):
                 row = batch.column(0).slice(lo, size)
-                yield pa.RecordBatch.from_arrays([row, encode_texts(row.field(text), merges, compiled)], ["row", out])
+                ids = encode_texts(row.field(text), merges, compiled)
+                more = [decode_ids(ids, tokens)] if decoded else []
+                yield pa.RecordBatch.from_arrays([row, ids, *more], ["row", out, *([decoded] if decoded else [])])
 
-    schema = T.StructType([rows.schema["row"], T.StructField(out, T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([rows.schema["row"], T.StructField(out, T.ArrayType(T.IntegerType())),
+                           *([T.StructField(decoded, T.BinaryType())] if decoded else [])])
     return rows.mapInArrow(run, schema)
 
 
@@ -254,11 +268,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: s
         tokens = {rank: token for token, rank in shared.value.items()}
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids))
-            decoded: list[bytes] = []
-            for lo in range(0, len(column), 256):
-                decoded += [b"".join(map(tokens.__getitem__, x or ())) for x in column.slice(lo, 256).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())],
-                                             [*batch.schema.names, out])
+            yield pa.RecordBatch.from_arrays([*batch.columns, decode_ids(column, tokens)], [*batch.schema.names, out])
 
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField(out, T.BinaryType())]))
 

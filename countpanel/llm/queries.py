@@ -113,9 +113,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes they decode to, as digests."""
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN).select(F.col("row.doc_id").alias("doc_id"), "ids")
-    return bpe.decode(encoded, ranks).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe.ids_sha256(F.col("ids")).alias("ids_sha256"),
+    return bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded="decoded").select(
+        F.col("row.doc_id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), bpe.ids_sha256(F.col("ids")).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
