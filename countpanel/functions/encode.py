@@ -29,13 +29,14 @@ def apply_codes(df: DataFrame, codes: DataFrame, key: str) -> DataFrame:
 
 
 def one_hot(df: DataFrame, cols: list[str], suffix: str = "_vec") -> DataFrame:
-    """One-hot vectors; categories unseen at fit become the all-zero vector."""
+    """One-hot vectors; categories unseen at fit become the all-zero vector
+    (the indexer gives them one slot past the known ones, which the encoder
+    drops)."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import OneHotEncoder, StringIndexer
 
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep",
                          stringOrderType="alphabetAsc") for c in cols]
     ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in cols],
-                        outputCols=[f"{c}{suffix}" for c in cols], dropLast=True,
-                        handleInvalid="keep")
+                        outputCols=[f"{c}{suffix}" for c in cols], dropLast=True)
     return Pipeline(stages=idx + [ohe]).fit(df)

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from countpanel.functions.dates import floor_to, is_rush_hour, weekday0
-from countpanel.session import BROADCAST_LIMIT_BYTES, bounded, estimated_size, small
+from countpanel.operators.windows import join_null_safe
+from countpanel.session import ONE_TASK_BYTES, bounded, estimated_size, small
 
 
 def _c(c) -> Column:
@@ -325,13 +326,15 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[s
     is at most ``accuracy`` values).
 
     ``distributed=None`` decides by the optimizer's size estimate: an input
-    small enough to sit in one task uses the single-pass ``percentile``.
+    small enough to sit in one task uses the single-pass ``percentile``.  Both
+    ways return the same rows: a null key is a group, and a group without
+    values has null quantiles.
     """
     by = list(by)
     names = list(names or [f"q{int(round(q * 100))}" for q in qs])
     if distributed is None:
         size = estimated_size(df)
-        distributed = size is None or size > BROADCAST_LIMIT_BYTES
+        distributed = size is None or size > ONE_TASK_BYTES
     if not distributed:
         return df.groupBy(*by).agg(*[F.percentile(F.col(col).cast("double"), float(q)).alias(n)
                                      for q, n in zip(qs, names)])
@@ -340,6 +343,7 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[s
     bounds = []
     for q in qs:
         bounds += [max(0.0, q - eps), min(1.0, q + eps)]
+    groups = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
     st = d.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"),
                             F.percentile_approx("_x", F.array(*[F.lit(b) for b in bounds]), accuracy).alias("_b"))
     big = F.col("_n") >= accuracy
@@ -349,7 +353,7 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[s
     st = (st.select(*by, "_n", F.explode(qa).alias("_s")).select(*by, "_n", "_s.*")
           .withColumn("_pos", F.col("_q") * (F.col("_n") - 1))
           .withColumn("_f", F.floor("_pos")).withColumn("_c", F.ceil("_pos")))
-    j = d.join(small(st), by) if by else d.crossJoin(bounded(st))
+    j = join_null_safe(d, small(st), by) if by else d.crossJoin(bounded(st))
     keys = [*by, "_qi"]
     below = j.groupBy(*keys).agg(F.count_if(F.coalesce(F.col("_x") < F.col("_lo"), F.lit(False))).alias("_below"))
     band = (j.filter(F.coalesce(F.col("_x") >= F.col("_lo"), F.lit(True))
@@ -357,7 +361,7 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[s
             .groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_k")))
     w = Window.partitionBy(*keys).orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
     band = band.withColumn("_end", F.sum("_k").over(w)).withColumn("_start", F.col("_end") - F.col("_k"))
-    t = band.join(below, keys).join(st.select(*keys, "_pos", "_f", "_c"), keys)
+    t = join_null_safe(join_null_safe(band, below, keys), st.select(*keys, "_pos", "_f", "_c"), keys)
     tf = F.col("_f") - F.col("_below")
     tc = F.col("_c") - F.col("_below")
     hit = lambda r: (F.col("_start") <= r) & (r < F.col("_end"))
@@ -366,4 +370,7 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[s
     val = F.when(F.col("_f") == F.col("_c"), F.col("_vf")).otherwise(
         (F.col("_c") - F.col("_pos")) * F.col("_vf") + (F.col("_pos") - F.col("_f")) * F.col("_vc"))
     v = v.withColumn("_v", val)
-    return v.groupBy(*by).agg(*[F.max(F.when(F.col("_qi") == i, F.col("_v"))).alias(n) for i, n in enumerate(names)])
+    v = v.groupBy(*by).agg(*[F.max(F.when(F.col("_qi") == i, F.col("_v"))).alias(n) for i, n in enumerate(names)])
+    if not by:
+        return v
+    return join_null_safe(groups, v, by, "left").drop("_rows")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -88,6 +90,8 @@ def isolation_flags(df: DataFrame, key: str, ds: str, feats: list[str], trees: i
     cost is linear in the series length.
     """
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        # the seeded draw picks rows by position: fix the order of the rows
+        pdf = pdf.sort_values([ds, *feats], kind="stable", ignore_index=True)
         out = pd.DataFrame({key: pdf[key].values, ds: pdf[ds].values})
         out["iso_score"] = np.nan
         out["sensor_fault"] = 0
@@ -99,7 +103,7 @@ def isolation_flags(df: DataFrame, key: str, ds: str, feats: list[str], trees: i
         sd = xv.std(axis=0)
         sd[sd == 0] = 1.0
         z = (xv - xv.mean(axis=0)) / sd
-        rng = np.random.default_rng(seed + int(pdf[key].iloc[0]))
+        rng = np.random.default_rng([seed, zlib.crc32(str(pdf[key].iloc[0]).encode())])
         s = _iforest_scores(z, trees, sample, rng)
         thr = np.quantile(s, 1.0 - share)
         scores = np.full(len(pdf), np.nan)

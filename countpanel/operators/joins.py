@@ -22,14 +22,18 @@ from countpanel.session import bounded, small
 def join_weather(facts: DataFrame, weather: DataFrame, keys: Sequence[str] = ("site_id", "time"),
                  cols: Sequence[str] | None = None) -> DataFrame:
     """Facts left-joined to hourly weather on (site, hour).  The weather side
-    is deduplicated on the key first so the fact row count cannot grow."""
+    is deduplicated on the key first so the fact row count cannot grow; of
+    differing duplicates the smallest row (column by column) is kept."""
     keys = list(keys)
     w = weather.select(*keys, *(cols or [c for c in weather.columns if c not in keys]))
     return facts.join(join_unique_side(w, keys), keys, "left")
 
 
 def join_unique_side(df: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
-    return dedupe(df, keys, order)
+    """One row per key: the first in ``order``, then by all other columns, so
+    the kept row does not depend on partitioning."""
+    rest = [F.col(c) for c in df.columns if c not in keys]
+    return dedupe(df, keys, [*(order or []), *rest]) if order or rest else df.distinct()
 
 
 # J2 / J3 ----------------------------------------------------------------
@@ -145,10 +149,6 @@ def unmatched(left: DataFrame, right: DataFrame, lcol: str, rcol: str,
 EARTH_M_PER_DEG = 111320.0
 
 
-def _cell(lat: Column, lon: Column, deg: float) -> tuple[Column, Column]:
-    return F.floor(lat / F.lit(deg)).cast("long"), F.floor(lon / F.lit(deg)).cast("long")
-
-
 def distance_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column, metric: str = "haversine") -> Column:
     if metric == "flat":
         # degrees x 111320 (no longitude shrink): parity option
@@ -160,46 +160,64 @@ def distance_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column, metric: s
     return F.lit(2 * r) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
 
 
-def _grid_pairs(sites: DataFrame, poi: DataFrame, metres: float, metric: str, max_lat: float) -> DataFrame:
+def _columns_of_band(band: Column, deg: float, metres: float, metric: str) -> Column:
+    """Number of longitude columns in a latitude band: each at least as wide
+    as ``metres`` reach anywhere in the band or its neighbours."""
+    if metric == "flat":
+        return F.floor(F.lit(360.0 / deg)).cast("long")
+    reach = F.least(F.lit(90.0), F.greatest(F.abs(band * deg), F.abs((band + 1) * deg)) + F.lit(deg))
+    shrink = F.greatest(F.cos(F.radians(reach)), F.lit(1e-9))
+    half = F.asin(F.least(F.lit(1.0), F.lit(math.sin(min(metres / (2 * 6371008.8), math.pi / 2))) / shrink))
+    return F.greatest(F.lit(1), F.floor(F.lit(2 * math.pi) / (2 * half * 1.001))).cast("long")
+
+
+def _grid_pairs(sites: DataFrame, poi: DataFrame, metres: float, metric: str) -> DataFrame:
     """Site x POI pairs within ``metres`` through a grid equi-join.
 
-    Cell side in degrees >= radius, so every partner lies in the 3 x 3
-    neighbourhood; the POI side is exploded to its 9 cells and joined on
-    the cell id (an equi-join, no cartesian product), then filtered on the
-    exact distance.
+    The earth is cut into latitude bands at least ``metres`` high, and every
+    band into its own number of longitude columns, as wide as ``metres`` reach
+    at the band's latitude; columns wrap around at 180 degrees (haversine).
+    Every partner of a site lies in the site's band or a neighbouring one, and
+    in its column or a neighbouring one, so the POI side is exploded to those
+    cells and joined on the cell id (an equi-join whose hot cells AQE splits;
+    no cartesian product), then filtered on the exact distance.
     """
     deg = metres / EARTH_M_PER_DEG
     if metric == "haversine":
-        # a degree of latitude is 2*pi*R/360 m on the sphere, and longitude
-        # degrees shrink with latitude: widen the cell for both (with margin)
-        deg = metres / (2 * math.pi * 6371008.8 / 360.0) / max(math.cos(math.radians(max_lat)), 1e-6) * 1.001
+        deg = metres / (2 * math.pi * 6371008.8 / 360.0) * 1.001  # a degree of latitude on the sphere, with margin
+
+    def column(lon: Column, n: Column) -> Column:
+        return F.floor((lon + F.lit(180.0)) / F.lit(360.0) * n).cast("long")
+
     s = sites.select(F.col("site_id"), F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"))
-    cy, cx = _cell(F.col("s_lat"), F.col("s_lon"), deg)
-    s = s.withColumn("_cy", cy).withColumn("_cx", cx)
+    s = s.withColumn("_cy", F.floor(F.col("s_lat") / F.lit(deg)).cast("long"))
+    n = _columns_of_band(F.col("_cy"), deg, metres, metric)
+    own = column(F.col("s_lon"), n)
+    s = s.withColumn("_cx", own if metric == "flat" else F.pmod(own, n))
     p = poi.select("poi_id", "kind", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
-    py, px = _cell(F.col("p_lat"), F.col("p_lon"), deg)
-    offs = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy in (-1, 0, 1) for dx in (-1, 0, 1)])
-    p = (p.withColumn("_o", F.explode(offs))
-         .withColumn("_cy", py + F.col("_o.dy")).withColumn("_cx", px + F.col("_o.dx")).drop("_o"))
+    p = (p.withColumn("_b", F.floor(F.col("p_lat") / F.lit(deg)).cast("long"))
+         .withColumn("_cy", F.explode(F.array(F.col("_b") - 1, F.col("_b"), F.col("_b") + 1))).drop("_b"))
+    at = column(F.col("p_lon"), n)
+    near = [at - 1, at, at + 1] if metric == "flat" else [F.pmod(at + d, n) for d in (-1, 0, 1)]
+    p = p.withColumn("_cx", F.explode(F.array_distinct(F.array(*near))))
     j = s.join(p, ["_cy", "_cx"])
     return (j.withColumn("dist_m", distance_m(F.col("s_lat"), F.col("s_lon"), F.col("p_lat"), F.col("p_lon"), metric))
             .filter(F.col("dist_m") <= F.lit(metres)))
 
 
 def count_within(sites: DataFrame, poi: DataFrame, metres: float, kinds: Sequence[str],
-                 metric: str = "haversine", max_lat: float = 60.0) -> DataFrame:
+                 metric: str = "haversine") -> DataFrame:
     """Per site, the number of POIs of each kind within ``metres``."""
-    pairs = _grid_pairs(sites, poi, metres, metric, max_lat)
+    pairs = _grid_pairs(sites, poi, metres, metric)
     cnt = pairs.groupBy("site_id").pivot("kind", list(kinds)).agg(F.count(F.lit(1)))
     out = sites.select("site_id").join(cnt, "site_id", "left")
     return out.fillna(0, subset=list(kinds)).select(
         "site_id", *[F.col(k).cast("long").alias(f"{k}_count") for k in kinds])
 
 
-def nearest(sites: DataFrame, poi: DataFrame, kind: str, max_m: float, metric: str = "haversine",
-            max_lat: float = 60.0) -> DataFrame:
+def nearest(sites: DataFrame, poi: DataFrame, kind: str, max_m: float, metric: str = "haversine") -> DataFrame:
     """Distance to the nearest POI of ``kind``; null when none within max_m."""
-    pairs = _grid_pairs(sites, poi.filter(F.col("kind") == kind), max_m, metric, max_lat)
+    pairs = _grid_pairs(sites, poi.filter(F.col("kind") == kind), max_m, metric)
     best = pairs.groupBy("site_id").agg(F.min("dist_m").alias(f"dist_nearest_{kind}"))
     return sites.select("site_id").join(best, "site_id", "left")
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from countpanel.operators import quality as Q
 from countpanel.operators import windows as W
 from countpanel.operators.clean import fill_median, median_stats
-from countpanel.session import cut_lineage
+from countpanel.session import cut_lineage, small
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
@@ -122,8 +122,7 @@ def ridge(df: DataFrame, y: str, num: Sequence[str], cats: Sequence[str], alpha:
     va = VectorAssembler(inputCols=[f"{c}_i" for c in num], outputCol="num_vec")
     sc = StandardScaler(inputCol="num_vec", outputCol="num_sc", withMean=True, withStd=True)
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in cats]
-    ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in cats], outputCols=[f"{c}_oh" for c in cats],
-                        handleInvalid="keep")
+    ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in cats], outputCols=[f"{c}_oh" for c in cats], dropLast=True)
     va2 = VectorAssembler(inputCols=["num_sc"] + [f"{c}_oh" for c in cats], outputCol="features")
     # sum-of-squares ridge (alpha * |w|^2) in Spark's parametrisation: Spark
     # averages the loss over n and scales the penalty by the label's sample
@@ -134,14 +133,15 @@ def ridge(df: DataFrame, y: str, num: Sequence[str], cats: Sequence[str], alpha:
                           regParam=alpha * sd / n)
     model = Pipeline(stages=[imp, va, sc, *idx, ohe, va2, lr]).fit(df)
     coefs = [float(c) for c in model.stages[-1].coefficients]
-    names = list(num) + [f"onehot_{i}" for i in range(len(coefs) - len(num))]
+    names = list(num) + [f"{c}={label}" for c, stage in zip(cats, model.stages[3:]) for label in stage.labels]
     out = df.sparkSession.createDataFrame(list(zip(names, coefs)), "term string, coef double")
     return out.orderBy(F.abs("coef").desc(), "term")
 
 
-def hash_split(df: DataFrame, key: str, share: float = 0.8, seed: int = 42) -> DataFrame:
+def hash_split(df: DataFrame, key: str | Sequence[str], share: float = 0.8, seed: int = 42) -> DataFrame:
     """Deterministic random split by a hash of the key (partition independent)."""
-    u = (F.abs(F.xxhash64(F.col(key), F.lit(seed))) % 1000000) / 1000000.0
+    u = F.pmod(F.xxhash64(*[F.col(k) for k in ([key] if isinstance(key, str) else key)], F.lit(seed)),
+               F.lit(1000000)) / 1000000.0
     return df.withColumn("is_train", u < share)
 
 
@@ -203,7 +203,7 @@ def forecast_panel(daily: DataFrame, weather: DataFrame, key: str, ds: str, y: s
     too little history dropped, split label, future covariates 0-filled."""
     cut = F.lit(train_until).cast("date")
     keep = Q.min_history(daily, key, ds, y, min_days, train_until).select(key)
-    d = daily.join(F.broadcast(keep), key, "left_semi")
+    d = daily.join(small(keep), key, "left_semi")
     stats = W.zscore_stats(d.filter(F.col(ds) < cut), [y], [key])
     d = W.zscore(d, [y], [key], stats=stats)
     d = d.join(weather, [key, ds], "left")

@@ -54,11 +54,11 @@ def historical_baseline(train: DataFrame, score: DataFrame, keys: Sequence[str],
 # F10 --------------------------------------------------------------------
 def best_blend(df: DataFrame, y: str, p1: str, p2: str,
                weights: Sequence[float] = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)) -> DataFrame:
-    """MAE of w*p1 + (1-w)*p2 for every weight in one pass (the weight list
-    is a literal of fixed length, broadcast), best weight flagged."""
-    w = df.sparkSession.createDataFrame([(float(x),) for x in weights], "w double")
-    m = (df.select(y, p1, p2).crossJoin(bounded(w))
-         .groupBy("w").agg(F.avg(F.abs(F.col(y) - (F.col("w") * F.col(p1) + (1 - F.col("w")) * F.col(p2)))).alias("mae")))
+    """MAE of w*p1 + (1-w)*p2 for every weight in one pass (one mean per
+    weight, turned into rows at the end), best weight flagged."""
+    mae = lambda w: F.avg(F.abs(F.col(y) - (F.lit(w) * F.col(p1) + (1 - F.lit(w)) * F.col(p2))))
+    each = [F.struct(F.lit(float(w)).alias("w"), mae(float(w)).alias("mae")) for w in weights]
+    m = df.agg(F.array(*each).alias("t")).select(F.explode("t").alias("t")).select("t.*")
     best = m.agg(F.min_by("w", F.struct("mae", "w")).alias("_best"))
     return m.crossJoin(bounded(best)).withColumn("best", F.col("w") == F.col("_best")).drop("_best")
 

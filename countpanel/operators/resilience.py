@@ -61,10 +61,10 @@ def super_resilient(df: DataFrame, res: DataFrame, value: str, rain: Column, hou
 
 # R7 ---------------------------------------------------------------------
 def phase_impact(df: DataFrame, value: str, rain_col: str, keys: Sequence[str], order: str,
-                 group: str) -> DataFrame:
+                 group: str, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Behaviour phase (raining / rain next step / clear) from a lead over
     each (site, direction) stream; mean per group and phase, % vs clear."""
-    d = W.lead_flag(df, list(keys), order, rain_col, "_next_rain")
+    d = W.lead_flag(df, list(keys), order, rain_col, "_next_rain", tiebreak=list(tiebreak))
     phase = (F.when(F.col(rain_col) > 0, F.lit("raining"))
              .when(F.col("_next_rain"), F.lit("before_rain")).otherwise(F.lit("clear")))
     d = d.withColumn("phase", phase)

@@ -22,6 +22,8 @@ The result is exactly the whole-key window; no task holds more than
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +39,14 @@ def _epoch_days(c: Column) -> Column:
 
 
 DEFAULT_HOT_ROWS = 1_000_000
+NULL_BUCKET = 1 << 62  # rows without an order value form the last bucket of their key
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys match each other; ``right``'s keys drop out."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys])
+    return left.join(r, same, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def with_positions(df: DataFrame, keys: list[str], order: str, tiebreak: list[str] | None = None,
@@ -54,10 +64,13 @@ def with_positions(df: DataFrame, keys: list[str], order: str, tiebreak: list[st
     most 10080 minute counts, and numbering runs per (key, week, minute).
     Normal weeks pay nothing for this; hot ones are numbered in bounded
     pieces.  With ``total`` the number of rows of the key is added too.
+
+    No row is lost: rows with a null key form a group of their own, rows with
+    a null order come last in their key.
     """
     tiebreak = tiebreak or []
     t = F.col(order)
-    b = df.withColumn("_bkt", F.floor(_epoch_days(t) / F.lit(bucket_days)))
+    b = df.withColumn("_bkt", F.coalesce(F.floor(_epoch_days(t) / F.lit(bucket_days)), F.lit(NULL_BUCKET)))
     split = bool(fine_seconds) and dict(df.dtypes)[order].startswith("timestamp")
     cnt = b.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
     wk = Window.partitionBy(*keys).orderBy("_bkt")
@@ -66,19 +79,19 @@ def with_positions(df: DataFrame, keys: list[str], order: str, tiebreak: list[st
     if total:
         off = off.withColumn(total, F.sum("_cnt").over(Window.partitionBy(*keys)))
     off = off.withColumn("_hot", F.col("_cnt") > F.lit(hot_rows) if split else F.lit(False)).drop("_cnt")
-    out = b.join(small(off), [*keys, "_bkt"])
+    out = join_null_safe(b, small(off), [*keys, "_bkt"])
     if split:
         fine = F.floor(F.unix_micros(t.cast("timestamp")) / F.lit(fine_seconds * 1_000_000))
-        out = out.withColumn("_fine", F.when(F.col("_hot"), fine).otherwise(F.lit(0)))
+        out = out.withColumn("_fine", F.when(F.col("_hot"), F.coalesce(fine, F.lit(0))).otherwise(F.lit(0)))
         cnt2 = out.filter("_hot").groupBy(*keys, "_bkt", "_fine").agg(F.count(F.lit(1)).alias("_cnt"))
         w2 = Window.partitionBy(*keys, "_bkt").orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
         off2 = cnt2.select(*keys, "_bkt", "_fine", F.coalesce(F.sum("_cnt").over(w2), F.lit(0)).alias("_off2"))
-        out = (out.join(small(off2), [*keys, "_bkt", "_fine"], "left")
+        out = (join_null_safe(out, small(off2), [*keys, "_bkt", "_fine"], "left")
                .withColumn("_off", F.col("_off") + F.coalesce(F.col("_off2"), F.lit(0))).drop("_off2"))
         parts = [*keys, "_bkt", "_fine"]
     else:
         parts = [*keys, "_bkt"]
-    w = Window.partitionBy(*parts).orderBy(t, *[F.col(c) for c in tiebreak])
+    w = Window.partitionBy(*parts).orderBy(t.asc_nulls_last(), *[F.col(c) for c in tiebreak])
     out = out.withColumn(pos, F.col("_off") + F.row_number().over(w) - 1)
     return out.drop("_bkt", "_off", "_hot", *(["_fine"] if split else []))
 
@@ -120,12 +133,14 @@ def add_time_lags(df: DataFrame, keys: list[str], ts: str, col: str, hours: list
                   prefix: str = "tlag_") -> DataFrame:
     """Time-true lags: the value exactly k hours earlier, null when absent.
 
-    An equi-join on (key, ts - k hours): no window, so no hot-key task.
+    An equi-join on (key, ts - k hours): no window, so no hot-key task.  A
+    (key, hour) with several rows lends the smallest of its values, so that no
+    left row is multiplied.
     """
     out = df
     for h in hours:
-        right = df.select(*keys, (F.col(ts) + F.make_dt_interval(hours=F.lit(h))).alias(ts),
-                          F.col(col).alias(f"{prefix}{h}"))
+        right = df.groupBy(*keys, (F.col(ts) + F.make_dt_interval(hours=F.lit(h))).alias(ts)).agg(
+            F.min(col).alias(f"{prefix}{h}"))
         out = out.join(right, [*keys, ts], "left")
     return out
 
@@ -352,24 +367,18 @@ def iso_features(df: DataFrame, key: str, order: str, col: str = "y", **kw) -> D
 
 
 # Global row numbers without a one-partition window ---------------------------
-def global_row_number(df: DataFrame, order: list[Column], out: str = "rank", partitions: int | None = None,
-                      distributed: bool | None = None) -> DataFrame:
+def global_row_number(df: DataFrame, order: list[Column], out: str = "rank",
+                      partitions: int | None = None) -> DataFrame:
     """1..n over the whole frame in ``order`` (deterministic when ``order``
     ends with a unique column).
 
-    Small inputs (by the optimizer's size estimate) use a plain window.
-    Larger ones are range-partitioned on the order, numbered inside each
-    range partition, and shifted by the sizes of the preceding partitions;
-    the partitioned frame is checkpointed once so both passes see the same
-    partition boundaries.
+    Rows are range-partitioned on the order, numbered inside each range
+    partition, and shifted by the sizes of the preceding partitions.  The
+    partitioned frame is checkpointed at once (this call runs a job), so both
+    passes see the same partition boundaries.
     """
-    from countpanel.session import BROADCAST_LIMIT_BYTES, cut_lineage, estimated_size
+    from countpanel.session import cut_lineage
 
-    if distributed is None:
-        size = estimated_size(df)
-        distributed = size is None or size > BROADCAST_LIMIT_BYTES
-    if not distributed:
-        return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("long"))
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
     d = df.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id())
     d = d.withColumn("_local", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))

@@ -234,13 +234,11 @@ def a12(fx):
 
 
 @query("a13_active_only", """
-SELECT site_id, ROUND(AVG(cnt), 6) AS mean_count FROM v_counts WHERE type <> 'error'
-GROUP BY site_id HAVING AVG(cnt) > 10 AND MAX(cnt) > 0
+SELECT site_id, ROUND(AVG(cnt), 6) AS mean_count FROM v_counts GROUP BY site_id HAVING MAX(cnt) > 0
 """)
 def a13(fx):
-    """Active entities only (mean above a floor and max > 0)."""
-    d = A.site_profile(fx.counts.filter("type <> 'error'"), "site_id", "cnt", "start_time")
-    d = A.active_only(d.filter(F.col("mean_count") > 10))
+    """Active entities only (max > 0)."""
+    d = A.active_only(A.site_profile(fx.counts, "site_id", "cnt", "start_time"))
     return d.select("site_id", r6("mean_count").alias("mean_count"))
 
 

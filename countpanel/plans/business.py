@@ -409,7 +409,8 @@ FROM p
 """)
 def r7(fx):
     """Raining / before-rain / clear means per POI group and % vs clear."""
-    d = R.phase_impact(_cws(fx), "cnt", "precipitation", ["site_id", "direction"], "start_time", "poi_group")
+    d = R.phase_impact(_cws(fx), "cnt", "precipitation", ["site_id", "direction"], "start_time", "poi_group",
+                       tiebreak=["event_id"])
     return d.select("poi_group", *[r6(c).alias(c) for c in ("raining", "before_rain", "clear", "raining_pct",
                                                             "before_rain_pct")])
 
@@ -506,13 +507,32 @@ def i2(fx):
                     F.round("total_value_eur", 6).cast("double").alias("total_value_eur"))
 
 
+IMPACT_TOTALS = ("car_trips_replaced", "co2_saved_kg", "total_value_eur")
+
+
+def _register_impact_by(period, key_sql, key):
+    @query(f"i3_impact_by_{period}", f"""WITH {IMPACT_SQL}
+SELECT {key_sql} AS {period}, """ + ", ".join(f"CAST(SUM({c}) AS DOUBLE) AS {c}" for c in IMPACT_TOTALS) + """, COUNT(*) AS n
+FROM imp GROUP BY 1
+""")
+    def i3_by(fx):
+        """Impact totals by a calendar part of the hour."""
+        d = R.impact_by(_impact(fx), key(F.col("datetime_hour")), period)
+        return d.withColumns({c: F.col(c).cast("double") for c in IMPACT_TOTALS})
+
+
+_register_impact_by("date", "CAST(CAST(datetime_hour AS DATE) AS TIMESTAMP)", F.to_date)
+_register_impact_by("year", "CAST(year(datetime_hour) AS INTEGER)", F.year)
+_register_impact_by("hour", "CAST(hour(datetime_hour) AS INTEGER)", F.hour)
+
+
 @query("i3_impact_by_weekday", f"""WITH {IMPACT_SQL}
 SELECT CAST(isodow(datetime_hour) - 1 AS INTEGER) AS weekday, CAST(SUM(car_trips_replaced) AS DOUBLE) AS car_trips_replaced,
        CAST(SUM(co2_saved_kg) AS DOUBLE) AS co2_saved_kg, CAST(SUM(total_value_eur) AS DOUBLE) AS total_value_eur, COUNT(*) AS n
 FROM imp GROUP BY 1
 """)
 def i3(fx):
-    """Impact totals by weekday (same operator serves date, year, hour)."""
+    """Impact totals by weekday."""
     d = R.impact_by(_impact(fx), D.weekday0("datetime_hour"), "weekday")
     return d.withColumns({c: F.col(c).cast("double") for c in ("car_trips_replaced", "co2_saved_kg", "total_value_eur")})
 
@@ -667,15 +687,14 @@ def n5(fx):
 
 
 @query("n6_investigation_queue", """
-WITH a AS (SELECT site_id, o_orderkey, actual - predicted AS err FROM v_pred WHERE actual - predicted > 140 OR actual - predicted < -120),
-r AS (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY abs(err) DESC, o_orderkey) AS rn FROM a)
-SELECT site_id, o_orderkey, ROUND(err, 9) AS err, CASE WHEN err > 140 THEN 'surge' ELSE 'blockage' END AS status
-FROM r WHERE rn = 1 ORDER BY abs(err) DESC, o_orderkey LIMIT 50
+SELECT site_id, o_orderkey, ROUND(actual - predicted, 9) AS err,
+       CASE WHEN actual - predicted > 140 THEN 'surge' ELSE 'blockage' END AS status
+FROM v_pred WHERE actual - predicted > 140 OR actual - predicted < -120
 """)
 def n6(fx):
-    """Worst alert per site, largest absolute error first, top 50."""
+    """Every alert, largest absolute error first."""
     d = fx.pred.withColumn("err", F.col("actual") - F.col("predicted"))
-    q = NA.investigation_queue(d, "err", 140.0, -120.0, key="site_id", tiebreak=["o_orderkey"], k=50)
+    q = NA.investigation_queue(d, "err", 140.0, -120.0, tiebreak=["o_orderkey"])
     return q.select("site_id", "o_orderkey", r9("err").alias("err"), "status")
 
 
@@ -821,15 +840,15 @@ RATES_I7 = ["0.05", "0.10", "0.15", "0.20", "0.25", "0.30", "0.35", "0.40"]
        "CAST(SUM(ROUND(km * 120 * 0.001, 3)) AS DOUBLE) AS co2_saved_kg FROM k GROUP BY rate")
 def i7(fx):
     """Impact totals under 8 modal-shift rates (the cascade re-run per rate)."""
-    rates = fx.spark.createDataFrame([(x,) for x in RATES_I7], "r string").select(
-        F.col("r").cast("decimal(4,2)").alias("rate"))
-    d = fx.pred.select(F.col("predicted").cast("decimal(20,9)").alias("p")).crossJoin(F.broadcast(rates))
-    d = d.withColumn("trips", F.round(F.col("p") * F.col("rate"), 2))
-    d = d.withColumn("km", F.round(F.col("trips") * F.lit(Decimal("4.0")), 2))
-    co2 = F.round(F.col("km") * F.lit(Decimal("120")) * F.lit(Decimal("0.001")), 3)
-    return d.groupBy("rate").agg(F.sum("trips").cast("double").alias("car_trips_replaced"),
-                                 F.sum(co2).cast("double").alias("co2_saved_kg")) \
-        .withColumn("rate", F.col("rate").cast("double"))
+    d = fx.pred.select(F.col("predicted").cast("decimal(20,9)").alias("p"))
+    totals = []
+    for x in RATES_I7:  # one pass: a pair of sums per rate, turned into rows at the end
+        trips = F.round(F.col("p") * F.lit(Decimal(x)).cast("decimal(4,2)"), 2)
+        km = F.round(trips * F.lit(Decimal("4.0")), 2)
+        co2 = F.round(km * F.lit(Decimal("120")) * F.lit(Decimal("0.001")), 3)
+        totals.append(F.struct(F.lit(float(x)).alias("rate"), F.sum(trips).cast("double").alias("car_trips_replaced"),
+                               F.sum(co2).cast("double").alias("co2_saved_kg")))
+    return d.agg(F.array(*totals).alias("t")).select(F.explode("t").alias("t")).select("t.*")
 
 
 @query("j10_apply_encodings", """

@@ -16,7 +16,7 @@ from countpanel.operators import quality as Q
 from countpanel.operators import windows as W
 from countpanel.plans.core import HOLIDAYS
 from countpanel.plans.registry import query
-from countpanel.session import cut_lineage
+from countpanel.session import cut_lineage, small
 
 HOURS = [str(h) for h in range(24)]
 SITE_FEATS = ["mean_count", "median_count", "max_count", "std_count", "weekday_mean", "weekend_mean", "rush_mean",
@@ -48,14 +48,19 @@ def _panel(fx):
     return d.join(w, ["site_id", "datetime_hour"], "left").withColumn("_y", F.col("count"))
 
 
-@query("x8_one_hot")
+X8_TYPES, X8_DIRECTIONS = ("click", "purchase", "signup", "view"), ("IN", "OUT")
+
+
+@query("x8_one_hot", "SELECT event_id, " + ", ".join(
+    f"CASE WHEN {c} = '{v}' THEN 1e0 ELSE 0e0 END AS {c}_{v.lower()}"
+    for c, vs in (("type", X8_TYPES), ("direction", X8_DIRECTIONS)) for v in vs) + " FROM v_counts")
 def x8(fx):
-    """One-hot vectors of type and direction (unknown -> all zero)."""
-    model = one_hot(fx.counts.filter(F.col("start_time") < F.lit("2024-01-16").cast("timestamp_ntz")),
-                    ["type", "direction"])
-    d = model.transform(fx.counts)
-    return d.select("event_id", vector_to_array("type_vec").alias("type_vec"),
-                    vector_to_array("direction_vec").alias("direction_vec"))
+    """One-hot vectors of type and direction, one column per slot; fitted
+    without the type 'error', which therefore becomes all zero."""
+    model = one_hot(fx.counts.filter(F.col("type") != "error"), ["type", "direction"])
+    d = model.transform(fx.counts).withColumns({c: vector_to_array(f"{c}_vec") for c in ("type", "direction")})
+    return d.select("event_id", *[F.col(c)[k].alias(f"{c}_{v.lower()}") for c, vs in (
+        ("type", X8_TYPES), ("direction", X8_DIRECTIONS)) for k, v in enumerate(vs)])
 
 
 @query("c1_profile_clusters")
@@ -121,7 +126,7 @@ def c9(fx):
 def c10(fx):
     """Cluster x hour x day-type mean counts."""
     out, _, _ = M.site_clusters(_site_profiles(fx), "site_id", SITE_FEATS, LOG_COLS, k=2)
-    d = fx.counts.join(F.broadcast(out.select("site_id", "cluster")), "site_id")
+    d = fx.counts.join(small(out.select("site_id", "cluster")), "site_id")
     return A.profile_by(d, "cnt", {"cluster": F.col("cluster"), "hour": F.hour("start_time"),
                                    "daytype": F.when(D.is_weekend("start_time"), "weekend").otherwise("weekday")})
 
@@ -146,7 +151,7 @@ def _eval(pred):
 @query("f3_rf_pipeline")
 def f3(fx):
     """Random forest, 80/20 hash split: MAE, RMSE, R^2."""
-    d = M.hash_split(_panel(fx).dropna(subset=XS), "datetime_hour")
+    d = M.hash_split(_panel(fx).dropna(subset=XS), ["site_id", "datetime_hour"])
     _, p = M.forest(d.filter("is_train"), d.filter("NOT is_train"), "count", XS, trees=50, depth=15, min_instances=1)
     return _eval(p)
 
@@ -195,7 +200,7 @@ def f11(fx):
 def f15(fx):
     """Top feature importances of the forest."""
     d = _panel(fx).dropna(subset=XS)
-    m, _ = M.forest(d, d.limit(1), "count", XS, trees=20, depth=8)
+    m, _ = M.forest(d, d, "count", XS, trees=20, depth=8)
     return M.importances(m, XS, fx.spark, k=5)
 
 
@@ -237,14 +242,32 @@ def f19(fx):
                             "2000-01-01", 365)
 
 
+ISO_FEATURES = ["deviation", "change_7", "change_28", "dow", "month", "rain_spike", "sun_zero"]
+
+
+def _daily_weather(fx):
+    """Daily weather on the dates of the daily panel (8766 days earlier);
+    sunshine stands in as 60 s per degree above zero."""
+    w = fx.weather.withColumns({"time": F.col("time") - F.expr("INTERVAL 8766 DAYS"),
+                                "sunshine": F.greatest(F.lit(0.0), F.col("temperature_2m")) * 60})
+    d = A.weather_daily(w, "site_id", "time", {"precipitation": "sum", "sunshine": "sum"})
+    return d.withColumnRenamed("site_id", "unique_id")
+
+
+def _iso_panel(fx, n1):
+    """The seven features of the isolation layer; days without weather count
+    as neither spike nor dark."""
+    d = W.iso_features(n1, "unique_id", "ds", "y", positioned=True).join(_daily_weather(fx), ["unique_id", "ds"], "left")
+    flag = lambda c: F.coalesce(c, F.lit(False)).cast("int")
+    return d.withColumns({"dow": D.weekday0("ds"), "month": F.month("ds"),
+                          "rain_spike": flag(F.col("precipitation_sum") > 10), "sun_zero": flag(F.col("sunshine_sum") == 0)})
+
+
 @query("n3_isolation_flags")
 def n3(fx):
     """Per-series isolation forest over 7 daily features (3 % flagged)."""
     n1 = NA.continuous_daily(fx.daily.withColumn("y", F.round("y", 2)), "unique_id", "ds", "y", keep_pos=True)
-    d = W.iso_features(n1, "unique_id", "ds", "y", positioned=True)
-    d = d.withColumns({"dow": D.weekday0("ds"), "month": F.month("ds")})
-    feats = ["deviation", "change_7", "change_28", "dow", "month", "y", "rolling_med"]
-    return NA.isolation_flags(d, "unique_id", "ds", feats, trees=200, share=0.03, min_rows=60)
+    return NA.isolation_flags(_iso_panel(fx, n1), "unique_id", "ds", ISO_FEATURES, trees=200, share=0.03, min_rows=60)
 
 
 @query("s13_save_load_model")
@@ -266,20 +289,28 @@ def s13_model(fx):
     return loaded.transform(d).select("site_id", "cluster")
 
 
+def _both_layers(fx):
+    snapped = fx.daily.withColumn("y", F.round("y", 2))
+    # both layers read the gap-filled panel: cut its lineage once
+    n1 = cut_lineage(NA.continuous_daily(snapped, "unique_id", "ds", "y", keep_pos=True))
+    layer1 = NA.rolling_outliers(n1, "unique_id", "ds", "y", 4.0, positioned=True)
+    layer2 = NA.isolation_flags(_iso_panel(fx, n1), "unique_id", "ds", ISO_FEATURES, trees=200, share=0.03, min_rows=60)
+    observed = snapped.select("unique_id", "ds", F.col("y").alias("y_observed"))
+    return (layer1.select("unique_id", "ds", "rolling_outlier")
+            .join(layer2.select("unique_id", "ds", "sensor_fault"), ["unique_id", "ds"], "left")
+            .join(observed, ["unique_id", "ds"], "left").fillna(0, ["sensor_fault"]))
+
+
 @query("n4_combine_anomaly_layers")
 def n4_layers(fx):
     """The two anomaly layers of the daily panel - rolling-median outliers
     (N2) and isolation-forest faults (N3) - combined: counts per layer,
     flagged by both, by either."""
-    snapped = fx.daily.withColumn("y", F.round("y", 2))
-    # both layers read the gap-filled panel: cut its lineage once
-    n1 = cut_lineage(NA.continuous_daily(snapped, "unique_id", "ds", "y", keep_pos=True))
-    layer1 = NA.rolling_outliers(n1, "unique_id", "ds", "y", 4.0, positioned=True)
-    feats = W.iso_features(n1, "unique_id", "ds", "y", positioned=True).withColumns(
-        {"dow": D.weekday0("ds"), "month": F.month("ds")})
-    layer2 = NA.isolation_flags(feats, "unique_id", "ds",
-                                ["deviation", "change_7", "change_28", "dow", "month", "y", "rolling_med"],
-                                trees=200, share=0.03, min_rows=60)
-    both = layer1.select("unique_id", "ds", "rolling_outlier").join(
-        layer2.select("unique_id", "ds", "sensor_fault"), ["unique_id", "ds"], "left").fillna(0, ["sensor_fault"])
-    return NA.combine_flags(both)
+    return NA.combine_flags(_both_layers(fx))
+
+
+@query("n4_anomaly_rows")
+def n4_rows(fx):
+    """Every site-day that either layer flags, with the value as recorded."""
+    return _both_layers(fx).filter((F.col("rolling_outlier") == 1) | (F.col("sensor_fault") == 1)).select(
+        "unique_id", "ds", "y_observed", "rolling_outlier", "sensor_fault")

@@ -7,10 +7,13 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Conservative default for an explicit broadcast hint.  Anything bigger is
-# left to the planner (sort-merge join, AQE may still demote it to a
-# broadcast at runtime once the real size is known).
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+# Limit for an explicit broadcast hint on an estimated size: Spark's own
+# default.  Anything bigger is left to the planner (sort-merge join; AQE may
+# still turn it into a broadcast once the real size is known).
+BROADCAST_LIMIT_BYTES = 10 * 1024 * 1024
+
+# Estimated size up to which an exact quantile may sit in one task.
+ONE_TASK_BYTES = 64 * 1024 * 1024
 
 
 def get_session(master: str | None = None, partitions: int | None = None,
@@ -46,12 +49,15 @@ def get_session(master: str | None = None, partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster decides the folder.  Only when nothing is configured (local
-    tests) do we pick a scratch folder of our own.
+    The cluster decides the folder.  Only a local session without the setting
+    (tests) gets a scratch folder of its own; elsewhere a folder of one machine
+    would lose data, so the missing setting is an error.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="countpanel-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc.getCheckpointDir() is None:

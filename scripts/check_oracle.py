@@ -55,7 +55,7 @@ def rows(df: pd.DataFrame):
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     pats = sys.argv[2:]
-    spark = get_session("local[8]", 8)
+    spark = get_session(f"local[{os.environ.get('CHECK_CPUS', '8')}]", 8)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")

@@ -98,7 +98,7 @@ def test_positions_are_dense(spark):
 @pytest.mark.parametrize("parts", [1, 3, 7])
 def test_global_row_number_distributed(spark, parts):
     d = spark.range(0, 200).select(((F.col("id") * 37) % 200).alias("k"), (F.col("id") % 5).alias("g"))
-    got = W.global_row_number(d, [F.col("g").desc(), F.col("k")], "r", partitions=parts, distributed=True)
+    got = W.global_row_number(d, [F.col("g").desc(), F.col("k")], "r", partitions=parts)
     ref = d.withColumn("r", F.row_number().over(Window.orderBy(F.col("g").desc(), F.col("k"))))
     assert sorted(got.select("k", "g", "r").collect()) == sorted(ref.select("k", "g", "r").collect())
 
