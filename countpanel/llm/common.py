@@ -15,6 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from countpanel.session import ensure_checkpoint_dir
 
 
+#: Spark setting: remove an execution's shuffle files when it ends.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def ship(module: str) -> None:
     """Send this module's task functions by value, so executors need not have
     the package on their own path."""
@@ -27,10 +31,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it
-    back: later jobs reuse the rows and survive the loss of any executor."""
+    back: later jobs reuse the rows and survive the loss of any executor.  The
+    job's own shuffle files go once it has ended."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        # a new plan: the setting holds for plans made from here on
+        df.select("*").write.parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

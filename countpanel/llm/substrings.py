@@ -17,8 +17,9 @@ quarter of the positions are hashed and shuffled.
    a block first, and counted.
 3. Every word under a window that occurs twice or more is removed.
 
-Windows are judged on the input.  The texts travel once, by document, and both
-later passes read the same exchange.
+Windows are judged on the input.  The places found by each pass are written to
+the shared folder; the pass's shuffle files then go, so the disk holds one
+pass at a time.
 
 Defined results: null text has no words; texts of fewer than ``window`` words
 lose nothing; rows that repeat a doc_id are documents of their own (told apart
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from countpanel.llm.common import byte_texts, ship
+from countpanel.llm.common import byte_texts, materialize, ship
 
 #: Perfect difference covers, period -> residues.
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16)}
@@ -229,14 +230,15 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     period, cover = cover_for(window)
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.xxhash64(F.col(f"`{text}`")).alias("text_hash"),
                        F.col(f"`{text}`").alias("text"))
-    anchors = _repeated(rows.mapInArrow(_anchors(window, period, cover), ROWS))
+    anchors = materialize(_repeated(rows.mapInArrow(_anchors(window, period, cover), ROWS)), "substring-anchors")
 
     def with_places(places: DataFrame, how: str) -> DataFrame:
         p = places.select(F.col("doc_id").alias("p_id"), F.col("text_hash").alias("p_hash"), "places")
         same = F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("text_hash") == F.col("p_hash"))
         return rows.join(p, same, how).select("doc_id", "text_hash", "text", "places")
 
-    windows = _repeated(with_places(anchors, "inner").mapInArrow(_windows(window, period), ROWS))
+    windows = materialize(_repeated(with_places(anchors, "inner").mapInArrow(_windows(window, period), ROWS)),
+                          "substring-windows")
     return with_places(windows, "left").mapInArrow(
         _kept(window), "doc_id long, n_words long, n_removed long, kept_text string")
 
