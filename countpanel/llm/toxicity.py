@@ -9,10 +9,11 @@ compounded words count.  With a negative drift per word, a linear-time scan
 Segment scores S of a clean text of N words follow an extreme-value law,
 P(max >= S) = 1 - exp(-K N exp(-lambda S)).  lambda solves
 sum p0(s) exp(lambda s) = 1 over the word scores of clean documents and K fits
-their best segments; both come from labelled documents that the log-odds have
-not seen.  A document's evidence is the -log of its best segment's expected
-count and the sum over all segments below one; a logistic curve fitted on the
-same unseen half turns the evidence into a probability.
+their best segments.  A document's evidence is the -log of its best segment's
+expected count and the sum over all segments below one; a logistic curve turns
+it into a probability.  Law and curve are fitted on cross-fitted evidence: the
+labelled documents are dealt into folds, and each fold is scored by log-odds
+counted on the others, so no document calibrates scores that it has shaped.
 
 The model is fitted on a bounded sample of labelled documents: those whose
 hashed doc_id falls under a threshold chosen so that about ``max_train`` are
@@ -48,6 +49,7 @@ FLAT = 0.5  # and as many for every feature, seen or not
 BIN, LOW, BINS = 0.25, -6.0, 96  # histogram of word scores
 CACHE = 400_000  # words whose score a task remembers
 EVIDENCE_FLOOR = -6.0
+FOLDS = 4  # of the cross-fitting
 
 
 def features(word: str) -> list[str]:
@@ -112,37 +114,45 @@ def segments(score: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, hi - lo) for a, b, lo, hi in zip(first, last, low, high)]
 
 
-def _count_task(text: str, label: str):
-    """Task: (label, text) -> (feature, label, n) of each batch."""
+def _count_task():
+    """Task: (y, fold, text) -> (feature, part, n) of each batch; part is
+    2 * fold + y."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labels = batch.column(batch.schema.get_field_index(label)).to_pylist()
-            counts = (Counter(), Counter())
-            totals = [0, 0]
-            for i, content in str_texts(batch.column(batch.schema.get_field_index(text))):
+            parts = [2 * f + y for y, f in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            counts: dict[int, Counter] = {}
+            for i, content in str_texts(batch.column(2)):
                 words = Counter(WORD.findall(content.lower()))
-                totals[labels[i]] += sum(words.values())
-                into = counts[labels[i]]
+                into = counts.setdefault(parts[i], Counter())
+                into[""] += sum(words.values())  # the empty feature counts all words
                 for word, n in words.items():
                     for f in features(word):
                         into[f] += n
-            for y in (0, 1):
-                names = ["", *counts[y]]  # the empty feature counts all words
+            for part, into in counts.items():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.string()), pa.array([y] * len(names), pa.int32()),
-                     pa.array([totals[y], *counts[y].values()], pa.int64())], ["feature", "y", "n"])
+                    [pa.array(list(into), pa.string()), pa.array([part] * len(into), pa.int32()),
+                     pa.array(list(into.values()), pa.int64())], ["feature", "part", "n"])
 
     return run
 
 
-def fit_scores(sample: DataFrame, min_count: int, min_z: float, max_features: int) -> dict[str, float]:
-    """Dirichlet-smoothed log-odds of the significant features of ``sample``
-    (text, y)."""
-    counted = (sample.select("text", "y").mapInArrow(_count_task("text", "y"), "feature string, y int, n long")
-               .groupBy("feature").agg(F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("n0"),
-                                       F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("n1")))
-    counted = materialize(counted.where(F.col("n0") + F.col("n1") >= min_count), "toxic-counts")
+def count_features(sample: DataFrame, min_count: int) -> DataFrame:
+    """(feature, p0, p1, ...): counts by part of ``sample`` (y, fold, text)."""
+    parts = [F.sum(F.when(F.col("part") == k, F.col("n")).otherwise(0)).alias(f"p{k}") for k in range(2 * FOLDS)]
+    counted = (sample.select("y", "fold", "text").mapInArrow(_count_task(), "feature string, part int, n long")
+               .groupBy("feature").agg(*parts))
+    total = sum((F.col(f"p{k}") for k in range(2 * FOLDS)), F.lit(0))
+    return materialize(counted.where((total >= min_count) | (F.col("feature") == "")), "toxic-counts")
+
+
+def fit_scores(counted: DataFrame, without: int | None, min_count: int, min_z: float,
+               max_features: int) -> dict[str, float]:
+    """Dirichlet-smoothed log-odds of the significant features, counted on all
+    folds but ``without``."""
+    of = lambda y: sum((F.col(f"p{2 * f + y}") for f in range(FOLDS) if f != without), F.lit(0))
+    counted = counted.select("feature", of(0).alias("n0"), of(1).alias("n1")).where(
+        (F.col("n0") + F.col("n1") >= min_count) | (F.col("feature") == ""))
     all_words = counted.where("feature = ''").first()
     if all_words is None or not all_words["n0"] or not all_words["n1"]:
         return {}
@@ -162,15 +172,17 @@ PASSAGE = pa.struct([("first_word", pa.int32()), ("end_word", pa.int32()), ("sco
                      ("expected", pa.float64())])
 
 
-def _calibration_task(scores: dict[str, float]):
-    """Task: (y, text) -> (y, n_words, segment scores, histogram of word scores)."""
+def _calibration_task(scores: list[dict[str, float]]):
+    """Task: (y, fold, text) -> (y, n_words, segment scores, histogram of word
+    scores); each fold is scored by its own table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, float] = {}
+        caches: list[dict[str, float]] = [{} for _ in scores]
         for batch in batches:
+            folds = batch.column(1).to_pylist()
             n_words, found, bins = [], [], []
-            for _, content in str_texts(batch.column(1)):
-                s = word_scores(WORD.findall(content.lower()), scores, cache) - DRIFT
+            for i, content in str_texts(batch.column(2)):
+                s = word_scores(WORD.findall(content.lower()), scores[folds[i]], caches[folds[i]]) - DRIFT
                 n_words.append(len(s))
                 found.append([x for _, _, x in segments(s)])
                 at = np.clip(((s - LOW) / BIN).astype(int), 0, BINS - 1)
@@ -219,7 +231,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float, .
 
 
 def fit(docs: DataFrame, labels: DataFrame, may_learn: Callable[[Column], Column] | None = None,
-        max_train: int = 12_000, min_count: int = 4, min_z: float = 2.5, max_features: int = 50_000) -> Model:
+        max_train: int = 12_000, min_count: int = 3, min_z: float = 2.4, max_features: int = 50_000) -> Model:
     """Model from ``labels`` (doc_id, toxic) and the texts of ``docs``;
     ``may_learn(doc_id)`` tells which rows may be learned from."""
     usable = labels.where("doc_id is not null and toxic is not null")
@@ -234,13 +246,16 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Callable[[Column], Column
     taken = usable.where(deal < F.lit(int(share * (1 << 20)))).select(F.col("doc_id").alias("__id"), "y")
     # about max_train pairs of numbers, whatever the input's size
     sample = docs.select("doc_id", "text").join(F.broadcast(taken), F.col("doc_id") == F.col("__id"))
-    half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(3))
-    sample = materialize(sample.select("text", "y", (half == 0).alias("calibrate")), "toxic-sample")
-    scores = fit_scores(sample.where("not calibrate"), min_count, min_z, max_features)
+    fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int")
+    sample = materialize(sample.select("y", fold.alias("fold"), "text"), "toxic-sample")
+    counted = count_features(sample, min_count)
+    scores = fit_scores(counted, None, min_count, min_z, max_features)
     if not scores:
         return Model()
-    rows = sample.where("calibrate").select("y", "text").mapInArrow(
-        _calibration_task(scores), T.StructType([T.StructField("y", T.IntegerType()), *EVIDENCE.fields])).collect()
+    others = [fit_scores(counted, k, min_count, min_z, max_features) for k in range(FOLDS)]
+    # a bounded number of rows: the sample's
+    rows = sample.mapInArrow(_calibration_task(others), T.StructType(
+        [T.StructField("y", T.IntegerType()), *EVIDENCE.fields])).collect()
     model = Model(scores)
     clean = [r for r in rows if r["y"] == 0 and r["n_words"]]
     if not clean or len(clean) == len(rows):
