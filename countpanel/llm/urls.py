@@ -5,9 +5,9 @@ urls they fit.  The others are judged by a tree of path templates per host,
 grown level by level from the distinct urls of the corpus:
 
 * a segment stays literal if it is frequent among its siblings and its
-  branch's labels differ from its siblings' by a two-proportion test; all
-  other segments of the node become one wildcard, so variable segments are
-  generalised and statistically similar branches merge;
+  branch's labels differ from the typical (median) branch of the node by a
+  two-proportion test; all other segments of the node become one wildcard, so
+  variable segments are generalised and statistically similar branches merge;
 * a template (host and its generalised segments) is rejected if its labelled
   purity, the share of bad urls smoothed towards a neutral prior, reaches
   ``reject_at`` and enough of its urls are labelled at all.
@@ -78,19 +78,18 @@ def path_of(url: Column) -> Column:
 
 def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     """The longest fitting rule as (rule, verdict), else null."""
-    out = F.lit(None)
+    out = F.lit(None).cast("struct<rule:string,verdict:string>")
     for r in sorted(rules, key=lambda r: (len(r.rule), r.rule)):  # later ones win
         fits = ((host == r.host) | host.endswith("." + r.host)) & path.startswith(r.path)
         out = F.when(fits, F.struct(F.lit(r.rule).alias("rule"), F.lit(r.verdict).alias("verdict"))).otherwise(out)
     return out
 
 
-def _z(share: Column, n: Column, all_share: Column, all_n: Column) -> Column:
-    """Two-proportion statistic of a branch against its siblings."""
-    rest_n = all_n - n
-    rest = F.when(rest_n > 0, (all_share * all_n - share * n) / rest_n).otherwise(share)
-    pooled = all_share * (1 - all_share) * (1 / n + F.when(rest_n > 0, 1 / rest_n).otherwise(0.0))
-    return F.when(F.abs(share - rest) < 1e-12, 0.0).when(pooled <= 0, 0.0).otherwise(F.abs(share - rest) / F.sqrt(pooled))
+def _z(share: Column, n: Column, typical: Column) -> Column:
+    """Two-proportion statistic of a branch against the node's typical branch
+    of the same size."""
+    pooled = (share * n + typical * n + 1) / (2 * n + 2)
+    return F.abs(share - typical) / F.sqrt(pooled * (1 - pooled) * 2 / n)
 
 
 def templates(paths: DataFrame, params: TreeParams = TreeParams()) -> DataFrame:
@@ -105,13 +104,15 @@ def templates(paths: DataFrame, params: TreeParams = TreeParams()) -> DataFrame:
         open_rows = tree.withColumn("segment", here)
         branch = open_rows.where("segment is not null").groupBy("host", "template", "segment").agg(
             *[F.sum(c).alias(c) for c in ("n", "n_bad", "n_good")])
-        node = branch.groupBy("host", "template").agg(*[F.sum(c).alias(f"all_{c}") for c in ("n", "n_bad", "n_good")])
-        both = branch.join(node, ["host", "template"])
-        share = lambda c: F.col(c) / F.col("n")
-        all_share = lambda c: F.col(f"all_{c}") / F.col("all_n")
-        apart = F.greatest(*[_z(share(c), F.col("n"), all_share(c), F.col("all_n")) for c in ("n_bad", "n_good")])
-        literal = both.where((F.col("n") >= params.min_count) & (F.col("n") >= params.min_share * F.col("all_n"))
-                             & (apart >= params.z)).select("host", "template", "segment", F.lit(True).alias("literal"))
+        node = branch.groupBy("host", "template").agg(F.sum("n").alias("all_n"))
+        shares = {f"share_{c}": F.col(c) / F.col("n") for c in ("n_bad", "n_good")}
+        frequent = branch.join(node, ["host", "template"]).where(  # 1 / min_share branches of a node at most
+            (F.col("n") >= params.min_count) & (F.col("n") >= params.min_share * F.col("all_n"))).withColumns(shares)
+        typical = frequent.groupBy("host", "template").agg(
+            *[F.percentile(c, 0.5, F.col("n")).alias(f"typical_{c}") for c in shares])
+        apart = F.greatest(*[_z(F.col(c), F.col("n"), F.col(f"typical_{c}")) for c in shares])
+        literal = frequent.join(typical, ["host", "template"]).where(apart >= params.z).select(
+            "host", "template", "segment", F.lit(True).alias("literal"))
         tree = materialize(
             open_rows.join(literal, ["host", "template", "segment"], "left").withColumn(
                 "template", F.when(F.col("segment").isNull(), F.col("template")).otherwise(
