@@ -197,17 +197,24 @@ def walk_forward(df: DataFrame, ts: str, folds: Sequence[tuple[str, str, str]],
 
 
 def forecast_panel(daily: DataFrame, weather: DataFrame, key: str, ds: str, y: str, wcols: Sequence[str],
-                   train_until: str, min_days: int) -> DataFrame:
-    """Global daily panel for a neural forecaster: per-series z-score fitted
-    on training dates only, weather median-filled and scaled, series with
-    too little history dropped, split label, future covariates 0-filled."""
+                   train_until: str, min_days: int, valid_until: str | None = None) -> DataFrame:
+    """Global daily panel for a neural forecaster.
+
+    Dates before ``train_until`` are train, up to ``valid_until`` validation,
+    the rest test.  Series with too little training history are dropped.  The
+    per-series z-score, the weather medians and the weather scale come from
+    training rows only; missing weather takes the median in train and
+    validation and 0 (the scaled mean) in the future."""
     cut = F.lit(train_until).cast("date")
+    end = F.lit(valid_until or train_until).cast("date")
     keep = Q.min_history(daily, key, ds, y, min_days, train_until).select(key)
     d = daily.join(small(keep), key, "left_semi")
     stats = W.zscore_stats(d.filter(F.col(ds) < cut), [y], [key])
     d = W.zscore(d, [y], [key], stats=stats)
     d = d.join(weather, [key, ds], "left")
-    d = fill_median(d, list(wcols))
-    d = W.zscore(d, list(wcols))
-    d = d.withColumn("split", F.when(F.col(ds) < cut, "train").otherwise("test"))
+    d = d.withColumn("split", F.when(F.col(ds) < cut, "train").when(F.col(ds) < end, "validation").otherwise("test"))
+    medians = median_stats(d.filter(F.col("split") == "train"), list(wcols))
+    past = fill_median(d.filter(F.col("split") != "test"), list(wcols), medians)
+    scale = W.zscore_stats(past.filter(F.col("split") == "train"), list(wcols))
+    d = W.zscore(past.unionByName(d.filter(F.col("split") == "test")), list(wcols), stats=scale)
     return d.fillna(0.0, subset=list(wcols))

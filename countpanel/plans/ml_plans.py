@@ -233,13 +233,13 @@ def f17(fx):
 @query("f19_forecast_panel")
 def f19(fx):
     """Daily panel for a global forecaster: train-fitted z, weather fill and
-    scale, minimum history, split, 0-filled future covariates."""
+    scale, minimum history, three-way split, 0-filled future covariates."""
     daily = fx.daily.withColumn("y", F.round("y", 2))
     w = A.weather_daily(fx.weather_fcst.withColumn("time", F.col("time") - F.expr("INTERVAL 8766 DAYS")),
                         "site_id", "time", {"temperature_2m": "max", "precipitation": "sum"})
     w = w.withColumnRenamed("site_id", "unique_id")
     return M.forecast_panel(daily, w, "unique_id", "ds", "y", ["temperature_2m_max", "precipitation_sum"],
-                            "2000-01-01", 365)
+                            "2000-01-01", 365, "2000-07-01")
 
 
 ISO_FEATURES = ["deviation", "change_7", "change_28", "dow", "month", "rain_spike", "sun_zero"]

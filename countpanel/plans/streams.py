@@ -22,9 +22,9 @@ SELECT site_id, date_trunc('hour', start_time) AS window_start, ROUND(SUM(cnt),
 FROM v_counts GROUP BY 1, 2
 """)
 def t1(fx):
-    """Tumbling hourly counts with a watermark (complete mode = batch)."""
+    """Tumbling hourly counts with a watermark, last version of each window."""
     s = T.stream_hourly(_counts_stream(fx), "site_id", "start_time", "cnt", "2 hours")
-    out = T.run_available_now(s, "complete", "t1")
+    out = T.run_available_now(s, "update", "t1", keys=["site_id", "window_start"])
     return out.withColumn("total_count", F.round("total_count", 6))
 
 

@@ -20,13 +20,24 @@ WEATHER_COLS = ["temperature_2m", "apparent_temperature", "relative_humidity_2m"
                 "sunshine_duration"]
 
 
+def finite(df: DataFrame) -> DataFrame:
+    """NaN and infinities of float columns become null, so that one of them
+    cannot poison every mean, sum and maximum downstream."""
+    bad = lambda c: F.isnan(c) | (F.abs(F.col(c)) == float("inf"))
+    return df.withColumns({c: F.when(~bad(c), F.col(c)) for c, t in df.dtypes if t in ("float", "double")})
+
+
 # S1 / S2 ----------------------------------------------------------------
 def read_counts_csv(spark: SparkSession, paths: str | Sequence[str], ddl: str = COUNTS_DDL,
-                    ts_format: str | None = None) -> DataFrame:
+                    ts_format: str | None = None, corrupt: str | None = None) -> DataFrame:
     """Headerless count files with fixed names; timestamps parsed leniently
-    (a bad value becomes null rather than failing the job)."""
-    df = (spark.read.schema(ddl).option("header", False).option("mode", "PERMISSIVE")
-          .csv(list(paths) if not isinstance(paths, str) else paths))
+    (a bad value becomes null rather than failing the job).  With ``corrupt``,
+    a column of that name holds each malformed line as it was read."""
+    reader = spark.read.schema(f"{ddl}, {corrupt} STRING" if corrupt else ddl).option("header", False).option(
+        "mode", "PERMISSIVE")
+    if corrupt:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
+    df = finite(reader.csv(list(paths) if not isinstance(paths, str) else paths))
     conv = (lambda c: F.try_to_timestamp(F.col(c), F.lit(ts_format))) if ts_format else \
         (lambda c: F.try_to_timestamp(F.col(c)))
     return df.withColumns({"start_time": conv("start_time").cast("timestamp_ntz"),
@@ -53,7 +64,7 @@ def read_monthly(spark: SparkSession, root: str, months: Sequence[str], pattern:
 
 # S3 / S4 ----------------------------------------------------------------
 def read_csv_typed(spark: SparkSession, path: str, ddl: str, header: bool = True) -> DataFrame:
-    return spark.read.schema(ddl).option("header", header).csv(path)
+    return finite(spark.read.schema(ddl).option("header", header).csv(path))
 
 
 def read_sites(spark: SparkSession, path: str, ddl: str = SITES_DDL) -> DataFrame:
@@ -85,7 +96,7 @@ def read_weather(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
         df = spark.read.schema(ddl).option("header", True).csv(path)
     else:
         df = spark.read.parquet(path)
-    return df.withColumn("time", F.try_to_timestamp(F.col("time").cast("string")).cast("timestamp_ntz"))
+    return finite(df.withColumn("time", F.try_to_timestamp(F.col("time").cast("string")).cast("timestamp_ntz")))
 
 
 # S9 ---------------------------------------------------------------------

@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from countpanel.session import ensure_checkpoint_dir, small
 
@@ -60,11 +61,13 @@ def stream_dedupe(df: DataFrame, keys: list[str], ts: str, delay: str = "1 hour"
 
 # runner -----------------------------------------------------------------
 def run_available_now(df: DataFrame, mode: str = "append", name: str = "stream",
-                      root: str | None = None) -> DataFrame:
+                      root: str | None = None, keys: list[str] | None = None) -> DataFrame:
     """Process everything available, then stop; return the sink as a table.
 
-    append / update: rows go to a Parquet sink; complete: every micro-batch
-    rewrites the full result (foreachBatch), the last one is the answer.
+    append: rows go to a Parquet sink.  update: every micro-batch writes the
+    rows that it changed under its own number (a repeated batch overwrites
+    itself), and the last version of each ``keys`` is the answer; state stays
+    bounded by the watermark, as windows behind it are dropped.
     Passing the same ``root`` again resumes from its checkpoint (a later
     trigger of the same query).
     """
@@ -72,9 +75,14 @@ def run_available_now(df: DataFrame, mode: str = "append", name: str = "stream",
     root = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:12]}"
     out, ckpt = f"{root}/data", f"{root}/checkpoint"
     w = df.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True).outputMode(mode)
-    if mode == "complete":
-        q = w.foreachBatch(lambda b, _id: b.write.mode("overwrite").parquet(out)).start()
+    if mode == "update":
+        q = w.foreachBatch(lambda b, n: b.write.mode("overwrite").parquet(f"{out}/batch={n}")).start()
     else:
         q = w.format("parquet").option("path", out).start()
     q.awaitTermination()
+    if mode == "update":
+        columns = df.columns
+        versions = spark.read.schema(StructType([*df.schema.fields, StructField("batch", LongType())])).parquet(out)
+        last = versions.groupBy(*keys).agg(F.max_by(F.struct(*columns), "batch").alias("row"))
+        return last.select("row.*")
     return spark.read.schema(df.schema).parquet(out)

@@ -116,3 +116,29 @@ def test_weather_duplicates_keep_the_same_row(spark):
     got = {J.join_weather(facts, spark.createDataFrame(r, "site_id int, time int, t double")).first().t
            for r in (rows, rows[::-1])}
     assert got == {2.0}
+
+
+def test_readers_drop_nan_and_show_corrupt_lines(spark, tmp_path):
+    from countpanel.sources import io as S
+    (tmp_path / "w.csv").write_text("a,b\n1.5,x\nNaN,y\nInfinity,z\n")
+    got = {r.b: r.a for r in S.read_csv_typed(spark, str(tmp_path / "w.csv"), "a DOUBLE, b STRING").collect()}
+    assert got == {"x": 1.5, "y": None, "z": None}
+    (tmp_path / "c.csv").write_text("1,IN,bike,2024-01-01 00:00:00,2024-01-01 01:00:00,7\nx,IN,bike,bad,bad,y\n")
+    rows = S.read_counts_csv(spark, str(tmp_path / "c.csv"), corrupt="line").select("cnt", "line").collect()
+    assert {(r.cnt, r.line) for r in rows} == {(7, None), (None, "x,IN,bike,bad,bad,y")}
+
+
+def test_update_mode_stream_keeps_the_last_version(spark, tmp_path):
+    """Two triggers: a window that grows in the second shows its last value."""
+    from countpanel.streaming import hourly as T
+    schema = "site_id int, start_time timestamp_ntz, cnt double"
+    src, root = str(tmp_path / "in"), str(tmp_path / "out")
+    t = dt.datetime(2024, 1, 1, 5)
+
+    def feed(rows, n):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{src}/{n}")
+        s = T.stream_hourly(spark.readStream.schema(schema).parquet(f"{src}/*"), "site_id", "start_time", "cnt")
+        return {(r.site_id, r.window_start): (r.total_count, r.n_obs) for r in T.run_available_now(
+            s, "update", "t", root=root, keys=["site_id", "window_start"]).collect()}
+    assert feed([(1, t, 2.0), (2, t, 1.0)], 0) == {(1, t): (2.0, 1), (2, t): (1.0, 1)}
+    assert feed([(1, t, 3.0)], 1) == {(1, t): (5.0, 2), (2, t): (1.0, 1)}
