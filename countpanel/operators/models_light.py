@@ -92,6 +92,11 @@ def route_known(train: DataFrame, test: DataFrame, key: str, y: str) -> DataFram
 
 
 # C6 / C7 ----------------------------------------------------------------
+def transition_matrix(df: DataFrame, a: str, b: str, labels: Sequence[str]) -> DataFrame:
+    """Rows: labels of the first period; one count column per later label."""
+    return df.groupBy(a).agg(*[F.count_if(F.col(b) == x).alias(f"to_{x}") for x in labels])
+
+
 def transitions(a: DataFrame, b: DataFrame, key: str, ma: str, mb: str, thr: float) -> DataFrame:
     d = a.join(b, key)
     la = F.when(F.col(ma) >= thr, "high").otherwise("low")

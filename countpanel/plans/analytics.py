@@ -395,6 +395,15 @@ def a26(fx):
     return A.pearsonr(fx.weather, "temperature_2m", "wind_speed_10m")
 
 
+@query("a26_pearson_r", """
+SELECT ROUND(corr(temperature_2m, wind_speed_10m), 9) AS r, COUNT(*) AS n FROM v_weather
+""")
+def a26_r(fx):
+    """The correlation itself, without its p-value."""
+    d = A.pearsonr(fx.weather, "temperature_2m", "wind_speed_10m")
+    return d.select(F.round("r", 9).alias("r"), "n")
+
+
 @query("a27_quantiles", """
 SELECT nation, ROUND(quantile_cont(actual - predicted, 0.1), 6) AS q10,
        ROUND(quantile_cont(actual - predicted, 0.5), 6) AS q50, ROUND(quantile_cont(actual - predicted, 0.9), 6) AS q90

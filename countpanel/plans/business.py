@@ -112,11 +112,11 @@ def q8(fx):
 
 
 @query("q9_min_history", """
-SELECT unique_id, COUNT(y) AS n_history FROM v_daily WHERE ds < DATE '1998-01-01' GROUP BY 1 HAVING COUNT(y) >= 900
+SELECT unique_id, COUNT(y) AS n_history FROM v_daily WHERE ds < DATE '1998-01-01' GROUP BY 1 HAVING COUNT(y) >= 60
 """)
 def q9(fx):
-    """Series with at least 900 observed days before 1998."""
-    return Q.min_history(fx.daily, "unique_id", "ds", "y", 900, "1998-01-01")
+    """Series with at least 60 observed days before 1998."""
+    return Q.min_history(fx.daily, "unique_id", "ds", "y", 60, "1998-01-01")
 
 
 # ---------------------------------------------------------------- V1-V13
@@ -808,6 +808,22 @@ def c6(fx):
     return d.select("site_id", "label_a", "label_b", "shift", r6("delta").alias("delta"), r6("pct_change").alias("pct_change"))
 
 
+@query("c6_transition_matrix", """
+WITH a AS (SELECT site_id, AVG(cnt) AS m FROM v_counts WHERE start_time < TIMESTAMP '2024-01-16' GROUP BY 1),
+b AS (SELECT site_id, AVG(cnt) AS m FROM v_counts WHERE start_time >= TIMESTAMP '2024-01-16' GROUP BY 1),
+j AS (SELECT CASE WHEN a.m >= 10 THEN 'high' ELSE 'low' END AS label_a, CASE WHEN b.m >= 10 THEN 'high' ELSE 'low' END AS label_b
+      FROM a JOIN b ON a.site_id = b.site_id)
+SELECT label_a, COUNT(*) FILTER (WHERE label_b = 'high') AS to_high, COUNT(*) FILTER (WHERE label_b = 'low') AS to_low
+FROM j GROUP BY 1
+""")
+def c6_matrix(fx):
+    """Transition matrix: labels of the first period by labels of the second."""
+    cut = F.lit("2024-01-16").cast("timestamp_ntz")
+    a = fx.counts.filter(F.col("start_time") < cut).groupBy("site_id").agg(F.avg("cnt").alias("ma"))
+    b = fx.counts.filter(F.col("start_time") >= cut).groupBy("site_id").agg(F.avg("cnt").alias("mb"))
+    return ML.transition_matrix(ML.transitions(a, b, "site_id", "ma", "mb", 10.0), "label_a", "label_b", ["high", "low"])
+
+
 @query("c7_label_agreement", """
 WITH l AS (SELECT CASE WHEN station_count > 0 THEN 'station' WHEN school_count > 0 THEN 'school' WHEN park_count > 0 THEN 'park' ELSE 'other' END AS a,
                   district AS b FROM v_sites),

@@ -287,14 +287,16 @@ def x5(fx):
 
 
 @query("x6_dictionary_encode", """
-WITH fit AS (SELECT DISTINCT site_id FROM v_counts WHERE start_time < TIMESTAMP '2024-01-10'),
+WITH fit AS (SELECT DISTINCT site_id FROM v_counts WHERE start_time < TIMESTAMP '2024-01-10' AND site_id % 4 <> 1),
 codes AS (SELECT site_id, CAST(dense_rank() OVER (ORDER BY site_id) - 1 AS INTEGER) AS site_id_code FROM fit)
 SELECT DISTINCT c.site_id, COALESCE(codes.site_id_code, -1) AS site_id_code
 FROM v_counts c LEFT JOIN codes ON c.site_id = codes.site_id
 """)
 def x6(fx):
-    """Sorted distinct keys -> 0..n-1 fitted on early rows; unseen -> -1."""
-    codes = fit_codes(fx.counts.filter(F.col("start_time") < F.lit("2024-01-10").cast("timestamp_ntz")), "site_id")
+    """Sorted distinct keys -> 0..n-1 fitted on early rows of three quarters
+    of the sites; unseen -> -1."""
+    early = F.col("start_time") < F.lit("2024-01-10").cast("timestamp_ntz")
+    codes = fit_codes(fx.counts.filter(early & (F.col("site_id") % 4 != 1)), "site_id")
     return apply_codes(fx.counts.select("site_id").distinct(), codes, "site_id")
 
 

@@ -137,6 +137,18 @@ def f1(fx):
     return M.ols(_panel(fx), "count", ["hour", "temperature_2m", "precipitation", "wind_speed_10m", "is_weekend"])
 
 
+@query("f1_ols_one_predictor", """
+WITH r AS (SELECT regr_slope(temperature_2m, wind_speed_10m) AS b, regr_intercept(temperature_2m, wind_speed_10m) AS a,
+                  regr_r2(temperature_2m, wind_speed_10m) AS r2 FROM v_weather)
+SELECT 'wind_speed_10m' AS term, ROUND(b, 6) AS coef, ROUND(r2, 6) AS r2 FROM r
+UNION ALL SELECT 'intercept', ROUND(a, 6), ROUND(r2, 6) FROM r
+""")
+def f1_one(fx):
+    """Least squares on one predictor, where SQL has the closed form."""
+    return M.ols(fx.weather, "temperature_2m", ["wind_speed_10m"]).select(
+        "term", F.round("coef", 6).alias("coef"), F.round("r2", 6).alias("r2"))
+
+
 @query("f2_ridge")
 def f2(fx):
     """Ridge pipeline (impute, scale, one-hot), coefficients sorted."""
