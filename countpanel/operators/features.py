@@ -20,7 +20,11 @@ def panel_features(df: DataFrame, key: str, ts: str, col: str, holidays,
 
     ``exact_scale``: the value is fixed-point with that many decimals (counts
     with 2 decimals); trailing sums are then exact DECIMAL sums, so means do
-    not drift with summation order and are reproducible bit for bit."""
+    not drift with summation order and are reproducible bit for bit.
+
+    A panel has one row per key and hour, so a week of a key is never hot and
+    the positions need no finer count (pass ``fine_seconds`` otherwise)."""
+    kw.setdefault("fine_seconds", None)
     t = F.col(ts)
     d = df.withColumns({
         "hour": F.hour(t), "day_of_week": D.weekday0(t), "month": F.month(t), "year": F.year(t),

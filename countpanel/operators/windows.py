@@ -98,15 +98,18 @@ def with_positions(df: DataFrame, keys: list[str], order: str, tiebreak: list[st
 
 def framed(df: DataFrame, keys: list[str], order: str, exprs, lo: int, hi: int,
            tiebreak: list[str] | None = None, chunk_rows: int = DEFAULT_CHUNK_ROWS,
-           bucket_days: int = DEFAULT_BUCKET_DAYS, positioned: bool = False) -> DataFrame:
+           bucket_days: int = DEFAULT_BUCKET_DAYS, positioned: bool = False,
+           fine_seconds: int | None = 60) -> DataFrame:
     """Evaluate window expressions whose frames stay within rows [lo, hi].
 
     ``exprs`` is a function ``(window_spec) -> dict[name, Column]`` so that
     every column uses the same (key, chunk) partitioning and one sort.
-    ``positioned=True`` means ``df`` already has a ``_pos`` column.
+    ``positioned=True`` means ``df`` already has a ``_pos`` column;
+    ``fine_seconds=None`` says that no (key, week) can be hot, as in a panel
+    with one row per key and hour.
     """
     assert lo <= 0 <= hi
-    d = df if positioned else with_positions(df, keys, order, tiebreak, bucket_days)
+    d = df if positioned else with_positions(df, keys, order, tiebreak, bucket_days, fine_seconds=fine_seconds)
     p = F.col("_pos")
     home = F.floor(p / F.lit(chunk_rows))
     first = F.floor((p - F.lit(hi)) / F.lit(chunk_rows))
@@ -325,7 +328,7 @@ def interpolate(df: DataFrame, key: str, order: str, col: str, limit: int = 3, o
     wr = Window.partitionBy(key, "_chunk").orderBy(F.col("_pos").desc())
     nextk = F.coalesce(F.last(known, ignorenulls=True).over(wr.rowsBetween(Window.unboundedPreceding, 0)),
                        F.col("_after"))
-    d = (d.join(small(nxt), [key, "_chunk"], "left")
+    d = (join_null_safe(d, small(nxt), [key, "_chunk"], "left")
          .withColumns({"_prev": prev, "_next": nextk})
          .filter(F.col("_chunk") == F.col("_home")))
     gap = p - F.col("_prev.p")
