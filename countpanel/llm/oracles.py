@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from countpanel.llm.licenses import LOWER, PHRASES, TEMPLATES, UPPER
+from countpanel.llm.urls import RULES, TreeParams
 
 WORDS = r"'[^\x20\x09-\x0D]+'"
 
@@ -73,3 +74,63 @@ FROM w LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id)
 
 
 LICENSES = _licenses()
+
+SUBSTRINGS = rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {WORDS}) AS words FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(words[i + 1 : i + 35], ' ') AS win
+  FROM (SELECT doc_id, words, unnest(range(len(words) - 34)) AS i FROM w WHERE len(words) >= 35)),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY win) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM again),
+places AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS p FROM w),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
+  FROM places ANTI JOIN covered USING (doc_id, p) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(kept.n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
+def _urls(params: TreeParams = TreeParams()) -> str:
+    """Rules by CASE, the template tree level by level over all pages."""
+    fits = " ".join(
+        f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{r.rule}'"
+        for r in sorted(RULES, key=lambda r: (-len(r.rule), r.rule)))
+    verdicts = " ".join(f"WHEN '{r.rule}' THEN '{r.verdict}'" for r in RULES)
+    levels = []
+    for k in range(params.depth):
+        z = [f"abs(s_{c} - typical_{c}) / sqrt((s_{c} * n + typical_{c} * n + 1) / (2 * n + 2)"
+             f" * (1 - (s_{c} * n + typical_{c} * n + 1) / (2 * n + 2)) * 2 / n)" for c in ("bad", "good")]
+        levels.append(f"""
+a{k} AS (SELECT *, segments[{k + 1}] AS seg FROM t{k}),
+b{k} AS (SELECT *, count(*) OVER b AS n, count(seg) OVER node AS all_n, avg(bad) OVER b AS s_bad, avg(good) OVER b AS s_good
+  FROM a{k} WINDOW b AS (PARTITION BY host, template, seg), node AS (PARTITION BY host, template)),
+c{k} AS (SELECT *, seg IS NOT NULL AND n >= {params.min_count} AND n >= {params.min_share} * all_n AS frequent FROM b{k}),
+d{k} AS (SELECT *, quantile_cont(s_bad, 0.5) FILTER (WHERE frequent) OVER node AS typical_bad,
+    quantile_cont(s_good, 0.5) FILTER (WHERE frequent) OVER node AS typical_good
+  FROM c{k} WINDOW node AS (PARTITION BY host, template)),
+t{k + 1} AS (SELECT page_id, host, path, rule, bad, good, n_segments, segments, CASE WHEN seg IS NULL THEN template
+    WHEN frequent AND greatest({', '.join(z)}) >= {params.z} THEN template || '/' || seg ELSE template || '/*' END AS template
+  FROM d{k})""")
+    return rf"""
+WITH u AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''), '{UPPER}', '{LOWER}') AS host,
+    coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+r AS (SELECT *, CASE {fits} END AS rule FROM u),
+t0 AS (
+  SELECT page_id, host, path, rule, CASE WHEN (CASE rule {verdicts} END) = 'block' THEN 1.0 ELSE 0.0 END AS bad,
+    CASE WHEN (CASE rule {verdicts} END) = 'allow' THEN 1.0 ELSE 0.0 END AS good,
+    list_filter(string_split(path, '/'), lambda s: s <> '') AS segments, len(segments) AS n_segments, '' AS template
+  FROM r),{','.join(levels)},
+f AS (SELECT *, CASE WHEN n_segments > {params.depth} THEN template || '/**' ELSE template END AS whole FROM t{params.depth}),
+p AS (SELECT host, whole, (sum(bad) + {params.strength * params.prior}) / (sum(bad) + sum(good) + {params.strength}) AS purity,
+  (sum(bad) + sum(good)) / count(*) >= {params.min_labelled} AS known FROM f GROUP BY host, whole)
+SELECT page_id, host, path, rule, coalesce(CASE rule {verdicts} END,
+    CASE WHEN known AND purity >= {params.reject_at} THEN 'block' ELSE 'allow' END) AS verdict,
+  whole AS template, round(purity, 9) AS purity
+FROM f JOIN p USING (host, whole)
+"""
+
+
+URLS = _urls()

@@ -27,7 +27,7 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return deco
 
 
-@register("op1_urls")
+@register("op1_urls", oracles.URLS)
 def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's url, by the rules or its path template."""
     found = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
@@ -83,7 +83,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-@register("op7_substrings")
+@register("op7_substrings", oracles.SUBSTRINGS)
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without its repeated 35-word windows."""
     found = substrings.remove_repeats(table(spark, sf_dir, "documents"), window=35)
