@@ -16,8 +16,8 @@ shuffle.
 
 Defined results: null and empty texts leak nothing; items with fewer than five
 words hold no seed and never match; repeated items are reported by their own
-item_id each, equal (item_id, text) rows once; every input row of the
-documents gives one output row, extra columns stay inside ``row``.
+item_id each (null if it is null), equal (item_id, text) rows once; every
+input row of the documents gives one output row, extra columns stay inside ``row``.
 """
 
 from __future__ import annotations
@@ -201,7 +201,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
     schema = out.schema
     for block in range(n_blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block)
-        index = SeedIndex(sorted((r[0], r[1]) for r in part.where("item_id is not null").collect()))
+        index = SeedIndex(sorted(((r[0], r[1]) for r in part.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
         out = out.mapInArrow(_scan(index, text, min_words, identity), schema)
     return out
 

@@ -21,8 +21,9 @@ def test_longest_stretch_equals_brute_force():
 
 def planted():
     rnd = random.Random(4)
-    items = [(k, sentence(9000 + k, 15 + 3 * k)) for k in range(12)] + [(50, "of the"), (51, None), (52, ""), (0, sentence(9000, 15))]
-    rows, expected = [], {}
+    items = [(k, sentence(9000 + k, 15 + 3 * k)) for k in range(12)] + [(50, "of the"), (51, None), (52, ""), (0, sentence(9000, 15)),
+                                                                      (None, sentence(77, 20)), (None, None)]
+    rows, expected = [(99, "so " + sentence(77, 20))], {99: None}
     for k in range(60):
         body = sentence(k, 100).split()
         if k % 3 == 0:
