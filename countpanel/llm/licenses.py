@@ -1,17 +1,20 @@
 """License scans: exact set-similarity join of text blocks with templates.
 
 Column expressions and joins only.  A block (a line) holds a template if at
-least ``threshold`` of the template's distinct words stand in it.  Words are
-ordered by their frequency over the whole corpus, the rarest first.  A template
-of m words with minimum overlap o must share one of its first m - o + 1 words
-(its prefix) with any block that qualifies, so only blocks with a prefix word
-become candidates, joined on that word.  Length (a block has o words of the
-template vocabulary at least) and position (words before, at and after the
-shared word) bound the overlap further, and what is left is verified exactly.
+least ``threshold`` of the template's distinct words stand in it.
+
+One pass over whole texts counts the words and notes which words of the
+templates stand in each text; the text itself goes on only if it holds enough
+of them for some template.  Words are then ordered by the number of texts of
+the whole corpus that hold them, the rarest first.  A template of m words with
+minimum overlap o must share one of its first m - o + 1 words (its prefix) with
+any block that qualifies, so blocks become candidates by a join on those words.
+Length (a block has o words of the template vocabulary at least) and position
+(words before, at and after the shared word) bound the overlap further, and
+what is left is verified exactly.
 
 The only things broadcast are the templates' own words and prefixes, whose
-number is fixed by ``TEMPLATES``.  Frequencies are partial aggregates over
-that vocabulary.
+number is fixed by ``TEMPLATES``.
 
 Besides the join, fixed phrases (``PHRASES``) are located exactly: places
 where their words stand consecutively.
@@ -28,6 +31,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from countpanel.llm.common import materialize
+
 #: Phrases located word by word, and their labels.
 PHRASES = {
     "under the mit license": "mit",
@@ -48,13 +53,15 @@ TEMPLATES = [
     ("redistribution and use in source and binary forms with or without modification are permitted", "bsd"),
     ("this source code form is subject to the terms of the mozilla public license", "mpl"),
 ]
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NOT_WORD = r"\x00-\x2F\x3A-\x60\x7B-\x7F"  # of lower-cased text
 WORD = f"[^{NOT_WORD}]+"
 
 
 def lowered(text: Column) -> Column:
-    return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    """A-Z in lower case.  Other letters change too, but never into ASCII (the
+    one that would, the Kelvin sign, is put out of the way), so no word becomes
+    or stops being one of the ASCII words looked for, and no border moves."""
+    return F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u212b")))
 
 
 def words(lower: Column) -> Column:
@@ -65,47 +72,56 @@ def _phrase_pattern(phrase: str) -> str:
     return rf"(?<![^{NOT_WORD}])" + rf"[{NOT_WORD}]++".join(phrase.split()) + rf"(?![^{NOT_WORD}])"
 
 
-def frequencies(rows: DataFrame, templates=TEMPLATES) -> dict[str, int]:
-    """How often each template word stands in the corpus."""
-    vocabulary = sorted({w for text, _ in templates for w in text.split()})
-    spark = rows.sparkSession
-    known = spark.createDataFrame([(w,) for w in vocabulary], "known string")
-    counted = (rows.select(F.explode(words(lowered(F.col("text")))).alias("word"))
-               .join(F.broadcast(known), F.col("word") == F.col("known")).groupBy("known").agg(F.count("*").alias("n")))
-    found = {r["known"]: r["n"] for r in counted.collect()}  # one row per template word at most
-    return {w: found.get(w, 0) for w in vocabulary}
+def _literals(values) -> Column:
+    return F.array(*[F.lit(x) for x in values])
 
 
-def _ordered_templates(order: list[str], templates, threshold: float) -> list[tuple]:
-    """(number, label, words in global order, minimum overlap)."""
-    rank = {w: k for k, w in enumerate(order)}
-    out = []
-    for number, (text, label) in enumerate(templates):
-        own = sorted(set(text.split()), key=rank.__getitem__)
-        out.append((number, label, own, math.ceil(threshold * len(own) - 1e-9)))
-    return out
+def read_words(docs: DataFrame, doc_id: str, text: str, templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
+    """The one pass over whole texts: (doc_id, text_hash, n_words, held: the
+    words of phrases and templates that stand in the text, lower: the text, if
+    it may hold a phrase or a template at all)."""
+    vocabulary = sorted({w for t, _ in templates for w in t.split()} | {w for t in PHRASES for w in t.split()})
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(F.col(f"`{text}`")).alias("text_hash"),
+                       lowered(F.col(f"`{text}`")).alias("lower"))
+    rows = rows.withColumn("words", words(F.col("lower")))
+    rows = rows.select("doc_id", "text_hash", "lower", F.size("words").cast("long").alias("n_words"),
+                       F.array_intersect(_literals(vocabulary), "words").alias("held"))
+    enough = [(set(t.split()), _least(t, threshold)) for t, _ in templates] + [(set(t.split()), None) for t in PHRASES]
+    may = F.lit(False)
+    for own, need in enough:
+        may = may | (F.size(F.array_intersect("held", _literals(sorted(own)))) >= (need or len(own)))
+    return rows.withColumn("lower", F.when(may, F.col("lower")))
+
+
+def frequencies(read: DataFrame) -> dict[str, int]:
+    """In how many texts of the corpus each word of the vocabulary stands: one
+    row per word of the vocabulary at most."""
+    counted = read.select(F.explode("held").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return {r["word"]: r["n"] for r in counted.collect()}
 
 
-def template_matches(rows: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
+def _least(template: str, threshold: float) -> int:
+    """Distinct words of a template that a block must hold."""
+    return math.ceil(threshold * len(set(template.split())) - 1e-9)
+
+
+def template_matches(read: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
     """(doc_id, text_hash, label, containment) of every block (line) that
     holds a template."""
-    frequency = frequencies(rows, templates)
-    order = sorted(frequency, key=lambda w: (frequency[w], w))
-    ordered = _ordered_templates(order, templates, threshold)
-    spark = rows.sparkSession
-    prefix = spark.createDataFrame(
-        [(w, k, label, own, j, need) for k, label, own, need in ordered for j, w in enumerate(own[:len(own) - need + 1])],
-        "prefix_word string, template int, label string, own array<string>, j int, need int")
-    prefix_words = sorted({w for _, _, own, need in ordered for w in own[:len(own) - need + 1]})
-    least = min(need for *_, need in ordered)
-    as_array = lambda xs: F.array(*[F.lit(x) for x in xs])
-    blocks = rows.select("doc_id", "text_hash", F.explode(F.split(lowered(F.col("text")), "\n")).alias("block"))
-    blocks = blocks.where(F.col("block").rlike("|".join(prefix_words)))  # cheap: some letters of a prefix word
-    blocks = blocks.withColumn("all_words", words(F.col("block")))
-    blocks = blocks.where(F.arrays_overlap("all_words", as_array(prefix_words)))
+    frequency = frequencies(read)
+    order = sorted({w for t, _ in templates for w in t.split()}, key=lambda w: (frequency.get(w, 0), w))
+    rank = {w: k for k, w in enumerate(order)}
+    index = []
+    for number, (text, label) in enumerate(templates):
+        own, need = sorted(set(text.split()), key=rank.__getitem__), _least(text, threshold)
+        index += [(w, number, label, own, j, need) for j, w in enumerate(own[:len(own) - need + 1])]
+    prefix = read.sparkSession.createDataFrame(
+        index, "prefix_word string, template int, label string, own array<string>, j int, need int")
+    blocks = read.where("lower is not null").select("doc_id", "text_hash", F.explode(F.split("lower", "\n")).alias("block"))
     # the block's words of the template vocabulary, in global order
-    blocks = blocks.select("doc_id", "text_hash", F.array_intersect(as_array(order), "all_words").alias("held"))
-    blocks = blocks.where(F.size("held") >= least)
+    blocks = blocks.select("doc_id", "text_hash", F.array_intersect(_literals(order), words(F.col("block"))).alias("held"))
+    blocks = blocks.where((F.size("held") >= min(r[-1] for r in index))
+                          & F.arrays_overlap("held", _literals(sorted({r[0] for r in index}))))
     candidates = blocks.select("*", F.posexplode("held").alias("i", "word")).join(
         F.broadcast(prefix), F.col("word") == F.col("prefix_word"))
     length = F.size("held") >= F.col("need")
@@ -120,15 +136,14 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels,
     score) of every row: places of the phrases, their labels, and those of the
     templates; score is the best containment, 1 with a phrase."""
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(F.col(f"`{text}`")).alias("text_hash"),
-                       F.col(f"`{text}`").alias("text"))
-    found = template_matches(rows, threshold=threshold).groupBy("doc_id", "text_hash").agg(
+    read = materialize(read_words(docs, doc_id, text, threshold=threshold), "license-words")
+    found = template_matches(read, threshold=threshold).groupBy("doc_id", "text_hash").agg(
         F.collect_set("label").alias("found"), F.max("containment").alias("best"))
     found = found.select(F.col("doc_id").alias("f_id"), F.col("text_hash").alias("f_hash"), "found", "best")
     n_words = lambda c: F.size(words(c)).cast("long")
-    located = rows.withColumn("lower", lowered(F.col("text"))).withColumn("n_words", n_words(F.col("lower")))
+    located = read
     for k, phrase in enumerate(PHRASES):
-        has = F.col("lower").contains(phrase.split()[0]) & F.col("lower").rlike(_phrase_pattern(phrase))
+        has = F.col("lower").rlike(_phrase_pattern(phrase))
         located = located.withColumn(f"pieces_{k}", F.when(has, F.split("lower", _phrase_pattern(phrase), -1)))
         located = located.withColumn(f"at_{k}", F.when(F.col(f"pieces_{k}").isNotNull(), F.struct(
             (F.size(f"pieces_{k}") - 1).cast("long").alias("n"),

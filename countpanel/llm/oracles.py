@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from countpanel.llm.licenses import LOWER, PHRASES, TEMPLATES, UPPER
-from countpanel.llm.urls import RULES, TreeParams
+from countpanel.llm.licenses import PHRASES, TEMPLATES
+from countpanel.llm.urls import LOWER, RULES, UPPER, TreeParams
 
 WORDS = r"'[^\x20\x09-\x0D]+'"
 

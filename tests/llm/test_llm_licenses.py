@@ -36,7 +36,7 @@ ODD = ["Released under the MIT License.", "UNDER, the;mit\nlicense", "under the
        "under the mit license under the mit license\nApache License, Version 2.0 and CC BY-NC 4.0",
        "This work is licensed under GNU General Public License, version 3.", "the the the the the", "É under the mit licenseé",
        "permission is hereby granted, free of charge to any person obtaining copy of the software",
-       "This Source Code Form is subject to the terms of the Mozilla Public License\n" * 3, "K cc by nc", "cc by nc" * 3]
+       "This Source Code Form is subject to the terms of the Mozilla Public License\n" * 3, "K cc by nc", "cc by nc" * 3, "this wor\u212a is licensed", "under the m\u0130t license", "\u212a under the MIT LICENSE \u0130"]
 
 
 def test_equal_brute_force(spark):
@@ -46,14 +46,14 @@ def test_equal_brute_force(spark):
 
 
 def test_frequencies_cover_all_texts(spark):
-    from pyspark.sql import functions as F
     rows = documents()
-    docs = edge_docs(spark, rows).select("doc_id", F.lit(0).alias("text_hash"), "text")
     counts = {}
     for _, t in rows:
-        for w in WORD.findall(lower_ascii(t)):
+        for w in set(WORD.findall(lower_ascii(t))):
             counts[w] = counts.get(w, 0) + 1
-    assert all(n == counts.get(w, 0) for w, n in licenses.frequencies(docs).items())
+    got = licenses.frequencies(licenses.read_words(edge_docs(spark, rows), "doc_id", "text"))
+    vocabulary = {w for t in [*licenses.PHRASES, *(t for t, _ in licenses.TEMPLATES)] for w in t.split()}
+    assert got == {w: counts[w] for w in vocabulary if w in counts}
 
 
 def test_empty(spark):
