@@ -48,7 +48,7 @@ PRIOR = 50.0  # pseudo-words of the Dirichlet prior, spread as in the pooled cor
 FLAT = 0.5  # and as many for every feature, seen or not
 BIN, LOW, BINS = 0.25, -6.0, 96  # histogram of word scores
 CACHE = 400_000  # words whose score a task remembers
-EVIDENCE_FLOOR = -6.0
+EVIDENCE_FLOOR, EVIDENCE_CEILING = -6.0, 30.0
 FOLDS = 4  # of the cross-fitting
 
 
@@ -200,7 +200,8 @@ def evidence(found: list[float], n_words: int, lam: float, k: float) -> tuple[fl
     if not len(found):
         return EVIDENCE_FLOOR, 0.0
     surprise = lam * np.asarray(found) - np.log(max(k * n_words, 1e-12))
-    return max(EVIDENCE_FLOOR, float(surprise.max())), float(surprise[surprise > 0].sum())
+    best = min(EVIDENCE_CEILING, max(EVIDENCE_FLOOR, float(surprise.max())))
+    return best, float(surprise[surprise > 0].sum())
 
 
 def solve_lambda(counts: np.ndarray) -> float:
@@ -217,17 +218,32 @@ def solve_lambda(counts: np.ndarray) -> float:
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float, ...]:
-    """Weights of a ridge logistic regression with a free bias (Newton steps)."""
-    a = np.column_stack([np.ones(len(x)), x])
-    penalty = np.diag([1e-6, *[ridge] * x.shape[1]])
+    """Weights (bias first) of a ridge logistic regression on standardised
+    columns, given for the columns as they are.  Newton steps are halved until
+    the convex objective falls, so the fit cannot run away on separable data."""
+    mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
+    a = np.column_stack([np.ones(len(x)), (x - mean) / scale])
+    penalty = np.array([1e-6, *[ridge] * x.shape[1]])
+
+    def objective(w: np.ndarray) -> float:
+        z = a @ w
+        return float((np.logaddexp(0, z) - y * z).sum() + 0.5 * (penalty * w * w).sum())
+
     w = np.zeros(a.shape[1])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + penalty, a.T @ (y - p) - penalty @ w)
-        w += np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-8:
+    now = objective(w)
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-np.clip(a @ w, -500, 500)))
+        hessian = (a * (p * (1 - p))[:, None]).T @ a + np.diag(penalty + 1e-9)
+        step = np.linalg.solve(hessian, a.T @ (y - p) - penalty * w)
+        share = 1.0
+        while share > 1e-12 and objective(w + share * step) > now:
+            share /= 2
+        before, w = now, w + share * step
+        now = objective(w)
+        if before - now < 1e-9:
             break
-    return tuple(float(v) for v in w)
+    slopes = w[1:] / scale
+    return (float(w[0] - slopes @ mean), *(float(v) for v in slopes))
 
 
 def fit(docs: DataFrame, labels: DataFrame, may_learn: Callable[[Column], Column] | None = None,
@@ -265,7 +281,10 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Callable[[Column], Column
     model.k = float(1 / np.mean(tails))
     x = np.array([evidence(r["scores"], r["n_words"], model.lam, model.k) for r in rows])
     x[:, 1] = np.log1p(x[:, 1])
-    model.weights = logistic(x, np.array([r["y"] for r in rows], float))
+    y = np.array([r["y"] for r in rows], float)
+    model.weights = logistic(x, y)
+    if min(model.weights[1:]) < 0:  # more evidence never lowers a score: the best segment alone
+        model.weights = (*logistic(x[:, :1], y), 0.0)
     return model
 
 

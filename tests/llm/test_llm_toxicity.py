@@ -56,6 +56,18 @@ def test_logistic_recovers_weights():
     assert abs(bias + 1) < 0.2 and abs(w - 2) < 0.25
 
 
+def test_logistic_keeps_the_base_rate_on_separable_and_wide_evidence():
+    """The mean of the fitted probabilities is the share of ones (free bias)."""
+    rng = np.random.default_rng(7)
+    for wide in (1.0, 30.0, 300.0):
+        y = (rng.random(5000) < 0.1).astype(float)
+        x = np.column_stack([np.where(y == 1, wide * rng.random(5000) + 3, -6 + 5 * rng.random(5000) ** 4),
+                             np.where(y == 1, rng.random(5000) * 7, 0)])
+        w = np.array(toxicity.logistic(x, y))
+        p = 1 / (1 + np.exp(-(w[0] + x @ w[1:])))
+        assert abs(p.mean() - y.mean()) < 1e-3 and ((p >= 0.3) == (y == 1)).mean() > 0.99
+
+
 def planted(n=900):
     rows, labels = [], []
     for k in range(n):
