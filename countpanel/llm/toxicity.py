@@ -10,8 +10,9 @@ Segment scores S of a clean text of N words follow an extreme-value law,
 P(max >= S) = 1 - exp(-K N exp(-lambda S)).  lambda solves
 sum p0(s) exp(lambda s) = 1 over the word scores of clean documents and K fits
 their best segments.  A document's evidence is the -log of its best segment's
-expected count and the sum over all segments below one; a logistic curve turns
-it into a probability.  Law and curve are fitted on cross-fitted evidence: the
+expected count plus the log of the sum over all segments below one; a monotone
+(isotonic) curve turns it into a probability, stretched so that the evidence
+which divides the classes best (by F1) scores 0.3.  Law and curve are fitted on cross-fitted evidence: the
 labelled documents are dealt into folds, and each fold is scored by log-odds
 counted on the others, so no document calibrates scores that it has shaped.
 
@@ -50,6 +51,7 @@ BIN, LOW, BINS = 0.25, -6.0, 96  # histogram of word scores
 CACHE = 400_000  # words whose score a task remembers
 EVIDENCE_FLOOR, EVIDENCE_CEILING = -6.0, 30.0
 FOLDS = 4  # of the cross-fitting
+DECISION = 0.3  # score of the evidence that divides the classes best
 
 
 def features(word: str) -> list[str]:
@@ -64,13 +66,18 @@ class Model:
     scores: dict[str, float] = field(default_factory=dict)
     lam: float = 1.0
     k: float = 1.0
-    weights: tuple[float, float, float] | None = None  # bias, best segment, all segments
+    curve: tuple[np.ndarray, np.ndarray] | None = None  # evidence, probability
+    cut: float = 0.0  # evidence from which a document counts as toxic
 
     def probability(self, best: np.ndarray, total: np.ndarray) -> np.ndarray:
-        if self.weights is None:
+        if self.curve is None:
             return np.zeros(len(best))
-        z = self.weights[0] + self.weights[1] * best + self.weights[2] * np.log1p(total)
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        t = best + np.log1p(total)
+        # a fiftieth follows the evidence itself and orders what the curve holds equal
+        p = 0.98 * np.interp(t, *self.curve) + 0.02 / (1 + np.exp(-t / 4))
+        # stretched so that the evidence with the best F1 scores DECISION
+        at = 0.98 * np.interp(self.cut, *self.curve) + 0.02 / (1 + np.exp(-self.cut / 4))
+        return np.where(t < self.cut, DECISION * p / at, DECISION + (1 - DECISION) * (p - at) / max(1 - at, 1e-9))
 
 
 def word_scores(words: list[str], scores: dict[str, float], cache: dict[str, float]) -> np.ndarray:
@@ -217,33 +224,30 @@ def solve_lambda(counts: np.ndarray) -> float:
     return lo
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float, ...]:
-    """Weights (bias first) of a ridge logistic regression on standardised
-    columns, given for the columns as they are.  Newton steps are halved until
-    the convex objective falls, so the fit cannot run away on separable data."""
-    mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
-    a = np.column_stack([np.ones(len(x)), (x - mean) / scale])
-    penalty = np.array([1e-6, *[ridge] * x.shape[1]])
-
-    def objective(w: np.ndarray) -> float:
-        z = a @ w
-        return float((np.logaddexp(0, z) - y * z).sum() + 0.5 * (penalty * w * w).sum())
-
-    w = np.zeros(a.shape[1])
-    now = objective(w)
-    for _ in range(200):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -500, 500)))
-        hessian = (a * (p * (1 - p))[:, None]).T @ a + np.diag(penalty + 1e-9)
-        step = np.linalg.solve(hessian, a.T @ (y - p) - penalty * w)
-        share = 1.0
-        while share > 1e-12 and objective(w + share * step) > now:
-            share /= 2
-        before, w = now, w + share * step
-        now = objective(w)
-        if before - now < 1e-9:
-            break
-    slopes = w[1:] / scale
-    return (float(w[0] - slopes @ mean), *(float(v) for v in slopes))
+def isotonic(t: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(knots, probabilities) of the best non-decreasing curve through the
+    labels by evidence (pooled adjacent violators; equal evidence is pooled
+    first, every pool is drawn a little towards the base rate)."""
+    knots, where = np.unique(t, return_inverse=True)
+    n, ones = np.bincount(where).astype(float), np.bincount(where, weights=y)
+    pools: list[list[float]] = []  # ones, rows, first and last knot
+    for k in range(len(knots)):
+        pools.append([ones[k], n[k], knots[k], knots[k]])
+        while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
+            o, m, _, last = pools.pop()
+            pools[-1] = [pools[-1][0] + o, pools[-1][1] + m, pools[-1][2], last]
+    base = float(y.mean())
+    p = np.maximum.accumulate([(o + base) / (m + 1) for o, m, _, _ in pools])
+    return (np.array([v for _, _, first, last in pools for v in (first, last)]), np.repeat(p, 2))
+
+
+def best_cut(t: np.ndarray, y: np.ndarray) -> float:
+    """The evidence from which on calling a document toxic has the best F1."""
+    order = np.argsort(-t, kind="stable")
+    hits = np.cumsum(y[order])
+    f1 = 2 * hits / (np.arange(1, len(t) + 1) + y.sum())
+    f1[:-1][t[order][:-1] == t[order][1:]] = -1  # equal evidence stays together
+    return float(t[order][int(np.argmax(f1))])
 
 
 def fit(docs: DataFrame, labels: DataFrame, may_learn: Callable[[Column], Column] | None = None,
@@ -281,10 +285,8 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Callable[[Column], Column
     model.k = float(1 / np.mean(tails))
     x = np.array([evidence(r["scores"], r["n_words"], model.lam, model.k) for r in rows])
     x[:, 1] = np.log1p(x[:, 1])
-    y = np.array([r["y"] for r in rows], float)
-    model.weights = logistic(x, y)
-    if min(model.weights[1:]) < 0:  # more evidence never lowers a score: the best segment alone
-        model.weights = (*logistic(x[:, :1], y), 0.0)
+    t, y = x[:, 0] + x[:, 1], np.array([r["y"] for r in rows], float)
+    model.curve, model.cut = isotonic(t, y), best_cut(t, y)
     return model
 
 

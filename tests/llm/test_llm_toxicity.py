@@ -7,7 +7,7 @@ from llm_cases import CLASH, edge_docs, edge_rows, empty_docs, sentence
 
 from countpanel.llm import toxicity
 
-SF01 = "/root/testdata/sf0.01"
+SF1 = "/root/testdata/sf0.1"  # 120 toxic held-out documents; sf0.01 has 14
 
 
 def brute_segments(score):
@@ -48,24 +48,18 @@ def test_lambda_solves_the_law():
     assert toxicity.solve_lambda(np.zeros(toxicity.BINS)) == 1.0
 
 
-def test_logistic_recovers_weights():
-    rng = np.random.default_rng(2)
-    x = rng.normal(size=(4000, 1))
-    y = (rng.random(4000) < 1 / (1 + np.exp(1 - 2 * x[:, 0]))).astype(float)
-    bias, w = toxicity.logistic(x, y)
-    assert abs(bias + 1) < 0.2 and abs(w - 2) < 0.25
-
-
-def test_logistic_keeps_the_base_rate_on_separable_and_wide_evidence():
-    """The mean of the fitted probabilities is the share of ones (free bias)."""
+def test_isotonic_curve():
+    t, y = np.array([1.0, 2.0, 2.0, 3.0, 4.0, 5.0]), np.array([0.0, 1.0, 0.0, 0.0, 1.0, 1.0])
+    knots, p = toxicity.isotonic(t, y)
+    assert (np.diff(knots) >= 0).all() and (np.diff(p) >= 0).all()
+    # pools: {1}, {2, 2, 3}, {4, 5}, each drawn to the base rate by one row
+    assert np.allclose(np.interp([1, 2, 3, 4, 5], knots, p), [0.5 / 2, 1.5 / 4, 1.5 / 4, 2.5 / 3, 2.5 / 3])
     rng = np.random.default_rng(7)
-    for wide in (1.0, 30.0, 300.0):
+    for wide in (1.0, 30.0, 3000.0):  # separable evidence of any width keeps the base rate and the order
         y = (rng.random(5000) < 0.1).astype(float)
-        x = np.column_stack([np.where(y == 1, wide * rng.random(5000) + 3, -6 + 5 * rng.random(5000) ** 4),
-                             np.where(y == 1, rng.random(5000) * 7, 0)])
-        w = np.array(toxicity.logistic(x, y))
-        p = 1 / (1 + np.exp(-(w[0] + x @ w[1:])))
-        assert abs(p.mean() - y.mean()) < 1e-3 and ((p >= 0.3) == (y == 1)).mean() > 0.99
+        t = np.where(y == 1, wide * rng.random(5000) + 3, -6 + 5 * rng.random(5000))
+        p = np.interp(t, *toxicity.isotonic(t, y))
+        assert abs(p.mean() - y.mean()) < 1e-3 and ((p >= 0.3) == (y == 1)).all()
 
 
 def planted(n=900):
@@ -115,12 +109,12 @@ def test_held_out_quality(spark):
     import duckdb
 
     from countpanel.llm.queries import QUERIES
-    got = {r.doc_id: r for r in QUERIES["op2_toxicity"](spark, SF01).collect()}
-    label = dict(duckdb.sql(f"select doc_id, toxic from '{SF01}/labels.parquet'").fetchall())
+    got = {r.doc_id: r for r in QUERIES["op2_toxicity"](spark, SF1).collect()}
+    label = dict(duckdb.sql(f"select doc_id, toxic from '{SF1}/labels.parquet'").fetchall())
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, r in got.items())
     held = [(got[i].predicted, t) for i, t in label.items() if got[i].held_out]
     tp = sum(p == t == 1 for p, t in held)
-    assert 2 * tp / (2 * tp + sum(p != t for p, t in held)) >= 0.7
+    assert 2 * tp / (2 * tp + sum(p != t for p, t in held)) >= 0.8
 
 
 def test_scores_do_not_depend_on_other_columns(spark):
