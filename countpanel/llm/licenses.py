@@ -1,7 +1,11 @@
 """License scans: exact set-similarity join of text blocks with templates.
 
-Column expressions and joins only.  A block (a line) holds a template if at
-least ``threshold`` of the template's distinct words stand in it.
+Column expressions and joins only.  A block (a line, or a run of words that
+goes across line breaks) holds a template if at least ``threshold`` of the
+template's distinct words stand in it.  Runs are a template's number of words
+over ``threshold`` long, so a notice is found wherever its lines are wrapped,
+with as many foreign words between as words may be missing.  They are taken
+from overlapping pieces of the text: every run lies in one of them whole.
 
 One pass over whole texts counts the words and notes which words of the
 templates stand in each text; the text itself goes on only if it holds enough
@@ -105,21 +109,33 @@ def _least(template: str, threshold: float) -> int:
     return math.ceil(threshold * len(set(template.split())) - 1e-9)
 
 
+def _run(template: str, threshold: float) -> int:
+    """Words of a run that may hold a template across line breaks."""
+    return math.ceil(len(template.split()) / threshold - 1e-9)
+
+
 def template_matches(read: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
-    """(doc_id, text_hash, label, containment) of every block (line) that
-    holds a template."""
+    """(doc_id, text_hash, label, containment) of every block (line or run)
+    that holds a template."""
     frequency = frequencies(read)
     order = sorted({w for t, _ in templates for w in t.split()}, key=lambda w: (frequency.get(w, 0), w))
     rank = {w: k for k, w in enumerate(order)}
     index = []
     for number, (text, label) in enumerate(templates):
         own, need = sorted(set(text.split()), key=rank.__getitem__), _least(text, threshold)
-        index += [(w, number, label, own, j, need) for j, w in enumerate(own[:len(own) - need + 1])]
+        index += [(w, number, label, own, j, _run(text, threshold), need) for j, w in enumerate(own[:len(own) - need + 1])]
     prefix = read.sparkSession.createDataFrame(
-        index, "prefix_word string, template int, label string, own array<string>, j int, need int")
-    blocks = read.where("lower is not null").select("doc_id", "text_hash", F.explode(F.split("lower", "\n")).alias("block"))
+        index, "prefix_word string, template int, label string, own array<string>, j int, run int, need int")
+    texts = read.where("lower is not null")
+    lines = texts.select("doc_id", "text_hash", F.explode(F.split("lower", "\n")).alias("line"))
+    lines = lines.select("doc_id", "text_hash", words(F.col("line")).alias("block"), F.lit(False).alias("wrapped"))
+    longest = max(_run(t, threshold) for t, _ in templates)
+    several = texts.where(F.contains("lower", F.lit("\n"))).select("doc_id", "text_hash", words(F.col("lower")).alias("words"))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("words"), F.lit(1)), F.lit(longest))
+    pieces = several.select("doc_id", "text_hash", F.explode(F.transform(
+        starts, lambda at: F.slice("words", at, F.lit(2 * longest - 1)))).alias("block"), F.lit(True).alias("wrapped"))
     # the block's words of the template vocabulary, in global order
-    blocks = blocks.select("doc_id", "text_hash", F.array_intersect(_literals(order), words(F.col("block"))).alias("held"))
+    blocks = lines.unionAll(pieces).withColumn("held", F.array_intersect(_literals(order), "block"))
     blocks = blocks.where((F.size("held") >= min(r[-1] for r in index))
                           & F.arrays_overlap("held", _literals(sorted({r[0] for r in index}))))
     candidates = blocks.select("*", F.posexplode("held").alias("i", "word")).join(
@@ -128,7 +144,11 @@ def template_matches(read: DataFrame, templates=TEMPLATES, threshold: float = 0.
     position = (F.least("i", "j") + 1 + F.least(F.size("held") - F.col("i"), F.size("own") - F.col("j")) - 1
                 >= F.col("need"))
     overlap = F.size(F.array_intersect("held", "own"))
-    return (candidates.where(length & position).withColumn("overlap", overlap).where(F.col("overlap") >= F.col("need"))
+    in_run = F.array_max(F.transform(F.sequence(F.lit(1), F.size("block")), lambda at: F.size(
+        F.array_intersect(F.slice("block", at, F.col("run")), F.col("own")))))
+    candidates = candidates.where(length & position).withColumn("overlap", overlap).where(F.col("overlap") >= F.col("need"))
+    candidates = candidates.withColumn("overlap", F.when(F.col("wrapped"), in_run).otherwise(F.col("overlap")))
+    return (candidates.where(F.col("overlap") >= F.col("need"))
             .select("doc_id", "text_hash", "label", (F.col("overlap") / F.size("own")).alias("containment")))
 
 

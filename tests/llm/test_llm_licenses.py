@@ -56,6 +56,38 @@ def test_frequencies_cover_all_texts(spark):
     assert got == {w: counts[w] for w in vocabulary if w in counts}
 
 
+GPL = ["This program is free software: you can redistribute it and/or modify", "it under the terms of the GNU General Public License as published by",
+       "the Free Software Foundation, either version 3 of the License, or", "(at your option) any later version."]
+BSD = ["Redistribution and use in source and binary forms, with or without",
+       "modification, are permitted provided that the following conditions", "are met:"]
+
+
+def brute_runs(text, threshold=0.8):
+    """By lines, and by every run of words across line breaks."""
+    labels, best = set(filter(None, brute(text)[5].split(","))), brute(text)[6]
+    words = WORD.findall(lower_ascii(text))
+    for template, label in licenses.TEMPLATES:
+        own, run = set(template.split()), math.ceil(len(template.split()) / threshold - 1e-9)
+        for k in range(len(words)):
+            n = len(own & set(words[k:k + run]))
+            if n >= math.ceil(threshold * len(own) - 1e-9):
+                labels.add(label)
+                best = max(best, n / len(own))
+    return ",".join(sorted(labels)), best
+
+
+def test_wrapped_notices(spark):
+    """Notices over several lines, at every place relative to the pieces."""
+    rows = [(k, "word " * k + "\n" + "\n".join(GPL)) for k in range(60)]
+    rows += [(100 + k, "word\n" * k + "\n# ".join(BSD) + "\nword" * 70) for k in range(60)]
+    rows += [(200, "\r\n * ".join(GPL)), (201, "\n".join(" ".join(BSD).split())), (202, "\n\n".join(GPL + BSD)),
+             (203, "\n".join(w + "\nand so on, word by word" for w in " ".join(GPL + BSD).split())), (204, "\n" * 9), (205, GPL[0])]
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(edge_docs(spark, rows)).collect()}
+    assert all(got[k] == ("gpl-3", 1.0) and got[100 + k] == ("bsd", 1.0) for k in range(60))
+    assert [got[k] for k in range(200, 206)] == [("gpl-3", 1.0), ("bsd", 1.0), ("bsd,gpl-3", 1.0), ("", 0.0), ("", 0.0), ("", 0.0)]
+    assert got == {k: brute_runs(t) for k, t in rows}
+
+
 def test_empty(spark):
     assert licenses.scan(empty_docs(spark)).count() == 0
 
