@@ -31,13 +31,39 @@ MIN_SCORE = 0.5
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "ssn")
 
+#: Length of an IBAN by country, of the registry and of the codes
+#: in use beside it.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CM CZ DZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "IR IS TR",
+    27: "BI CF CG DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def _iban_pattern() -> str:
+    """As many characters as the country's IBANs have, in groups of four with or
+    without spaces between, so no following word is taken in.  Codes without a
+    length may have any, up to where the next IBAN begins."""
+    known = "|".join(" ".join(IBAN_LENGTHS.values()).split())
+    classes = []
+    for n, codes in IBAN_LENGTHS.items():
+        groups, rest = divmod(n - 4, 4)
+        tail = rf"\x20?[A-Z0-9]{{{rest}}}" if rest else ""
+        classes.append(rf"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{groups}}}{tail}")
+    gap = rf"(?:\x20(?!(?:{known})[0-9]{{2}}\x20?[A-Z0-9]{{4}}))?"
+    classes.append(rf"(?!{known})[A-Z]{{2}}[0-9]{{2}}(?:{gap}[A-Z0-9]{{4}}){{2,7}}(?:{gap}[A-Z0-9]{{1,3}})?")
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join(classes)})(?![A-Za-z0-9])"
+
+
 #: Proposing pattern of each kind.
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": _iban_pattern(),
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 #: Prior score, supporting and denying context words of each kind.

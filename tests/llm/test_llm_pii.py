@@ -61,6 +61,32 @@ def test_added_kinds_need_checksum_or_context(spark):
     assert spans_of(spark, "my SSN: 000-45-6789") == []
 
 
+def iban(country, n):
+    """A valid one of n characters."""
+    rest = "".join("0123456789ABC"[(3 * k + n) % (13 if k < 4 else 10)] for k in range(n - 4))
+    value = int("".join(str(int(c, 36)) for c in f"{rest}{country}00"))
+    return f"{country}{98 - value % 97:02d}{rest}"
+
+
+def test_ibans_before_upper_case_words_and_numbers(spark):
+    """All lengths, both written forms, what follows never taken in."""
+    known = [iban(c, n) for n, codes in pii.IBAN_LENGTHS.items() for c in codes.split()]
+    known += ["AT611904300234573201", "ES9121000418450200051332", "BE68539007547034"]
+    spaced = [" ".join(x[k:k + 4] for k in range(0, len(x), 4)) for x in known]
+    after = [" BIC: X", " EUR 50", " 7", " SWIFT", " USD1 AB12", "", ", BIC", " and more", f" {spaced[0]}"]
+    rows = [(k, f"pay {x}{a} now") for k, (x, a) in enumerate((x, a) for x in known + spaced for a in after)]
+    expected = {k: [x] + [spaced[0]] * (a == after[-1])
+                for k, (x, a) in enumerate((x, a) for x in known + spaced for a in after)}
+    docs = edge_docs(spark, rows)
+    got = pii.spans(docs).select("row.doc_id", pii.of_kind(F.col("spans"), "iban").alias("s")).collect()
+    assert {r.doc_id: [x.match for x in r.s] for r in got} == expected
+    assert spans_of(spark, "NR12 3456 7890 AT61 1904 3002 3457 3201 EUR") == [("iban", "AT61 1904 3002 3457 3201", 0.9)]
+    assert spans_of(spark, "AT61 1904 3002 3457 3202 BIC") == [] and spans_of(spark, "AT61 1904 3002 3457 3201B") == []
+    texts = [(1, "to BE68 5390 0754 7034 BIC"), (2, "to BE68539007547034 EUR 50")]
+    assert {r.doc_id: r.text for r in pii.mask(edge_docs(spark, texts)).collect()} == {
+        1: "to <IBAN> BIC", 2: "to <IBAN> EUR 50"}
+
+
 def test_context_moves_the_score(spark):
     card = "4111 1111 1111 1111"
     scores = [spans_of(spark, t)[0][2] for t in (card, f"credit card {card}", f"order no {card}")]
