@@ -6,7 +6,12 @@ masked hashes of the benchmark items are joined with those of every position
 of every document; around each hit the two word sequences are laid on the same
 diagonal, and the longest stretch in which at least ``identity`` of the words
 agree is taken.  A document leaks an item if that stretch has ``min_words``
-words (or covers the whole item, if that is shorter).
+words (or covers the whole item, if that is shorter).  Where an item is so
+short that some allowed substitutions hit no mask, every such pattern gets a
+mask of its own over the whole item; under five words that is the item itself.
+
+A word is a run of letters and digits, or one character of a script written
+without spaces (Han, Kana, Thai, Lao, Khmer, Burmese, ...).
 
 The benchmark travels to the tasks, in blocks: items are dealt by hash into as
 many blocks as keep each at ``BLOCK_CHARS`` characters on average, every block
@@ -14,8 +19,8 @@ is scanned against all documents in turn, and no block is larger whatever the
 benchmark's size.  The documents are read by one map task per split, with no
 shuffle.
 
-Defined results: null and empty texts leak nothing; items with fewer than five
-words hold no seed and never match; repeated items are reported by their own
+Defined results: null and empty texts leak nothing, nor do items without a
+word; repeated items are reported by their own
 item_id each (null if it is null), equal (item_id, text) rows once; every
 input row of the documents gives one output row, extra columns stay inside ``row``.
 """
@@ -24,7 +29,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +44,12 @@ MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 5, 6), (0, 1, 2, 5, 6), (0, 2, 3, 6, 8))
 BLOCK_CHARS = 16_000_000
 TOKENS_AT_ONCE = 1 << 19
 WORD = re.compile(r"\w+")
+#: Scripts written without spaces between words.
+UNSPACED = ("\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff"
+            "\u3400-\u4dbf\u4e00-\u9fff\ua980-\ua9ff\uaa60-\uaa7f\uf900-\ufaff\uff66-\uff9f"
+            "\U0001b000-\U0001b16f\U00020000-\U0003ffff")
+HAS_UNSPACED = re.compile(f"[{UNSPACED}]")
+MIXED_WORD = re.compile(rf"(?=[{UNSPACED}])\w|[^\W{UNSPACED}]+")
 FILTER_BITS = 22
 HIT = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("first_word", T.IntegerType()),
                     T.StructField("n_words", T.IntegerType()), T.StructField("n_equal", T.IntegerType()),
@@ -48,25 +59,45 @@ ARROW_HIT = pa.struct([("item_id", pa.int64()), ("first_word", pa.int32()), ("n_
 
 
 def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    text = text.lower()
+    if text.isascii() or not HAS_UNSPACED.search(text):
+        return WORD.findall(text)
+    return MIXED_WORD.findall(text)
+
+
+def whole_masks(n: int, identity: float, masks=MASKS) -> list[tuple[int, ...]]:
+    """Masks over whole items of ``n`` words, one for each pattern of as many
+    substitutions as ``identity`` allows that no place of ``masks`` avoids."""
+    placed = [{p + offset for offset in mask} for mask in masks for p in range(n - mask[-1])]
+    patterns = combinations(range(n), min(n - 1, int(n * (1 - identity) + 1e-9)))
+    return [tuple(k for k in range(n) if k not in lost) for lost in patterns
+            if all(not place.isdisjoint(lost) for place in placed)]
 
 
 class SeedIndex:
-    """Masked hashes of one block of benchmark items."""
+    """Masked hashes of one block of benchmark items; items of up to
+    ``min_words`` words are to be found whole."""
 
-    def __init__(self, items: list[tuple[int, str]], masks=MASKS):
-        self.masks = masks
+    def __init__(self, items: list[tuple[int, str]], masks=MASKS, min_words: int = 13, identity: float = 0.8):
         self.vocabulary: dict[str, int] = {}
         self.item_ids, self.tokens = [], []
         for item_id, text in items:
             words = words_of(text or "")
-            if len(words) >= len(masks[0]):
+            if words:
                 self.item_ids.append(item_id)
                 self.tokens.append(np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words],
                                             np.int32))
+        lengths = {len(t) for t in self.tokens}
+        whole = {n: whole_masks(n, identity, masks) for n in sorted(lengths) if n <= min_words}
+        self.masks = list(dict.fromkeys([*masks, *(m for own in whole.values() for m in own)]))
+        number = {m: k for k, m in enumerate(self.masks)}
+        self.gap = max(m[-1] for m in self.masks) + 1
+        # of an item that is only found whole and unchanged, one place per document is enough
+        self.exact = np.array([len(t) <= min(m[-1] for m in masks) and int(len(t) * (1 - identity) + 1e-9) == 0
+                               for t in self.tokens], bool)
         rng = np.random.default_rng(1)
         self.codes = rng.integers(1, 1 << 63, len(self.vocabulary) + 1, dtype=np.uint64)
-        self.weights = rng.integers(1, 1 << 62, (len(masks), len(masks[0])), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.weights = [rng.integers(1, 1 << 62, len(m), dtype=np.uint64) * np.uint64(2) + np.uint64(1) for m in self.masks]
         hashes, items_at, places = [], [], []
         for k, tokens in enumerate(self.tokens):
             for m in range(len(masks)):
@@ -74,6 +105,12 @@ class SeedIndex:
                 hashes.append(h)
                 items_at.append(np.full(len(at), k, np.int32))
                 places.append(at.astype(np.int32))
+            for mask in whole.get(len(tokens), ()):
+                if number[mask] >= len(masks):  # hashed already if among the others
+                    h, at = self.hashes(tokens, number[mask])
+                    hashes.append(h[at == 0])
+                    items_at.append(np.full(1, k, np.int32))
+                    places.append(np.zeros(1, np.int32))
         none = [np.zeros(0, np.uint64)]
         h = np.concatenate(hashes or none)
         order = np.argsort(h, kind="stable")
@@ -90,8 +127,8 @@ class SeedIndex:
         if n <= 0:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
         known = tokens > 0
-        valid = known[:n].copy()
-        for offset in self.masks[mask][1:]:
+        valid = np.ones(n, bool)
+        for offset in self.masks[mask]:
             valid &= known[offset:offset + n]
         at = np.flatnonzero(valid)
         h = np.zeros(len(at), np.uint64)
@@ -138,6 +175,8 @@ def leaks_of(tokens: np.ndarray, starts: np.ndarray, index: SeedIndex, min_words
         return {}
     doc = np.searchsorted(starts, place, side="right") - 1
     diagonals = np.unique(np.stack([doc, item, place - item_place]), axis=1).T
+    again = np.append(False, (diagonals[1:, :2] == diagonals[:-1, :2]).all(axis=1))
+    diagonals = diagonals[~(again & index.exact[diagonals[:, 1]])]
     best: dict[tuple[int, int], tuple] = {}
     for d, k, offset in diagonals.tolist():
         own = index.tokens[k]
@@ -159,7 +198,7 @@ def _scan(index: SeedIndex, text: str, min_words: int, identity: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = index.vocabulary.get
-        gap = np.zeros(index.masks[-1][-1] + 1, np.int32)
+        gap = np.zeros(index.gap, np.int32)
         for batch in batches:
             row, before = batch.column(0), batch.column(1).to_pylist()
             found: dict[int, list[tuple]] = {}
@@ -201,7 +240,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
     schema = out.schema
     for block in range(n_blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block)
-        index = SeedIndex(sorted(((r[0], r[1]) for r in part.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
+        index = SeedIndex(sorted(((r[0], r[1]) for r in part.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])),
+                          min_words=min_words, identity=identity)
         out = out.mapInArrow(_scan(index, text, min_words, identity), schema)
     return out
 

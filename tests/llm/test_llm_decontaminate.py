@@ -59,6 +59,40 @@ def test_benchmark_texts_inside_documents(spark):
     assert got == held and held
 
 
+def test_every_allowed_substitution_of_short_items_is_found():
+    """All patterns that leave 80 % of up to 13 words, inside other words."""
+    from itertools import combinations
+
+    import numpy as np
+    items = [(n, " ".join(f"w{n}x{k}" for k in range(n))) for n in range(1, 14)]
+    index = decontaminate.SeedIndex(items)
+    for n, text in items:
+        own = [index.vocabulary[w] for w in text.split()]
+        gap = [0] * index.gap
+        for lost in range(n // 5 + 2):
+            for pattern in combinations(range(n), lost):
+                doc = [0, 0, *(0 if k in pattern else x for k, x in enumerate(own)), *gap]
+                found = decontaminate.leaks_of(np.array(doc, np.int32), np.array([0]), index, 13, 0.8)
+                assert bool(found) == (lost <= n // 5), (n, pattern)
+                assert not found or [x[0] for x in found[0]] == [n]
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    zh, ja, th = "下列哪个城市是法国的首都，也是最大的城市？", "日本で一番高い山は何ですか。", "เมืองหลวงของประเทศไทยคือ"
+    items = [(1, "Who wrote Faust?"), (2, "alpha beta gamma delta epsilon"), (3, "one two three four five six"), (4, zh),
+             (5, ja), (6, "𠀀𠀁𠀂"), (7, "?!"), (8, th), (9, "42")]
+    rows = [(10, "x who wrote FAUST, y who wrote faust"), (11, "who has written faust"), (12, "so alpha beta nope delta epsilon on"),
+            (13, "one two three zzz five six"), (14, "one two zzz zzz five six"), (20, f"题目：{zh}答案是巴黎"),
+            (21, "在文本中" + zh.replace("首", "古").replace("，", "") + "没有空格"), (22, "法国的首都是巴黎"), (23, "問題" + ja + "富士山"),
+            (24, "a𠀀𠀁𠀂b"), (25, f"คำถาม{th}อะไร"), (26, "4 2 421"), (27, "(42)")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for block_chars in (decontaminate.BLOCK_CHARS, 30):
+        out = decontaminate.scan(edge_docs(spark, rows), bench, block_chars=block_chars).collect()
+        assert {r.row.doc_id: [h.item_id for h in r.hits] for r in out if r.hits} == {
+            10: [1], 12: [2], 13: [3], 20: [4], 21: [4], 23: [5], 24: [6], 25: [8], 27: [9]}
+    assert decontaminate.words_of("GPT-4和 é語") == ["gpt", "4", "和", "é", "語"]
+
+
 def test_edges(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame([(1, sentence(1, 20))], "item_id long, text string")
