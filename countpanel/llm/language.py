@@ -9,8 +9,11 @@ smallest proportion; as a mixture of all languages bounds every subset's
 likelihood, most texts settle at one language after the first run.
 
 The trigram counts come from a sample of about ``per_language`` documents of
-each language (by hashed doc_id), for at most ``max_languages`` languages, the
-most frequent ones.  Prediction is one map pass over whole texts.
+each language (by hashed doc_id); every language is learned.  The model holds
+only the trigrams seen of each language, as the others have their pooled share
+times the language's rest.  While more than ``ONE_BY_ONE`` languages are left,
+the search drops the smaller half of the proportions at once.  Prediction is
+one map pass over whole texts.
 
 Defined results: ``und`` and score 0 for null texts, texts without a letter,
 and when nothing could be learned; documents without a lang are predicted but
@@ -21,6 +24,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +40,7 @@ NOT_LETTERS = re.compile(r"[\W\d_]+")
 LETTER = re.compile(r"[^\W\d_]")
 ITERATIONS = 12
 PIECE = 1 << 20  # characters counted at a time
+ONE_BY_ONE = 32  # languages from which on the search drops one at a time
 
 
 def trigram_counts(text: str) -> np.ndarray | None:
@@ -65,10 +70,51 @@ def proportions(p: np.ndarray, c: np.ndarray, iterations: int = ITERATIONS) -> t
     return w, float(c @ np.log(w @ p))
 
 
-def infer(p: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+class Shares(NamedTuple):
+    """Trigram distributions of all languages: by bucket, the languages that
+    have it and their shares; any other language has ``rest`` of ``pooled``."""
+
+    rest: np.ndarray
+    pooled: np.ndarray
+    ends: np.ndarray
+    lang: np.ndarray
+    share: np.ndarray
+
+    def of(self, seen: np.ndarray) -> np.ndarray:
+        """Shares of these buckets, languages x buckets."""
+        p = np.outer(self.rest, self.pooled[seen]).astype(np.float32)
+        lo, hi = self.ends[seen], self.ends[seen + 1]
+        size = hi - lo
+        entry = np.arange(size.sum()) + np.repeat(lo - (np.cumsum(size) - size), size)
+        p[self.lang[entry], np.repeat(np.arange(len(seen)), size)] = self.share[entry]
+        return p
+
+    def __eq__(self, other) -> np.ndarray:
+        return np.array([np.array_equal(a, b) for a, b in zip(self, other)])
+
+    __hash__ = None
+
+
+def shares(counts: list[tuple[np.ndarray, np.ndarray]]) -> Shares:
+    """Smoothed distributions from (buckets, counts) of each language."""
+    total, n = np.zeros(BUCKETS), np.array([float(c.sum()) for _, c in counts])
+    for at, c in counts:
+        total[at] += c
+    pooled = (total + 0.5) / (total.sum() + 0.5 * BUCKETS)
+    at = np.concatenate([np.zeros(0, np.int32), *(a for a, _ in counts)])
+    lang = np.repeat(np.arange(len(counts), dtype=np.int32), [len(a) for a, _ in counts])
+    share = np.concatenate([np.zeros(0, np.float32), *(((c + SMOOTHING * pooled[a]) / (m + SMOOTHING)).astype(np.float32)
+                                                       for (a, c), m in zip(counts, n))])
+    order = np.argsort(at, kind="stable")
+    ends = np.append(0, np.cumsum(np.bincount(at, minlength=BUCKETS)))
+    return Shares(SMOOTHING / (n + SMOOTHING), pooled, ends, lang[order], share[order])
+
+
+def infer(p: Shares, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(languages of the best penalised set, their proportions)."""
     seen = np.flatnonzero(counts)
-    p, c = p[:, seen], counts[seen].astype(p.dtype)
+    p = p.of(seen)
+    c = counts[seen].astype(p.dtype)
     price = 0.5 * np.log(c.sum() + 1)
     langs = np.arange(len(p))
     w, fit = proportions(p, c)
@@ -80,7 +126,8 @@ def infer(p: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         best = (float(alone[top]) - price, langs[[top]], np.ones(1))
     # a set of two or more is bounded by the full mixture's fit
     while len(langs) > 2 and bound - 2 * price > best[0]:
-        keep = np.sort(np.argsort(-w, kind="stable")[:-1])
+        left = max(len(langs) // 2, ONE_BY_ONE) if len(langs) > ONE_BY_ONE else len(langs) - 1
+        keep = np.sort(np.argsort(-w, kind="stable")[:left])
         langs = langs[keep]
         w, fit = proportions(p[langs], c)
         if fit - price * len(langs) > best[0]:
@@ -105,31 +152,27 @@ def _count_task():
     return run
 
 
-def fit(docs: DataFrame, may_learn: Callable[[Column], Column] | None = None, per_language: int = 1500,
-        max_languages: int = 200) -> tuple[list[str], np.ndarray]:
+def fit(docs: DataFrame, may_learn: Callable[[Column], Column] | None = None,
+        per_language: int = 1500) -> tuple[list[str], Shares]:
     """(languages, their trigram distributions) from text and lang of ``docs``."""
     usable = docs.select("doc_id", "text", "lang").where("lang is not null and text is not null and doc_id is not null")
     if may_learn is not None:
         usable = usable.where(may_learn(F.col("doc_id")))
-    frequent = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(max_languages)
-    shares = frequent.select(F.col("lang").alias("of"), (F.lit(per_language * (1 << 20)) / F.col("n")).alias("below"))
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("n"))
+    below = sizes.select(F.col("lang").alias("of"), (F.lit(per_language * (1 << 20)) / F.col("n")).alias("below"))
     deal = F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1 << 20))
-    sample = usable.join(F.broadcast(shares), (F.col("lang") == F.col("of")) & (deal < F.col("below")))
+    sample = usable.join(F.broadcast(below), (F.col("lang") == F.col("of")) & (deal < F.col("below")))
     counted = materialize(sample.select("lang", "text").mapInArrow(_count_task(), "lang string, bucket long, n long")
                           .groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "language-counts")
-    # at most max_languages x BUCKETS numbers
-    rows = counted.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("counts")).collect()
-    names = sorted(r["lang"] for r in rows)
-    counts = np.zeros((len(names), BUCKETS))
-    for r in rows:
-        at = np.array([(x["bucket"], x["n"]) for x in r["counts"]])
-        counts[names.index(r["lang"]), at[:, 0]] = at[:, 1]
-    pooled = (counts.sum(axis=0) + 0.5) / (counts.sum() + 0.5 * BUCKETS)
-    p = (counts + SMOOTHING * pooled) / (counts.sum(axis=1, keepdims=True) + SMOOTHING)
-    return names, p.astype(np.float32)
-
-
-def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text") -> DataFrame:
+    # languages x BUCKETS numbers at most, packed here a language at a time
+    rows = counted.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("counts")).select(
+        "lang", F.col("counts.bucket").alias("at"), F.col("counts.n").alias("n"))
+    learned = sorted(((r["lang"], np.array(r["at"], np.int32), np.array(r["n"])) for r in rows.toLocalIterator()),
+                     key=lambda x: x[0])
+    return [x[0] for x in learned], shares([x[1:] for x in learned])
+
+
+def identify(docs: DataFrame, model: tuple[list[str], Shares], text: str = "text") -> DataFrame:
     """(row: the input row, lang_pred, score: its proportion, languages: the
     set chosen, largest first) per input row."""
     names, p = model

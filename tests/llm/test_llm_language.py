@@ -36,6 +36,39 @@ def test_mixtures(spark):
     assert all((got[i].lang_pred, got[i].score) == ("und", 0.0) for i in (4, 5, 6))
 
 
+def invented(lang, k, n=60):
+    """Text of one of any number of languages, each with syllables of its own."""
+    import random
+    own = random.Random(f"syllables {lang}")
+    parts = ["".join(own.choice("abcdefghijklmnopqrstuvwxyzäöüéñ") for _ in range(3)) for _ in range(6)]
+    rnd = random.Random(f"{lang} {k}")
+    return " ".join("".join(rnd.choice(parts) for _ in range(rnd.randint(1, 3))) for _ in range(n))
+
+
+def test_every_language_is_learned(spark):
+    """Also the rarest of 260: two documents each, the first ten three."""
+    names = [f"l{k:03d}" for k in range(260)]
+    rows = [(10 * j + k, invented(x, k), x) for j, x in enumerate(names) for k in range(3 if j < 10 else 2)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model[0] == names
+    docs = edge_docs(spark, [(j, invented(x, 9)) for j, x in enumerate(names)]
+                     + [(1000, invented("l200", 10) + " " + invented("l259", 11))])
+    got = {r.row.doc_id: r for r in language.identify(docs, model).collect()}
+    assert [got[j].lang_pred for j in range(260)] == names
+    assert sorted(got[1000].languages) == ["l200", "l259"]
+
+
+def test_shares_equal_the_dense_table():
+    rng = np.random.default_rng(5)
+    counts = rng.poisson(0.3, (7, language.BUCKETS)).astype(float)
+    pooled = (counts.sum(axis=0) + 0.5) / (counts.sum() + 0.5 * language.BUCKETS)
+    dense = ((counts + language.SMOOTHING * pooled) / (counts.sum(axis=1, keepdims=True) + language.SMOOTHING)).astype(np.float32)
+    packed = language.shares([(np.flatnonzero(c).astype(np.int32), c[c > 0].astype(int)) for c in counts])
+    seen = np.unique(rng.integers(0, language.BUCKETS, 900))
+    assert np.allclose(packed.of(seen), dense[:, seen], rtol=1e-6, atol=0)
+    assert language.shares([]).of(seen).shape == (0, len(seen))
+
+
 def test_proportions_raise_the_likelihood():
     rng = np.random.default_rng(3)
     p = rng.dirichlet(np.ones(50), 3)
