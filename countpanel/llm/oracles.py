@@ -134,3 +134,28 @@ FROM f JOIN p USING (host, whole)
 
 
 URLS = _urls()
+
+NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(coalesce(list_sum(list_transform(range(1, least(len(a.q), len(b.q)) + 1), lambda i: a.q[i] * b.q[i])), 0) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank,
+       s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p
+JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+WHERE 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+QUALIFY rank <= 5
+"""

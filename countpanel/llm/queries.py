@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from countpanel.llm import bpe, decontaminate, language, licenses, oracles, pii, quality, simhash, substrings, toxicity, urls
+from countpanel.llm import (
+    bpe, decontaminate, language, licenses, negatives, oracles, pii, quality, quality_trees, resample, simhash, substrings, toxicity, urls)
 from countpanel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,4 +119,31 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@register("op11_quality_trees")
+def op11_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by boosted trees; fold 2 of 4 is not learned
+    from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_trees.fit(docs, table(spark, sf_dir, "labels"), lambda i: ~held_out(i, 4, 2))
+    found = quality_trees.score(docs, model)
+    return found.select(F.col("row.doc_id").alias("doc_id"), held_out(F.col("row.doc_id"), 4, 2).alias("held_out"),
+                        "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@register("op12_negatives", oracles.NEGATIVES)
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh has its label
+    moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return negatives.mine(vectors, F.col("id") % 100 == 0, scale=256.0, positives=5, negatives=5, window=(80, 100))
+
+
+@register("op13_resample")
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Draw of a tenth of the documents towards the benchmark's words."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), max_n=1, buckets=10_000,
+                             min_words=20, share=(10, 100), seed=2024)
+
+
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
