@@ -84,7 +84,7 @@ def site_profile(df: DataFrame, key: str, value: str, ts: str, hour: str | None
     wk = weekday0(ts) >= 5
     h = F.col(hour) if hour else F.hour(F.col(ts))
     med = exact_quantiles(df, value, [0.5], [key], ["median_count"])
-    return df.groupBy(key).agg(
+    found = df.groupBy(key).agg(
         F.avg(v).alias("mean_count"),
         F.max(v).alias("max_count"),
         F.stddev_samp(v).alias("std_count"),
@@ -92,7 +92,8 @@ def site_profile(df: DataFrame, key: str, value: str, ts: str, hour: str | None
         F.avg(F.when(wk, v)).alias("weekend_mean"),
         F.avg(F.when(is_rush_hour(h), v)).alias("rush_mean"),
         F.count(v).alias("n_obs"),
-    ).join(med, key, "left")
+    )
+    return join_null_safe(found, med, [key], "left")
 
 
 def profile_ratios(df: DataFrame, eps: float = 1e-6) -> DataFrame:
@@ -171,17 +172,16 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 def describe_exact(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """count, mean, sample std, min, exact quartiles, max per column, long
-    form.  One aggregate pass for the moments plus the distributed exact
-    quantiles; the one-row results are unpivoted with ``inline``."""
+    form.  One aggregate pass for the moments plus the exact quantiles of all
+    columns together."""
     mom = df.agg(*[e for c in cols for e in (
         F.count(c).alias(f"{c}__count"), F.avg(c).alias(f"{c}__mean"), F.stddev_samp(c).alias(f"{c}__std"),
         F.min(F.col(c).cast("double")).alias(f"{c}__min"), F.max(F.col(c).cast("double")).alias(f"{c}__max"))])
-    for c in cols:
-        mom = mom.crossJoin(bounded(exact_quantiles(df, c, [0.25, 0.5, 0.75], [], [f"{c}__q25", f"{c}__q50", f"{c}__q75"])))
-    stats = [F.struct(F.lit(c).alias("column"), *[F.col(f"{c}__{k}").alias(k) for k in
-                                                   ("count", "mean", "std", "min", "q25", "q50", "q75", "max")])
+    stats = [F.struct(F.lit(c).alias("column"), *[F.col(f"{c}__{k}").alias(k) for k in ("count", "mean", "std", "min", "max")])
              for c in cols]
-    return mom.select(F.inline(F.array(*stats)))
+    quartiles = quantiles_of_columns(df, cols, [0.25, 0.5, 0.75], [], ["q25", "q50", "q75"])
+    return mom.select(F.inline(F.array(*stats))).join(bounded(quartiles), "column", "left").select(
+        "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def kpis(df: DataFrame, value: str, site: str, city: str | None, ts: str) -> DataFrame:
@@ -284,11 +284,11 @@ def box_stats(df: DataFrame, by: Sequence[str], col: str) -> DataFrame:
     x = F.col(col)
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
-    j = df.join(small(q), list(by))
+    j = join_null_safe(df, small(q), list(by))
     f = j.groupBy(*by).agg(F.min(F.when(x >= lo_f, x)).alias("whisker_lo"),
                            F.max(F.when(x <= hi_f, x)).alias("whisker_hi"),
                            F.count_if((x < lo_f) | (x > hi_f)).alias("n_outliers"))
-    return q.join(f, list(by))
+    return join_null_safe(q, f, list(by))
 
 
 def daily_average(df: DataFrame, key: str, value: str, ts: str, k: int = 15) -> DataFrame:
@@ -336,41 +336,63 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[s
         size = estimated_size(df)
         distributed = size is None or size > ONE_TASK_BYTES
     if not distributed:
-        return df.groupBy(*by).agg(*[F.percentile(F.col(col).cast("double"), float(q)).alias(n)
-                                     for q, n in zip(qs, names)])
+        all_q = F.percentile(F.col(col).cast("double"), F.array(*[F.lit(float(q)) for q in qs])).alias("_q")
+        return df.groupBy(*by).agg(all_q).select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
     eps = 3.0 / accuracy
-    d = df.select(*by, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    d = df.select(*by, F.col(col).cast("double").alias("_x"))
     bounds = []
     for q in qs:
         bounds += [max(0.0, q - eps), min(1.0, q + eps)]
-    groups = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
-    st = d.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"),
+    st = d.groupBy(*by).agg(F.count("_x").alias("_n"),
                             F.percentile_approx("_x", F.array(*[F.lit(b) for b in bounds]), accuracy).alias("_b"))
     big = F.col("_n") >= accuracy
     qa = F.array(*[F.struct(F.lit(i).alias("_qi"), F.lit(float(q)).alias("_q"),
                             F.when(big, F.col("_b")[2 * i]).alias("_lo"),
                             F.when(big, F.col("_b")[2 * i + 1]).alias("_hi")) for i, q in enumerate(qs)])
-    st = (st.select(*by, "_n", F.explode(qa).alias("_s")).select(*by, "_n", "_s.*")
-          .withColumn("_pos", F.col("_q") * (F.col("_n") - 1))
-          .withColumn("_f", F.floor("_pos")).withColumn("_c", F.ceil("_pos")))
-    j = join_null_safe(d, small(st), by) if by else d.crossJoin(bounded(st))
+    per = (st.select(*by, "_n", F.explode(qa).alias("_s")).select(*by, "_n", "_s.*")
+           .withColumn("_pos", F.col("_q") * (F.col("_n") - 1))
+           .withColumn("_f", F.floor("_pos")).withColumn("_c", F.ceil("_pos")))
+    j = join_null_safe(d, small(per), by) if by else d.crossJoin(bounded(per))
+    # all rows below the bracket share one null value, which comes first in the running sum;
+    # rows without a value join them uncounted, so a group of such rows stays
+    value = F.when(F.coalesce(F.col("_x") >= F.col("_lo"), F.lit(True)), F.col("_x")).alias("_v")
     keys = [*by, "_qi"]
-    below = j.groupBy(*keys).agg(F.count_if(F.coalesce(F.col("_x") < F.col("_lo"), F.lit(False))).alias("_below"))
-    band = (j.filter(F.coalesce(F.col("_x") >= F.col("_lo"), F.lit(True))
-                     & F.coalesce(F.col("_x") <= F.col("_hi"), F.lit(True)))
-            .groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_k")))
-    w = Window.partitionBy(*keys).orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    band = (j.filter(F.coalesce(F.col("_x") <= F.col("_hi"), F.lit(True)))
+            .groupBy(*keys, value).agg(F.count("_x").alias("_k"), *[F.max(c).alias(c) for c in ("_pos", "_f", "_c")]))
+    w = Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     band = band.withColumn("_end", F.sum("_k").over(w)).withColumn("_start", F.col("_end") - F.col("_k"))
-    t = join_null_safe(join_null_safe(band, below, keys), st.select(*keys, "_pos", "_f", "_c"), keys)
-    tf = F.col("_f") - F.col("_below")
-    tc = F.col("_c") - F.col("_below")
-    hit = lambda r: (F.col("_start") <= r) & (r < F.col("_end"))
-    v = t.groupBy(*keys, "_pos", "_f", "_c").agg(F.min(F.when(hit(tf), F.col("_x"))).alias("_vf"),
-                                                 F.min(F.when(hit(tc), F.col("_x"))).alias("_vc"))
+    hit = lambda r: (F.col("_start") <= F.col(r)) & (F.col(r) < F.col("_end"))
+    v = band.groupBy(*keys).agg(F.min(F.when(hit("_f"), F.col("_v"))).alias("_vf"), F.min(F.when(hit("_c"), F.col("_v"))).alias("_vc"),
+                                *[F.max(c).alias(c) for c in ("_pos", "_f", "_c")])
     val = F.when(F.col("_f") == F.col("_c"), F.col("_vf")).otherwise(
         (F.col("_c") - F.col("_pos")) * F.col("_vf") + (F.col("_pos") - F.col("_f")) * F.col("_vc"))
     v = v.withColumn("_v", val)
-    v = v.groupBy(*by).agg(*[F.max(F.when(F.col("_qi") == i, F.col("_v"))).alias(n) for i, n in enumerate(names)])
-    if not by:
-        return v
-    return join_null_safe(groups, v, by, "left").drop("_rows")
+    return v.groupBy(*by).agg(*[F.max(F.when(F.col("_qi") == i, F.col("_v"))).alias(n) for i, n in enumerate(names)])
+
+
+def quantiles_of_columns(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by: Sequence[str] = (),
+                         names: Sequence[str] | None = None, accuracy: int = 100_000, distributed: bool | None = None) -> DataFrame:
+    """Exact quantiles of many columns: one row per (group, column), ``by`` +
+    ``column`` + one column per quantile.
+
+    The columns are unpivoted into (group, column, value), so one scan feeds
+    the sketches of all columns and a second one their bands, however many
+    columns there are.  Inputs that fit in a task take one aggregate."""
+    by, names = list(by), list(names or [f"q{int(round(q * 100))}" for q in qs])
+    if distributed is None:
+        size = estimated_size(df)
+        distributed = size is None or size > ONE_TASK_BYTES
+    wanted = F.array(*[F.lit(float(q)) for q in qs])
+    if not distributed:
+        each = [F.struct(F.lit(c).alias("column"), F.percentile(F.col(c).cast("double"), wanted).alias("_q")) for c in cols]
+        long = df.groupBy(*by).agg(F.array(*each).alias("_a")).select(*by, F.inline("_a"))
+        return long.select(*by, "column", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    each = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_value")) for c in cols]
+    return exact_quantiles(df.select(*by, F.inline(F.array(*each))), "_value", qs, [*by, "column"], names, accuracy, True)
+
+
+def quantiles_wide(df: DataFrame, cols: Mapping[str, str], q: float, by: Sequence[str] = (), distributed: bool | None = None) -> DataFrame:
+    """One row per group with the same quantile of many columns, named by
+    ``cols`` (column -> name).  Without groups there is always one row."""
+    long = quantiles_of_columns(df, list(cols), [q], by, ["_q"], distributed=distributed)
+    return long.groupBy(*by).agg(*[F.max(F.when(F.col("column") == c, F.col("_q"))).alias(n) for c, n in cols.items()])

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 import zlib
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from countpanel.operators import windows as W
+from countpanel.operators.aggs import exact_quantiles
+from countpanel.session import cut_lineage, small
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # task functions travel by value
 
 
 # N1 ---------------------------------------------------------------------
@@ -46,75 +53,122 @@ def rolling_outliers(df: DataFrame, key: str = "unique_id", ds: str = "ds", col:
 
 
 # N3 ---------------------------------------------------------------------
-def _c_factor(n: int) -> float:
-    if n <= 1:
-        return 1.0
-    return 2.0 * (np.log(n - 1) + 0.5772156649) - 2.0 * (n - 1) / n
+FOREST = "nodes array<int>, features array<int>, cuts array<double>, paths array<double>, roots array<int>"
 
 
-def _iforest_scores(x: np.ndarray, trees: int, sample: int, rng: np.random.Generator) -> np.ndarray:
-    """Isolation-forest anomaly scores (higher = more anomalous)."""
-    n, m = x.shape
-    psi = min(sample, n)
-    limit = int(np.ceil(np.log2(max(psi, 2))))
-    depth = np.zeros(n)
-    for _ in range(trees):
-        idx = rng.choice(n, psi, replace=False)
-        # iterative tree build over the subsample; every row walks the tree
-        nodes = [(idx, np.arange(n), 0)]
-        while nodes:
-            sub, rows, d = nodes.pop()
-            if d >= limit or len(sub) <= 1:
-                depth[rows] += d + _c_factor(len(sub))
-                continue
-            f = rng.integers(m)
-            lo, hi = x[sub, f].min(), x[sub, f].max()
-            if lo == hi:
-                depth[rows] += d + _c_factor(len(sub))
-                continue
-            s = rng.uniform(lo, hi)
-            nodes.append((sub[x[sub, f] < s], rows[x[rows, f] < s], d + 1))
-            nodes.append((sub[x[sub, f] >= s], rows[x[rows, f] >= s], d + 1))
-    mean_depth = depth / trees
-    return 2.0 ** (-mean_depth / _c_factor(psi))
+def _c_factor(n: np.ndarray) -> np.ndarray:
+    """Mean path length of an unsuccessful search among n rows (1 up to one row)."""
+    n = np.asarray(n, float)
+    return np.where(n <= 1, 1.0, 2.0 * (np.log(np.maximum(n - 1, 1)) + 0.5772156649) - 2.0 * (n - 1) / np.maximum(n, 1))
 
 
-def isolation_flags(df: DataFrame, key: str, ds: str, feats: list[str], trees: int = 200,
-                    share: float = 0.03, min_rows: int = 60, seed: int = 42, sample: int = 256) -> DataFrame:
-    """Per-series multivariate isolation forest; the top ``share`` of scores
-    in each series is flagged as ``sensor_fault``.
-
-    Runs as ``groupBy(key).applyInPandas`` over one series at a time;
-    features are z-scored inside the series, series shorter than
-    ``min_rows`` get no flags.  Each tree sees only ``sample`` rows, so the
-    cost is linear in the series length.
-    """
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        # the seeded draw picks rows by position: fix the order of the rows
+def grow_forest(x: np.ndarray, trees: int, sample: int, rng: np.random.Generator) -> tuple[np.ndarray, ...]:
+    """(left child or -1, feature, cut, path length of a leaf, roots) of an
+    isolation forest over the rows of ``x``; all trees grow level by level.
+
+    A node splits on a random feature among those that differ inside it, at a
+    random place between its smallest and largest value.  The places follow
+    every change of scale, so the features need no standardising."""
+    n, m = x.shape
+    psi = min(sample, n)
+    rows = np.concatenate([rng.permutation(n)[:psi] for _ in range(trees)])
+    node = np.repeat(np.arange(trees), psi)
+    left, feature, cut, path = (np.full(trees, v) for v in (-1, 0, 0.0, 0.0))
+    for depth in range(int(np.ceil(np.log2(max(psi, 2)))) + 1):
+        order = np.argsort(node, kind="stable")
+        rows, node = rows[order], node[order]
+        at, starts, counts = np.unique(node, return_index=True, return_counts=True)
+        path[at] = depth + _c_factor(counts)
+        lo, hi = (f.reduceat(x[rows], starts, axis=0) for f in (np.minimum, np.maximum))
+        varies = hi > lo
+        f = np.argmax(varies * (rng.random(varies.shape) + 1e-9), axis=1)
+        u = rng.random(len(at))
+        split = varies.any(1) & (counts > 1) & (depth < int(np.ceil(np.log2(max(psi, 2)))))
+        if not split.any():
+            break
+        pick = np.arange(len(at))
+        place = lo[pick, f] + u * (hi[pick, f] - lo[pick, f])
+        child = len(left) + 2 * (np.cumsum(split) - 1)
+        feature[at[split]], cut[at[split]], left[at[split]] = f[split], place[split], child[split]
+        grown = 2 * int(split.sum())
+        left, feature, cut, path = (np.concatenate([v, np.full(grown, fill)]) for v, fill in ((left, -1), (feature, 0), (cut, 0.0), (path, 0.0)))
+        stays = np.repeat(split, counts)
+        rows, node = rows[stays], node[stays]
+        node = left[node] + (x[rows, feature[node]] >= cut[node])
+    return left, feature, cut, path, np.arange(trees)
+
+
+def path_lengths(x: np.ndarray, forest: tuple[np.ndarray, ...], step: int = 2048) -> np.ndarray:
+    """Mean path length of every row: all (row, tree) pairs take a step at once."""
+    left, feature, cut, path, roots = forest
+    out = np.zeros(len(x))
+    for lo in range(0, len(x), step):
+        part = x[lo:lo + step]
+        at, rows = np.broadcast_to(roots, (len(part), len(roots))), np.arange(len(part))[:, None]
+        while True:
+            into = np.where(left[at] < 0, at, left[at] + (part[rows, feature[at]] >= cut[at]))
+            if (into == at).all():
+                break
+            at = into
+        out[lo:lo + step] = path[at].mean(1)
+    return out
+
+
+def isolation_scores(df: DataFrame, key: str, ds: str, feats: list[str], trees: int = 200, min_rows: int = 60, seed: int = 42,
+                     sample: int = 256, pool: int = 4096, chunk_rows: int = 20_000) -> DataFrame:
+    """(key, ds, iso_score) of the rows with all features, of series with at
+    least ``min_rows`` such rows (others: null score).
+
+    A series' forest grows from at most ``pool`` of its rows, the first by the
+    hash of their values (series no longer than that give all), and is one row of
+    node arrays.  Rows meet their forest in chunks of about ``chunk_rows`` per
+    series, so a long series is scored by many tasks.  Neither the choice of rows
+    nor the scores depend on how rows are partitioned."""
+    ok = reduce(lambda a, b: a & b, [F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double")) for f in feats])
+    d = df.select(F.col(key), F.col(ds), *[F.col(f).cast("double").alias(f) for f in feats]).withColumn("_ok", ok)
+    rest = d.where(~F.col("_ok")).select(key, ds, F.lit(None).cast("double").alias("iso_score"))
+    d = d.where("_ok").drop("_ok")
+    n = d.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    order = [F.xxhash64(ds, *feats, F.lit(seed)), F.col(ds), *[F.col(f) for f in feats]]
+    drawn = W.head_per_group(W.join_null_safe(d, small(n.where(F.col("_n") >= min_rows)), [key]), [key], order, pool)
+
+    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([ds, *feats], kind="stable", ignore_index=True)
-        out = pd.DataFrame({key: pdf[key].values, ds: pdf[ds].values})
-        out["iso_score"] = np.nan
-        out["sensor_fault"] = 0
-        x = pdf[feats].astype("float64")
-        ok = x.notna().all(axis=1).values
-        if ok.sum() < min_rows:
-            return out
-        xv = x.values[ok]
-        sd = xv.std(axis=0)
-        sd[sd == 0] = 1.0
-        z = (xv - xv.mean(axis=0)) / sd
         rng = np.random.default_rng([seed, zlib.crc32(str(pdf[key].iloc[0]).encode())])
-        s = _iforest_scores(z, trees, sample, rng)
-        thr = np.quantile(s, 1.0 - share)
-        scores = np.full(len(pdf), np.nan)
-        scores[ok] = s
-        out["iso_score"] = scores
-        out["sensor_fault"] = ((scores >= thr) & ok).astype("int32")
+        found = grow_forest(pdf[feats].to_numpy(float), trees, sample, rng)
+        return pd.DataFrame({key: pdf[key].iloc[:1], "_n": pdf["_n"].iloc[:1], **{
+            c: [v.tolist()] for c, v in zip(("nodes", "features", "cuts", "paths", "roots"), found)}})
+
+    key_type = d.schema[key].dataType.simpleString()
+    forests = cut_lineage(drawn.groupBy(key).applyInPandas(grow, f"{key} {key_type}, _n long, {FOREST}"))
+    chunks = F.ceil(F.col("_n") / F.lit(chunk_rows)).cast("int")
+    asked = W.join_null_safe(d, small(n), [key]).withColumn("_chunk", F.pmod(F.xxhash64(ds, *feats), chunks).cast("int")).drop("_n")
+    sent = forests.withColumn("_chunk", F.explode(F.sequence(F.lit(0), chunks - 1))).drop("_n")
+
+    def walk(rows: pd.DataFrame, forest: pd.DataFrame) -> pd.DataFrame:
+        out = rows[[key, ds]].copy()
+        out["iso_score"] = np.nan
+        if len(forest) and len(rows):
+            arrays = tuple(np.asarray(forest[c].iloc[0]) for c in ("nodes", "features", "cuts", "paths", "roots"))
+            used = min(sample, forest["_used"].iloc[0])
+            out["iso_score"] = 2.0 ** (-path_lengths(rows[feats].to_numpy(float), arrays) / _c_factor(used))
         return out
 
-    key_type = dict(df.dtypes)[key]
-    schema = f"{key} {key_type}, {ds} date, iso_score double, sensor_fault int"
-    return df.select(key, ds, *feats).groupBy(key).applyInPandas(fit, schema)
+    sent = W.join_null_safe(sent, small(n.select(key, F.least("_n", F.lit(pool)).alias("_used"))), [key])
+    schema = f"{key} {key_type}, {ds} {d.schema[ds].dataType.simpleString()}, iso_score double"
+    scored = asked.groupBy(key, "_chunk").cogroup(sent.groupBy(key, "_chunk")).applyInPandas(walk, schema)
+    return scored.withColumn("iso_score", F.when(~F.isnan("iso_score"), F.col("iso_score"))).unionByName(rest)
+
+
+def isolation_flags(df: DataFrame, key: str, ds: str, feats: list[str], trees: int = 200,
+                    share: float = 0.03, min_rows: int = 60, seed: int = 42, sample: int = 256, **kw) -> DataFrame:
+    """Per-series multivariate isolation forest; the top ``share`` of scores
+    in each series is flagged as ``sensor_fault``.  Rows without a score (a
+    missing feature, a short series) get no flag."""
+    d = cut_lineage(isolation_scores(df, key, ds, feats, trees, min_rows, seed, sample, **kw))
+    limit = exact_quantiles(d, "iso_score", [1.0 - share], [key], ["_limit"])
+    out = W.join_null_safe(d, small(limit), [key], "left")
+    return out.withColumn("sensor_fault", F.coalesce(F.col("iso_score") >= F.col("_limit"), F.lit(False)).cast("int")).drop("_limit")
 
 
 # N4 ---------------------------------------------------------------------

@@ -133,14 +133,12 @@ def fill_group_median(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
     Medians come from the distributed exact quantile (no group's values are
     gathered in one task); both stats tables are one row per group.
     """
-    from functools import reduce
+    from countpanel.operators.aggs import quantiles_wide
+    from countpanel.operators.windows import join_null_safe
 
-    from countpanel.operators.aggs import exact_quantiles
-
-    grp = reduce(lambda a, b: a.join(b, key, "full"),
-                 [exact_quantiles(df, c, [0.5], [key], [f"_gm_{c}"]) for c in cols])
+    grp = quantiles_wide(df, {c: f"_gm_{c}" for c in cols}, 0.5, [key])
     glob = median_stats(df, cols).select(*[F.col(c).alias(f"_all_{c}") for c in cols])
-    out = df.join(small(grp), key, "left").crossJoin(bounded(glob))
+    out = join_null_safe(df, small(grp), [key], "left").crossJoin(bounded(glob))
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"_gm_{c}"), F.col(f"_all_{c}")) for c in cols})
     return out.drop(*[f"_gm_{c}" for c in cols], *[f"_all_{c}" for c in cols])
 
@@ -150,14 +148,9 @@ def median_stats(df: DataFrame, cols: list[str], distributed: bool | None = None
 
     ``distributed=False`` states that the input is entity-sized (one row per
     site): all medians are then taken in one aggregate pass."""
-    from functools import reduce
-
-    from countpanel.operators.aggs import exact_quantiles
+    from countpanel.operators.aggs import quantiles_wide
 
-    if distributed is False:
-        return df.agg(*[F.percentile(F.col(c).cast("double"), 0.5).alias(c) for c in cols])
-    return reduce(lambda a, b: a.crossJoin(bounded(b)),
-                  [exact_quantiles(df, c, [0.5], [], [c], distributed=distributed) for c in cols])
+    return quantiles_wide(df, {c: c for c in cols}, 0.5, distributed=distributed)
 
 
 def fill_median(df: DataFrame, cols: list[str], stats: DataFrame | None = None) -> DataFrame:

@@ -9,17 +9,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from countpanel.operators import clusters
 from countpanel.operators import quality as Q
 from countpanel.operators import windows as W
+from countpanel.operators.artefact import SkewScaler, SkewScalerModel
 from countpanel.operators.clean import fill_median, median_stats
 from countpanel.session import cut_lineage, small
 
@@ -42,38 +43,32 @@ def profile_clusters(profile: DataFrame, key: str, hours: Sequence[str], k: int
     return model.transform(d).select(key, "cluster")
 
 
-def site_feature_matrix(df: DataFrame, feats: Sequence[str], log_cols: Sequence[str],
-                        stats: tuple[DataFrame, DataFrame] | None = None) -> tuple[DataFrame, tuple]:
-    """log1p on skewed columns, median imputation, population z-score.
-    Returns the matrix and the fitted (median, z) stats tables for reuse."""
-    d = df.withColumns({c: F.log1p(F.col(c)) for c in log_cols})
-    # one row per entity by construction: medians in one aggregate pass
-    med = stats[0] if stats else median_stats(d, list(feats), distributed=False)
-    d = fill_median(d, list(feats), med)
-    zs = stats[1] if stats else W.zscore_stats(d, list(feats))
-    d = W.zscore(d, list(feats), stats=zs)
-    d = d.fillna(0.0, subset=list(feats))
-    return assemble(d, feats), (med, zs)
+def site_pipeline(df: DataFrame, feats: Sequence[str], log_cols: Sequence[str], k: int = 2, seed: int = 42) -> PipelineModel:
+    """log1p on skewed columns, median imputation, population z-score and
+    k-means as one storable model."""
+    df = cut_lineage(df)  # read by both fits
+    scaler = SkewScaler(feats, log_cols).fit(df)
+    d = cut_lineage(scaler.transform(df))
+    return PipelineModel(stages=[scaler, KMeans(k=k, seed=seed, initSteps=5, featuresCol="features", predictionCol="cluster").fit(d)])
+
+
+def site_feature_matrix(df: DataFrame, feats: Sequence[str], log_cols: Sequence[str], scaler: SkewScalerModel | None = None):
+    """The scaled matrix and the fitted scaler, for reuse on other entities."""
+    scaler = scaler or SkewScaler(feats, log_cols).fit(df)
+    return scaler.transform(df), scaler
 
 
 def site_clusters(df: DataFrame, key: str, feats: Sequence[str], log_cols: Sequence[str], k: int = 2,
                   seed: int = 42):
-    d, stats = site_feature_matrix(df, feats, log_cols)
-    # fit and transform both read the matrix: cut the aggregation lineage once
-    d = cut_lineage(d)
-    model = KMeans(k=k, seed=seed, initSteps=5, featuresCol="features", predictionCol="cluster").fit(d)
-    return model.transform(d), model, stats
+    """(rows with their cluster, the fitted pipeline)."""
+    df = cut_lineage(df)  # read by the fits and by transform
+    model = site_pipeline(df, feats, log_cols, k, seed=seed)
+    return model.transform(df), model
 
 
-def scan_k(d: DataFrame, ks: Sequence[int] = range(2, 8), seed: int = 42) -> DataFrame:
-    """Inertia and silhouette for several k (one distributed fit per k)."""
-    ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
-    d = cut_lineage(d)  # read by every fit and every evaluation
-    rows = []
-    for k in ks:
-        m = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(d)
-        rows.append((int(k), float(m.summary.trainingCost), float(ev.evaluate(m.transform(d)))))
-    return d.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
+def scan_k(d: DataFrame, key: str, ks: Sequence[int] = range(2, 8), n_init: int = 20, seed: int = 42) -> DataFrame:
+    """Inertia and exact silhouette for several k, the best of ``n_init`` starts each."""
+    return clusters.scan_k(d.select(key, vector_to_array("features").alias("x")), key, "x", ks, n_init, seed)
 
 
 def order_labels(df: DataFrame, label: str, col: str, out: str = "label_ordered") -> DataFrame:
@@ -85,12 +80,6 @@ def order_labels(df: DataFrame, label: str, col: str, out: str = "label_ordered"
     return df.join(F.broadcast(means), label)
 
 
-def assign_clusters(df: DataFrame, model, stats, feats: Sequence[str], log_cols: Sequence[str]) -> DataFrame:
-    """Score new entities with the stored imputer, scaler and model."""
-    d, _ = site_feature_matrix(df, feats, log_cols, stats)
-    return model.transform(d)
-
-
 # C8 ---------------------------------------------------------------------
 def pca_space(fit_df: DataFrame, other: DataFrame | None = None, k: int = 2):
     model = PCA(k=k, inputCol="features", outputCol="pcs").fit(fit_df)
@@ -181,15 +170,18 @@ def importances(model, names: Sequence[str], spark, k: int = 10) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
-def walk_forward(df: DataFrame, ts: str, folds: Sequence[tuple[str, str, str]], fit) -> DataFrame:
+def folds(df: DataFrame, ts: str, spans: Sequence[tuple[str, str, str]]) -> list[tuple[DataFrame, DataFrame]]:
+    """(train, test) of every (train_until, test_from, test_until)."""
+    t, at = F.col(ts), lambda day: F.lit(day).cast("timestamp_ntz")
+    return [(df.filter(t < at(until)), df.filter((t >= at(first)) & (t < at(last)))) for until, first, last in spans]
+
+
+def walk_forward(df: DataFrame, ts: str, spans: Sequence[tuple[str, str, str]], fit) -> DataFrame:
     """Expanding-window folds: (train_until, test_from, test_until) per fold;
     ``fit(train, test) -> predictions`` is called once per fold."""
     out = []
     df = cut_lineage(df)  # every fold filters the same panel
-    for i, (tr_until, te_from, te_until) in enumerate(folds):
-        t = F.col(ts)
-        train = df.filter(t < F.lit(tr_until).cast("timestamp_ntz"))
-        test = df.filter((t >= F.lit(te_from).cast("timestamp_ntz")) & (t < F.lit(te_until).cast("timestamp_ntz")))
+    for i, (train, test) in enumerate(folds(df, ts, spans)):
         pred = fit(train, test)
         out.append(Q.evaluate(pred, "_y", "prediction").withColumn("fold", F.lit(i)))
     from functools import reduce

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from countpanel.operators import windows as W
-from countpanel.session import bounded, small
+from countpanel.session import bounded, cut_lineage, small
 
 
 # F5 / J10 ---------------------------------------------------------------
@@ -30,7 +30,7 @@ def apply_encodings(df: DataFrame, enc: dict) -> DataFrame:
     fall back to the global value."""
     out = df.crossJoin(bounded(enc["_global"]))
     for name, keys in enc["_keys"].items():
-        out = out.join(small(enc[name]), keys, "left").withColumn(name, F.coalesce(F.col(name), F.col("_global")))
+        out = W.join_null_safe(out, small(enc[name]), list(keys), "left").withColumn(name, F.coalesce(F.col(name), F.col("_global")))
     return out.drop("_global")
 
 
@@ -47,7 +47,7 @@ def historical_baseline(train: DataFrame, score: DataFrame, keys: Sequence[str],
                         out: str = "baseline", exact_scale: int | None = None) -> DataFrame:
     table = train.groupBy(*keys).agg(_mean(y, exact_scale).alias(out))
     glob = train.agg(_mean(y, exact_scale).alias("_m"))
-    return (score.join(small(table), list(keys), "left").crossJoin(bounded(glob))
+    return (W.join_null_safe(score, small(table), list(keys), "left").crossJoin(bounded(glob))
             .withColumn(out, F.coalesce(F.col(out), F.col("_m"))).drop("_m"))
 
 
@@ -86,11 +86,49 @@ def route_known(train: DataFrame, test: DataFrame, key: str, y: str) -> DataFram
     global fallback.  Known / unknown is a semi / anti split of one join."""
     per = train.groupBy(key).agg(F.avg(y).alias("_m"))
     glob = train.agg(F.avg(y).alias("_g"))
-    d = test.join(small(per), key, "left").crossJoin(bounded(glob))
+    d = W.join_null_safe(test, small(per), [key], "left").crossJoin(bounded(glob))
     return d.withColumns({"route": F.when(F.col("_m").isNotNull(), "known").otherwise("unknown"),
                           "pred": F.coalesce("_m", "_g")}).drop("_m", "_g")
 
 
+def routes(train: DataFrame, test: DataFrame, key: str, y: str, group: str, min_rows: int = 1,
+           exact_scale: int | None = None) -> DataFrame:
+    """``test`` with route (known: at least ``min_rows`` training rows with a
+    target; else unknown) and the nested fallback: the mean of the key, else of
+    its group, else of all training rows, and the level it comes from."""
+    d = train.where(F.col(y).isNotNull())
+    known = d.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), _mean(y, exact_scale).alias("_key_mean"))
+    of_group = d.groupBy(group).agg(_mean(y, exact_scale).alias("_group_mean"))
+    out = W.join_null_safe(W.join_null_safe(test, small(known), [key], "left"), small(of_group), [group], "left")
+    out = out.crossJoin(bounded(d.agg(_mean(y, exact_scale).alias("_mean"))))
+    is_known = F.coalesce(F.col("_rows") >= min_rows, F.lit(False))
+    own = F.when(is_known, F.col("_key_mean"))
+    return out.withColumns({
+        "route": F.when(is_known, "known").otherwise("unknown"),
+        "fallback": F.coalesce(own, "_group_mean", "_mean"),
+        "level": F.when(own.isNotNull(), "key").when(F.col("_group_mean").isNotNull(), "group").when(F.col("_mean").isNotNull(), "all"),
+    }).drop("_rows", "_key_mean", "_group_mean", "_mean")
+
+
+def route_models(train: DataFrame, test: DataFrame, key: str, y: str, group: str, fit_known, fit_unknown, ready_known, ready_unknown,
+                 min_rows: int = 1, out: str = "prediction") -> DataFrame:
+    """Predictions of two models behind the routes, with the nested fallback.
+
+    ``fit_known(train)`` and ``fit_unknown(train)`` return a function from a
+    frame to the frame with ``out``; ``ready_*`` are conditions on a row (its
+    route's features are there).  Known keys go to the first model, unknown ones
+    to the second, and rows whose features are missing take the fallback.  The
+    second model learns from all keys, without what only a known key has."""
+    sent = routes(train, test, key, y, group, min_rows)
+    known, unknown = F.col("route") == "known", F.col("route") == "unknown"
+    ok = F.coalesce(F.when(known, ready_known).otherwise(ready_unknown), F.lit(False))
+    sent = cut_lineage(sent.withColumn("_ok", ok))
+    parts = [fit_known(train)(sent.where(known & F.col("_ok"))).withColumn("level", F.lit("model")),
+             fit_unknown(train)(sent.where(unknown & F.col("_ok"))).withColumn("level", F.lit("model")),
+             sent.where(~F.col("_ok")).withColumn(out, F.col("fallback"))]
+    return reduce(DataFrame.unionByName, [p.select(*sent.columns, out) for p in parts]).drop("_ok")
+
+
 # C6 / C7 ----------------------------------------------------------------
 def transition_matrix(df: DataFrame, a: str, b: str, labels: Sequence[str]) -> DataFrame:
     """Rows: labels of the first period; one count column per later label."""

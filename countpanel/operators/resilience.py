@@ -99,11 +99,11 @@ def priority_zone(df: DataFrame, hour: str, pred: str, res: str, q_pred: float =
     k highest scores of each hour are returned."""
     from countpanel.operators.aggs import exact_quantiles
 
-    t = exact_quantiles(df, pred, [q_pred], [hour], ["_tp"]).join(
-        exact_quantiles(df, res, [q_res], [hour], ["_tr"]), hour)
+    t = W.join_null_safe(exact_quantiles(df, pred, [q_pred], [hour], ["_tp"]),
+                         exact_quantiles(df, res, [q_res], [hour], ["_tr"]), [hour])
     d = W.minmax(df, pred, "_np", eps=eps, by=[hour])
     d = W.minmax(d, res, "_nr", eps=eps, by=[hour])
-    d = d.join(small(t), hour)
+    d = W.join_null_safe(d, small(t), [hour])
     d = d.withColumns({"zone_score": 0.5 * F.col("_np") + 0.5 * F.col("_nr"),
                        "in_zone": (F.col(pred) >= F.col("_tp")) & (F.col(res) >= F.col("_tr"))})
     d = W.head_per_group(d, [hour], [F.col("zone_score").desc(), *[F.col(c) for c in tiebreak]], k)
@@ -113,7 +113,7 @@ def priority_zone(df: DataFrame, hour: str, pred: str, res: str, q_pred: float =
 def counterfactual_weather(df: DataFrame, key: str, temps: Sequence[str], zero: Sequence[str]) -> DataFrame:
     """'Perfect weather': listed columns set to 0, temperatures to the site mean."""
     means = df.groupBy(key).agg(*[F.avg(c).alias(f"_m_{c}") for c in temps])
-    d = df.join(small(means), key, "left")
+    d = W.join_null_safe(df, small(means), [key], "left")
     d = d.withColumns({**{c: F.lit(0.0) for c in zero}, **{c: F.col(f"_m_{c}") for c in temps}})
     return d.drop(*[f"_m_{c}" for c in temps])
 

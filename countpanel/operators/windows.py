@@ -200,10 +200,10 @@ def group_transform(df: DataFrame, keys: list[str], col: str, how: str = "mean",
     if how == "median":
         from countpanel.operators.aggs import exact_quantiles
         stats = exact_quantiles(df, col, [0.5], keys, [out])
-        return df.join(small(stats), keys, "left")
+        return join_null_safe(df, small(stats), keys, "left")
     agg = {"mean": F.avg(col), "sum": F.sum(col), "max": F.max(col), "min": F.min(col), "count": F.count(col)}[how]
     stats = df.groupBy(*keys).agg(agg.alias(out))
-    return df.join(small(stats), keys, "left")
+    return join_null_safe(df, small(stats), keys, "left")
 
 
 # W8 ---------------------------------------------------------------------
@@ -246,14 +246,14 @@ def zscore_stats(df: DataFrame, cols: list[str], by: list[str] | None = None) ->
 def zscore(df: DataFrame, cols: list[str], by: list[str] | None = None,
            stats: DataFrame | None = None, suffix: str = "") -> DataFrame:
     stats = stats if stats is not None else zscore_stats(df, cols, by)
-    out = df.join(small(stats), by, "left") if by else df.crossJoin(bounded(stats))
+    out = join_null_safe(df, small(stats), by, "left") if by else df.crossJoin(bounded(stats))
     out = out.withColumns({f"{c}{suffix}": F.try_divide(F.col(c) - F.col(f"{c}_mean"), F.col(f"{c}_std"))
                            for c in cols})
     return out.drop(*[f"{c}_{s}" for c in cols for s in ("mean", "std")])
 
 
 def inverse_zscore(df: DataFrame, cols: list[str], stats: DataFrame, by: list[str] | None = None) -> DataFrame:
-    out = df.join(small(stats), by, "left") if by else df.crossJoin(bounded(stats))
+    out = join_null_safe(df, small(stats), by, "left") if by else df.crossJoin(bounded(stats))
     out = out.withColumns({c: F.col(c) * F.col(f"{c}_std") + F.col(f"{c}_mean") for c in cols})
     return out.drop(*[f"{c}_{s}" for c in cols for s in ("mean", "std")])
 
@@ -263,7 +263,7 @@ def minmax(df: DataFrame, col: str, out: str, eps: float = 0.0, by: list[str] |
     """(x - min) / (max - min + eps); min / max from a one-row (or per
     group) aggregate joined back, never a global window."""
     st = df.groupBy(*(by or [])).agg(F.min(col).alias("_mn"), F.max(col).alias("_mx"))
-    d = df.join(small(st), by, "left") if by else df.crossJoin(bounded(st))
+    d = join_null_safe(df, small(st), by, "left") if by else df.crossJoin(bounded(st))
     den = F.col("_mx") - F.col("_mn") + F.lit(eps)
     return d.withColumn(out, F.try_divide(F.col(col) - F.col("_mn"), den)).drop("_mn", "_mx")
 
@@ -272,7 +272,7 @@ def minmax(df: DataFrame, col: str, out: str, eps: float = 0.0, by: list[str] |
 def standardise_profile(df: DataFrame, key: str, col: str, out: str) -> DataFrame:
     """Row-wise standardisation of a long-form profile (population std)."""
     st = df.groupBy(key).agg(F.avg(col).alias("_m"), F.stddev_pop(col).alias("_s"))
-    return (df.join(small(st), key, "left")
+    return (join_null_safe(df, small(st), [key], "left")
             .withColumn(out, F.try_divide(F.col(col) - F.col("_m"), F.col("_s"))).drop("_m", "_s"))
 
 

@@ -61,7 +61,7 @@ def query(name: str, sql: str | None = None):
 def load_all() -> dict[str, Query]:
     # importing the plan modules fills the registry
     from countpanel.plans import (  # noqa: F401
-        analytics, business, core, io_plans, ml_plans, ordered, streams)
+        analytics, business, core, io_plans, ml_plans, model_plans, ordered, streams)
     return REGISTRY
 
 

@@ -142,3 +142,60 @@ def test_update_mode_stream_keeps_the_last_version(spark, tmp_path):
             s, "update", "t", root=root, keys=["site_id", "window_start"]).collect()}
     assert feed([(1, t, 2.0), (2, t, 1.0)], 0) == {(1, t): (2.0, 1), (2, t): (1.0, 1)}
     assert feed([(1, t, 3.0)], 1) == {(1, t): (5.0, 2), (2, t): (1.0, 1)}
+
+
+def _grouped(spark):
+    rows = [(k, float(i % 13), float(i % 7) if i % 5 else None, i) for k in (None, 1, 2) for i in range(40)]
+    return spark.createDataFrame(rows, "k int, x double, y double, i int")
+
+
+def test_group_statistics_keep_the_null_group(spark):
+    """The null key is a group like any other."""
+    from countpanel.operators import aggs as A
+    from countpanel.operators import clean as P
+    from countpanel.operators import models_light as ML
+    from countpanel.operators import resilience as R
+
+    d = _grouped(spark)
+    pdf = d.toPandas()
+    groups = {(None if key != key else int(key)): g for key, g in pdf.groupby("k", dropna=False)}
+    box = {r.k: r for r in A.box_stats(d, ["k"], "x").collect()}
+    assert set(box) == {None, 1, 2} and all(box[k].median == g.x.median() and box[k].whisker_hi == g.x.max() for k, g in groups.items())
+    filled = {(r.k, r.i): r.y for r in P.fill_group_median(d, "k", ["x", "y"]).collect()}
+    assert len(filled) == 120 and all(filled[k, 0] == g.y.median() for k, g in groups.items())
+    for how in ("median", "mean"):
+        got = {(r.k, r.i): r.s for r in W.group_transform(d, ["k"], "x", how, "s").collect()}
+        assert all(abs(got[k, 3] - getattr(g.x, how)()) < 1e-12 for k, g in groups.items())
+    z = {(r.k, r.i): r.x for r in W.zscore(d, ["x"], ["k"]).collect()}
+    assert all(abs(z[k, 3] - (3 - g.x.mean()) / g.x.std(ddof=0)) < 1e-12 for k, g in groups.items())
+    m = {(r.k, r.i): r.m for r in W.minmax(d, "x", "m", by=["k"]).collect()}
+    assert all(m[k, 3] == 3 / 12 for k in groups)
+    zone = R.priority_zone(d, "k", "x", "y", tiebreak=["i"], k=3).collect()
+    assert sorted((str(r.k) for r in zone)) == ["1"] * 3 + ["2"] * 3 + ["None"] * 3
+    base = {r.i: r.baseline for r in ML.historical_baseline(d, d.where("k is null"), ["k"], "x").collect()}
+    assert set(base.values()) == {groups[None].x.mean()}
+    t = dt.datetime(2024, 1, 1)
+    prof = {r.k: r.median_count for r in A.site_profile(d.withColumn("ts", F.lit(t)), "k", "x", "ts").collect()}
+    assert prof == {k: g.x.median() for k, g in groups.items()}
+
+
+@pytest.mark.parametrize("by", [[], ["k"]])
+def test_quantiles_of_many_columns(spark, by):
+    from countpanel.operators.aggs import quantiles_of_columns
+    d = _grouped(spark).withColumn("none", F.lit(None).cast("double"))
+    runs = [_key(quantiles_of_columns(d, ["x", "y", "none"], [0.1, 0.5, 1.0], by, accuracy=a, distributed=x).collect())
+            for a, x in ((100, False), (100, True), (5, True))]
+    assert runs[0] == runs[1] == runs[2] and len(runs[0]) == (9 if by else 3)
+    want = _key((*r[:len(by)], c, *r[len(by) + j]) for r in d.groupBy(*by).agg(
+        *[F.percentile(c, F.array(F.lit(0.1), F.lit(0.5), F.lit(1.0))) for c in ("x", "y")]).collect() for j, c in enumerate(("x", "y")))
+    assert [r for r in runs[0] if "none" not in r] == want
+
+
+def test_quantile_plan_scans_twice(spark, tmp_path):
+    """One scan for the sketches, one for the bands, for any number of columns."""
+    from countpanel.operators.aggs import quantiles_of_columns
+    _grouped(spark).write.parquet(str(tmp_path / "t"))
+    q = quantiles_of_columns(spark.read.parquet(str(tmp_path / "t")), ["x", "y", "i"], [0.25, 0.5], ["k"], distributed=True)
+    q.collect()
+    plan = q._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 2, plan
