@@ -189,6 +189,8 @@ def with_views(body: str) -> str:
         return body
     ctes = ",\n".join(f"{v} AS ({VIEW_SQL[v]})" for v in _VIEW_ORDER if v in needed)
     body = body.strip()
+    if body[:14].upper() == "WITH RECURSIVE":
+        return f"WITH RECURSIVE {ctes},\n{body[14:].lstrip()}"
     if body[:4].upper() == "WITH":
         return f"WITH {ctes},\n{body[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"

@@ -233,20 +233,16 @@ def corr_by(df: DataFrame, key: str, x: str, y: str, split: Column | None = None
 
 
 def pearsonr(df: DataFrame, x: str, y: str) -> DataFrame:
-    """r and its two-sided p-value (t-test with n-2 degrees of freedom).
-
-    The p-value comes from a one-feature least-squares fit, whose slope
-    t-test is the same test as the correlation test.
-    """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
-    d = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
-    va = VectorAssembler(inputCols=["x"], outputCol="features").transform(d)
-    m = LinearRegression(featuresCol="features", labelCol="y", solver="normal").fit(va)
-    p = float(m.summary.pValues[0])
-    r = d.agg(F.corr("x", "y").alias("r"), F.count(F.lit(1)).alias("n"))
-    return r.withColumn("p_value", F.lit(p))
+    """r and its two-sided p-value (t-test with n-2 degrees of freedom), from
+    one aggregate; rows with a missing value take no part, the p-value is null
+    for fewer than three rows."""
+    from countpanel.functions.stats import betainc
+
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    r = df.agg(F.corr(x, y).alias("r"), F.count_if(both).alias("n"))
+    # df / (df + t^2) = 1 - r^2
+    p = betainc((F.col("n") - 2).cast("double") / 2, F.lit(0.5), 1.0 - F.col("r") * F.col("r"))
+    return r.withColumn("p_value", p)
 
 
 # A27 / A28 / A29 / A30 / A31 / A32 / A33 -----------------------------------

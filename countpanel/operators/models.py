@@ -90,18 +90,6 @@ def pca_space(fit_df: DataFrame, other: DataFrame | None = None, k: int = 2):
 
 
 # F1 / F2 / F3 -----------------------------------------------------------
-def ols(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
-    """Least squares with coefficients, t, p and R^2; factors ranked by |t|."""
-    d = assemble(df.select(y, *xs).dropna(), xs)
-    m = LinearRegression(featuresCol="features", labelCol=y, solver="normal").fit(d)
-    s = m.summary
-    rows = [(name, float(c), float(se), float(t), float(p))
-            for name, c, se, t, p in zip(list(xs) + ["intercept"], list(m.coefficients) + [m.intercept],
-                                         s.coefficientStandardErrors, s.tValues, s.pValues)]
-    out = df.sparkSession.createDataFrame(rows, "term string, coef double, std_err double, t double, p_value double")
-    return out.withColumn("r2", F.lit(float(s.r2))).orderBy(F.abs("t").desc())
-
-
 def ridge(df: DataFrame, y: str, num: Sequence[str], cats: Sequence[str], alpha: float = 1.0) -> DataFrame:
     """Impute (median), standardise, one-hot, L2-penalised least squares;
     coefficients sorted by magnitude."""

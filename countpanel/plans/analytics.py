@@ -389,10 +389,35 @@ def a25(fx):
     return d.withColumn("r", r6("r"))
 
 
-@query("a26_pearsonr")
+def t_test_sql(stats: str) -> str:
+    """CTEs over ``stats`` (term, df, x = df / (df + t^2)) that end in
+    p(term, p_value): the incomplete beta function by a recursive continued
+    fraction."""
+    return f"""
+side AS (SELECT term, CASE WHEN x < (df / 2e0 + 1) / (df / 2e0 + 2.5e0) THEN df / 2e0 ELSE 0.5e0 END AS a,
+                CASE WHEN x < (df / 2e0 + 1) / (df / 2e0 + 2.5e0) THEN 0.5e0 ELSE df / 2e0 END AS b,
+                CASE WHEN x < (df / 2e0 + 1) / (df / 2e0 + 2.5e0) THEN x ELSE 1 - x END AS z,
+                x < (df / 2e0 + 1) / (df / 2e0 + 2.5e0) AS direct FROM {stats}),
+cf(term, a, b, z, direct, m, c, d, h) AS (
+  SELECT term, a, b, z, direct, 0, 1e0, 1 / (1 - (a + b) * z / (a + 1)), 1 / (1 - (a + b) * z / (a + 1)) FROM side
+  UNION ALL
+  SELECT term, a, b, z, direct, m, 1 + odd / ce, 1 / (1 + odd * de), h * ce * de * (1 + odd / ce) / (1 + odd * de)
+  FROM (SELECT term, a, b, z, direct, m + 1 AS m, h, 1 + (m + 1) * (b - m - 1) * z / ((a + 2 * m + 1) * (a + 2 * m + 2)) / c AS ce,
+               1 / (1 + (m + 1) * (b - m - 1) * z / ((a + 2 * m + 1) * (a + 2 * m + 2)) * d) AS de,
+               -(a + m + 1) * (a + b + m + 1) * z / ((a + 2 * m + 2) * (a + 2 * m + 3)) AS odd FROM cf WHERE m < 300) AS t),
+p AS (SELECT term, CASE WHEN direct THEN tail ELSE 1 - tail END AS p_value FROM (
+  SELECT term, direct, exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * ln(z) + b * ln(1 - z)) / a * h AS tail FROM cf WHERE m = 300) AS t)"""
+
+
+@query("a26_pearsonr", f"""
+WITH RECURSIVE r AS (SELECT 'r' AS term, corr(temperature_2m, wind_speed_10m) AS r, COUNT(*) AS n FROM v_weather),
+stats AS (SELECT term, n - 2 AS df, 1 - r * r AS x FROM r),{t_test_sql("stats")}
+SELECT ROUND(r, 9) AS r, n, ROUND(p_value, 9) AS p_value FROM r JOIN p ON r.term = p.term
+""")
 def a26(fx):
-    """Correlation with a two-sided p-value (rows-only: p from a t-test)."""
-    return A.pearsonr(fx.weather, "temperature_2m", "wind_speed_10m")
+    """Correlation with a two-sided p-value from the t-test."""
+    d = A.pearsonr(fx.weather, "temperature_2m", "wind_speed_10m")
+    return d.withColumns({c: F.round(c, 9) for c in ("r", "p_value")})
 
 
 @query("a26_pearson_r", """

@@ -15,6 +15,7 @@ from countpanel.operators import artefact
 from countpanel.operators import boosting as B
 from countpanel.operators import features as FE
 from countpanel.operators import joins as J
+from countpanel.operators import linear as L
 from countpanel.operators import models as M
 from countpanel.operators import quality as Q
 from countpanel.operators import windows as W
@@ -145,7 +146,7 @@ def c10(fx):
 @query("f1_ols")
 def f1(fx):
     """OLS of hourly counts on weather and calendar: coefficients, t, p, R^2."""
-    return M.ols(_panel(fx), "count", ["hour", "temperature_2m", "precipitation", "wind_speed_10m", "is_weekend"])
+    return L.ols(_panel(fx), "count", ["hour", "temperature_2m", "precipitation", "wind_speed_10m", "is_weekend"])
 
 
 @query("f1_ols_one_predictor", """
@@ -156,7 +157,7 @@ UNION ALL SELECT 'intercept', ROUND(a, 6), ROUND(r2, 6) FROM r
 """)
 def f1_one(fx):
     """Least squares on one predictor, where SQL has the closed form."""
-    return M.ols(fx.weather, "temperature_2m", ["wind_speed_10m"]).select(
+    return L.ols(fx.weather, "temperature_2m", ["wind_speed_10m"]).select(
         "term", F.round("coef", 6).alias("coef"), F.round("r2", 6).alias("r2"))
 
 

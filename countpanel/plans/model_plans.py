@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from countpanel.operators import boosting as B
 from countpanel.operators import clusters as C
+from countpanel.operators import linear as L
 from countpanel.operators import models as M
 from countpanel.operators import models_light as ML
-from countpanel.operators import quality as Q
+from countpanel.plans.analytics import t_test_sql
 from countpanel.plans.ml_plans import XS, _panel
 from countpanel.plans.registry import query
 
@@ -166,3 +167,56 @@ def f11_sizes(fx):
 
     parts = [fit(a, b).withColumn("fold", F.lit(i)) for i, (a, b) in enumerate(M.folds(fx.counts, "start_time", FOLDS))]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("fold", "n_train", "n_test", "train_mean")
+
+
+_TWO = """
+s AS (SELECT CAST(COUNT(*) AS DOUBLE) AS n, AVG(temperature_2m) AS my, AVG(wind_speed_10m) AS m1, AVG(precipitation) AS m2,
+             COUNT(*) * covar_pop(wind_speed_10m, wind_speed_10m) AS s11, COUNT(*) * covar_pop(precipitation, precipitation) AS s22,
+             COUNT(*) * covar_pop(wind_speed_10m, precipitation) AS s12, COUNT(*) * covar_pop(wind_speed_10m, temperature_2m) AS s1y,
+             COUNT(*) * covar_pop(precipitation, temperature_2m) AS s2y, COUNT(*) * var_pop(temperature_2m) AS syy FROM v_weather)"""
+
+
+@query("f1_ols_two_predictors", f"""
+WITH RECURSIVE {_TWO},
+b AS (SELECT *, s11 * s22 - s12 * s12 AS det, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1, (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM s),
+e AS (SELECT *, syy - b1 * s1y - b2 * s2y AS sse, (syy - b1 * s1y - b2 * s2y) / (n - 3) AS v FROM b),
+c AS (SELECT 'wind_speed_10m' AS term, b1 AS coef, sqrt(v * s22 / det) AS se, n - 3 AS df, 1 - sse / syy AS r2 FROM e
+      UNION ALL SELECT 'precipitation', b2, sqrt(v * s11 / det), n - 3, 1 - sse / syy FROM e
+      UNION ALL SELECT 'intercept', my - b1 * m1 - b2 * m2, sqrt(v * (1 / n + (m1 * m1 * s22 + m2 * m2 * s11 - 2 * m1 * m2 * s12) / det)), n - 3, 1 - sse / syy FROM e),
+stats AS (SELECT term, df, df / (df + (coef / se) * (coef / se)) AS x FROM c),{t_test_sql("stats")}
+SELECT c.term, ROUND(coef, 6) AS coef, ROUND(se, 6) AS std_err, ROUND(coef / se, 5) AS t, ROUND(p_value, 6) AS p_value, ROUND(r2, 6) AS r2
+FROM c JOIN p ON c.term = p.term
+""")
+def f1_two(fx):
+    """Least squares on two predictors with t and p, against the closed form."""
+    d = L.ols(fx.weather, "temperature_2m", ["wind_speed_10m", "precipitation"])
+    return d.select("term", *[F.round(c, 5 if c == "t" else 6).alias(c) for c in ("coef", "std_err", "t", "p_value", "r2")])
+
+
+@query("f2_ridge_path", f"""
+WITH {_TWO},
+z AS (SELECT n, my, s12 / sqrt(s11 * s22) AS r, s1y / sqrt(s11 / n) AS z1, s2y / sqrt(s22 / n) AS z2 FROM s),
+a AS (SELECT z.*, unnest([0e0, 1e0, 100e0, 10000e0]) AS alpha FROM z),
+b AS (SELECT *, (n + alpha) * (n + alpha) - n * r * n * r AS det FROM a)
+SELECT alpha, 'wind_speed_10m' AS term, ROUND(((n + alpha) * z1 - n * r * z2) / det, 6) AS coef FROM b
+UNION ALL SELECT alpha, 'precipitation', ROUND(((n + alpha) * z2 - n * r * z1) / det, 6) FROM b
+UNION ALL SELECT alpha, 'intercept', ROUND(my, 6) FROM b
+""")
+def f2_path(fx):
+    """Ridge coefficients of standardised predictors for four penalties, from
+    one scan."""
+    d = L.ridge_path(fx.weather, "temperature_2m", ["wind_speed_10m", "precipitation"], [0.0, 1.0, 100.0, 10000.0])
+    return d.withColumn("coef", F.round("coef", 6))
+
+
+@query("f11_linear_folds", "\nUNION ALL\n".join(f"""
+SELECT {i} AS fold, MAX(n) AS n_train, COUNT(*) AS n_test, ROUND(sqrt(AVG((cnt - a - b * hour(start_time)) ** 2)), 6) AS rmse,
+       ROUND(1 - SUM((cnt - a - b * hour(start_time)) ** 2) / (COUNT(*) * var_pop(cnt)), 6) AS r2
+FROM v_counts CROSS JOIN (SELECT COUNT(*) AS n, regr_intercept(cnt, hour(start_time)) AS a, regr_slope(cnt, hour(start_time)) AS b
+                          FROM v_counts WHERE start_time < TIMESTAMP '{a}') AS m{i}
+WHERE start_time >= TIMESTAMP '{b}' AND start_time < TIMESTAMP '{c}'""" for i, (a, b, c) in enumerate(FOLDS)))
+def f11_linear(fx):
+    """Walk-forward folds of a linear model, all from one scan."""
+    d = fx.counts.withColumn("hour", F.hour("start_time"))
+    out = L.walk_forward(d, "cnt", ["hour"], F.date_format("start_time", "yyyy-MM-dd"), FOLDS)
+    return out.select("fold", "n_train", "n_test", F.round("rmse", 6).alias("rmse"), F.round("r2", 6).alias("r2"))
