@@ -13,11 +13,13 @@ mask of its own over the whole item; under five words that is the item itself.
 A word is a run of letters and digits, or one character of a script written
 without spaces (Han, Kana, Thai, Lao, Khmer, Burmese, ...).
 
-The benchmark travels to the tasks, in blocks: items are dealt by hash into as
-many blocks as keep each at ``BLOCK_CHARS`` characters on average, every block
-is scanned against all documents in turn, and no block is larger whatever the
-benchmark's size.  The documents are read by one map task per split, with no
-shuffle.
+Neither side passes the driver.  Only two things of fixed size do: which item
+lengths occur among the short ones, and a bitmap of the items' hashes, with
+which a document's task drops the positions that no item can share.  What is
+left is joined on the hash.  Hashes are salted by the text, so a passage of a
+third of all texts is spread; equal texts count once; of hits that follow one
+another on a diagonal, only the first leaves the join.  Texts with hits are then
+read again, each with parts of at most about ``PART`` items, and verified.
 
 Defined results: null and empty texts leak nothing, nor do items without a
 word; repeated items are reported by their own
@@ -29,20 +31,25 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import combinations, repeat
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from countpanel.llm.common import ship, str_texts
+from countpanel.llm.common import materialize, ship, str_texts
 
 #: Word offsets that each mask samples (five words); the rest is ignored.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 5, 6), (0, 1, 2, 5, 6), (0, 2, 3, 6, 8))
-BLOCK_CHARS = 16_000_000
-TOKENS_AT_ONCE = 1 << 19
+MAX_MASK = 13  # items of up to so many words are to be found whole
+TOKENS_AT_ONCE = 1 << 18
+CACHE = 1 << 18  # words whose code a task remembers
+FILTER_BITS = 25  # of the bitmap of the items' hashes (4 MB)
+SALTS = 8  # a hash's texts are dealt to so many groups
+PART = 512  # items that a text is verified against at once
 WORD = re.compile(r"\w+")
 #: Scripts written without spaces between words.
 UNSPACED = ("\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff"
@@ -50,7 +57,6 @@ UNSPACED = ("\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u
             "\U0001b000-\U0001b16f\U00020000-\U0003ffff")
 HAS_UNSPACED = re.compile(f"[{UNSPACED}]")
 MIXED_WORD = re.compile(rf"(?=[{UNSPACED}])\w|[^\W{UNSPACED}]+")
-FILTER_BITS = 22
 HIT = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("first_word", T.IntegerType()),
                     T.StructField("n_words", T.IntegerType()), T.StructField("n_equal", T.IntegerType()),
                     T.StructField("item_words", T.IntegerType())])
@@ -74,86 +80,56 @@ def whole_masks(n: int, identity: float, masks=MASKS) -> list[tuple[int, ...]]:
             if all(not place.isdisjoint(lost) for place in placed)]
 
 
-class SeedIndex:
-    """Masked hashes of one block of benchmark items; items of up to
-    ``min_words`` words are to be found whole."""
-
-    def __init__(self, items: list[tuple[int, str]], masks=MASKS, min_words: int = 13, identity: float = 0.8):
-        self.vocabulary: dict[str, int] = {}
-        self.item_ids, self.tokens = [], []
-        for item_id, text in items:
-            words = words_of(text or "")
-            if words:
-                self.item_ids.append(item_id)
-                self.tokens.append(np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words],
-                                            np.int32))
-        lengths = {len(t) for t in self.tokens}
-        whole = {n: whole_masks(n, identity, masks) for n in sorted(lengths) if n <= min_words}
-        self.masks = list(dict.fromkeys([*masks, *(m for own in whole.values() for m in own)]))
-        number = {m: k for k, m in enumerate(self.masks)}
+class Seeds:
+    """The masks in use and their hashes; equal for items and documents."""
+
+    def __init__(self, short: list[int], identity: float = 0.8, masks=MASKS):
+        self.general = len(masks)
+        self.whole = {n: whole_masks(n, identity, masks) for n in sorted(short)}
+        self.masks = list(dict.fromkeys([*masks, *(m for own in self.whole.values() for m in own)]))
+        self.number = {m: k for k, m in enumerate(self.masks)}
         self.gap = max(m[-1] for m in self.masks) + 1
-        # of an item that is only found whole and unchanged, one place per document is enough
-        self.exact = np.array([len(t) <= min(m[-1] for m in masks) and int(len(t) * (1 - identity) + 1e-9) == 0
-                               for t in self.tokens], bool)
+        # of items that are only found whole and unchanged, one place per document is enough
+        loose = {m for n, own in self.whole.items() for m in own if int(n * (1 - identity) + 1e-9)}
+        self.once = [k >= len(masks) and m not in loose for k, m in enumerate(self.masks)]
         rng = np.random.default_rng(1)
-        self.codes = rng.integers(1, 1 << 63, len(self.vocabulary) + 1, dtype=np.uint64)
         self.weights = [rng.integers(1, 1 << 62, len(m), dtype=np.uint64) * np.uint64(2) + np.uint64(1) for m in self.masks]
-        hashes, items_at, places = [], [], []
-        for k, tokens in enumerate(self.tokens):
-            for m in range(len(masks)):
-                h, at = self.hashes(tokens, m)
-                hashes.append(h)
-                items_at.append(np.full(len(at), k, np.int32))
-                places.append(at.astype(np.int32))
-            for mask in whole.get(len(tokens), ()):
-                if number[mask] >= len(masks):  # hashed already if among the others
-                    h, at = self.hashes(tokens, number[mask])
-                    hashes.append(h[at == 0])
-                    items_at.append(np.full(1, k, np.int32))
-                    places.append(np.zeros(1, np.int32))
-        none = [np.zeros(0, np.uint64)]
-        h = np.concatenate(hashes or none)
-        order = np.argsort(h, kind="stable")
-        self.sorted = h[order]
-        self.item_at = np.concatenate(items_at or none)[order].astype(np.int32)
-        self.place = np.concatenate(places or none)[order].astype(np.int32)
-        self.filter = np.zeros(1 << FILTER_BITS, bool)
-        self.filter[self.sorted >> np.uint64(64 - FILTER_BITS)] = True
-
-    def hashes(self, tokens: np.ndarray, mask: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes and starts of one mask; windows with an unknown word (0) at
-        a sampled place have none."""
-        n = len(tokens) - self.masks[mask][-1]
-        if n <= 0:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        known = tokens > 0
-        valid = np.ones(n, bool)
-        for offset in self.masks[mask]:
-            valid &= known[offset:offset + n]
-        at = np.flatnonzero(valid)
-        h = np.zeros(len(at), np.uint64)
+        self.codes: dict[str, int] = {}
+
+    def tokens(self, words: list[str]) -> np.ndarray:
+        """Codes of the words, never 0."""
+        codes = self.codes
+        if len(codes) > CACHE:
+            codes.clear()
+        for word in set(words).difference(codes):
+            codes[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace")) | 1
+        return np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
+
+    def hashes(self, tokens: np.ndarray, mask: int) -> np.ndarray:
+        """Hash of one mask at every start where it fits."""
+        n = max(0, len(tokens) - self.masks[mask][-1])
+        h = np.zeros(n, np.uint64)
         for offset, weight in zip(self.masks[mask], self.weights[mask]):
-            h += self.codes[tokens[at + offset]] * weight
+            h += tokens[offset:offset + n] * weight
             h ^= h >> np.uint64(31)
-        return h * np.uint64(0x9E3779B97F4A7C15), at
-
-    def hits(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document place, item, item place) of all equal masked hashes."""
-        found = []
-        for m in range(len(self.masks)):
-            h, at = self.hashes(tokens, m)
-            may = self.filter[h >> np.uint64(64 - FILTER_BITS)]
-            h, at = h[may], at[may]
-            lo, hi = np.searchsorted(self.sorted, h, "left"), np.searchsorted(self.sorted, h, "right")
-            size = hi - lo
-            if not size.sum():
-                continue
-            entry = np.arange(size.sum()) + np.repeat(lo - (np.cumsum(size) - size), size)
-            found.append((np.repeat(at, size), self.item_at[entry], self.place[entry]))
-        if not found:
-            none = np.zeros(0, np.int64)
-            return none, none, none
-        return tuple(np.concatenate([f[i] for f in found]).astype(np.int64) for i in range(3))
+        return h * np.uint64(0x9E3779B97F4A7C15)
+
+    def of_item(self, tokens: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(mask, hashes by place) of an item."""
+        for m in range(self.general):
+            yield m, self.hashes(tokens, m)
+        for mask in self.whole.get(len(tokens), ()):
+            if self.number[mask] >= self.general:  # hashed already if among the others
+                yield self.number[mask], self.hashes(tokens, self.number[mask])[:1]
+
+
+def bit_of(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def before_of(h: np.ndarray) -> np.ndarray:
+    """The hash one place earlier (0 at the first)."""
+    return np.append(np.zeros(min(1, len(h)), np.uint64), h[:-1])
 
 
 def longest_stretch(equal: np.ndarray, identity: float) -> tuple[int, int]:
@@ -166,84 +142,171 @@ def longest_stretch(equal: np.ndarray, identity: float) -> tuple[int, int]:
     return int(start[end]), int(length[end])
 
 
-def leaks_of(tokens: np.ndarray, starts: np.ndarray, index: SeedIndex, min_words: int,
-             identity: float) -> dict[int, list[tuple]]:
-    """Leaks by document number; ``tokens`` holds the documents one after the
-    other, each followed by unknown words."""
-    place, item, item_place = index.hits(tokens)
-    if not len(place):
-        return {}
-    doc = np.searchsorted(starts, place, side="right") - 1
-    diagonals = np.unique(np.stack([doc, item, place - item_place]), axis=1).T
-    again = np.append(False, (diagonals[1:, :2] == diagonals[:-1, :2]).all(axis=1))
-    diagonals = diagonals[~(again & index.exact[diagonals[:, 1]])]
-    best: dict[tuple[int, int], tuple] = {}
-    for d, k, offset in diagonals.tolist():
-        own = index.tokens[k]
-        end = starts[d + 1] if d + 1 < len(starts) else len(tokens)
-        lo, hi = max(0, int(starts[d]) - offset), min(len(own), int(end) - offset)
+def best_leak(tokens: np.ndarray, own: np.ndarray, diagonals: list[int], min_words: int, identity: float) -> tuple[int, int, int] | None:
+    """(first word, words, equal words) of the item's best stretch over its
+    diagonals in a text, the first among equals; None if none is long enough."""
+    best = None
+    for offset in sorted(diagonals):
+        lo, hi = max(0, -offset), min(len(own), len(tokens) - offset)
         equal = tokens[lo + offset:hi + offset] == own[lo:hi]
         start, length = longest_stretch(equal, identity)
         n_equal = int(equal[start:start + length].sum())
-        if length >= min(min_words, len(own)) and n_equal > best.get((d, k), (0, 0, 0))[2]:
-            best[d, k] = (int(lo + offset + start - starts[d]), length, n_equal)
-    out: dict[int, list[tuple]] = {}
-    for (d, k), (first, length, n_equal) in sorted(best.items()):
-        out.setdefault(d, []).append((index.item_ids[k], first, length, n_equal, len(index.tokens[k])))
-    return out
+        if length >= min(min_words, len(own)) and (best is None or n_equal > best[2]):
+            best = (lo + offset + start, length, n_equal)
+    return best
+
 
+def _item_task(seeds: Seeds | None):
+    """Task: (item, text) -> its number of words and codes, or (h, before,
+    item, place) of all its seeds."""
 
-def _scan(index: SeedIndex, text: str, min_words: int, identity: float):
-    """Task: (row, hits) -> the same with this block's leaks added to hits."""
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            coder = Seeds([])
+            codes = [coder.tokens(words_of(t)) for _, t in str_texts(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(c) for c in codes], pa.int32()),
+                                              pa.array([c.tobytes() for c in codes], pa.binary())], ["item", "n_words", "codes"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = index.vocabulary.get
-        gap = np.zeros(index.gap, np.int32)
         for batch in batches:
-            row, before = batch.column(0), batch.column(1).to_pylist()
-            found: dict[int, list[tuple]] = {}
-            parts, starts, numbers, size = [], [], [], 0
+            for item, raw in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                for _, h in seeds.of_item(np.frombuffer(raw, np.uint64)):
+                    if len(h):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(h.view(np.int64)), pa.array(before_of(h).view(np.int64)), pa.array(np.full(len(h), item)),
+                             pa.array(np.arange(len(h), dtype=np.int32)), pa.array(bit_of(h) + 1)], ["h", "before", "item", "place", "bit"])
+
+    return words if seeds is None else run
+
+
+def _text_task(seeds: Seeds, bits: np.ndarray):
+    """Task: (k1, k2, text) -> (h, before, k1, k2, place) of the places whose
+    hash may be an item's."""
+
+    def found(tokens: np.ndarray, starts: np.ndarray, known: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        for m in range(len(seeds.masks)):
+            h = seeds.hashes(tokens, m)
+            span = seeds.masks[m][-1]
+            bit = bit_of(h)
+            may = (bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0
+            at = np.flatnonzero(may & known[:len(h)] & known[span:span + len(h)])
+            doc = np.searchsorted(starts, at, "right") - 1
+            if span:  # both ends known, and no end of text between
+                inside = np.searchsorted(starts, at + span, "right") - 1 == doc
+                at, doc = at[inside], doc[inside]
+            if seeds.once[m] and len(at):
+                first = np.unique(np.stack([doc.astype(np.uint64), h[at]]), axis=1, return_index=True)[1]
+                at, doc = at[first], doc[first]
+            before = np.where(at > starts[doc], h[np.maximum(at - 1, 0)], np.uint64(0))
+            yield h[at], before if not seeds.once[m] else np.zeros(len(at), np.uint64), doc, at - starts[doc]
 
-            def flush() -> None:
-                if parts:
-                    leaks = leaks_of(np.concatenate(parts), np.array(starts), index, min_words, identity)
-                    found.update({numbers[d]: x for d, x in leaks.items()})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gap = np.zeros(seeds.gap, np.uint64)
+        for batch in batches:
+            parts, starts, numbers, size = [], [], [], 0
 
-            for i, content in str_texts(row.field(text)):
-                words = words_of(content)
-                parts += [np.fromiter(map(lookup, words, repeat(0)), np.int32, len(words)), gap]
+            def flush() -> Iterator[pa.RecordBatch]:
+                if not parts:
+                    return
+                tokens, at = np.concatenate(parts), np.array(numbers)
+                for h, before, doc, place in found(tokens, np.array(starts), tokens > 0):
+                    row = pa.array(at[doc])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(h.view(np.int64)), pa.array(before.view(np.int64)), batch.column(0).take(row), batch.column(1).take(row),
+                         pa.array(place.astype(np.int32))], ["h", "before", "k1", "k2", "place"])
+
+            for i, content in str_texts(batch.column(2)):
+                codes = seeds.tokens(words_of(content))
+                if not len(codes):
+                    continue
+                parts += [codes, gap]
                 starts.append(size)
                 numbers.append(i)
-                size += len(words) + len(gap)
+                size += len(codes) + len(gap)
                 if size >= TOKENS_AT_ONCE:
-                    flush()
+                    yield from flush()
                     parts, starts, numbers, size = [], [], [], 0
-            flush()
-            names = [f.name for f in ARROW_HIT]
-            hits = [(h or []) + [dict(zip(names, x)) for x in found.get(i, ())] for i, h in enumerate(before)]
-            yield pa.RecordBatch.from_arrays([row, pa.array(hits, pa.list_(ARROW_HIT))], ["row", "hits"])
+            yield from flush()
+
+    return run
+
+
+def _verify_task(min_words: int, identity: float):
+    """Task: (k1, k2, text, asked) -> (k1, k2, item, hit) of the leaks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Seeds([])
+        for batch in batches:
+            out = []
+            for n, content in str_texts(batch.column(2), 16):
+                tokens = coder.tokens(words_of(content))
+                for asked in batch.column(3)[n].as_py():
+                    own = np.frombuffer(asked["codes"], np.uint64)
+                    best = best_leak(tokens, own, asked["diagonals"], min_words, identity)
+                    if best:
+                        out.append((n, asked["item"], *best, len(own)))
+            row = pa.array([o[0] for o in out], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(row), batch.column(1).take(row), *(pa.array([o[j] for o in out], t) for j, t in enumerate(
+                    (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()), 1))],
+                ["k1", "k2", "item", "first_word", "n_words", "n_equal", "item_words"])
 
     return run
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
-         item_text: str = "text", min_words: int = 13, identity: float = 0.8,
-         block_chars: int = BLOCK_CHARS) -> DataFrame:
+def keys_of(text: Column) -> list[Column]:
+    """Two 64-bit hashes that stand for a text."""
+    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit("decontaminate"), text).alias("k2")]
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", min_words: int = 13,
+          identity: float = 0.8) -> DataFrame:
+    """(k1, k2, hits) of the distinct texts that leak an item."""
+    rows = benchmark.select(F.col(f"`{item_id}`").alias("item_id"), F.col(f"`{item_text}`").alias("text")).where("text is not null").distinct()
+    items = materialize(rows.withColumn("item", F.monotonically_increasing_id()), "items")
+    coded = materialize(items.select("item", "text").mapInArrow(_item_task(None), "item long, n_words int, codes binary").where("n_words > 0"), "codes")
+    # at most MAX_MASK lengths
+    short = [r[0] for r in coded.where(F.col("n_words") <= min(min_words, MAX_MASK)).select("n_words").distinct().collect()]
+    seeds = Seeds(short, identity)
+    of_items = materialize(coded.mapInArrow(_item_task(seeds), "h long, before long, item long, place int, bit long"), "item-seeds")
+    bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    maps = of_items.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+    # Spark's bitmaps count bits from 1; 4 KB each, 4 MB in all
+    for r in maps.toLocalIterator():
+        part = np.frombuffer(bytes(r["bits"]), np.uint8)
+        bits_at = (r["bucket"] - 1) * len(part)
+        wanted = bits[bits_at:bits_at + len(part)]
+        wanted |= part[:len(wanted)]
+    texts = docs.select(*keys_of(F.col(f"`{text}`")), F.col(f"`{text}`").alias("text")).where("text is not null")
+    of_texts = texts.mapInArrow(_text_task(seeds, bits), "h long, before long, k1 long, k2 long, place int").distinct()
+    salt = F.pmod(F.col("k1"), F.lit(SALTS)).cast("int").alias("salt")
+    i = of_items.select(F.col("h"), F.col("before").alias("item_before"), "item", F.col("place").alias("item_place"),
+                        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    # a hit right after another one of the same mask lies on the same diagonal
+    fresh = (F.col("before") == 0) | (F.col("before") != F.col("item_before"))
+    pairs = of_texts.select("*", salt).join(i, ["h", "salt"]).where(fresh)
+    pairs = pairs.groupBy("k1", "k2", "item").agg(F.collect_set((F.col("place") - F.col("item_place")).cast("int")).alias("diagonals"))
+    pairs = materialize(pairs, "diagonals")
+    sizes = pairs.groupBy("k1", "k2").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    asked = (pairs.join(sizes, ["k1", "k2"]).join(coded, "item")
+             .groupBy("k1", "k2", F.pmod(F.xxhash64("item"), F.col("parts")).alias("part"))
+             .agg(F.collect_list(F.struct("item", "diagonals", "codes")).alias("asked")))
+    once = texts.join(sizes.select("k1", "k2"), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+    sure = once.join(asked, ["k1", "k2"]).select("k1", "k2", "text", "asked").mapInArrow(
+        _verify_task(min_words, identity), "k1 long, k2 long, item long, first_word int, n_words int, n_equal int, item_words int")
+    named = sure.join(items.select("item", F.col("item_id").cast("long").alias("item_id")), "item")
+    order = F.struct(F.col("item_id").isNull().alias("last"), "item_id", "item", F.struct(*[f.name for f in HIT]).alias("hit"))
+    return materialize(named.groupBy("k1", "k2").agg(F.transform(F.array_sort(F.collect_list(order)), lambda h: h["hit"]).alias("hits")), "leaks")
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", min_words: int = 13,
+         identity: float = 0.8) -> DataFrame:
     """(row: the input row, hits: its leaks as item_id, first_word, n_words,
     n_equal, item_words) per input row of ``docs``."""
-    items = benchmark.select(F.col(f"`{item_id}`").cast("long").alias("item_id"),
-                             F.col(f"`{item_text}`").alias("text")).where("text is not null").distinct()
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n_blocks = 1 + int(chars) // block_chars
-    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                      F.lit(None).cast(T.ArrayType(HIT)).alias("hits"))
-    schema = out.schema
-    for block in range(n_blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block)
-        index = SeedIndex(sorted(((r[0], r[1]) for r in part.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])),
-                          min_words=min_words, identity=identity)
-        out = out.mapInArrow(_scan(index, text, min_words, identity), schema)
-    return out
+    found = leaks(docs, benchmark, text, item_id, item_text, min_words, identity)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *keys_of(F.col(f"`{text}`")))
+    none = F.array().cast(T.ArrayType(HIT))
+    return rows.join(found, ["k1", "k2"], "left").select("row", F.coalesce("hits", none).alias("hits"))
 
 
 ship(__name__)

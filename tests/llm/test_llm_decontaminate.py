@@ -1,6 +1,7 @@
 """Decontamination: exact and substituted passages, clean texts, blocks."""
 
 import random
+from itertools import combinations
 
 import pytest
 from llm_cases import SF, edge_docs, empty_docs, sentence
@@ -38,11 +39,12 @@ def planted():
     return items, rows, expected
 
 
-@pytest.mark.parametrize("block_chars", [decontaminate.BLOCK_CHARS, 400])
-def test_planted(spark, block_chars):
+@pytest.mark.parametrize("part", [decontaminate.PART, 1])
+def test_planted(spark, part, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PART", part)
     items, rows, expected = planted()
     bench = spark.createDataFrame([(i, t, None) for i, t in items], "item_id long, text string, hits string")
-    out = decontaminate.scan(edge_docs(spark, rows), bench, block_chars=block_chars).collect()
+    out = decontaminate.scan(edge_docs(spark, rows), bench).collect()
     assert len(out) == len(rows)
     assert {r.row.doc_id: {h.item_id for h in r.hits} for r in out if r.hits} == {k: {v} for k, v in expected.items()}
 
@@ -59,22 +61,71 @@ def test_benchmark_texts_inside_documents(spark):
     assert got == held and held
 
 
-def test_every_allowed_substitution_of_short_items_is_found():
+def test_every_allowed_substitution_of_short_items_is_found(spark):
     """All patterns that leave 80 % of up to 13 words, inside other words."""
-    from itertools import combinations
-
-    import numpy as np
     items = [(n, " ".join(f"w{n}x{k}" for k in range(n))) for n in range(1, 14)]
-    index = decontaminate.SeedIndex(items)
+    rows, expected = [], {}
     for n, text in items:
-        own = [index.vocabulary[w] for w in text.split()]
-        gap = [0] * index.gap
+        own = text.split()
         for lost in range(n // 5 + 2):
             for pattern in combinations(range(n), lost):
-                doc = [0, 0, *(0 if k in pattern else x for k, x in enumerate(own)), *gap]
-                found = decontaminate.leaks_of(np.array(doc, np.int32), np.array([0]), index, 13, 0.8)
-                assert bool(found) == (lost <= n // 5), (n, pattern)
-                assert not found or [x[0] for x in found[0]] == [n]
+                words = [f"z{k}" if k in pattern else w for k, w in enumerate(own)]
+                if lost <= n // 5:
+                    expected[len(rows)] = [n]
+                rows.append((len(rows), " ".join(["so", "it", *words, "goes"])))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = decontaminate.scan(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert {r.row.doc_id: [h.item_id for h in r.hits] for r in out if r.hits} == expected
+
+
+def brute(rows, items, min_words=13, identity=0.8):
+    """Every item on every diagonal of every text."""
+    import numpy as np
+    out = {}
+    for doc, text in rows:
+        words = decontaminate.words_of(text or "")
+        for item, content in items:
+            own, best = decontaminate.words_of(content or ""), None
+            for offset in range(-len(own) + 1, len(words)):
+                lo, hi = max(0, -offset), min(len(own), len(words) - offset)
+                equal = np.array([words[k + offset] == own[k] for k in range(lo, hi)])
+                start, length = decontaminate.longest_stretch(equal, identity)
+                n_equal = int(equal[start:start + length].sum())
+                if length and length >= min(min_words, len(own)) and (best is None or n_equal > best[3]):
+                    best = (item, lo + offset + start, length, n_equal, len(own))
+            if best:
+                out.setdefault(doc, []).append(best)
+    return {d: sorted(h) for d, h in out.items()}
+
+
+def test_equals_all_diagonals(spark):
+    """Texts over few words, so that items meet them in many places by halves."""
+    rnd = random.Random(3)
+    text = lambda n: " ".join(rnd.choice("abcdefghijklmnopqrstuvw") + rnd.choice("xy") for _ in range(n))
+    items = [(k, text(rnd.randint(1, 30))) for k in range(25)]
+    rows = []
+    for k in range(60):
+        body = text(40).split()
+        for _ in range(2):
+            own = [w if rnd.random() < 0.87 else "zz" for w in rnd.choice(items)[1].split()]
+            at = rnd.randint(0, len(body))
+            body[at:at] = own[rnd.randint(0, 2):]
+        rows.append((k, " ".join(body)))
+    out = decontaminate.scan(edge_docs(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {r.row.doc_id: sorted(tuple(h) for h in r.hits) for r in out if r.hits}
+    assert got == brute(rows, items) and got
+
+
+def test_shared_openings_and_repeats(spark):
+    """Thousands of items with one opening, a text that repeats it, copies of
+    that text: every item is reported once a row, from the place it fits best."""
+    opening = [f"o{k}" for k in range(12)]
+    items = [(k, " ".join([*opening, f"own{k}", f"end{k}"])) for k in range(3000)]
+    rows = [(k, " ".join(opening * 40)) for k in range(20)] + [(100, " ".join([*opening, "own7", "end7"])), (101, " ".join(opening[:9]))]
+    out = decontaminate.scan(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {r.row.doc_id: r.hits for r in out.collect()}
+    assert all(len(got[k]) == 3000 and {(h.first_word, h.n_equal) for h in got[k]} == {(0, 12)} for k in range(20))
+    assert len(got[100]) == 3000 and {h.item_id for h in got[100] if h.n_equal == 14} == {7} and not got[101]
 
 
 def test_short_items_and_scripts_without_spaces(spark):
@@ -86,10 +137,9 @@ def test_short_items_and_scripts_without_spaces(spark):
             (21, "在文本中" + zh.replace("首", "古").replace("，", "") + "没有空格"), (22, "法国的首都是巴黎"), (23, "問題" + ja + "富士山"),
             (24, "a𠀀𠀁𠀂b"), (25, f"คำถาม{th}อะไร"), (26, "4 2 421"), (27, "(42)")]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    for block_chars in (decontaminate.BLOCK_CHARS, 30):
-        out = decontaminate.scan(edge_docs(spark, rows), bench, block_chars=block_chars).collect()
-        assert {r.row.doc_id: [h.item_id for h in r.hits] for r in out if r.hits} == {
-            10: [1], 12: [2], 13: [3], 20: [4], 21: [4], 23: [5], 24: [6], 25: [8], 27: [9]}
+    out = decontaminate.scan(edge_docs(spark, rows), bench).collect()
+    assert {r.row.doc_id: [h.item_id for h in r.hits] for r in out if r.hits} == {
+        10: [1], 12: [2], 13: [3], 20: [4], 21: [4], 23: [5], 24: [6], 25: [8], 27: [9]}
     assert decontaminate.words_of("GPT-4和 é語") == ["gpt", "4", "和", "é", "語"]
 
 
