@@ -18,8 +18,9 @@ counted on the others, so no document calibrates scores that it has shaped.
 
 The model is fitted on a bounded sample of labelled documents: those whose
 hashed doc_id falls under a threshold chosen so that about ``max_train`` are
-expected.  At most ``max_features`` scores travel to the tasks.  Scoring is one
-map pass over whole texts, without a shuffle.
+expected.  The scores of its significant features, whose number that sample
+bounds, travel to the tasks.  Scoring is one map pass over whole texts, without
+a shuffle.
 
 Defined results: null and empty texts have no segment and get the score of a
 document without evidence; a null doc_id is never a training row; repeated
@@ -43,17 +44,29 @@ from pyspark.sql import types as T
 from countpanel.llm.common import materialize, ship, str_texts
 
 WORD = re.compile(r"[^\W\d_]+")
+#: Scripts written without spaces; there a word is one character.
+UNSPACED = ("\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+            "\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff")
+HAS_UNSPACED = re.compile(f"[{UNSPACED}]")
+MIXED_WORD = re.compile(rf"(?=[{UNSPACED}])[^\W\d_]|[^\W\d_{UNSPACED}]+")
 PREFIXES = (7, 6, 5, 4)
 DRIFT = 0.25  # taken from every word's score, so that clean text scores below zero
 PRIOR = 50.0  # pseudo-words of the Dirichlet prior, spread as in the pooled corpus,
 FLAT = 0.5  # and as many for every feature, seen or not
 BIN, LOW, BINS = 0.25, -6.0, 96  # histogram of word scores
 CACHE = 400_000  # words whose score a task remembers
-EVIDENCE_FLOOR, EVIDENCE_CEILING = -6.0, 30.0
+EVIDENCE_FLOOR = -6.0
 FOLDS = 4  # of the cross-fitting
 DECISION = 0.3  # score of the evidence that divides the classes best
 
 
+def words_of(text: str) -> list[str]:
+    text = text.lower()
+    if text.isascii() or not HAS_UNSPACED.search(text):
+        return WORD.findall(text)
+    return MIXED_WORD.findall(text)
+
+
 def features(word: str) -> list[str]:
     """The word and its prefixes, the most specific first."""
     return [word, *("^" + word[:k] for k in PREFIXES if len(word) > k)]
@@ -130,7 +143,7 @@ def _count_task():
             parts = [2 * f + y for y, f in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
             counts: dict[int, Counter] = {}
             for i, content in str_texts(batch.column(2)):
-                words = Counter(WORD.findall(content.lower()))
+                words = Counter(words_of(content))
                 into = counts.setdefault(parts[i], Counter())
                 into[""] += sum(words.values())  # the empty feature counts all words
                 for word, n in words.items():
@@ -153,8 +166,7 @@ def count_features(sample: DataFrame, min_count: int) -> DataFrame:
     return materialize(counted.where((total >= min_count) | (F.col("feature") == "")), "toxic-counts")
 
 
-def fit_scores(counted: DataFrame, without: int | None, min_count: int, min_z: float,
-               max_features: int) -> dict[str, float]:
+def fit_scores(counted: DataFrame, without: int | None, min_count: int, min_z: float) -> dict[str, float]:
     """Dirichlet-smoothed log-odds of the significant features, counted on all
     folds but ``without``."""
     of = lambda y: sum((F.col(f"p{2 * f + y}") for f in range(FOLDS) if f != without), F.lit(0))
@@ -169,7 +181,7 @@ def fit_scores(counted: DataFrame, without: int | None, min_count: int, min_z: f
     scored = (counted.where("feature != ''")
               .withColumn("score", odds[0] - odds[1])
               .withColumn("z", F.col("score") / F.sqrt(1 / (F.col("n0") + prior) + 1 / (F.col("n1") + prior)))
-              .where(F.abs("z") >= min_z).orderBy(F.abs("z").desc(), "feature").limit(max_features))
+              .where(F.abs("z") >= min_z))
     return {r["feature"]: float(r["score"]) for r in scored.select("feature", "score").collect()}
 
 
@@ -189,7 +201,7 @@ def _calibration_task(scores: list[dict[str, float]]):
             folds = batch.column(1).to_pylist()
             n_words, found, bins = [], [], []
             for i, content in str_texts(batch.column(2)):
-                s = word_scores(WORD.findall(content.lower()), scores[folds[i]], caches[folds[i]]) - DRIFT
+                s = word_scores(words_of(content), scores[folds[i]], caches[folds[i]]) - DRIFT
                 n_words.append(len(s))
                 found.append([x for _, _, x in segments(s)])
                 at = np.clip(((s - LOW) / BIN).astype(int), 0, BINS - 1)
@@ -207,7 +219,7 @@ def evidence(found: list[float], n_words: int, lam: float, k: float) -> tuple[fl
     if not len(found):
         return EVIDENCE_FLOOR, 0.0
     surprise = lam * np.asarray(found) - np.log(max(k * n_words, 1e-12))
-    best = min(EVIDENCE_CEILING, max(EVIDENCE_FLOOR, float(surprise.max())))
+    best = max(EVIDENCE_FLOOR, float(surprise.max()))
     return best, float(surprise[surprise > 0].sum())
 
 
@@ -251,7 +263,7 @@ def best_cut(t: np.ndarray, y: np.ndarray) -> float:
 
 
 def fit(docs: DataFrame, labels: DataFrame, may_learn: Callable[[Column], Column] | None = None,
-        max_train: int = 12_000, min_count: int = 3, min_z: float = 2.4, max_features: int = 50_000) -> Model:
+        max_train: int = 12_000, min_count: int = 3, min_z: float = 2.4) -> Model:
     """Model from ``labels`` (doc_id, toxic) and the texts of ``docs``;
     ``may_learn(doc_id)`` tells which rows may be learned from."""
     usable = labels.where("doc_id is not null and toxic is not null")
@@ -269,10 +281,10 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Callable[[Column], Column
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int")
     sample = materialize(sample.select("y", fold.alias("fold"), "text"), "toxic-sample")
     counted = count_features(sample, min_count)
-    scores = fit_scores(counted, None, min_count, min_z, max_features)
+    scores = fit_scores(counted, None, min_count, min_z)
     if not scores:
         return Model()
-    others = [fit_scores(counted, k, min_count, min_z, max_features) for k in range(FOLDS)]
+    others = [fit_scores(counted, k, min_count, min_z) for k in range(FOLDS)]
     # a bounded number of rows: the sample's
     rows = sample.mapInArrow(_calibration_task(others), T.StructType(
         [T.StructField("y", T.IntegerType()), *EVIDENCE.fields])).collect()
@@ -301,7 +313,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", max_expected: float
             row = batch.column(0)
             x, passages = np.zeros((len(row), 2)), []
             for i, content in str_texts(row.field(text)):
-                s = word_scores(WORD.findall(content.lower()), model.scores, cache) - DRIFT
+                s = word_scores(words_of(content), model.scores, cache) - DRIFT
                 found = segments(s)
                 x[i] = evidence([v for _, _, v in found], len(s), model.lam, model.k)
                 expected = [model.k * len(s) * float(np.exp(-model.lam * v)) for _, _, v in found]

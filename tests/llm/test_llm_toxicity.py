@@ -1,5 +1,7 @@
 """Toxicity: segments against brute force, the extreme-value law, held-out quality."""
 
+import math
+import re
 import zlib
 
 import numpy as np
@@ -123,3 +125,38 @@ def test_scores_do_not_depend_on_other_columns(spark):
     a = {r.row.text: r.score for r in toxicity.score(edge_docs(spark, rows), model).collect()}
     moved = [(i + 77, t) for i, t in rows]
     assert a == {r.row.text: r.score for r in toxicity.score(edge_docs(spark, moved).repartition(5), model).collect()}
+
+
+def best_first(score, lo, hi):
+    """All maximal scoring segments by definition: the best one (the leftmost,
+    then the shortest), then those on either side of it."""
+    total = np.append(0.0, np.cumsum(score[lo:hi]))
+    found = max(((round(total[b] - total[a], 9), -a, a - b) for a in range(hi - lo) for b in range(a + 1, hi - lo + 1)), default=None)
+    if found is None or found[0] <= 0:
+        return []
+    a = lo - found[1]
+    b = a - found[2]
+    return best_first(score, lo, a) + [float(score[a:b].sum())] + best_first(score, b, hi)
+
+
+def test_whole_score_equals_brute_force(spark):
+    """Words, their scores, segments, the extreme-value law and the curve, step
+    by step in plain Python, for texts with and without spaces."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    model = toxicity.fit(docs, spark.read.parquet("/root/testdata/sf0.01/labels.parquet"))
+    texts = [r for r in docs.where("length(text) between 1 and 900").orderBy("doc_id").limit(60).collect()]
+    rows = [(r.doc_id, r.text) for r in texts] + [(-1, ""), (-2, None), (-3, "你是一个讨厌的人，滚出去"), (-4, "42 _ 7")]
+    got = {r.doc_id: r.score for r in toxicity.score(edge_docs(spark, rows), model).select("row.doc_id", "score").collect()}
+    assert toxicity.words_of("你是 Bad人9") == ["你", "是", "bad", "人"]
+    for i, text in rows:
+        words = re.findall(r"[^\W\d_]+", (text or "").lower()) if i != -3 else [c for c in text if c.isalpha()]
+        scores = [next((model.scores[f] for f in [w, *("^" + w[:k] for k in (7, 6, 5, 4) if len(w) > k)] if f in model.scores), 0.0) for w in words]
+        found = best_first(np.array(scores) - toxicity.DRIFT, 0, len(words)) if words else []
+        surprise = [model.lam * s - math.log(max(model.k * len(words), 1e-12)) for s in found]
+        best = max([toxicity.EVIDENCE_FLOOR, *surprise])
+        rest = sum(s for s in surprise if s > 0)
+        t = best + math.log1p(rest)
+        curve = lambda x: 0.98 * float(np.interp(x, *model.curve)) + 0.02 / (1 + math.exp(-x / 4))
+        p, at = curve(t), curve(model.cut)
+        want = 0.3 * p / at if t < model.cut else 0.3 + 0.7 * (p - at) / max(1 - at, 1e-9)
+        assert abs(got[i] - want) < 1e-6, (i, got[i], want)
