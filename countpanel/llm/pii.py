@@ -5,7 +5,7 @@ validators drop proposals (Luhn for cards, mod-97 for IBANs, the range of IP
 parts, the number of digits).  Every span has a score: its kind's prior, raised
 when one of the kind's context words stands within 40 characters, lowered when
 a word that denies it does (order, version, ...).  Base kinds are always kept;
-the kinds the method adds (iban, ssn) need a score of ``MIN_SCORE``.
+the kinds the method adds (iban, ssn, secret) need a score of ``MIN_SCORE``.
 
 Positions come from the text between matches: a span starts after the summed
 lengths of what precedes it.  The sums run over blocks of ``RUN`` matches, so
@@ -20,8 +20,6 @@ input row gives one output row.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +27,7 @@ RUN = 64
 CONTEXT = 40
 MIN_SCORE = 0.5
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "iban", "ssn")
+KINDS = (*BASE, "iban", "ssn", "secret")
 
 #: Length of an IBAN by country, of the registry and of the codes
 #: in use beside it.
@@ -65,16 +63,19 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": _iban_pattern(),
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "secret": r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/-]{20,512}+={0,2}(?![A-Za-z0-9_+/=-])",
 }
 #: Prior score, supporting and denying context words of each kind.
-PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9, "ssn": 0.4}
+PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9, "ssn": 0.4, "secret": 0.3}
 SUPPORT = {
     "email": "mail|contact|write", "ip": r"\bip\b|address|host|server|login", "card": "card|visa|master|credit|payment",
     "phone": "phone|call|tel|mobile|fax", "iban": "iban|account|bank|transfer", "ssn": "ssn|social|security",
+    "secret": "token|secret|passw|api.?key|access.?key|bearer|credential",
 }
 DENY = {
     "email": "example|noreply", "ip": "version|release|build", "card": "order|serial|isbn|tracking",
     "phone": "order|serial|score", "iban": "serial|version", "ssn": "order|serial|part",
+    "secret": "sha-?[0-9]|md5|checksum|commit|digest",
 }
 PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
@@ -103,6 +104,8 @@ def confirmed(kind: str, match: Column) -> Column:
         return F.length(_digits(match)).between(10, 15)
     if kind == "iban":
         return _mod97(match) == 1
+    if kind == "secret":  # letters and digits mixed, many different ones
+        return match.rlike("[A-Za-z]") & match.rlike("[0-9]") & (F.size(F.array_distinct(F.split(match, ""))) >= 10)
     if kind == "ssn":
         return ~match.rlike("^(?:000|666|9[0-9]{2})-|-00-|-0000$")
     return F.lit(True)
@@ -163,7 +166,14 @@ def spans(docs: DataFrame, text: str = "text") -> DataFrame:
     out = out.withColumns({f"pieces_{k}": F.when(some[k], F.split(content, PATTERNS[k], -1)) for k in KINDS})
     out = out.withColumns({f"spans_{k}": F.when(some[k], _kind_spans(k, F.col(f"found_{k}"), F.col(f"pieces_{k}")))
                            .otherwise(nothing) for k in KINDS})
-    return out.select("row", F.array_sort(F.concat(*[F.col(f"spans_{k}") for k in KINDS])).alias("spans"))
+    return _apart(out.select("row", *[f"spans_{k}" for k in KINDS]), spans=F.array_sort(F.concat(*[F.col(f"spans_{k}") for k in KINDS]))).select(
+        "row", "spans")
+
+
+def _apart(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with the columns, behind a generator of one row: what is built on
+    them (a filter, say) names them and does not repeat their expressions."""
+    return df.select("row", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
 
 
 def of_kind(found: Column, *kinds: str) -> Column:
@@ -178,30 +188,33 @@ def written(found: Column) -> Column:
         ":", F.element_at(names, s["kind_rank"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def _hide(kind: str) -> Callable[[Column], Column]:
-    def hide(x: Column) -> Column:
-        good = confirmed(kind, x["match"])
-        if kind not in BASE:
-            good = good & (_score(kind, x["piece"], x["after"]) >= MIN_SCORE)
-        return F.concat(x["piece"], F.when(good, F.lit(f"<{kind.upper()}>")).otherwise(x["match"]))
+def _regions(found: Column) -> Column:
+    """Spans in order of start, overlapping ones merged; the earliest kind
+    names the region."""
+    empty = F.array().cast("array<struct<start:int,end:int,rank:int>>")
+
+    def step(acc: Column, s: Column) -> Column:
+        last = F.element_at(acc, -1)
+        own = F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind_rank"].alias("rank"))
+        both = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), F.least(last["rank"], s["kind_rank"]).alias("rank"))
+        overlaps = F.when(F.size(acc) > 0, s["start"] < last["end"]).otherwise(F.lit(False))
+        return F.when(overlaps, F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(both))).otherwise(F.concat(acc, F.array(own)))
 
-    return hide
+    return F.aggregate(found, empty, step)
 
 
 def mask(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with every confirmed match of every kind replaced by its kind
-    in angle brackets; kinds are masked one after the other, so where two
-    overlap the earlier kind's mask stands."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                       F.col(f"`{text}`").alias("masked"))
-    for kind in KINDS:
-        rows = rows.withColumn("found", F.regexp_extract_all("masked", F.lit(PATTERNS[kind]), F.lit(0)))
-        rows = rows.withColumn("pieces", F.when(F.size("found") > 0, F.split("masked", PATTERNS[kind], -1)))
-
-        n = F.size("found")
-        zipped = F.arrays_zip(F.slice("pieces", F.lit(1), n).alias("piece"), F.col("found").alias("match"),
-                              F.slice("pieces", F.lit(2), n).alias("after"))
-        joined = F.concat(F.array_join(F.transform(zipped, _hide(kind)), ""), F.element_at("pieces", -1))
-        rows = rows.select("row", F.when(n > 0, joined).otherwise(F.col("masked")).alias("masked"))
-    return rows.select(*[F.col("masked").alias(c) if c == text else F.col("row").getField(c).alias(c)
-                         for c in docs.columns])
+    """``docs`` with every confirmed span replaced by its kind in angle
+    brackets, in one pass over the spans; overlapping spans are hidden together
+    under the kind that is listed first."""
+    content = F.col("row").getField(text)
+    rows = _apart(spans(docs, text).select("row", "spans"), regions=_regions(F.col("spans")))
+    names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
+
+    def piece(r: Column, i: Column) -> Column:
+        before = F.when(i == 0, F.lit(0)).otherwise(F.get("regions", i - 1)["end"])
+        return F.concat(F.substr(content, before + 1, r["start"] - before), F.element_at(names, r["rank"] + 1))
+
+    hidden = F.concat(F.array_join(F.transform("regions", piece), ""), F.substr(content, F.element_at("regions", -1)["end"] + 1))
+    rows = _apart(rows, masked=F.when(F.size("regions") > 0, hidden).otherwise(content))
+    return rows.select(*[F.col("masked").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -106,6 +106,33 @@ def test_mask_hides_every_span_and_keeps_columns(spark):
     assert {r.doc_id for r in masked if r.text != dict(rows)[r.doc_id]} == {i for i, t in rows if brute(t)}
 
 
+def test_masked_text_can_be_filtered_and_aggregated(spark):
+    """What is built on the masked text does not repeat its expressions."""
+    docs = edge_docs(spark, [(1, "write a.b@c.org"), (2, "no"), (3, None)])
+    out = pii.mask(docs).where(F.length("text") > 3).where(F.col("text").contains("<EMAIL>")).groupBy("text").count()
+    assert [tuple(r) for r in out.collect()] == [("write <EMAIL>", 1)]
+    plan = pii.mask(docs).where(F.length("text") > 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 60_000
+    spans = pii.spans(docs).where(F.size("spans") > 0).where(F.col("spans")[0]["start"] > 2)
+    assert [r.row.doc_id for r in spans.collect()] == [1]
+
+
+def test_overlapping_spans_are_hidden_together(spark):
+    texts = [(1, "+1 10.20.30.40 5 x"), (2, "a 4111 1111 1111 1111 b 4111 1111 1111 1111"), (3, "u@10.0.0.1 and")]
+    got = {r.doc_id: r.text for r in pii.mask(edge_docs(spark, texts)).collect()}
+    assert got == {1: "<IP> x", 2: "a <CARD> b <CARD>", 3: "<EMAIL> and"}
+
+
+def test_secrets_need_a_context_word_and_mixed_characters(spark):
+    secret = "0123456789abcdef0123456789abcdef01234567"
+    assert spans_of(spark, f'token = "{secret}"') == [("secret", secret, 0.5)]
+    assert spans_of(spark, f"commit {secret} is fine") == [] and spans_of(spark, f"token commit {secret}") == []
+    assert spans_of(spark, "token aaaaaaaaaaaaaaaaaaaaaaaaaaaa") == [] and spans_of(spark, "token " + "0a" * 20) == []
+    rows = [(i, t) for i, t in documents("/root/testdata/sf0.01") if t and "token = " in t]
+    masked = pii.mask(edge_docs(spark, rows)).collect()
+    assert rows and not any(re.search("[0-9a-f]{40}", r.text) for r in masked)
+
+
 def test_empty(spark):
     assert pii.spans(empty_docs(spark)).count() == 0 and pii.mask(empty_docs(spark)).count() == 0
 
