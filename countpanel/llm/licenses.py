@@ -115,8 +115,8 @@ def _run(template: str, threshold: float) -> int:
 
 
 def template_matches(read: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
-    """(doc_id, text_hash, label, containment) of every block (line or run)
-    that holds a template."""
+    """(doc_id, text_hash, label, containment) of every block with a run of
+    words that holds a template."""
     frequency = frequencies(read)
     order = sorted({w for t, _ in templates for w in t.split()}, key=lambda w: (frequency.get(w, 0), w))
     rank = {w: k for k, w in enumerate(order)}
@@ -127,15 +127,14 @@ def template_matches(read: DataFrame, templates=TEMPLATES, threshold: float = 0.
     prefix = read.sparkSession.createDataFrame(
         index, "prefix_word string, template int, label string, own array<string>, j int, run int, need int")
     texts = read.where("lower is not null")
-    lines = texts.select("doc_id", "text_hash", F.explode(F.split("lower", "\n")).alias("line"))
-    lines = lines.select("doc_id", "text_hash", words(F.col("line")).alias("block"), F.lit(False).alias("wrapped"))
     longest = max(_run(t, threshold) for t, _ in templates)
-    several = texts.where(F.contains("lower", F.lit("\n"))).select("doc_id", "text_hash", words(F.col("lower")).alias("words"))
+    several = texts.select("doc_id", "text_hash", words(F.col("lower")).alias("words"))
     starts = F.sequence(F.lit(1), F.greatest(F.size("words"), F.lit(1)), F.lit(longest))
-    pieces = several.select("doc_id", "text_hash", F.explode(F.transform(
-        starts, lambda at: F.slice("words", at, F.lit(2 * longest - 1)))).alias("block"), F.lit(True).alias("wrapped"))
+    # every run of up to ``longest`` words lies in a block
+    blocks = several.select("doc_id", "text_hash", F.explode(F.transform(
+        starts, lambda at: F.slice("words", at, F.lit(2 * longest - 1)))).alias("block"))
     # the block's words of the template vocabulary, in global order
-    blocks = lines.unionAll(pieces).withColumn("held", F.array_intersect(_literals(order), "block"))
+    blocks = blocks.withColumn("held", F.array_intersect(_literals(order), "block"))
     blocks = blocks.where((F.size("held") >= min(r[-1] for r in index))
                           & F.arrays_overlap("held", _literals(sorted({r[0] for r in index}))))
     candidates = blocks.select("*", F.posexplode("held").alias("i", "word")).join(
@@ -147,7 +146,7 @@ def template_matches(read: DataFrame, templates=TEMPLATES, threshold: float = 0.
     in_run = F.array_max(F.transform(F.sequence(F.lit(1), F.size("block")), lambda at: F.size(
         F.array_intersect(F.slice("block", at, F.col("run")), F.col("own")))))
     candidates = candidates.where(length & position).withColumn("overlap", overlap).where(F.col("overlap") >= F.col("need"))
-    candidates = candidates.withColumn("overlap", F.when(F.col("wrapped"), in_run).otherwise(F.col("overlap")))
+    candidates = candidates.withColumn("overlap", in_run)
     return (candidates.where(F.col("overlap") >= F.col("need"))
             .select("doc_id", "text_hash", "label", (F.col("overlap") / F.size("own")).alias("containment")))
 

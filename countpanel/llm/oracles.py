@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from countpanel.llm.licenses import PHRASES, TEMPLATES
+from countpanel.llm.licenses import PHRASES, TEMPLATES, _run
 from countpanel.llm.urls import LOWER, RULES, UPPER, TreeParams
 
 WORDS = r"'[^\x20\x09-\x0D]+'"
 
+#: Each rule's condition, by bit.
+RULE_SQL = {
+    "few_words": "n_words < 50", "repeated_trigrams": "100 * n_repeat_words > 50 * n_words", "symbols": "10 * n_symbols > n_words",
+    "duplicate_lines": "n_dup_lines >= 4 AND 100 * n_dup_lines > 30 * n_lines", "short_words": "word_chars < 3 * n_words",
+    "long_words": "word_chars > 12 * n_words", "upper_case": "100 * n_upper > 30 * n_words",
+    "few_distinct_words": "100 * n_unique < 15 * least(n_words, 400)"}
+MASK = " + ".join(f"CASE WHEN {c} THEN {1 << bit} ELSE 0 END" for bit, c in enumerate(RULE_SQL.values()))
+
 QUALITY = rf"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {WORDS}) AS words FROM documents),
@@ -36,32 +44,31 @@ m AS (
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
   CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
   CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
-  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > n_words
-    OR (n_dup_lines >= 4 AND 100 * n_dup_lines > 30 * n_lines) OR word_chars < 3 * n_words OR word_chars > 12 * n_words
-    OR 100 * n_upper > 30 * n_words OR 100 * n_unique < 15 * least(n_words, 400)) AS kept
-FROM m
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, mask = 0 AS kept, CAST(mask AS BIGINT) AS mask,
+  CASE mask {" ".join(f"WHEN {1 << bit} THEN '{rule}'" for bit, rule in enumerate(RULE_SQL))} END AS kept_without
+FROM (SELECT *, {MASK} AS mask FROM m)
 """
 
 
 def _licenses() -> str:
-    """Phrases by consecutive words, templates by brute force over all lines."""
+    """Phrases by consecutive words, templates by brute force over all runs of
+    words of texts that hold enough of the template at all."""
     word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
     lower = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
     phrases = ", ".join(f"({[w for w in p.split()]!r}, '{label}')" for p, label in PHRASES.items())
-    templates = ", ".join(f"({sorted(set(t.split()))!r}, '{label}')" for t, label in TEMPLATES)
+    templates = ", ".join(f"({sorted(set(t.split()))!r}, '{label}', {_run(t, 0.8)})" for t, label in TEMPLATES)
     return f"""
 WITH w AS (SELECT doc_id, {lower} AS lower, regexp_extract_all({lower}, {word}) AS words FROM documents),
 phrases(phrase, label) AS (VALUES {phrases}),
-templates(own, label) AS (VALUES {templates}),
+templates(own, label, run) AS (VALUES {templates}),
 starts AS (SELECT doc_id, words, unnest(range(len(words))) AS i FROM w),
 places AS (SELECT doc_id, i, label FROM starts, phrases
            WHERE words[i + 1] = phrase[1] AND words[i + 1 : i + len(phrase)] = phrase),
 base AS (SELECT doc_id, count(*) AS n, min(i) AS first, max(i) AS last, list(DISTINCT label) AS labels
          FROM places GROUP BY doc_id),
-blocks AS (SELECT DISTINCT doc_id, unnest(string_split(lower, chr(10))) AS block FROM w),
-held AS (SELECT doc_id, label, len(list_intersect(regexp_extract_all(block, {word}), own)) / len(own) AS containment
-         FROM blocks, templates),
+able AS (SELECT doc_id, words, own, label, run FROM w, templates WHERE len(list_intersect(list_distinct(words), own)) / len(own) >= 0.8),
+runs AS (SELECT doc_id, own, label, words[i + 1 : i + run] AS block FROM (SELECT *, unnest(range(len(words))) AS i FROM able)),
+held AS (SELECT doc_id, label, len(list_intersect(list_distinct(block), own)) / len(own) AS containment FROM runs),
 found AS (SELECT doc_id, list(DISTINCT label) AS labels, max(containment) AS best FROM held
           WHERE containment >= 0.8 GROUP BY doc_id)
 SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(base.n, 0) AS BIGINT) AS n_base,
@@ -99,19 +106,20 @@ def _urls(params: TreeParams = TreeParams()) -> str:
         for r in sorted(RULES, key=lambda r: (-len(r.rule), r.rule)))
     verdicts = " ".join(f"WHEN '{r.rule}' THEN '{r.verdict}'" for r in RULES)
     levels = []
-    for k in range(params.depth):
+    for k in range(params.depth + 1):
+        wildcard = "*" if k < params.depth else "**"
         z = [f"abs(s_{c} - typical_{c}) / sqrt((s_{c} * n + typical_{c} * n + 1) / (2 * n + 2)"
              f" * (1 - (s_{c} * n + typical_{c} * n + 1) / (2 * n + 2)) * 2 / n)" for c in ("bad", "good")]
         levels.append(f"""
 a{k} AS (SELECT *, segments[{k + 1}] AS seg FROM t{k}),
-b{k} AS (SELECT *, count(*) OVER b AS n, count(seg) OVER node AS all_n, avg(bad) OVER b AS s_bad, avg(good) OVER b AS s_good
-  FROM a{k} WINDOW b AS (PARTITION BY host, template, seg), node AS (PARTITION BY host, template)),
-c{k} AS (SELECT *, seg IS NOT NULL AND n >= {params.min_count} AND n >= {params.min_share} * all_n AS frequent FROM b{k}),
+b{k} AS (SELECT *, count(*) OVER b AS n, avg(bad) OVER b AS s_bad, avg(good) OVER b AS s_good
+  FROM a{k} WINDOW b AS (PARTITION BY host, template, seg)),
+c{k} AS (SELECT *, seg IS NOT NULL AND n >= {params.min_count} AS frequent FROM b{k}),
 d{k} AS (SELECT *, quantile_cont(s_bad, 0.5) FILTER (WHERE frequent) OVER node AS typical_bad,
     quantile_cont(s_good, 0.5) FILTER (WHERE frequent) OVER node AS typical_good
   FROM c{k} WINDOW node AS (PARTITION BY host, template)),
-t{k + 1} AS (SELECT page_id, host, path, rule, bad, good, n_segments, segments, CASE WHEN seg IS NULL THEN template
-    WHEN frequent AND greatest({', '.join(z)}) >= {params.z} THEN template || '/' || seg ELSE template || '/*' END AS template
+t{k + 1} AS (SELECT page_id, host, path, rule, bad, good, segments, CASE WHEN seg IS NULL THEN template
+    WHEN frequent AND greatest({', '.join(z)}) >= {params.z} THEN template || '/' || seg ELSE template || '/{wildcard}' END AS template
   FROM d{k})""")
     return rf"""
 WITH u AS (
@@ -121,13 +129,15 @@ r AS (SELECT *, CASE {fits} END AS rule FROM u),
 t0 AS (
   SELECT page_id, host, path, rule, CASE WHEN (CASE rule {verdicts} END) = 'block' THEN 1.0 ELSE 0.0 END AS bad,
     CASE WHEN (CASE rule {verdicts} END) = 'allow' THEN 1.0 ELSE 0.0 END AS good,
-    list_filter(string_split(path, '/'), lambda s: s <> '') AS segments, len(segments) AS n_segments, '' AS template
+    list_filter(string_split(path, '/'), lambda s: s <> '') AS pieces,
+    CASE WHEN len(pieces) > {params.depth} THEN list_append(pieces[1 : {params.depth}], array_to_string(pieces[{params.depth + 1} :], '/'))
+      ELSE pieces END AS segments, '' AS template
   FROM r),{','.join(levels)},
-f AS (SELECT *, CASE WHEN n_segments > {params.depth} THEN template || '/**' ELSE template END AS whole FROM t{params.depth}),
-p AS (SELECT host, whole, (sum(bad) + {params.strength * params.prior}) / (sum(bad) + sum(good) + {params.strength}) AS purity,
-  (sum(bad) + sum(good)) / count(*) >= {params.min_labelled} AS known FROM f GROUP BY host, whole)
+f AS (SELECT *, template AS whole FROM t{params.depth + 1}),
+p AS (SELECT host, whole, (sum(bad) + {params.strength * params.prior}) / (sum(bad) + sum(good) + {params.strength}) AS purity
+  FROM f GROUP BY host, whole)
 SELECT page_id, host, path, rule, coalesce(CASE rule {verdicts} END,
-    CASE WHEN known AND purity >= {params.reject_at} THEN 'block' ELSE 'allow' END) AS verdict,
+    CASE WHEN purity >= {params.reject_at} THEN 'block' ELSE 'allow' END) AS verdict,
   whole AS template, round(purity, 9) AS purity
 FROM f JOIN p USING (host, whole)
 """

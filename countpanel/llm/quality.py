@@ -141,6 +141,16 @@ def kept(mask: Column, policy: str) -> Column:
     return mask.bitwiseAND(F.lit(policy_mask(policy)).cast("long")) == 0
 
 
+def only_rule(mask: Column, policy: str) -> Column:
+    """The one rule of the policy that a ledger row fails, null if there are
+    none or several: without it the policy would keep the document."""
+    failed = mask.bitwiseAND(F.lit(policy_mask(policy)).cast("long"))
+    out = F.lit(None).cast("string")
+    for name in POLICIES[policy]:
+        out = F.when(failed == 1 << _rules()[name][0], F.lit(name)).otherwise(out)
+    return out
+
+
 def ablations(book: DataFrame, policy: str) -> DataFrame:
     """Per rule of the policy: documents that fail it, that fail nothing else,
     and that the policy would keep without it.  The ledger is reduced to its

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from countpanel.llm import (
     bpe, decontaminate, language, licenses, negatives, oracles, pii, quality, quality_trees, resample, simhash, substrings, toxicity, urls)
-from countpanel.llm.common import table
+from countpanel.llm.common import materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,11 +70,12 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op5_quality", oracles.QUALITY)
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ledger of every document, judged by the base policy and by v1."""
-    book = quality.ledger(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    """Stored ledger of every document, judged by the base policy and by v1;
+    kept_without names the rule whose ablation alone would keep the document."""
+    book = materialize(quality.ledger(table(spark, sf_dir, "documents"), keep=["doc_id"]), "quality-ledger")
     return book.select(F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
                        "n_repeat_words", (~quality.kept(F.col("mask"), "base")).alias("base_failed"),
-                       quality.kept(F.col("mask"), "v1").alias("kept"))
+                       quality.kept(F.col("mask"), "v1").alias("kept"), "mask", quality.only_rule(F.col("mask"), "v1").alias("kept_without"))
 
 
 @register("op6_simhash")

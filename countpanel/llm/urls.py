@@ -4,13 +4,14 @@ Fixed rules (host suffix and path prefix, the longest fitting one) decide the
 urls they fit.  The others are judged by a tree of path templates per host,
 grown level by level from the distinct urls of the corpus:
 
-* a segment stays literal if it is frequent among its siblings and its
-  branch's labels differ from the typical (median) branch of the node by a
-  two-proportion test; all other segments of the node become one wildcard, so
-  variable segments are generalised and statistically similar branches merge;
+* a segment stays literal if its branch holds ``min_count`` urls and its labels
+  differ from the typical (median) branch of the node by a two-proportion test,
+  whatever its share of the node; all other segments of the node become one
+  wildcard, so variable segments are generalised and statistically similar
+  branches merge;
 * a template (host and its generalised segments) is rejected if its labelled
-  purity, the share of bad urls smoothed towards a neutral prior, reaches
-  ``reject_at`` and enough of its urls are labelled at all.
+  purity, the share of bad ones among its labelled urls smoothed towards a
+  neutral prior, reaches ``reject_at``; thin labels stay near the prior.
 
 Labels are the rules' own verdicts unless a label table is given.  Urls are
 reduced to distinct (host, path) with counts before the tree is grown, every
@@ -19,7 +20,8 @@ the branches are cut into the shared folder between levels, so a host with a
 third of all rows is spread by its branches.
 
 Defined results: null urls and urls without ``://`` have an empty host and
-path, fit no rule and are allowed; segments past ``depth`` become one tail;
+path, fit no rule and are allowed; segments past ``depth`` count as one more
+segment, judged like any other (its wildcard is ``**``);
 each input row gives one output row.
 """
 
@@ -59,12 +61,10 @@ RULES = (Rule("net/", "block"), Rule("example.net/en/", "allow"), Rule("example.
 class TreeParams:
     depth: int = 6
     min_count: int = 10  # urls that a literal branch needs
-    min_share: float = 0.02  # and its share of its node
     z: float = 3.0  # difference of label shares that keeps a branch apart
     prior: float = 0.5  # neutral purity
     strength: float = 4.0  # pseudo-urls of the prior
     reject_at: float = 0.8
-    min_labelled: float = 0.5  # share of a template's urls that must be labelled
 
 
 def host_of(url: Column) -> Column:
@@ -96,19 +96,21 @@ def templates(paths: DataFrame, params: TreeParams = TreeParams()) -> DataFrame:
     """(host, path, template) of distinct (host, path) rows with the columns
     n, n_bad, n_good."""
     pieces = F.filter(F.split("path", "/"), lambda s: s != "")
-    tail = F.when(F.size("pieces") > params.depth, F.array(F.lit("**"))).otherwise(F.array().cast("array<string>"))
+    tail = F.when(F.size("pieces") > params.depth, F.array(F.array_join(F.slice("pieces", params.depth + 1, F.size("pieces")), "/"))).otherwise(
+        F.array().cast("array<string>"))
     tree = paths.withColumn("pieces", pieces).withColumn(
         "segments", F.concat(F.slice("pieces", 1, params.depth), tail)).drop("pieces").withColumn("template", F.lit(""))
-    for level in range(params.depth):
+    for level in range(params.depth + 1):
+        wildcard = "*" if level < params.depth else "**"
         here = F.get("segments", F.lit(level))
         open_rows = tree.withColumn("segment", here)
         branch = open_rows.where("segment is not null").groupBy("host", "template", "segment").agg(
             *[F.sum(c).alias(c) for c in ("n", "n_bad", "n_good")])
-        node = branch.groupBy("host", "template").agg(F.sum("n").alias("all_n"))
         shares = {f"share_{c}": F.col(c) / F.col("n") for c in ("n_bad", "n_good")}
-        frequent = branch.join(node, ["host", "template"]).where(  # 1 / min_share branches of a node at most
-            (F.col("n") >= params.min_count) & (F.col("n") >= params.min_share * F.col("all_n"))).withColumns(shares)
-        typical = frequent.groupBy("host", "template").agg(
+        frequent = branch.where(F.col("n") >= params.min_count).withColumns(shares)
+        # branches of equal shares are counted together first: a node's median has few values to sort
+        alike = frequent.groupBy("host", "template", *shares).agg(F.sum("n").alias("n"))
+        typical = alike.groupBy("host", "template").agg(
             *[F.percentile(c, 0.5, F.col("n")).alias(f"typical_{c}") for c in shares])
         apart = F.greatest(*[_z(F.col(c), F.col("n"), F.col(f"typical_{c}")) for c in shares])
         literal = frequent.join(typical, ["host", "template"]).where(apart >= params.z).select(
@@ -116,10 +118,9 @@ def templates(paths: DataFrame, params: TreeParams = TreeParams()) -> DataFrame:
         tree = materialize(
             open_rows.join(literal, ["host", "template", "segment"], "left").withColumn(
                 "template", F.when(F.col("segment").isNull(), F.col("template")).otherwise(
-                    F.concat("template", F.lit("/"), F.when(F.col("literal"), F.col("segment")).otherwise("*"))))
+                    F.concat("template", F.lit("/"), F.when(F.col("literal"), F.col("segment")).otherwise(wildcard))))
             .select("host", "path", "n", "n_bad", "n_good", "segments", "template"), "url-tree")
-    return tree.withColumn("template", F.concat(
-        "template", F.when(F.size("segments") > params.depth, "/**").otherwise("")))
+    return tree
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, params: TreeParams = TreeParams(),
@@ -140,10 +141,9 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, params: TreeParams =
     purity = tree.groupBy("host", "template").agg(*[F.sum(c).alias(c) for c in ("n", "n_bad", "n_good")])
     labelled = F.col("n_bad") + F.col("n_good")
     purity = purity.select(
-        "host", "template", ((F.col("n_bad") + params.strength * params.prior) / (labelled + params.strength)).alias("purity"),
-        (labelled / F.col("n") >= params.min_labelled).alias("known"))
+        "host", "template", ((F.col("n_bad") + params.strength * params.prior) / (labelled + params.strength)).alias("purity"))
     judged = tree.select("host", "path", "template").join(purity, ["host", "template"])
-    rejected = F.col("known") & (F.col("purity") >= params.reject_at)
+    rejected = F.col("purity") >= params.reject_at
     return rows.join(judged, ["host", "path"], "left").select(
         "row", "host", "path", F.col("found.rule").alias("rule"),
         F.coalesce("found.verdict", F.when(rejected, "block").otherwise("allow")).alias("verdict"), "template", "purity")

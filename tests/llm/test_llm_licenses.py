@@ -20,13 +20,16 @@ def brute(text, threshold=0.8):
         starts += at
         base |= {label} if at else set()
     labels, best = set(base), 1.0 if base else 0.0
-    for line in lower.split("\n"):
-        held = set(WORD.findall(line))
-        for template, label in licenses.TEMPLATES:
-            own = set(template.split())
-            if len(held & own) >= math.ceil(threshold * len(own) - 1e-9):
+    for template, label in licenses.TEMPLATES:
+        own, run = set(template.split()), math.ceil(len(template.split()) / threshold - 1e-9)
+        need = math.ceil(threshold * len(own) - 1e-9)
+        if len(own & set(words)) < need:
+            continue
+        for k in range(len(words)):  # every run of words, whatever its lines
+            n = len(own & set(words[k:k + run]))
+            if n >= need:
                 labels.add(label)
-                best = max(best, len(held & own) / len(own))
+                best = max(best, n / len(own))
     return (len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)),
             ",".join(sorted(labels)), best)
 
@@ -62,20 +65,6 @@ BSD = ["Redistribution and use in source and binary forms, with or without",
        "modification, are permitted provided that the following conditions", "are met:"]
 
 
-def brute_runs(text, threshold=0.8):
-    """By lines, and by every run of words across line breaks."""
-    labels, best = set(filter(None, brute(text)[5].split(","))), brute(text)[6]
-    words = WORD.findall(lower_ascii(text))
-    for template, label in licenses.TEMPLATES:
-        own, run = set(template.split()), math.ceil(len(template.split()) / threshold - 1e-9)
-        for k in range(len(words)):
-            n = len(own & set(words[k:k + run]))
-            if n >= math.ceil(threshold * len(own) - 1e-9):
-                labels.add(label)
-                best = max(best, n / len(own))
-    return ",".join(sorted(labels)), best
-
-
 def test_wrapped_notices(spark):
     """Notices over several lines, at every place relative to the pieces."""
     rows = [(k, "word " * k + "\n" + "\n".join(GPL)) for k in range(60)]
@@ -85,7 +74,16 @@ def test_wrapped_notices(spark):
     got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(edge_docs(spark, rows)).collect()}
     assert all(got[k] == ("gpl-3", 1.0) and got[100 + k] == ("bsd", 1.0) for k in range(60))
     assert [got[k] for k in range(200, 206)] == [("gpl-3", 1.0), ("bsd", 1.0), ("bsd,gpl-3", 1.0), ("", 0.0), ("", 0.0), ("", 0.0)]
-    assert got == {k: brute_runs(t) for k, t in rows}
+    assert got == {k: brute(t)[5:] for k, t in rows}
+
+
+def test_scattered_words_of_a_long_line_are_no_notice(spark):
+    """A template's words far apart on one line; together again; a very long line."""
+    gpl = " ".join(GPL).split()
+    far = " ".join(" ".join([w, *["word"] * 300]) for w in gpl)
+    rows = [(1, far), (2, far + " " + " ".join(GPL)), (3, "word " * 100_000 + " ".join(BSD))]
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(edge_docs(spark, rows)).collect()}
+    assert got == {1: ("", 0.0), 2: ("gpl-3", 1.0), 3: ("bsd", 1.0)}
 
 
 def test_empty(spark):

@@ -63,6 +63,27 @@ def test_sparse_labels_reject_nothing(spark):
     assert {r.verdict for r in urls.judge(table(spark, rows), (), bad=bad).collect()} == {"allow"}
 
 
+def test_small_sections_of_a_large_host_are_judged(spark):
+    """A hundred sections of one per cent each, half of them purely bad; with
+    all urls labelled, and with two in five."""
+    rows = [(k, f"http://h.com/s{k % 100}/item/{k}") for k in range(20_000)]
+    for labelled in (10, 4):
+        bad = F.when(F.floor(F.col("page_id") / 100) % 10 < labelled, F.col("page_id") % 2 == 0)
+        got = {r["row.page_id"]: r.verdict for r in urls.judge(table(spark, rows), (), bad=bad).select(
+            F.col("row.page_id").alias("row.page_id"), "verdict").collect()}
+        assert all(got[i] == ("block" if i % 2 == 0 else "allow") for i, _ in rows)
+
+
+def test_segments_past_depth_are_judged_as_one(spark):
+    deep = "a/b/c/d/e/f"
+    rows = [(k, f"http://h.com/{deep}/{('win/big', 'news')[k % 2]}") for k in range(100)] + [(1000 + k, f"http://h.com/{deep}/x{k}/y") for k in range(100)]
+    rows += [(5000, None), (5001, "h.com/" + deep)]
+    got = {r.row.page_id: r for r in urls.judge(table(spark, rows), (), bad=F.col("url").contains("/win/")).collect()}
+    assert {got[k].verdict for k in range(0, 100, 2)} == {"block"} and {got[k].verdict for k in range(1, 100, 2)} == {"allow"}
+    assert got[0].template == "/*/*/*/*/*/*/win/big" and {got[1000 + k].template for k in range(100)} == {"/*/*/*/*/*/*/**"}
+    assert (got[5000].verdict, got[5001].verdict, got[5000].host) == ("allow", "allow", "")
+
+
 def test_empty_and_columns(spark):
     assert judged(spark, []) == []
     out = urls.judge(spark.createDataFrame([(1, "http://x.net/a", *([None] * len(CLASH)))],
