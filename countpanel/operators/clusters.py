@@ -21,10 +21,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from countpanel.session import cut_lineage
+from countpanel.session import bounded, cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -181,6 +181,30 @@ def silhouette_rows(df: DataFrame, key: str, x: str, labels: Sequence[str], tile
     return out.select(F.col("id").alias(key), *scores)
 
 
+def cluster_means(df: DataFrame, label: str, feats: Sequence[str]) -> DataFrame:
+    """(label, feature, n, mean, scaled_mean) in long form: the cluster's mean
+    and the mean of the features' z-scores over all rows (0 for a constant
+    feature).  Rows without a label count towards the scale only; a missing
+    value counts nowhere."""
+    x = {c: F.col(c).cast("double") for c in feats}
+    scale = df.agg(*[f(v).alias(f"{name}_{c}") for c, v in x.items() for name, f in (("m", F.avg), ("s", F.stddev_pop))])
+    groups = df.where(F.col(label).isNotNull()).groupBy(label).agg(*[f(v).alias(f"{name}_of_{c}") for c, v in x.items() for name, f in (
+        ("n", F.count), ("mean", F.avg))])
+    each = [F.struct(F.lit(c).alias("feature"), F.col(f"n_of_{c}").alias("n"), F.col(f"mean_of_{c}").alias("mean"), F.when(
+        F.col(f"s_{c}") > 0, (F.col(f"mean_of_{c}") - F.col(f"m_{c}")) / F.col(f"s_{c}")).otherwise(
+        F.when(F.col(f"n_of_{c}") > 0, F.lit(0.0))).alias("scaled_mean")) for c in feats]
+    return groups.crossJoin(bounded(scale)).select(label, F.inline(F.array(*each)))
+
+
+def cluster_profiles(df: DataFrame, label: str, value: str, parts: Mapping[str, Column]) -> DataFrame:
+    """(label, dimension, level, mean_value, n) for every dimension of
+    ``parts`` in one aggregate; levels that do not occur, or are null, have no
+    row."""
+    each = [F.struct(F.lit(name).alias("dimension"), c.cast("string").alias("level")) for name, c in parts.items()]
+    d = df.select(label, F.col(value).alias("_value"), F.inline(F.array(*each))).where(F.col("level").isNotNull())
+    return d.groupBy(label, "dimension", "level").agg(F.avg("_value").alias("mean_value"), F.count("_value").alias("n"))
+
+
 def scan_k(df: DataFrame, key: str, x: str, ks: Sequence[int] = range(2, 8), n_init: int = 20, seed: int = 42) -> DataFrame:
     """(k, inertia, silhouette): the best of ``n_init`` starts for every k."""
     found = kmeans_scan(df, key, x, ks, n_init, seed=seed)

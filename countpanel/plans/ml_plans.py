@@ -13,6 +13,7 @@ from countpanel.operators import aggs as A
 from countpanel.operators import anomaly as NA
 from countpanel.operators import artefact
 from countpanel.operators import boosting as B
+from countpanel.operators import clusters as C
 from countpanel.operators import features as FE
 from countpanel.operators import joins as J
 from countpanel.operators import linear as L
@@ -22,6 +23,7 @@ from countpanel.operators import windows as W
 from countpanel.plans.core import HOLIDAYS
 from countpanel.plans.registry import query
 from countpanel.session import cut_lineage, ensure_checkpoint_dir, small
+from countpanel.sources import io as S
 
 HOURS = [str(h) for h in range(24)]
 # fixed values: the site features and which of them are skewed
@@ -143,6 +145,45 @@ def c10(fx):
                                    "daytype": F.when(D.is_weekend("start_time"), "weekend").otherwise("weekday")})
 
 
+# fixed values: right-closed bins of the weather profiles
+TEMP_EDGES, TEMP_LABELS = (-10, 0, 5, 10, 15, 20, 25, 35), ("<0", "0-5", "5-10", "10-15", "15-20", "20-25", "25+")
+RAIN_EDGES, RAIN_LABELS = (-0.01, 0, 1, 3, 10, 100), ("No rain", "Light", "Moderate", "Heavy", "Very heavy")
+
+
+def profile_parts(ts: str) -> dict:
+    """Hour, day type, month, temperature bin and rain bin of a reading."""
+    label = lambda c, edges, names: F.element_at(F.array(*map(F.lit, names)), A.bin_expr(c, edges, False) + 1)
+    return {"hour": F.hour(ts), "daytype": F.when(D.is_weekend(ts), "weekend").otherwise("weekday"), "month": F.month(ts),
+            "temperature": label("temperature_2m", TEMP_EDGES, TEMP_LABELS), "rain": label("precipitation", RAIN_EDGES, RAIN_LABELS)}
+
+
+def with_weather(fx):
+    """Readings with the weather of their site and hour."""
+    w = fx.weather.withColumnRenamed("time", "_hour")
+    return fx.counts.withColumn("_hour", D.floor_hour("start_time")).join(w, ["site_id", "_hour"], "left").drop("_hour")
+
+
+@query("c9_cluster_means")
+def c9_means(fx):
+    """All 15 features' means by cluster, raw and on the clustering's scale
+    (log1p, medians for missing values, z-scores)."""
+    profiles = cut_lineage(_site_profiles(fx))
+    rows, model = M.site_clusters(profiles, "site_id", SITE_FEATS, LOG_COLS, k=2)
+    scaled = rows.withColumn("_z", vector_to_array("features")).select("cluster", *[F.col("_z")[j].alias(c) for j, c in enumerate(SITE_FEATS)])
+    raw = C.cluster_means(rows, "cluster", SITE_FEATS).drop("scaled_mean")
+    return raw.join(C.cluster_means(scaled, "cluster", SITE_FEATS).select("cluster", "feature", F.col("mean").alias("scaled_mean")),
+                    ["cluster", "feature"])
+
+
+@query("c10_cluster_profiles_by")
+def c10_by(fx):
+    """Mean counts of the clusters by hour, day type, month, temperature bin
+    and rain bin."""
+    out, _ = M.site_clusters(_site_profiles(fx), "site_id", SITE_FEATS, LOG_COLS, k=2)
+    d = with_weather(fx).join(small(out.select("site_id", "cluster")), "site_id")
+    return C.cluster_profiles(d, "cluster", "cnt", profile_parts("start_time"))
+
+
 @query("f1_ols")
 def f1(fx):
     """OLS of hourly counts on weather and calendar: coefficients, t, p, R^2."""
@@ -247,12 +288,23 @@ def f16(fx):
 
 @query("f17_score_day")
 def f17(fx):
-    """Score one day and export signed errors with report column names."""
-    d = _panel(fx).dropna(subset=XS)
+    """Score one day per site and direction, export it as CSV under the report's
+    column names with the coordinates, and read the export back.  The signed
+    error is actual less predicted."""
+    h = fx.counts.groupBy("site_id", "direction", D.floor_hour("start_time").alias("datetime_hour")).agg(F.sum("cnt").alias("count"))
+    h = h.withColumn("series", F.concat_ws("-", "site_id", "direction"))
+    d = FE.panel_features(h, "series", "datetime_hour", "count", HOLIDAYS, exact_scale=2)
+    w = fx.weather.withColumnRenamed("time", "datetime_hour")
+    d = cut_lineage(d.join(w, ["site_id", "datetime_hour"], "left").dropna(subset=XS))
     day = F.to_date("datetime_hour") == F.lit("2024-01-29").cast("date")
     _, p = M.forest(d.filter(~day), d.filter(day), "count", XS, trees=20, depth=8)
-    return p.select("site_id", F.col("datetime_hour").alias("time"), F.col("count").alias("actual"),
-                    F.col("prediction").alias("predicted"), (F.col("prediction") - F.col("count")).alias("signed_error"))
+    report = p.join(fx.sites.select("site_id", "lat", "lon"), "site_id", "left").select(
+        "site_id", "direction", F.dayofmonth("datetime_hour").alias("day"), "hour", F.col("lat").alias("latitude"), F.col("lon").alias("longitude"),
+        F.col("count").alias("actual_count"), F.col("prediction").alias("predicted_count"),
+        (F.col("count") - F.col("prediction")).alias("signed_error"))
+    path = f"{ensure_checkpoint_dir(fx.spark).rstrip('/')}/exports/day-{uuid.uuid4().hex[:12]}"
+    S.write_csv(report, path)
+    return fx.spark.read.schema(report.schema).option("header", True).csv(path)
 
 
 @query("f19_forecast_panel")

@@ -11,7 +11,7 @@ from countpanel.operators import linear as L
 from countpanel.operators import models as M
 from countpanel.operators import models_light as ML
 from countpanel.plans.analytics import t_test_sql
-from countpanel.plans.ml_plans import XS, _panel
+from countpanel.plans.ml_plans import RAIN_EDGES, RAIN_LABELS, TEMP_EDGES, TEMP_LABELS, XS, _panel, profile_parts, with_weather
 from countpanel.plans.registry import query
 
 SPLIT_FEATURES = ["hour", "dow", "dom", "is_in"]
@@ -220,3 +220,33 @@ def f11_linear(fx):
     d = fx.counts.withColumn("hour", F.hour("start_time"))
     out = L.walk_forward(d, "cnt", ["hour"], F.date_format("start_time", "yyyy-MM-dd"), FOLDS)
     return out.select("fold", "n_train", "n_test", F.round("rmse", 6).alias("rmse"), F.round("r2", 6).alias("r2"))
+
+
+MEANS = ["lat", "lon", "park_count", "school_count", "dist_nearest_station"]
+
+
+@query("c9_means_given_labels", "\nUNION ALL\n".join(f"""
+SELECT site_id % 3 AS label, '{c}' AS feature, COUNT({c}) AS n, ROUND(AVG({c}), 6) AS mean, ROUND((AVG({c}) - MAX(m)) / MAX(s), 6) AS scaled_mean
+FROM v_sites CROSS JOIN (SELECT AVG({c}) AS m, stddev_pop({c}) AS s FROM v_sites) AS t_{c} GROUP BY site_id % 3""" for c in MEANS))
+def c9_given(fx):
+    """Raw and scaled feature means of given labels."""
+    d = C.cluster_means(fx.sites.withColumn("label", F.col("site_id") % 3), "label", MEANS)
+    return d.select("label", "feature", "n", F.round("mean", 6).alias("mean"), F.round("scaled_mean", 6).alias("scaled_mean"))
+
+
+def _cut_sql(column: str, edges, labels) -> str:
+    return "CASE " + " ".join(f"WHEN {column} > {a} AND {column} <= {b} THEN '{name}'" for a, b, name in zip(edges, edges[1:], labels)) + " END"
+
+
+@query("c10_profiles_given_labels", f"""
+WITH d AS (SELECT c.site_id % 2 AS label, cnt, hour(start_time) AS h, CASE WHEN isodow(start_time) >= 6 THEN 'weekend' ELSE 'weekday' END AS dt,
+                  month(start_time) AS m, {_cut_sql("w.temperature_2m", TEMP_EDGES, TEMP_LABELS)} AS t, {_cut_sql("w.precipitation", RAIN_EDGES, RAIN_LABELS)} AS r
+           FROM v_counts c LEFT JOIN v_weather w ON w.site_id = c.site_id AND w.time = date_trunc('hour', c.start_time)),
+u AS (SELECT label, cnt, unnest(['hour', 'daytype', 'month', 'temperature', 'rain']) AS dimension,
+             unnest([CAST(h AS VARCHAR), dt, CAST(m AS VARCHAR), t, r]) AS level FROM d)
+SELECT label, dimension, level, ROUND(AVG(cnt), 6) AS mean_value, COUNT(cnt) AS n FROM u WHERE level IS NOT NULL GROUP BY label, dimension, level
+""")
+def c10_given(fx):
+    """Profiles of given labels by hour, day type, month, temperature and rain."""
+    d = C.cluster_profiles(with_weather(fx).withColumn("label", F.col("site_id") % 2), "label", "cnt", profile_parts("start_time"))
+    return d.withColumn("mean_value", F.round("mean_value", 6))

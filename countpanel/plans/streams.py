@@ -62,3 +62,21 @@ def t1_append(fx):
     s = T.stream_hourly(_counts_stream(fx), "site_id", "start_time", "cnt", "2 hours")
     out = T.run_available_now(s, "append", "t1_append")
     return out.withColumn("total_count", F.round("total_count", 6))
+
+
+@query("t2_hourly_alerts", """
+WITH h AS (SELECT site_id, date_trunc('hour', start_time) AS window_start, SUM(cnt) AS total_count, COUNT(cnt) AS n_obs FROM v_counts GROUP BY 1, 2),
+e AS (SELECT site_id, hour(window_start) AS hour, AVG(total_count) AS expected FROM h GROUP BY 1, 2)
+SELECT h.site_id, window_start, h.n_obs, ROUND(total_count, 6) AS total_count, ROUND(total_count - expected, 6) AS error,
+       CASE WHEN total_count - expected > 15 THEN 'surge' ELSE 'blockage' END AS status
+FROM h JOIN e ON h.site_id = e.site_id AND hour(window_start) = e.hour
+WHERE (total_count - expected > 15 OR total_count - expected < -8)
+  AND window_start + INTERVAL 1 HOUR <= (SELECT MAX(start_time) FROM v_counts) - INTERVAL 2 HOUR
+""")
+def t2_hourly(fx):
+    """Hourly windows as they close, against the usual total of the hour."""
+    hourly = fx.counts.groupBy("site_id", F.date_trunc("hour", "start_time").alias("w")).agg(F.sum("cnt").alias("total"))
+    expected = hourly.groupBy("site_id", F.hour("w").alias("hour")).agg(F.avg("total").alias("expected"))
+    s = T.stream_hourly_alerts(_counts_stream(fx), expected, "site_id", "start_time", "cnt", 15.0, -8.0)
+    out = T.run_available_now(s.select("site_id", "window_start", "n_obs", "total_count", "error", "status"), "append", "t2_hourly")
+    return out.withColumns({c: F.round(c, 6) for c in ("total_count", "error")})

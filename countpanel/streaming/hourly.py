@@ -52,6 +52,22 @@ def stream_alerts(df: DataFrame, expected: DataFrame, key: str, value: str, hi:
             .withColumn("status", F.when(e > F.lit(hi), "surge").otherwise("blockage")))
 
 
+def stream_hourly_alerts(df: DataFrame, expected: DataFrame, key: str, ts: str, value: str, hi: float, lo: float,
+                         delay: str = "2 hours") -> DataFrame:
+    """T1 into T2: closed hourly windows joined to the expected total of their
+    (key, hour of day), surges and blockages out.
+
+    ``expected`` has the columns ``key``, hour, expected.  In append mode a
+    window is judged once, when the watermark closes it, so a late reading can
+    neither raise nor withdraw an alert; windows without an expectation raise
+    none."""
+    h = stream_hourly(df, key, ts, value, delay).withColumn("hour", F.hour("window_start"))
+    error = F.col("total_count") - F.col("expected")
+    return (h.join(small(expected), [key, "hour"]).withColumn("error", error)
+            .filter((error > F.lit(hi)) | (error < F.lit(lo)))
+            .withColumn("status", F.when(error > F.lit(hi), "surge").otherwise("blockage")))
+
+
 # T3 ---------------------------------------------------------------------
 def stream_dedupe(df: DataFrame, keys: list[str], ts: str, delay: str = "1 hour") -> DataFrame:
     """Drop re-delivered readings: same keys within the watermark delay."""

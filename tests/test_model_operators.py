@@ -113,6 +113,27 @@ def test_scan_finds_the_blobs_whatever_the_partitioning(spark):
     assert C.scan_k(d.where("false"), "id", "x").collect() == []
 
 
+# C9 / C10 -----------------------------------------------------------------
+def test_cluster_means_and_profiles(spark):
+    rows = [(i, i % 3 if i % 10 else None, float(i % 7), None if i % 4 else float(i), 5.0, None) for i in range(60)]
+    d = spark.createDataFrame(rows, "i int, label int, a double, b double, same double, none double")
+    pdf = d.toPandas()
+    got = {(r.label, r.feature): r for r in C.cluster_means(d, "label", ["a", "b", "same", "none"]).collect()}
+    assert set(k for k, _ in got) == {0, 1, 2}
+    for (label, f), r in got.items():
+        part, whole = pdf.loc[pdf.label == label, f].dropna(), pdf[f].dropna()
+        assert r.n == len(part)
+        if f == "none":
+            assert r["mean"] is None and r.scaled_mean is None
+        else:
+            assert abs(r["mean"] - part.mean()) < 1e-9
+            assert abs(r.scaled_mean - (0 if f == "same" else (part.mean() - whole.mean()) / whole.std(ddof=0))) < 1e-9
+    prof = {(r.label, r.dimension, r.level): (r.mean_value, r.n) for r in C.cluster_profiles(
+        d.where("label is not null"), "label", "a", {"odd": F.col("i") % 2, "b": F.when(F.col("b") > 30, "high")}).collect()}
+    assert prof[0, "b", "high"][1] == ((pdf.label == 0) & (pdf.b > 30)).sum() and not [k for k in prof if k[2] is None]
+    assert all(abs(v[0] - pdf[(pdf.label == k[0]) & (pdf.i % 2 == int(k[2]))].a.mean()) < 1e-9 for k, v in prof.items() if k[1] == "odd")
+
+
 # S13 ----------------------------------------------------------------------
 def _sites(spark, n=80):
     rng = np.random.default_rng(1)
