@@ -71,7 +71,10 @@ def pair(actual: DataFrame, forecast: DataFrame, keys: Sequence[str], suffixes=(
 # J4 / J9 ----------------------------------------------------------------
 def join_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
                 order: list[Column] | None = None) -> DataFrame:
-    """Deduplicate the right side on the key, then join: row-count safe."""
+    """Deduplicate the right side on the key, then join: row-count safe.  Of
+    rows that share a key the first in ``order`` counts, by default in that of
+    all other columns, so the choice does not depend on partitioning."""
+    order = order or [F.col(f"`{c}`") for c in right.columns if c not in keys]
     return left.join(small(dedupe(right, list(keys), order)), list(keys), how)
 
 

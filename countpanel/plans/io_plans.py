@@ -194,7 +194,13 @@ def s13(fx):
     return d.select("event_id", F.round("enc_site", 6).alias("enc_site"))
 
 
-@query("s14_compare_schema")
+@query("s14_compare_schema", """
+SELECT * FROM (VALUES ('event_id', 0, NULL, 'bigint', NULL, false, false), ('site_id', 1, 0, 'bigint', 'bigint', false, true),
+  ('direction', 2, 1, 'string', 'string', false, true), ('type', 3, 2, 'string', 'string', false, true),
+  ('start_time', 4, 3, 'timestamp_ntz', 'timestamp_ntz', false, true), ('cnt', 5, 5, 'double', 'double', true, true),
+  ('end_time', NULL, 4, NULL, 'timestamp_ntz', false, false))
+  AS t("column", pos_a, pos_b, type_a, type_b, same_pos, same_type)
+""")
 def s14(fx):
     """Schema comparison of the counts table and its CSV round trip."""
     path = _scratch(fx, "schema_csv")

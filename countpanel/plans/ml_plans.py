@@ -307,7 +307,21 @@ def f17(fx):
     return fx.spark.read.schema(report.schema).option("header", True).csv(path)
 
 
-@query("f19_forecast_panel")
+@query("f19_forecast_panel", """
+WITH y AS (SELECT unique_id, ds, ROUND(y, 2) AS y FROM v_daily),
+keep AS (SELECT unique_id FROM y WHERE ds < DATE '2000-01-01' GROUP BY 1 HAVING COUNT(y) >= 365),
+z AS (SELECT unique_id, AVG(y) AS m, stddev_pop(y) AS s FROM y WHERE ds < DATE '2000-01-01' GROUP BY 1),
+w AS (SELECT site_id AS unique_id, CAST(time - INTERVAL 8766 DAY AS DATE) AS ds, MAX(temperature_2m) AS t, SUM(precipitation) AS p
+      FROM v_weather_fcst GROUP BY 1, 2),
+d AS (SELECT y.unique_id, y.ds, (y.y - m) / s AS y, t, p, CASE WHEN y.ds < DATE '2000-01-01' THEN 'train' WHEN y.ds < DATE '2000-07-01' THEN 'validation' ELSE 'test' END AS split
+      FROM y JOIN keep ON y.unique_id = keep.unique_id JOIN z ON y.unique_id = z.unique_id LEFT JOIN w ON y.unique_id = w.unique_id AND y.ds = w.ds),
+med AS (SELECT median(t) AS mt, median(p) AS mp FROM d WHERE split = 'train'),
+f AS (SELECT unique_id, ds, y, split, CASE WHEN split = 'test' THEN t ELSE COALESCE(t, mt) END AS t, CASE WHEN split = 'test' THEN p ELSE COALESCE(p, mp) END AS p
+      FROM d CROSS JOIN med),
+sc AS (SELECT AVG(t) AS t_mean, stddev_pop(t) AS t_std, AVG(p) AS p_mean, stddev_pop(p) AS p_std FROM f WHERE split = 'train')
+SELECT unique_id, ds, ROUND(y, 6) AS y, split, ROUND(COALESCE(CASE WHEN t_std > 0 THEN (t - t_mean) / t_std END, 0), 6) AS temperature_2m_max,
+       ROUND(COALESCE(CASE WHEN p_std > 0 THEN (p - p_mean) / p_std END, 0), 6) AS precipitation_sum FROM f CROSS JOIN sc
+""")
 def f19(fx):
     """Daily panel for a global forecaster: train-fitted z, weather fill and
     scale, minimum history, three-way split, 0-filled future covariates."""
@@ -315,8 +329,9 @@ def f19(fx):
     w = A.weather_daily(fx.weather_fcst.withColumn("time", F.col("time") - F.expr("INTERVAL 8766 DAYS")),
                         "site_id", "time", {"temperature_2m": "max", "precipitation": "sum"})
     w = w.withColumnRenamed("site_id", "unique_id")
-    return M.forecast_panel(daily, w, "unique_id", "ds", "y", ["temperature_2m_max", "precipitation_sum"],
-                            "2000-01-01", 365, "2000-07-01")
+    out = M.forecast_panel(daily, w, "unique_id", "ds", "y", ["temperature_2m_max", "precipitation_sum"],
+                           "2000-01-01", 365, "2000-07-01")
+    return out.select("unique_id", "ds", "split", *[F.round(c, 6).alias(c) for c in ("y", "temperature_2m_max", "precipitation_sum")])
 
 
 ISO_FEATURES = ["deviation", "change_7", "change_28", "dow", "month", "rain_spike", "sun_zero"]

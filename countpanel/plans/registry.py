@@ -35,7 +35,7 @@ DATE_OUTPUTS: dict[str, list[str]] = {
     "s12_compact_years": ["ds"], "j12_reindex_daily": ["ds"], "w1_add_lags": ["ds"], "w4_rolling_mean": ["ds"],
     "w5_rolling_std": ["ds"], "w6_rolling_median": ["ds"], "w9_tail_per_group": ["ds"], "w11_zscore": ["ds"],
     "w14_interpolate": ["ds"], "w15_seasonal_fill": ["ds"], "w16_iso_features": ["ds"],
-    "n1_continuous_daily": ["ds"], "n2_rolling_outliers": ["ds"],
+    "f19_forecast_panel": ["ds"], "n1_continuous_daily": ["ds"], "n2_rolling_outliers": ["ds"],
 }
 
 
