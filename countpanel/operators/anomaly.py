@@ -9,7 +9,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from countpanel.operators import windows as W
@@ -20,36 +20,61 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # task functions tr
 
 
 # N1 ---------------------------------------------------------------------
+# A daily calendar bounds a series (36,525 rows a century), whatever the number
+# of raw readings, so here a series is one window partition: all steps of N1 and
+# N2 share one shuffle on the key.  Series of unbounded length go through the
+# chunked windows of ``operators.windows`` instead.
+def _refill(d: DataFrame, key: str, ds: str, col: str, limit: int, k: int) -> DataFrame:
+    """Linear interpolation of up to ``limit`` rows after a known value, then
+    the value k rows before, else k rows after (W14, W15) on a calendar with
+    positions ``_pos``."""
+    p, w = F.col("_pos"), Window.partitionBy(key).orderBy(ds)
+    known = F.when(F.col(col).isNotNull(), F.struct(p.alias("p"), F.col(col).alias("y")))
+    # the next known value as a running frame over the reversed order
+    after = Window.partitionBy(key).orderBy(F.col(ds).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumns({"_prev": F.last(known, ignorenulls=True).over(w.rowsBetween(-limit, 0)), "_next": F.last(known, ignorenulls=True).over(after)})
+    line = F.col("_prev.y") + (F.col("_next.y") - F.col("_prev.y")) * (p - F.col("_prev.p")) / (F.col("_next.p") - F.col("_prev.p"))
+    filled = F.when(F.col(col).isNotNull() | F.col("_prev").isNull(), F.col(col)).when(F.col("_next").isNull(), F.col("_prev.y")).otherwise(line)
+    d = d.withColumn(col, filled).drop("_prev", "_next")
+    return d.withColumn(col, F.coalesce(F.col(col), F.lag(col, k).over(w), F.lead(col, k).over(w)))
+
+
 def continuous_daily(df: DataFrame, key: str = "unique_id", ds: str = "ds", col: str = "y",
-                     limit: int = 3, k: int = 7, keep_pos: bool = False, **kw) -> DataFrame:
+                     limit: int = 3, k: int = 7, keep_pos: bool = False) -> DataFrame:
     """Gap-free daily series: calendar reindex, linear interpolation of up
-    to ``limit`` days, then the value k days before / after.  Positions come
-    from the calendar itself (no counting pass); ``keep_pos`` keeps them
-    for further positional steps."""
-    full = W.reindex_daily(df, key, ds, [col], with_pos=True)
-    filled = W.interpolate(full, key, ds, col, limit=limit, positioned=True, **kw)
-    out = W.seasonal_fill(filled, key, ds, col, k=k, positioned=True, **kw)
+    to ``limit`` days, then the value k days before / after.
+
+    ``df`` has one row per key and day (as an aggregate gives it).  The calendar
+    comes from each row's next day, without a join; rows without a day drop
+    out.  ``keep_pos`` keeps the days since the key's first for further steps."""
+    w = Window.partitionBy(key).orderBy(ds)
+    until = F.greatest(F.col(ds), F.coalesce(F.date_sub(F.lead(ds, 1).over(w), 1), F.col(ds)))
+    d = df.select(key, F.col(ds).cast("date").alias(ds), col).where(F.col(ds).isNotNull()).withColumns(
+        {"_until": until, "_first": F.min(ds).over(Window.partitionBy(key))})
+    d = d.select(key, F.explode(F.sequence(ds, "_until", F.expr("INTERVAL 1 DAY"))).alias("_day"), F.col(ds).alias("_own"), col, "_first")
+    d = d.select(key, F.col("_day").alias(ds), F.when(F.col("_day") == F.col("_own"), F.col(col)).alias(col),
+                 F.datediff("_day", "_first").cast("long").alias("_pos"))
+    out = _refill(d, key, ds, col, limit, k)
     return out if keep_pos else out.drop("_pos")
 
 
 # N2 ---------------------------------------------------------------------
-def rolling_outliers(df: DataFrame, key: str = "unique_id", ds: str = "ds", col: str = "y",
-                     factor: float = 4.0, window: int = 30, min_periods: int = 7, positioned: bool = False,
-                     **kw) -> DataFrame:
+def rolling_outliers(df: DataFrame, key: str = "unique_id", ds: str = "ds", col: str = "y", factor: float = 4.0, window: int = 30,
+                     min_periods: int = 7, positioned: bool = False, limit: int = 3, k: int = 7) -> DataFrame:
     """Flag values above ``factor`` x the centred rolling median, blank them
     and refill (interpolation + seasonal fill); ``y_observed`` keeps the
-    value before cleaning.  ``positioned``: the input carries ``_pos``."""
-    if not positioned:
-        df = W.with_positions(df, [key], ds)
-    kw["positioned"] = True
-    d = W.rolling_median(df, [key], ds, col, window, min_periods, out="_med", **kw)
+    value before cleaning.  ``df`` is a gap-free daily series; ``positioned``:
+    it carries ``_pos``.  Shares the shuffle of :func:`continuous_daily`."""
+    w = Window.partitionBy(key).orderBy(ds)
+    d = df if positioned else df.withColumn("_pos", F.datediff(ds, F.min(ds).over(Window.partitionBy(key))).cast("long"))
+    frame = w.rowsBetween(-(window // 2), window - 1 - window // 2)
+    d = d.withColumn("_med", F.when(F.count(col).over(frame) >= min_periods, F.percentile(F.col(col), F.lit(0.5)).over(frame)))
     flag = (F.col(col) > F.lit(factor) * F.col("_med")) & F.col("_med").isNotNull()
     d = (d.withColumn("rolling_outlier", F.coalesce(flag, F.lit(False)).cast("int"))
          .withColumn("y_observed", F.col(col))
          .withColumn(col, F.when(F.col("rolling_outlier") == 1, F.lit(None)).otherwise(F.col(col)))
          .drop("_med"))
-    d = W.interpolate(d, key, ds, col, **kw)
-    return W.seasonal_fill(d, key, ds, col, **kw).drop("_pos")
+    return _refill(d, key, ds, col, limit, k).drop("_pos")
 
 
 # N3 ---------------------------------------------------------------------

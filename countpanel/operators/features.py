@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from countpanel.functions import dates as D
@@ -13,18 +13,20 @@ from countpanel.operators import windows as W
 
 def panel_features(df: DataFrame, key: str, ts: str, col: str, holidays,
                    codes: DataFrame | None = None, lags=(1, 24, 168),
-                   rolling=((24, 3), (168, 24)), exact_scale: int | None = None, **kw) -> DataFrame:
+                   rolling=((24, 3), (168, 24)), exact_scale: int | None = None, hourly: bool = True, **kw) -> DataFrame:
     """Calendar parts, cyclic encodings, holiday flags, entity code, lags and
     trailing means (previous rows only) - every window column shares one
-    (key, chunk) partitioning and one sort.
+    partitioning and one sort.
 
     ``exact_scale``: the value is fixed-point with that many decimals (counts
     with 2 decimals); trailing sums are then exact DECIMAL sums, so means do
     not drift with summation order and are reproducible bit for bit.
 
-    A panel has one row per key and hour, so a week of a key is never hot and
-    the positions need no finer count (pass ``fine_seconds`` otherwise)."""
-    kw.setdefault("fine_seconds", None)
+    ``hourly``: ``df`` has one row per key and hour, as an hourly aggregate
+    gives it.  The calendar then bounds a series (876,600 rows a century) and a
+    series is one window partition.  Otherwise (several rows an hour, so a hot
+    key may hold any number) windows run in (key, chunk) pieces, with ``kw`` for
+    :func:`windows.framed`."""
     t = F.col(ts)
     d = df.withColumns({
         "hour": F.hour(t), "day_of_week": D.weekday0(t), "month": F.month(t), "year": F.year(t),
@@ -50,6 +52,8 @@ def panel_features(df: DataFrame, key: str, ts: str, col: str, holidays,
             out[f"rolling_{n}_mean"] = F.when(F.count(col).over(fw) >= m, mean)
         return out
 
+    if hourly:
+        return d.withColumns(exprs(Window.partitionBy(key).orderBy(ts)))
     return W.framed(d, [key], ts, exprs, -span, 0, **kw)
 
 

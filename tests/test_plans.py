@@ -57,3 +57,13 @@ def test_aggregations_are_partial(spark):
     # a hot site is pre-combined in every task before the shuffle
     p = _plan(runner(REG["a1_rollup_hourly"])(spark, "/root/testdata/sf0.001"))
     assert "partial_sum" in p and "partial_count" in p
+
+
+def test_gap_filling_and_outliers_share_one_shuffle(fx):
+    """N1 and N2 on a daily aggregate: one exchange for the aggregate, one on
+    the key for the calendar and all windows, none but small broadcasts beside."""
+    from countpanel.operators import anomaly as NA
+    d = NA.rolling_outliers(NA.continuous_daily(fx.daily, keep_pos=True), positioned=True)
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") + plan.count("Exchange SinglePartition") <= 3, plan
+    assert plan.count("BroadcastExchange") <= 1

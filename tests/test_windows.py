@@ -119,3 +119,45 @@ def test_two_level_positions_on_timestamps(spark):
     refl = d.withColumns({"lag_1": F.lag("id", 1).over(Window.partitionBy("k").orderBy("ts", "id")),
                           "lag_5": F.lag("id", 5).over(Window.partitionBy("k").orderBy("ts", "id"))})
     assert sorted(lagged.select("id", "lag_1", "lag_5").collect()) == sorted(refl.select("id", "lag_1", "lag_5").collect())
+
+
+def test_daily_gap_filling_equals_the_chunked_steps(spark):
+    """N1 and N2 against reindex, interpolate, median and seasonal fill in
+    chunks, with long gaps, a null key, a series of one day, null values."""
+    import datetime as dt
+    import random
+
+    from countpanel.operators import anomaly as NA
+
+    rnd = random.Random(9)
+    base = dt.date(2024, 1, 1)
+    rows = [(k, base + dt.timedelta(days=i), None if rnd.random() < 0.1 else round(rnd.lognormvariate(2, 1.2), 2))
+            for k in ("a", "b", None) for i in range(260) if rnd.random() < 0.6 and not 100 < i < 130]
+    rows += [("one", base, 3.0), ("void", base, None), ("void", base + dt.timedelta(days=9), None), ("undated", None, 1.0)]
+    d = spark.createDataFrame(rows, "unique_id string, ds date, y double")
+    got = NA.rolling_outliers(NA.continuous_daily(d, keep_pos=True), positioned=True)
+    kw = dict(chunk_rows=16, positioned=True)
+    full = W.reindex_daily(d.where("unique_id is not null and ds is not null"), "unique_id", "ds", ["y"], with_pos=True)
+    n1 = W.seasonal_fill(W.interpolate(full, "unique_id", "ds", "y", limit=3, **kw), "unique_id", "ds", "y", 7, **kw)
+    med = W.rolling_median(n1, ["unique_id"], "ds", "y", 30, 7, out="m", **kw)
+    hit = F.coalesce(F.col("y") > 4 * F.col("m"), F.lit(False))
+    blank = med.select("unique_id", "ds", "_pos", F.when(~hit, F.col("y")).alias("y"), F.col("y").alias("seen"), hit.cast("int").alias("hit"))
+    want = W.seasonal_fill(W.interpolate(blank, "unique_id", "ds", "y", limit=3, **kw), "unique_id", "ds", "y", 7, **kw)
+    key = lambda rs: sorted((tuple(r) for r in rs), key=repr)
+    rows_got = key(got.select("unique_id", "ds", "y", "y_observed", "rolling_outlier").collect())
+    assert [r for r in rows_got if r[0] is not None] == key(want.select("unique_id", "ds", "y", "seen", "hit").collect())
+    assert sum(r[4] for r in rows_got) > 3 and sum(r[0] is None for r in rows_got) > 200 and "undated" not in {r[0] for r in rows_got}
+
+
+def test_panel_features_of_an_hourly_panel_equal_the_chunked_ones(spark):
+    import datetime as dt
+
+    from countpanel.operators.features import panel_features
+
+    base = dt.datetime(2024, 1, 1)
+    rows = [(k, base + dt.timedelta(hours=i), float((i * 37 + k * 11) % 101) / 4) for k in (1, 2) for i in range(400) if i % 9]
+    d = spark.createDataFrame(rows, "site_id int, t timestamp_ntz, y double")
+    runs = [panel_features(d, "site_id", "t", "y", [], exact_scale=2, **kw) for kw in ({}, {"hourly": False, "chunk_rows": 50})]
+    cols = sorted(runs[0].columns)
+    key = lambda df: sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)
+    assert key(runs[0]) == key(runs[1]) and len(cols) > 15
