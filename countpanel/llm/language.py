@@ -4,16 +4,16 @@ Every language has a smoothed distribution over hashed character trigrams.  A
 document is a mixture of languages: expectation-maximisation over its trigram
 counts estimates the proportions, and the set of languages is the one with the
 best penalised likelihood (BIC: half the log of the number of trigrams per
-language).  Sets are searched backwards from all languages, dropping the
-smallest proportion; as a mixture of all languages bounds every subset's
+language).  Sets are searched backwards from all languages.  A step drops the
+smallest proportion, and with it all next larger ones as long as they hold no
+more than ``NEGLIGIBLE`` of the text together; the rule is the same for any
+number of languages.  As a mixture of all languages bounds every subset's
 likelihood, most texts settle at one language after the first run.
 
 The trigram counts come from a sample of about ``per_language`` documents of
 each language (by hashed doc_id); every language is learned.  The model holds
 only the trigrams seen of each language, as the others have their pooled share
-times the language's rest.  While more than ``ONE_BY_ONE`` languages are left,
-the search drops the smaller half of the proportions at once.  Prediction is
-one map pass over whole texts.
+times the language's rest.  Prediction is one map pass over whole texts.
 
 Defined results: ``und`` and score 0 for null texts, texts without a letter,
 and when nothing could be learned; documents without a lang are predicted but
@@ -40,7 +40,7 @@ NOT_LETTERS = re.compile(r"[\W\d_]+")
 LETTER = re.compile(r"[^\W\d_]")
 ITERATIONS = 12
 PIECE = 1 << 20  # characters counted at a time
-ONE_BY_ONE = 32  # languages from which on the search drops one at a time
+NEGLIGIBLE = 0.02  # share of a text that languages dropped in one step may hold together
 
 
 def trigram_counts(text: str) -> np.ndarray | None:
@@ -126,8 +126,9 @@ def infer(p: Shares, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         best = (float(alone[top]) - price, langs[[top]], np.ones(1))
     # a set of two or more is bounded by the full mixture's fit
     while len(langs) > 2 and bound - 2 * price > best[0]:
-        left = max(len(langs) // 2, ONE_BY_ONE) if len(langs) > ONE_BY_ONE else len(langs) - 1
-        keep = np.sort(np.argsort(-w, kind="stable")[:left])
+        ascending = np.argsort(w, kind="stable")
+        gone = max(1, int((np.cumsum(w[ascending]) <= NEGLIGIBLE).sum()))
+        keep = np.sort(ascending[min(gone, len(langs) - 2):])
         langs = langs[keep]
         w, fit = proportions(p[langs], c)
         if fit - price * len(langs) > best[0]:

@@ -109,3 +109,49 @@ def test_held_out_rows_are_not_learned_from(spark):
     b = language.fit(docs.withColumn("text", F.when(F.col("doc_id") % 3 == 1, "zzz").otherwise(F.col("text"))),
                      lambda i: i % 3 != 1)
     assert a[0] == b[0] and (a[1] == b[1]).all()
+
+
+def test_set_search_equals_all_subsets():
+    """The penalised likelihood of every subset of six languages, for texts of
+    one to four of them, long and short."""
+    from itertools import combinations
+    rng = np.random.default_rng(11)
+    dense = np.zeros((6, language.BUCKETS))
+    for row in dense:  # distributions that overlap by halves
+        row[rng.choice(400, 150, replace=False)] = rng.gamma(0.6, size=150)
+    own = [np.flatnonzero(row) for row in dense]
+    model = language.shares([(at.astype(np.int32), np.maximum(1, np.rint(20_000 * dense[k, at] / dense[k].sum())).astype(np.int64)) for k, at in enumerate(own)])
+    full = model.of(np.arange(language.BUCKETS)).astype(float)
+    for trial in range(40):
+        k = rng.integers(1, 5)
+        members, parts = rng.choice(6, k, replace=False), rng.dirichlet(np.full(k, 4.0))
+        q = parts @ full[members]
+        counts = rng.multinomial(int(rng.choice([60, 400, 5000])), q / q.sum())
+        seen = np.flatnonzero(counts)
+        price = 0.5 * np.log(counts.sum() + 1)
+        fits = {s: language.proportions(full[list(s)][:, seen], counts[seen].astype(float))[1] - price * n
+                for n in range(1, 7) for s in combinations(range(6), n)}
+        langs, w = language.infer(model, counts)
+        best = max(fits, key=fits.get)
+        # the backward search may stop at a set that is as good but for a fraction of one language's price
+        assert fits[tuple(langs.tolist())] >= fits[best] - 0.5 * price, (members, langs, best)
+        assert abs(w.sum() - 1) < 1e-5
+        if counts.sum() == 5000 and parts.min() > 0.1:
+            assert set(langs.tolist()) == set(members.tolist()) == set(best)
+
+
+def test_one_rule_for_any_number_of_languages():
+    """Two hundred languages nobody uses do not change the set of a text."""
+    rng = np.random.default_rng(5)
+    counts = []
+    for _ in range(203):
+        at = rng.choice(language.BUCKETS, 200, replace=False)
+        counts.append((np.sort(at).astype(np.int32), rng.integers(1, 400, 200)))
+    few, many = language.shares(counts[:3]), language.shares(counts)
+    text = np.zeros(language.BUCKETS, np.int64)
+    for k, n in ((0, 3000), (2, 1000)):
+        at, c = counts[k]
+        text[at] += rng.multinomial(n, c / c.sum())
+    for model in (few, many):
+        langs, w = language.infer(model, text)
+        assert langs.tolist() == [0, 2] and abs(w[0] - 0.75) < 0.03
