@@ -158,22 +158,27 @@ def _kind_spans(kind: str, found: Column, pieces: Column) -> Column:
 def spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """(row: the input row, spans: array of start, kind_rank, end, score, match
     in order of start and kind) per input row."""
-    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    content = F.coalesce(F.col("row").getField(text), F.lit(""))
-    out = out.withColumns({f"found_{k}": F.regexp_extract_all(content, F.lit(PATTERNS[k]), F.lit(0)) for k in KINDS})
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return _with_spans(rows, ["row"], F.col("row").getField(text))
+
+
+def _with_spans(rows: DataFrame, keep: list[str], text: Column) -> DataFrame:
+    """The columns ``keep`` and the spans of ``text``."""
+    content = F.coalesce(text, F.lit(""))
+    out = rows.withColumns({f"found_{k}": F.regexp_extract_all(content, F.lit(PATTERNS[k]), F.lit(0)) for k in KINDS})
     nothing = F.array().cast("array<struct<start:int,kind_rank:int,end:int,score:double,match:string>>")
     some = {k: F.size(f"found_{k}") > 0 for k in KINDS}
     out = out.withColumns({f"pieces_{k}": F.when(some[k], F.split(content, PATTERNS[k], -1)) for k in KINDS})
     out = out.withColumns({f"spans_{k}": F.when(some[k], _kind_spans(k, F.col(f"found_{k}"), F.col(f"pieces_{k}")))
                            .otherwise(nothing) for k in KINDS})
-    return _apart(out.select("row", *[f"spans_{k}" for k in KINDS]), spans=F.array_sort(F.concat(*[F.col(f"spans_{k}") for k in KINDS]))).select(
-        "row", "spans")
+    return _apart(out, keep, spans=F.array_sort(F.concat(*[F.col(f"spans_{k}") for k in KINDS])))
 
 
-def _apart(df: DataFrame, **columns: Column) -> DataFrame:
-    """``df`` with the columns, behind a generator of one row: what is built on
-    them (a filter, say) names them and does not repeat their expressions."""
-    return df.select("row", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+def _apart(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
+    """The columns ``keep`` and new ones, these behind a generator of one row:
+    what is built on them (a filter, say) names them and does not repeat their
+    expressions."""
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
 
 
 def of_kind(found: Column, *kinds: str) -> Column:
@@ -207,14 +212,17 @@ def mask(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every confirmed span replaced by its kind in angle
     brackets, in one pass over the spans; overlapping spans are hidden together
     under the kind that is listed first."""
-    content = F.col("row").getField(text)
-    rows = _apart(spans(docs, text).select("row", "spans"), regions=_regions(F.col("spans")))
-    names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
+    # plain columns under names of their own: fields of a struct do not pass two generators
+    names = {c: f"column_{j}" for j, c in enumerate(docs.columns)}
+    keep, content = list(names.values()), F.col(names[text])
+    rows = _with_spans(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), keep, content)
+    rows = _apart(rows, keep, regions=_regions(F.col("spans")))
+    masks = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
 
     def piece(r: Column, i: Column) -> Column:
         before = F.when(i == 0, F.lit(0)).otherwise(F.get("regions", i - 1)["end"])
-        return F.concat(F.substr(content, before + 1, r["start"] - before), F.element_at(names, r["rank"] + 1))
+        return F.concat(F.substr(content, before + 1, r["start"] - before), F.element_at(masks, r["rank"] + 1))
 
     hidden = F.concat(F.array_join(F.transform("regions", piece), ""), F.substr(content, F.element_at("regions", -1)["end"] + 1))
-    rows = _apart(rows, masked=F.when(F.size("regions") > 0, hidden).otherwise(content))
-    return rows.select(*[F.col("masked").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])
+    rows = _apart(rows, keep, masked=F.when(F.size("regions") > 0, hidden).otherwise(content))
+    return rows.select(*[F.col("masked" if c == text else n).alias(c) for c, n in names.items()])

@@ -117,6 +117,16 @@ def test_masked_text_can_be_filtered_and_aggregated(spark):
     assert [r.row.doc_id for r in spans.collect()] == [1]
 
 
+def test_masked_documents_can_be_written_with_any_columns(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "write a.b@c.org", "en", "s", 15), (2, None, None, "s", 0)], "doc_id long, text string, lang string, source string, n int")
+    for k, out in enumerate((pii.mask(docs), pii.mask(docs).withColumn("n", F.length("text")), pii.mask(docs).select("lang", "text"),
+                             pii.mask(docs).select("doc_id"), pii.mask(pii.mask(docs)).drop("lang"))):
+        out.write.parquet(str(tmp_path / str(k)))
+        back = spark.read.parquet(str(tmp_path / str(k)))
+        assert back.columns == out.columns and back.count() == 2
+        assert "text" not in back.columns or {r.text for r in back.collect()} == {"write <EMAIL>", None}
+
+
 def test_overlapping_spans_are_hidden_together(spark):
     texts = [(1, "+1 10.20.30.40 5 x"), (2, "a 4111 1111 1111 1111 b 4111 1111 1111 1111"), (3, "u@10.0.0.1 and")]
     got = {r.doc_id: r.text for r in pii.mask(edge_docs(spark, texts)).collect()}
