@@ -382,7 +382,8 @@ def global_row_number(df: DataFrame, order: list[Column], out: str = "rank",
     """
     from countpanel.session import cut_lineage
 
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    n = partitions or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     d = df.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id())
     d = d.withColumn("_local", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
     d = cut_lineage(d)

@@ -17,6 +17,7 @@ from countpanel.operators import quality as Q
 from countpanel.operators import resilience as R
 from countpanel.plans.analytics import CW_SQL, _counts_weather
 from countpanel.plans.registry import query
+from countpanel.session import small
 
 r6, r9 = N.r6, N.r9
 VARS = ["temperature_2m", "precipitation", "wind_speed_10m"]
@@ -563,8 +564,8 @@ cp AS (SELECT city.*, v_pop.population, CAST(total_value_eur AS DOUBLE) / popula
 
 
 def _city(fx):
-    imp = _impact(fx).join(F.broadcast(fx.table("nation").select(F.col("n_nationkey").alias("nation"),
-                                                                 F.col("n_name").alias("municipality"))), "nation")
+    imp = _impact(fx).join(small(fx.table("nation").select(F.col("n_nationkey").alias("nation"),
+                                                           F.col("n_name").alias("municipality"))), "nation")
     return R.impact_city(imp, "municipality", fx.pop, D.is_weekend("datetime_hour"), D.is_rush_hour(F.hour("datetime_hour")))
 
 
@@ -648,7 +649,7 @@ def i9(fx):
 def i10(fx):
     """Population per municipality summed from fine-grained census rows."""
     c = fx.table("customer").select("c_nationkey", F.lit(1000).cast("bigint").alias("persons"))
-    n = F.broadcast(fx.table("nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("municipality")))
+    n = small(fx.table("nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("municipality")))
     return R.population(c.join(n, "c_nationkey"), "municipality", "persons")
 
 

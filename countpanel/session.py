@@ -103,8 +103,3 @@ def bounded(df: DataFrame) -> DataFrame:
     from pyspark.sql import functions as F
 
     return F.broadcast(df)
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    return int(os.environ.get("COUNTPANEL_PARALLELISM",
-                              spark.sparkContext.defaultParallelism))

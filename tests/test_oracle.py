@@ -45,6 +45,7 @@ def test_matches_duckdb(spark, duck, name):
 
 @pytest.mark.parametrize("name", [n for n, q in REG.items() if not q.sql])
 def test_rows_only_queries_run(spark, name):
-    df = runner(REG[name])(spark, "/root/testdata/sf0.001")
-    assert df.count() >= 0
-    assert len(df.columns) > 0
+    """Rows come out, and no column is empty; what they hold is tested beside
+    plain versions of each model."""
+    got = runner(REG[name])(spark, "/root/testdata/sf0.001").toPandas()
+    assert len(got) and got.notna().any().all()

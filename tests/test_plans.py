@@ -37,10 +37,10 @@ def test_panel_features_share_one_window_sort(spark):
 
     df = f4(Fixtures(spark, "/root/testdata/sf0.001"))
     p = df._jdf.queryExecution().executedPlan().toString()
-    # one window over (site, chunk) computes all lag / rolling columns
-    chunk_windows = [ln for ln in p.split("\n") if "Window [" in ln and "_chunk" in ln]
-    assert len(chunk_windows) == 1
-    assert "lag_1" in chunk_windows[0]
+    # one window over the site's hours computes all lag / rolling columns
+    windows = [ln for ln in p.split("\n") if "Window [" in ln and "datetime_hour" in ln]
+    assert len(windows) == 1
+    assert all(name in windows[0] for name in ("lag_1", "lag_168", "count"))
 
 
 def test_per_key_topk_is_limited_before_shuffle(spark):
