@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from countpanel.functions import dates as D
@@ -52,9 +52,7 @@ def panel_features(df: DataFrame, key: str, ts: str, col: str, holidays,
             out[f"rolling_{n}_mean"] = F.when(F.count(col).over(fw) >= m, mean)
         return out
 
-    if hourly:
-        return d.withColumns(exprs(Window.partitionBy(key).orderBy(ts)))
-    return W.framed(d, [key], ts, exprs, -span, 0, **kw)
+    return W.framed(d, [key], ts, exprs, -span, 0, bounded_series=hourly, **kw)
 
 
 def seasonal_naive(df: DataFrame, key: str, ds: str, col: str, k: int = 7, **kw) -> DataFrame:

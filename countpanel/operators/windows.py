@@ -99,16 +99,21 @@ def with_positions(df: DataFrame, keys: list[str], order: str, tiebreak: list[st
 def framed(df: DataFrame, keys: list[str], order: str, exprs, lo: int, hi: int,
            tiebreak: list[str] | None = None, chunk_rows: int = DEFAULT_CHUNK_ROWS,
            bucket_days: int = DEFAULT_BUCKET_DAYS, positioned: bool = False,
-           fine_seconds: int | None = 60) -> DataFrame:
+           fine_seconds: int | None = 60, bounded_series: bool = False) -> DataFrame:
     """Evaluate window expressions whose frames stay within rows [lo, hi].
 
     ``exprs`` is a function ``(window_spec) -> dict[name, Column]`` so that
     every column uses the same (key, chunk) partitioning and one sort.
     ``positioned=True`` means ``df`` already has a ``_pos`` column;
     ``fine_seconds=None`` says that no (key, week) can be hot, as in a panel
-    with one row per key and hour.
+    with one row per key and hour.  ``bounded_series`` says that a calendar
+    bounds every series (a daily or hourly aggregate): each is then one window
+    partition, behind a single shuffle.
     """
     assert lo <= 0 <= hi
+    if bounded_series:
+        by = [F.col(c).asc_nulls_last() for c in (["_pos"] if positioned else [order, *(tiebreak or [])])]
+        return df.withColumns(exprs(Window.partitionBy(*keys).orderBy(*by)))
     d = df if positioned else with_positions(df, keys, order, tiebreak, bucket_days, fine_seconds=fine_seconds)
     p = F.col("_pos")
     home = F.floor(p / F.lit(chunk_rows))

@@ -135,7 +135,7 @@ FROM v_daily
 """)
 def w6(fx):
     """Centred 30-row rolling median, at least 7 values."""
-    d = W.rolling_median(fx.daily, ["unique_id"], "ds", "y", 30, 7)
+    d = W.rolling_median(fx.daily, ["unique_id"], "ds", "y", 30, 7, bounded_series=True)
     return d.select("unique_id", "ds", r4("rolling_med").alias("rolling_med"))
 
 

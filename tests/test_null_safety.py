@@ -35,10 +35,10 @@ def test_positions_keep_null_keys_and_orders(spark, hot_rows):
     assert _key(got.collect()) == _key(ref.collect())
 
 
-@pytest.mark.parametrize("chunk", [4, 1_000_000])
-def test_lags_and_rolling_equal_whole_key_windows(spark, chunk):
+@pytest.mark.parametrize("how", [{"chunk_rows": 4}, {"chunk_rows": 1_000_000}, {"bounded_series": True}])
+def test_lags_and_rolling_equal_whole_key_windows(spark, how):
     d = _rows(spark)
-    got = W.add_lags(d, ["k"], "ts", "y", [1, 2], tiebreak=["id"], chunk_rows=chunk).select("k", "id", "lag_1", "lag_2")
+    got = W.add_lags(d, ["k"], "ts", "y", [1, 2], tiebreak=["id"], **how).select("k", "id", "lag_1", "lag_2")
     w = Window.partitionBy("k").orderBy(F.col("ts").asc_nulls_last(), "id")
     ref = d.select("k", "id", F.lag("y", 1).over(w), F.lag("y", 2).over(w))
     assert _key(got.collect()) == _key(ref.collect())
