@@ -45,8 +45,8 @@ from countpanel.llm.common import materialize, ship, str_texts
 #: Word offsets that each mask samples (five words); the rest is ignored.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 5, 6), (0, 1, 2, 5, 6), (0, 2, 3, 6, 8))
 MAX_MASK = 13  # items of up to so many words are to be found whole
-TOKENS_AT_ONCE = 1 << 18
-CACHE = 1 << 18  # words whose code a task remembers
+TOKENS_AT_ONCE = 1 << 17
+CACHE = 1 << 16  # words whose code a task remembers
 FILTER_BITS = 25  # of the bitmap of the items' hashes (4 MB)
 SALTS = 8  # a hash's texts are dealt to so many groups
 PART = 512  # items that a text is verified against at once
