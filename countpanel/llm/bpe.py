@@ -30,6 +30,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +41,7 @@ from countpanel.llm.common import blocks, ship, str_texts
 #: A vocabulary is broadcast to every executor; larger files are refused.
 MAX_VOCAB_BYTES = 64 << 20
 #: Texts replayed together; bounds a task's memory (a longer text is a block alone).
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 NONE = np.iinfo(np.int32).max  # rank of a pair that does not merge
 
 
@@ -57,7 +58,8 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class Merges:
-    """Lookup tables of one vocabulary, built once per Python worker."""
+    """Lookup tables of one vocabulary.  They are built once, on the driver;
+    ``vars`` of them is broadcast."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
@@ -73,6 +75,12 @@ class Merges:
         self.keys = np.append(np.array(keys, dtype=np.int64)[order], np.iinfo(np.int64).max)
         self.merged = np.append(np.array(merged, dtype=np.int64)[order], NONE).astype(np.int32)
 
+    @classmethod
+    def of(cls, tables: dict) -> Merges:
+        merges = cls.__new__(cls)
+        vars(merges).update(tables)
+        return merges
+
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the token that each pair merges into, else NONE."""
         key = left.astype(np.int64) << 32 | right
@@ -229,12 +237,27 @@ def encode_texts(column: pa.Array, merges: Merges, pattern: regex.Pattern) -> pa
                                     pa.array(chunk_ids[_gather(ends[:-1][where], sizes)]))
 
 
-def decode_ids(column: pa.Array, tokens: dict[int, bytes]) -> pa.Array:
-    """The bytes that every list of ids stands for."""
-    decoded: list[bytes] = []
-    for lo in range(0, len(column), 256):
-        decoded += [b"".join(map(tokens.__getitem__, x or ())) for x in column.slice(lo, 256).to_pylist()]
-    return pa.array(decoded, pa.binary())
+def token_table(ranks: dict[bytes, int]) -> pa.Array:
+    """The bytes of every token at the place of its rank, null where no token
+    has the rank."""
+    tokens: list[bytes | None] = [None] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return pa.array(tokens, pa.binary())
+
+
+def decode_ids(column: pa.Array, tokens: pa.Array) -> pa.Array:
+    """The bytes that every list of ids stands for (null: none).  The tokens
+    taken for all lists lie in one buffer already; only the cuts between lists
+    are put in their place."""
+    taken = tokens.take(column.flatten())
+    if taken.null_count:
+        raise ValueError("an id has no token in the vocabulary")
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    cuts = np.append(0, np.cumsum(sizes, dtype=np.int64))
+    _, offsets, data = taken.buffers()
+    ends = np.frombuffer(offsets, np.int32, len(taken) + 1, 4 * taken.offset) if len(taken) else np.zeros(1, np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(column), [None, pa.py_buffer(ends[cuts].astype(np.int32)), data])
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", out: str = "ids",
@@ -243,11 +266,11 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     With ``decoded``, the ids are decoded again by the same task into a binary
     column of that name."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(Merges(ranks)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges, compiled = Merges(shared.value), regex.compile(pattern)
-        tokens = {rank: token for token, rank in merges.ranks.items()} if decoded else {}
+        merges, compiled = Merges.of(shared.value), regex.compile(pattern)
+        tokens = token_table(merges.ranks) if decoded else None
         for batch in batches:
             for lo, size in blocks(batch.column(0).field(text), BLOCK_BYTES):
                 row = batch.column(0).slice(lo, size)
@@ -265,7 +288,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: s
     shared = encoded.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = {rank: token for token, rank in shared.value.items()}
+        tokens = token_table(shared.value)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids))
             yield pa.RecordBatch.from_arrays([*batch.columns, decode_ids(column, tokens)], [*batch.schema.names, out])

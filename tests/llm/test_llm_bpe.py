@@ -42,6 +42,21 @@ def test_decode_alone(spark, ranks):
     assert bytes(bpe.decode(null, ranks).first().decoded) == b""
 
 
+def test_decode_slices_and_unknown_ids(ranks):
+    import pyarrow as pa
+    tokens = bpe.token_table(ranks)
+    names = {rank: token for token, rank in ranks.items()}
+    lists = [[5, 6], None, [], [70, 80, 90], [300], None, [4000, 7]]
+    column = pa.array(lists, pa.list_(pa.int32()))
+    for lo in range(len(lists) + 1):
+        got = bpe.decode_ids(column.slice(lo, 4), tokens).to_pylist()
+        assert got == [b"".join(names[i] for i in x or ()) for x in lists[lo:lo + 4]]
+    with pytest.raises((ValueError, IndexError)):
+        bpe.decode_ids(pa.array([[len(tokens) + 5]], pa.list_(pa.int32())), tokens)
+    with pytest.raises(ValueError):
+        bpe.decode_ids(pa.array([[1, None]], pa.list_(pa.int32())), tokens)
+
+
 def test_every_code_point(ranks, library):
     import pyarrow as pa
     import regex
