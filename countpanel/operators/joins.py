@@ -7,13 +7,13 @@ larger sides stay shuffle joins (AQE skew-join splits hot partitions).
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from countpanel.operators import near
 from countpanel.operators.clean import dedupe
 from countpanel.session import bounded, small
 
@@ -149,13 +149,10 @@ def unmatched(left: DataFrame, right: DataFrame, lcol: str, rcol: str,
 
 
 # J15 / J16 --------------------------------------------------------------
-EARTH_M_PER_DEG = 111320.0
-
-
 def distance_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column, metric: str = "haversine") -> Column:
     if metric == "flat":
         # degrees x 111320 (no longitude shrink): parity option
-        return F.sqrt((lat1 - lat2) ** 2 + (lon1 - lon2) ** 2) * F.lit(EARTH_M_PER_DEG)
+        return F.sqrt((lat1 - lat2) ** 2 + (lon1 - lon2) ** 2) * F.lit(near.EARTH_M_PER_DEG)
     r = 6371008.8
     p1, p2 = F.radians(lat1), F.radians(lat2)
     dp, dl = p2 - p1, F.radians(lon2) - F.radians(lon1)
@@ -163,56 +160,18 @@ def distance_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column, metric: s
     return F.lit(2 * r) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
 
 
-def _columns_of_band(band: Column, deg: float, metres: float, metric: str) -> Column:
-    """Number of longitude columns in a latitude band: each at least as wide
-    as ``metres`` reach anywhere in the band or its neighbours."""
-    if metric == "flat":
-        return F.floor(F.lit(360.0 / deg)).cast("long")
-    reach = F.least(F.lit(90.0), F.greatest(F.abs(band * deg), F.abs((band + 1) * deg)) + F.lit(deg))
-    shrink = F.greatest(F.cos(F.radians(reach)), F.lit(1e-9))
-    half = F.asin(F.least(F.lit(1.0), F.lit(math.sin(min(metres / (2 * 6371008.8), math.pi / 2))) / shrink))
-    return F.greatest(F.lit(1), F.floor(F.lit(2 * math.pi) / (2 * half * 1.001))).cast("long")
-
-
-def _grid_pairs(sites: DataFrame, poi: DataFrame, metres: float, metric: str) -> DataFrame:
-    """Site x POI pairs within ``metres`` through a grid equi-join.
-
-    The earth is cut into latitude bands at least ``metres`` high, and every
-    band into its own number of longitude columns, as wide as ``metres`` reach
-    at the band's latitude; columns wrap around at 180 degrees (haversine).
-    Every partner of a site lies in the site's band or a neighbouring one, and
-    in its column or a neighbouring one, so the POI side is exploded to those
-    cells and joined on the cell id (an equi-join whose hot cells AQE splits;
-    no cartesian product), then filtered on the exact distance.
-    """
-    deg = metres / EARTH_M_PER_DEG
-    if metric == "haversine":
-        deg = metres / (2 * math.pi * 6371008.8 / 360.0) * 1.001  # a degree of latitude on the sphere, with margin
-
-    def column(lon: Column, n: Column) -> Column:
-        return F.floor((lon + F.lit(180.0)) / F.lit(360.0) * n).cast("long")
-
-    s = sites.select(F.col("site_id"), F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"))
-    s = s.withColumn("_cy", F.floor(F.col("s_lat") / F.lit(deg)).cast("long"))
-    n = _columns_of_band(F.col("_cy"), deg, metres, metric)
-    own = column(F.col("s_lon"), n)
-    s = s.withColumn("_cx", own if metric == "flat" else F.pmod(own, n))
-    p = poi.select("poi_id", "kind", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
-    p = (p.withColumn("_b", F.floor(F.col("p_lat") / F.lit(deg)).cast("long"))
-         .withColumn("_cy", F.explode(F.array(F.col("_b") - 1, F.col("_b"), F.col("_b") + 1))).drop("_b"))
-    at = column(F.col("p_lon"), n)
-    near = [at - 1, at, at + 1] if metric == "flat" else [F.pmod(at + d, n) for d in (-1, 0, 1)]
-    p = p.withColumn("_cx", F.explode(F.array_distinct(F.array(*near))))
-    j = s.join(p, ["_cy", "_cx"])
-    return (j.withColumn("dist_m", distance_m(F.col("s_lat"), F.col("s_lon"), F.col("p_lat"), F.col("p_lon"), metric))
-            .filter(F.col("dist_m") <= F.lit(metres)))
+def _of_sites(sites: DataFrame, found: DataFrame) -> DataFrame:
+    """(site_id, columns of ``found``) of the sites at its positions (lat, lon)."""
+    at = sites.select("site_id", *[F.col(c).cast("double").alias(c) for c in ("lat", "lon")])
+    return at.join(found, ["lat", "lon"])
 
 
 def count_within(sites: DataFrame, poi: DataFrame, metres: float, kinds: Sequence[str],
                  metric: str = "haversine") -> DataFrame:
-    """Per site, the number of POIs of each kind within ``metres``."""
-    pairs = _grid_pairs(sites, poi, metres, metric)
-    cnt = pairs.groupBy("site_id").pivot("kind", list(kinds)).agg(F.count(F.lit(1)))
+    """Per site, the number of POIs of each kind within ``metres``: counted per
+    position (:mod:`countpanel.operators.near`), then brought to the sites."""
+    found = _of_sites(sites, near.counts_at(sites, poi, metres, kinds, metric))
+    cnt = found.groupBy("site_id").agg(*[F.sum(k).alias(k) for k in kinds])
     out = sites.select("site_id").join(cnt, "site_id", "left")
     return out.fillna(0, subset=list(kinds)).select(
         "site_id", *[F.col(k).cast("long").alias(f"{k}_count") for k in kinds])
@@ -220,8 +179,10 @@ def count_within(sites: DataFrame, poi: DataFrame, metres: float, kinds: Sequenc
 
 def nearest(sites: DataFrame, poi: DataFrame, kind: str, max_m: float, metric: str = "haversine") -> DataFrame:
     """Distance to the nearest POI of ``kind``; null when none within max_m."""
-    pairs = _grid_pairs(sites, poi.filter(F.col("kind") == kind), max_m, metric)
-    best = pairs.groupBy("site_id").agg(F.min("dist_m").alias(f"dist_nearest_{kind}"))
+    found = near.nearest_at(sites, poi.filter(F.col("kind") == kind), max_m, metric)
+    found = found.withColumn("dist_m", distance_m(F.col("lat"), F.col("lon"), F.col("p_lat"), F.col("p_lon"), metric))
+    found = found.filter(F.col("dist_m") <= F.lit(max_m)).groupBy("lat", "lon").agg(F.min("dist_m").alias("dist_m"))
+    best = _of_sites(sites, found).groupBy("site_id").agg(F.min("dist_m").alias(f"dist_nearest_{kind}"))
     return sites.select("site_id").join(best, "site_id", "left")
 
 
