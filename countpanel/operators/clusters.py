@@ -5,10 +5,12 @@ centres of every model that has not settled, so scanning six values of k with
 twenty starts each takes as many jobs as the slowest single run has steps.
 Sums are whole multiples of 2^-24, hence the same for any partitioning.
 
-The silhouette needs each row's summed distance to every cluster.  Rows are
-packed into tiles; a pair of tiles yields one distance matrix, multiplied by the
-membership matrices of all labellings at once, and leaves one row of sums per
-row of the tiles.  No pair of rows is ever written.
+The silhouette needs each row's summed distance to every cluster.  Equal vectors
+count once, with the number of their rows in every cluster.  Vectors are dealt
+into blocks of bounded size; a task gets a pair of blocks, and walks it tile by
+tile: one distance matrix, multiplied by the cluster counts of all labellings at
+once, leaves one row of sums per vector.  A vector is copied once per block, not
+once per tile, and no pair of rows is ever written.
 """
 
 from __future__ import annotations
@@ -18,7 +20,6 @@ import sys
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -29,6 +30,10 @@ from countpanel.session import bounded, cut_lineage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 UNIT = 2.0 ** -24
+BLOCK_ROWS = 131_072  # most vectors, about, of one side of a block pair
+SMALL_BLOCK = 512  # blocks are made smaller, down to this, to give every core some pairs
+CLOSE = 1e-4  # squared distances below this share of the squared norms are taken from the differences
+MOVE_ROWS = 2048  # rows worth a task of their own in a k-means step
 INIT_ROWS = 4096  # rows, by hash of their id, among which first centres are drawn
 
 
@@ -67,9 +72,14 @@ def _step(df: DataFrame, models: Mapping[int, np.ndarray], width: int) -> dict[i
                 d = distances(x, centres)
                 at = d.argmin(1)
                 n, total, cost = found[m]
-                n += np.bincount(at, minlength=len(centres))
-                np.add.at(total, at, units)
-                np.add.at(cost, at, np.rint(d[np.arange(len(x)), at] / UNIT).astype(np.int64))
+                order = np.argsort(at.astype(np.int16 if len(centres) < 32768 else np.int64), kind="stable")
+                sizes = np.bincount(at, minlength=len(centres))
+                met = np.flatnonzero(sizes)
+                first = np.cumsum(sizes[met]) - sizes[met]
+                n += sizes
+                if len(met):
+                    total[met] += np.add.reduceat(units[order], first, axis=0)
+                    cost[met] += np.add.reduceat(np.rint(d[np.arange(len(x)), at] / UNIT).astype(np.int64)[order], first)
         rows = [(m, c, int(n[c]), int(cost[c]), *total[c].tolist()) for m, (n, total, cost) in found.items() for c in np.flatnonzero(n)]
         yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], pa.int32() if j < 2 else pa.int64()) for j in range(4 + width)],
                                          ["model", "cluster", "n", "cost", *(f"s{j}" for j in range(width))])
@@ -91,6 +101,10 @@ def kmeans_scan(df: DataFrame, key: str, x: str, ks: Sequence[int], n_init: int
     array column ``x``.  Rows with a null vector take no part; k is at most the
     number of rows; without rows there is no model."""
     d = cut_lineage(df.select(F.col(key).alias("id"), F.col(x).alias("x")).where("x is not null"))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = min(2 * cores, math.ceil(d.count() / MOVE_ROWS))
+    if tasks > d.rdd.getNumPartitions():  # few bytes, but much work on each row
+        d = cut_lineage(d.repartition(tasks, "id"))
     pool = d.orderBy(F.xxhash64("id"), "id").limit(INIT_ROWS).collect()
     if not pool:
         return {}
@@ -134,42 +148,81 @@ def assign(df: DataFrame, x: str, centres: Mapping[str, np.ndarray]) -> DataFram
     return df.withColumns({name: nearest(c) for name, c in centres.items()})
 
 
-def silhouette_rows(df: DataFrame, key: str, x: str, labels: Sequence[str], tile: int = 1024) -> DataFrame:
+def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distances, rows by rows.  Matrix products give the squares;
+    where these have lost digits, the differences do."""
+    p, q = (a ** 2).sum(1)[:, None], (b ** 2).sum(1)
+    out = a @ (-2.0 * b.T)
+    out += p
+    out += q
+    i, j = np.nonzero(~(out > CLOSE * (p + q)))  # NaN too
+    for lo in range(0, len(i), 65536):
+        r, c = i[lo:lo + 65536], j[lo:lo + 65536]
+        out[r, c] = ((a[r] - b[c]) ** 2).sum(1)
+    return np.sqrt(out, out=out)
+
+
+def block_sums(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, same: bool, tile: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distances of the vectors ``a`` to those of ``b`` summed with the weights
+    ``of_b`` (vectors by clusters), and the other way round unless ``same``."""
+    to_b, to_a = np.zeros((len(a), of_b.shape[1])), np.zeros((len(b), of_a.shape[1]))
+    for i in range(0, len(a), tile):
+        for j in range(0, len(b), tile):
+            d = apart(a[i:i + tile], b[j:j + tile])
+            to_b[i:i + tile] += d @ of_b[j:j + tile]
+            if not same:
+                to_a[j:j + tile] += d.T @ of_a[i:i + tile]
+    return to_b, to_a
+
+
+def distance_sums(points: DataFrame, names: Sequence[str], tile: int, block: int) -> DataFrame:
+    """(p, one sum per name): the distances of every vector ``x`` (number ``p``)
+    to all vectors, each as often as its column ``w`` says for that name."""
+    n = points.count()
+    if not n:
+        return points.sparkSession.createDataFrame([], "p long" + "".join(f", {s} double" for s in names))
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    count = max(math.ceil(n / block), min(math.ceil(math.sqrt(16 * cores)), math.ceil(n / SMALL_BLOCK)))
+    dealt = points.withColumn("_b", F.pmod(F.xxhash64("p"), F.lit(count)).cast("int"))
+    pairs = count * (count + 1) // 2
+    last = F.lit(count - 1)
+    left = dealt.select(F.col("_b").alias("i"), F.explode(F.sequence("_b", last)).alias("j"), "p", "x", "w").repartition(4 * pairs, "i", "j")
+    right = dealt.select(F.explode(F.sequence(F.lit(0), "_b")).alias("i"), F.col("_b").alias("j"), *[
+        F.col(c).alias(c) for c in ("p", "x", "w")]).repartition(4 * pairs, "i", "j")  # columns apart from those on the left
+
+    def run(key: tuple, mine: pa.Table, theirs: pa.Table) -> pa.Table:
+        if not len(mine) or not len(theirs):
+            return pa.table([pa.array([], t) for t in (pa.int64(), *[pa.float64()] * len(names))], names=["p", *names])
+        (a, of_a), (b, of_b) = ([np.concatenate([vectors(c, len(c[0])) for c in t.column(k).chunks if len(c)]) for k in ("x", "w")]
+                                for t in (mine, theirs))
+        same = key[0].as_py() == key[1].as_py()
+        middle = a.mean(0)  # small numbers lose fewer digits
+        to_b, to_a = block_sums(a - middle, b - middle, of_a, of_b, same, tile)
+        sums = to_b if same else np.concatenate([to_b, to_a])
+        ids = np.concatenate([t.column("p").to_numpy() for t in ((mine,) if same else (mine, theirs))])
+        return pa.table([pa.array(ids), *map(pa.array, sums.T)], names=["p", *names])
+
+    found = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(run, "p long" + "".join(f", {s} double" for s in names))
+    return found.groupBy("p").agg(*[F.sum(s).alias(s) for s in names])
+
+
+def silhouette_rows(df: DataFrame, key: str, x: str, labels: Sequence[str], tile: int = 256, block: int = BLOCK_ROWS) -> DataFrame:
     """(key, one silhouette per label column) of every row: Euclidean
     distances, 0 for the only row of a cluster, null with a single cluster.
-    Rows with a null vector or a null label take no part.  ``key`` is unique."""
-    ids = df.schema[key].dataType
+    Rows with a null vector or a null label take no part.  ``key`` is unique.
+    A task holds a pair of blocks of about ``block`` vectors at most."""
     d = df.select(F.col(key).alias("id"), F.col(x).alias("x"), F.array(*[F.col(c).cast("int") for c in labels]).alias("l")).where(
         F.col("x").isNotNull() & F.forall("l", lambda c: c.isNotNull()))
     d = cut_lineage(d)
     sizes = d.select(F.posexplode("l").alias("label", "cluster")).groupBy("label", "cluster").agg(F.count("*").alias("n")).collect()
     slots = sorted((r["label"], r["cluster"]) for r in sizes)  # clusters are few
     count = {(r["label"], r["cluster"]): r["n"] for r in sizes}
-    rows = sum(n for (label, _), n in count.items() if label == 0)
-    tiles = max(1, math.ceil(rows / tile))
-    packed = d.groupBy(F.pmod(F.xxhash64("id"), F.lit(tiles)).cast("int").alias("tile")).agg(F.collect_list(F.struct("id", "x", "l")).alias("rows"))
-    packed = cut_lineage(packed)
-    left = packed.select(F.explode(F.sequence("tile", F.lit(tiles - 1))).alias("other"), "tile", F.col("rows").alias("mine"))
-    pairs = left.join(packed.select(F.col("tile").alias("other"), F.col("rows").alias("theirs")), "other")
     names = [f"s{j}" for j in range(len(slots))]
-
-    def unpacked(column) -> tuple[list, np.ndarray, np.ndarray]:
-        of = [r["l"] for r in column]
-        member = np.array([[float(ls[label] == cluster) for label, cluster in slots] for ls in of])
-        return [r["id"] for r in column], np.array([r["x"] for r in column], float), member
-
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for same, mine, theirs in zip(batch["tile"] == batch["other"], batch["mine"], batch["theirs"]):
-                a, b = unpacked(mine), unpacked(theirs)
-                apart = np.sqrt(((a[1][:, None, :] - b[1][None, :, :]) ** 2).sum(2)) if a[1].shape[1] < 8 else np.stack(
-                    [np.sqrt(((b[1] - v) ** 2).sum(1)) for v in a[1]])
-                for (who, _, _), total in [(a, apart @ b[2])] + ([] if same else [(b, apart.T @ a[2])]):
-                    yield pd.DataFrame({"id": who, **dict(zip(names, total.T))})
-
-    schema = f"id {ids.simpleString()}" + "".join(f", {n} double" for n in names)
-    total = pairs.select("tile", "other", "mine", "theirs").mapInPandas(sums, schema).groupBy("id").agg(*[F.sum(n).alias(n) for n in names])
-    out = d.join(total, "id")
+    member = [F.count_if(F.element_at("l", label + 1) == cluster) for label, cluster in slots]
+    points = d.groupBy("x").agg((F.array(*member) if member else F.array().cast("array<long>")).alias("w"))
+    points = cut_lineage(points.withColumn("p", F.monotonically_increasing_id()))
+    total = points.select("p", "x").join(distance_sums(points, names, tile, block), "p").drop("p")
+    out = d.join(total, "x")
     scores = []
     for label, name in enumerate(labels):
         of = [(c, names[j], count[label, c]) for j, (i, c) in enumerate(slots) if i == label]

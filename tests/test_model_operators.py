@@ -227,3 +227,16 @@ def test_registered_models_beat_their_baselines(spark):
                                   ["site_id", "hour", "day_of_week"], "count")
     mae = base.agg(F.avg(F.abs(F.col("count") - F.col("baseline")))).first()[0]
     assert found["mae"] < mae
+
+
+def test_silhouette_over_pairs_of_blocks(spark):
+    """Many blocks, copies, and vectors that differ in the last digits only."""
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(size=(50, 9)), np.repeat(rng.normal(size=(3, 9)), 20, 0), np.full((9, 9), 1000.0) + rng.normal(size=(9, 9)) * 1e-7])
+    labels = rng.integers(0, 3, len(x))
+    d = spark.createDataFrame([(i, v.tolist(), int(c)) for i, (v, c) in enumerate(zip(x, labels))], "id int, x array<double>, c int")
+    got = {r.id: r.c for r in C.silhouette_rows(d, "id", "x", ["c"], tile=4, block=30).collect()}
+    assert np.allclose([got[i] for i in range(len(x))], _silhouette(x, labels), atol=1e-9)
+    a, b = x[:40], np.r_[x[100:], x[:5]]
+    assert np.allclose(C.apart(a, b), np.sqrt(((a[:, None] - b) ** 2).sum(2)), rtol=1e-10, atol=0)
+    assert C.silhouette_rows(d.where("false"), "id", "x", ["c"]).collect() == []
