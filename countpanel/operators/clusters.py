@@ -222,7 +222,7 @@ def silhouette_rows(df: DataFrame, key: str, x: str, labels: Sequence[str], tile
     points = d.groupBy("x").agg((F.array(*member) if member else F.array().cast("array<long>")).alias("w"))
     points = cut_lineage(points.withColumn("p", F.monotonically_increasing_id()))
     total = points.select("p", "x").join(distance_sums(points, names, tile, block), "p").drop("p")
-    out = d.join(total, "x")
+    out = d.where("id is not null").join(total, "x")  # a row without a key counts for the others, and has no row of its own
     scores = []
     for label, name in enumerate(labels):
         of = [(c, names[j], count[label, c]) for j, (i, c) in enumerate(slots) if i == label]

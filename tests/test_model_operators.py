@@ -237,6 +237,8 @@ def test_silhouette_over_pairs_of_blocks(spark):
     d = spark.createDataFrame([(i, v.tolist(), int(c)) for i, (v, c) in enumerate(zip(x, labels))], "id int, x array<double>, c int")
     got = {r.id: r.c for r in C.silhouette_rows(d, "id", "x", ["c"], tile=4, block=30).collect()}
     assert np.allclose([got[i] for i in range(len(x))], _silhouette(x, labels), atol=1e-9)
+    keyless = d.withColumn("id", F.when(F.col("id") != 7, F.col("id")))
+    assert {r.id: r.c for r in C.silhouette_rows(keyless, "id", "x", ["c"], tile=4, block=30).collect()}.keys() == set(range(len(x))) - {7}
     a, b = x[:40], np.r_[x[100:], x[:5]]
     assert np.allclose(C.apart(a, b), np.sqrt(((a[:, None] - b) ** 2).sum(2)), rtol=1e-10, atol=0)
     assert C.silhouette_rows(d.where("false"), "id", "x", ["c"]).collect() == []
