@@ -125,12 +125,14 @@ def hash_split(df: DataFrame, key: str | Sequence[str], share: float = 0.8, seed
 def forest(train: DataFrame, test: DataFrame, y: str, xs: Sequence[str], trees: int = 50, depth: int = 12,
            log_target: bool = False, seed: int = 42, min_instances: int = 10):
     """Random forest; with ``log_target`` trained on log1p(y), predictions
-    expm1 and clipped at 0."""
+    expm1 and clipped at 0.  The training rows are stored once; their nodes are
+    kept from level to level, so no row walks its trees from the root again."""
     lab = "_lab"
     tr = assemble(train.withColumn(lab, F.log1p(y) if log_target else F.col(y)), xs)
+    tr = cut_lineage(tr.select("features", lab))
     te = assemble(test, xs)
     m = RandomForestRegressor(featuresCol="features", labelCol=lab, numTrees=trees, maxDepth=depth, seed=seed,
-                              minInstancesPerNode=min_instances, featureSubsetStrategy="0.6").fit(tr)
+                              minInstancesPerNode=min_instances, featureSubsetStrategy="0.6", cacheNodeIds=True).fit(tr)
     p = m.transform(te)
     if log_target:
         p = p.withColumn("prediction", F.greatest(F.expm1("prediction"), F.lit(0.0)))
