@@ -21,7 +21,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from countpanel.session import cut_lineage
+from countpanel.session import bounded, cut_lineage
 
 # task functions travel by value: executors need not have the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -148,8 +148,10 @@ def _group_pairs(s: DataFrame, p: DataFrame, metres: float, metric: str, run: Ca
     n, cells = own.agg(F.count("*"), F.approx_count_distinct(F.struct("_cy", "_cx"))).first()
     s, p = gridded(s, p, metres * max(1, math.isqrt(cells // CELLS)), metric)
     cell = ["_cy", "_cx"]
+    # one row per cell, few by the widening: broadcast, as a join by cell would bring a crowded one to a single task
     deal = s.groupBy(*cell).agg(F.ceil(F.count("*") / group).cast("int").alias("_ns")).join(
         p.groupBy(*cell).agg(F.ceil(F.count("*") / group).cast("int").alias("_np")), cell)
+    deal = bounded(deal)
     mine = lambda number, salt: F.pmod(F.xxhash64("lat", "lon", F.lit(salt)), F.col(number)).cast("int")
     every = lambda number: F.explode(F.sequence(F.lit(0), F.col(number) - 1))
     pair = [*cell, "_i", "_j"]

@@ -1,6 +1,8 @@
 """Counts within a radius and nearest positions: against brute force, in
 crowded cells, among copies, and without a row per pair."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -79,3 +81,23 @@ def test_no_row_per_pair(spark):
     for df, want in ((J.count_within(sites, poi, 5000.0, ["park"]), 2000), (J.nearest(sites, poi, "park", 5000.0), 0.0)):
         assert {r[1] for r in df.collect()} == {want}
         assert _largest(df._jdf.queryExecution().executedPlan()) <= 20_000
+
+
+def test_only_counts_are_exchanged_by_cell(spark):
+    """All positions in one cell: an exchange by cell would bring them to one
+    task.  Tables too large for a broadcast are played by the planner's limit."""
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    lat, lon = F.col("id") % 50 / F.lit(1e4) + 50, F.floor(F.col("id") / 50) / F.lit(1e4) + 3
+    sites = spark.range(2000).select(F.col("id").alias("site_id"), lat.alias("lat"), lon.alias("lon"))
+    poi = spark.range(2000).select(F.col("id").alias("poi_id"), F.lit("park").alias("kind"), lat.alias("lat"), lon.alias("lon"))
+    try:
+        found = near.counts_at(sites, poi, 5000.0, ["park"], "flat", 100), near.nearest_at(sites, poi, 5000.0, "haversine", 100)
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in found]
+    finally:
+        spark.conf.set(limit, before)
+    for plan in plans:
+        lines = plan.split("\n")
+        by_cell = [i for i, x in enumerate(lines) if re.search(r"Exchange hashpartitioning\(_cy#\d+L?, _cx#\d+L?, \d+\)", x)]
+        assert by_cell and all("HashAggregate" in lines[i + 1] for i in by_cell)
