@@ -60,3 +60,29 @@ def test_redelivery_in_a_later_trigger(spark, tmp_path):
     last = [(4, 1, at(9), 4.0)]
     assert feed(last) == first + more + last
     assert feed([first[0], (5, 1, at(9, 1), 5.0)]) == first + more + last + [(5, 1, at(9, 1), 5.0)]
+
+
+def test_closed_windows_are_not_broadcast(spark, tmp_path):
+    """A trigger that only moves the watermark has no new rows, but gives out every closed window of the state."""
+    rows = [(1, 1, at(5), 30.0), (2, 2, at(5), 1.0), (3, 1, at(9), 1.0)]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/in/0")
+    stream = spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in/*")
+    hours = spark.range(2_000_000).selectExpr("cast(id div 24 as int) as site_id", "cast(id % 24 as int) as hour", "10.0D as expected")
+    alerts = T.stream_hourly_alerts(stream, hours, "site_id", "start_time", "cnt", 15.0, -8.0, "1 hour")
+    q = (alerts.writeStream.format("parquet").option("path", f"{tmp_path}/data").option("checkpointLocation", f"{tmp_path}/checkpoint")
+         .trigger(availableNow=True).outputMode("append").start())
+    q.awaitTermination()
+    assert q.lastProgress["batchId"] == 1 and q.lastProgress["numInputRows"] == 0
+    plan = q._jsq.explainInternal(False)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    got = spark.read.parquet(f"{tmp_path}/data").select("site_id", "total_count", "status").collect()
+    assert sorted(map(tuple, got)) == [(1, 30.0, "surge"), (2, 1.0, "blockage")]
+
+
+def test_state_is_kept_on_disk(spark, tmp_path):
+    """The runner's streams keep their state out of the heap; the session's settings stay as they were."""
+    before = {k: spark.conf.get(k, None) for k in T.STATE_ON_DISK}
+    feed = Feed(spark, tmp_path, lambda s: T.stream_hourly(s, "site_id", "start_time", "cnt", "1 hour"))
+    assert feed([(1, 1, at(5), 30.0), (2, 1, at(9), 1.0)]) == [(1, at(5), 30.0, 1)]
+    assert list((tmp_path / "out" / "checkpoint" / "state").glob("*/*/*.zip"))
+    assert {k: spark.conf.get(k, None) for k in T.STATE_ON_DISK} == before
