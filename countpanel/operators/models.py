@@ -17,13 +17,16 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from countpanel.operators import clusters
+from countpanel.operators import clusters, forests
 from countpanel.operators import quality as Q
 from countpanel.operators import windows as W
 from countpanel.operators.artefact import SkewScaler, SkewScalerModel
 from countpanel.operators.clean import fill_median, median_stats
 from countpanel.session import cut_lineage, small
 
+# deeper trees have more nodes than Spark's forest adds up in a pass; on this many rows it takes minutes
+DEEP, MANY_ROWS = 12, 200_000
+
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip").transform(df)
@@ -126,13 +129,18 @@ def forest(train: DataFrame, test: DataFrame, y: str, xs: Sequence[str], trees:
            log_target: bool = False, seed: int = 42, min_instances: int = 10):
     """Random forest; with ``log_target`` trained on log1p(y), predictions
     expm1 and clipped at 0.  The training rows are stored once; their nodes are
-    kept from level to level, so no row walks its trees from the root again."""
+    kept from level to level, so no row walks its trees from the root again.
+    Trees deeper than ``DEEP`` on more than ``MANY_ROWS`` rows are grown by
+    :mod:`forests`: the same learner, other random numbers."""
     lab = "_lab"
     tr = assemble(train.withColumn(lab, F.log1p(y) if log_target else F.col(y)), xs)
     tr = cut_lineage(tr.select("features", lab))
     te = assemble(test, xs)
-    m = RandomForestRegressor(featuresCol="features", labelCol=lab, numTrees=trees, maxDepth=depth, seed=seed,
-                              minInstancesPerNode=min_instances, featureSubsetStrategy="0.6", cacheNodeIds=True).fit(tr)
+    if depth > DEEP and (rows := tr.count()) > MANY_ROWS:
+        m = forests.fit(tr, lab, rows, trees, depth, 0.6, min_instances, seed)
+    else:
+        m = RandomForestRegressor(featuresCol="features", labelCol=lab, numTrees=trees, maxDepth=depth, seed=seed,
+                                  minInstancesPerNode=min_instances, featureSubsetStrategy="0.6", cacheNodeIds=True).fit(tr)
     p = m.transform(te)
     if log_target:
         p = p.withColumn("prediction", F.greatest(F.expm1("prediction"), F.lit(0.0)))
